@@ -88,3 +88,18 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
             return stars.select(F.col("a").alias("id"), F.col("b").alias("component"))
         before = after
     raise RuntimeError(f"components did not settle in {most} rounds")
+
+
+def spread_join(rows: DataFrame, side: DataFrame, keys: list[str], parts: int = 64) -> DataFrame:
+    """``rows`` joined to ``side``, which has each key once, with hot keys dealt over ``parts`` tasks.
+
+    Hot are keys with over a thousandth of all rows, so there are fewer than a
+    thousand of them and their list can be broadcast at any size of the input.
+    """
+    counts = rows.groupBy(keys).agg(F.count("*").alias("_c"))
+    total = rows.count()
+    hot = F.broadcast(counts.where(F.col("_c") > max(1, total / 1000)).select(*keys, F.lit(parts).alias("_parts")))
+    salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys]), F.coalesce("_parts", F.lit(1))).cast("int")
+    left = rows.join(hot, keys, "left").withColumn("_salt", salt).drop("_parts")
+    right = side.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return left.join(right, [*keys, "_salt"]).drop("_salt")

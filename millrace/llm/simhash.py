@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, components, staged
+from .common import bounded_batches, components, spread_join, staged
 
 SEED = 42
 #: Fingerprints in a tile, about. Two tiles are compared by one matrix of exclusive-ors.
@@ -147,7 +147,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     unique = rows.groupBy("fp").agg(F.min("id").alias("id"))
     joined = components(fingerprint_links(unique, radius))
     classes = unique.join(joined, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return rows.join(classes, "fp").select(
+    return spread_join(rows, classes, ["fp"]).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
