@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_lexicon, simhash, token_counts, token_files
+from . import bpe_lexicon, caps, fm_index, simhash, token_counts, token_files
 from .common import scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +35,40 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, at)
 
 
+@query("op3_cap_filters")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_fm_index")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+ORACLE["op4_fm_index"] = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
+items AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+grams AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM docs, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, n, k, item FROM places JOIN grams USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 @query("op9_bpe_lexicon")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.bpe_codec(table(spark, sf_dir, "documents"))
