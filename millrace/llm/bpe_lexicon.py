@@ -6,22 +6,19 @@ import hashlib
 import json
 import mmap
 from array import array
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, most_frequent, word_counts
 from .pretokens import Bpe, Pieces, default_tokenizer, packer
 
 #: Words in the lexicon at most; all other words are merged.
 LEXICON_WORDS = 50_000
 #: Longer words are not counted for it.
 LEXICON_BYTES = 64
-#: Words that a task counts before it hands on its counts.
-HELD = 300_000
 _BYTE = [bytes([k]) for k in range(256)]
 _tables: dict = {}
 
@@ -130,27 +127,10 @@ def compile_lexicon(words: Iterable[tuple[bytes, bytes]], width: int) -> bytes:
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent space-led words of all texts, ties in the words' order: at most ``most``."""
+    """The most frequent space-led words of all texts: at most ``most``."""
     bounded_batches(docs.sparkSession)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            pair = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["w", "n"])
-            held.clear()
-            return pair
-
-        for b in batches:
-            for x in b.column(0):
-                held.update((x.as_py() or "").split(" ")[1:])
-                if len(held) >= HELD:
-                    yield out()
-        yield out()
-
-    counts = docs.select(text_col).mapInArrow(count, "w string, n long").where((F.octet_length("w") < LEXICON_BYTES) & (F.col("w") != ""))
-    top = counts.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(most)
-    return [f" {r.w}" for r in top.select("w").collect()]
+    counts = word_counts(docs.select(F.col(text_col).cast("binary")), lambda t: t.split(b" ")[1:])
+    return [f" {w.decode()}" for w, _ in most_frequent(counts.where(F.octet_length("w").between(1, LEXICON_BYTES - 1)), most)]
 
 
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", most: int = LEXICON_WORDS) -> bytes:

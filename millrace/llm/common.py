@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,3 +106,47 @@ def spread_join(rows: DataFrame, side: DataFrame, keys: list[str], parts: int =
     left = rows.join(hot, keys, "left").withColumn("_salt", salt).drop("_parts")
     right = side.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
     return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
+#: Words that a task counts before it hands on its counts.
+HELD = 300_000
+
+
+def word_counts(texts: DataFrame, words: Callable[[bytes], Iterable[bytes]]) -> DataFrame:
+    """``w`` (BINARY), ``n`` over all rows of ``texts``, a frame of one BINARY column; written to the shared folder."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            pair = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["w", "n"])
+            held.clear()
+            return pair
+
+        for b in batches:
+            for x in b.column(0):
+                held.update(words(x.as_py() or b""))
+                if len(held) >= HELD:
+                    yield out()
+        yield out()
+
+    return staged(texts.mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
+
+
+def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent words of ``word_counts``: at most ``most``, most frequent first, ties in the words' order.
+
+    Counts are put into about a thousand levels at most, and whole levels are
+    taken from the top, so the driver gets the levels and the words taken.
+    """
+    level = F.when(F.col("n") < 64, F.col("n")).otherwise(64 + F.floor(F.log2(F.col("n") / 64) * 16)).cast("int")
+    taken, least = 0, None
+    for at, n in sorted(map(tuple, counts.groupBy(level.alias("at")).count().collect()), reverse=True):
+        taken += n
+        if taken > most:
+            break
+        least = at
+    if least is None:
+        return []
+    rows = [(bytes(r.w), r.n) for r in counts.where(level >= least).select("w", "n").collect()]
+    return sorted(rows, key=lambda x: (-x[1], x[0]))
