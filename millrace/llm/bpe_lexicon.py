@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, most_frequent, word_counts
-from .pretokens import Bpe, Pieces, default_tokenizer, packer
+from .pretokens import Bpe, Pieces, default_tokenizer, letters, packer
 
 #: Words in the lexicon at most; all other words are merged.
 LEXICON_WORDS = 50_000
@@ -148,10 +148,10 @@ class Codec:
         self.code, pack = packer(path)
         bpe = Bpe(path)
         self.pieces = Pieces(path, lambda w: pack(bpe.merge(w)), b"".join, lambda i: pack([i]), lambda p: lexicon.get(p.encode()))
-        letters = _letters()
+        byte_of = letters()
         tokens = {i: t for t, i in bpe.vocab.items()} | {i: t for t, i in self.pieces.special.items()}
         self.bytes_of = [
-            bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in (tokens.get(i, "") for i in range(max(tokens) + 1))
+            bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in (tokens.get(i, "") for i in range(max(tokens) + 1))
         ]
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
 
@@ -162,13 +162,6 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def _letters() -> dict[str, int]:
-    """Byte-level letters: printable bytes stand for themselves, the others follow from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
-
-
 def bpe_codec(
     docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", most: int = LEXICON_WORDS, texts: bool = False
 ) -> DataFrame:

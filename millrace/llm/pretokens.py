@@ -15,13 +15,31 @@ from collections.abc import Callable
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Entries that a task's tables keep; a full table is emptied, never wrong.
-ENTRIES = 400_000
+#: Entries of a task's tables; at most as many again are kept as old ones.
+ENTRIES = 250_000
 #: Longer pieces are not kept.
 KEPT_CHARS = 48
 _WS = r"[\s᠎​﻿]"
 #: Where a space inside white space is not a boundary by itself; such texts are pre-tokenized whole.
 RISKY = re.compile(rf"{_WS} (?:{_WS}|\Z)")
+#: Latin letters, then ASCII punctuation, and the same once more after a line end: pre-tokens that need no library.
+_LETTERS, _MARKS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", r"[!-/:-@\[-`{-~]*"
+SIMPLE = re.compile(rf"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
+
+
+def letters() -> dict[str, int]:
+    """Byte-level letters: printable bytes stand for themselves, the others follow from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
+
+
+_LETTER_OF = {b: c for c, b in letters().items()}
+
+
+def spelled(text: str) -> str:
+    """A text in byte-level letters."""
+    return text.encode().decode("latin-1").translate(_LETTER_OF)
 
 
 def default_tokenizer() -> str:
@@ -43,13 +61,15 @@ class Bpe:
         if len(ids) > 100:
             return self._merge_long(ids)
         get, none = self.rank.get, len(self.made)
-        while len(ids) > 1:
-            ranks = [get(p, none) for p in zip(ids, ids[1:], strict=False)]
-            best = min(ranks)
-            if best == none:
-                break
+        ranks = [get(p, none) for p in zip(ids, ids[1:])]  # noqa: B905
+        while ranks and (best := min(ranks)) != none:
             at = ranks.index(best)
-            ids[at : at + 2] = [self.made[best]]
+            ids[at] = one = self.made[best]
+            del ids[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = get((ids[at - 1], one), none)
+            if at < len(ranks):
+                ranks[at] = get((one, ids[at + 1]), none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -75,16 +95,19 @@ class Bpe:
 
 
 class Kept(dict):
-    """A bounded table that computes what it lacks."""
+    """A bounded table that computes what it lacks. A full table becomes the old one, from which keys in use come back."""
 
     def __init__(self, make: Callable, entries: int = ENTRIES):
         super().__init__()
-        self.make, self.entries = make, entries
+        self.make, self.entries, self.old = make, entries, {}
 
     def __missing__(self, key: str):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= KEPT_CHARS:
             if len(self) >= self.entries:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -117,6 +140,9 @@ class Pieces:
     def _piece(self, piece: str):
         if self.known and (value := self.known(f" {piece}")) is not None:
             return value
+        if m := SIMPLE.fullmatch(piece):
+            one, marks, line, two, more = m.groups()
+            return self.total([self.words[spelled(w)] for w in (f" {one}", marks, line, two, more) if w])
         return self._words(f" {piece}")
 
     def _plain(self, text: str):

@@ -13,7 +13,7 @@ from millrace.llm.pretokens import Bpe, Pieces, default_tokenizer
 ODD = [
     "", " ", "  ", "a", " a", "a ", "a  b", "x\n foo", "x\n\n foo", "x\n \nfoo", " \nfoo", "x \n", "x\t y", "x \t y", "tab\t\tz  ",
     "don't we'll I'M", "a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> x", "naïve façade Ñandú", "日本語 テスト 12345", "😀 😀😀",
-    "x  y  z", "x\x1c y\x85 z", "᠎ ​ ﻿ a", "%%% word,%%% A.B.C", "z" * 5000, "ab" * 300 + " " + "9" * 700, None, "\r\n \r\n  a\r",
+    "x  y  z", "x\x1c y\x85 z", "᠎ ​ ﻿ a", "%%% word,%%% A.B.C", "z" * 5000, "x don't. word'\nIt's word'\ns it''s a.b c.\n\nd É!\nü_ ' \n' q' s", "ab" * 300 + " " + "9" * 700, None, "\r\n \r\n  a\r",
 ]
 
 
