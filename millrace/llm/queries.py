@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_lexicon, caps, fm_index, maxent_lm, simhash, token_counts, token_files
+from . import bpe_lexicon, caps, fm_index, maxent_lm, simhash, site_quality, token_counts, token_files
 from .common import scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,11 @@ FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+@query("op5_site_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_maxent_lm")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.language_scores(table(spark, sf_dir, "documents"))
