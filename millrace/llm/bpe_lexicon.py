@@ -8,12 +8,13 @@ import mmap
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, most_frequent, word_counts
-from .pretokens import Bpe, Pieces, default_tokenizer, letters, packer
+from .pretokens import Bpe, Merger, Pieces, default_tokenizer, letters, packer
 
 #: Words in the lexicon at most; all other words are merged.
 LEXICON_WORDS = 50_000
@@ -42,6 +43,9 @@ class Lexicon:
         self.first, self.target, self.skip, self.slot = ints("first"), ints("target"), ints("skip"), ints("slot")
         self.final = view[part["final"][0] : part["final"][0] + part["final"][1]]
         self.labels, self.ids = part["labels"][0], part["ids"][0]
+        # An arc's state and label in one number: in order, as the arcs are.
+        state = np.repeat(np.arange(len(self.first) - 1), np.diff(np.asarray(self.first).astype(np.int64)))
+        self.arcs = state * 256 + np.frombuffer(buffer, np.uint8, part["labels"][1], self.labels)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> Lexicon:
@@ -70,6 +74,36 @@ class Lexicon:
             return None
         return self.buffer[self.ids + self.slot[number] * self.width : self.ids + self.slot[number + 1] * self.width]
 
+    def get_many(self, words: list[bytes]) -> list[bytes | None]:
+        """The same for many words, all walked a byte at a time together."""
+        out: list[bytes | None] = [None] * len(words)
+        if not len(self.arcs):
+            return out
+        text = np.frombuffer(b"".join(words), np.uint8)
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        start = np.cumsum(lens) - lens
+        target, skip = np.asarray(self.target), np.asarray(self.skip)
+        live = np.flatnonzero(lens > 0)
+        state, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        ended, step = [], 0
+        while len(live):
+            key = state[live] * 256 + text[start[live] + step]
+            arc = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
+            found = self.arcs[arc] == key
+            live, arc = live[found], arc[found]
+            number[live] += skip[arc]
+            state[live] = target[arc]
+            step += 1
+            ends = lens[live] == step
+            ended.append(live[ends])
+            live = live[~ends]
+        at = np.concatenate(ended) if ended else live
+        at = at[np.asarray(self.final)[state[at]] > 0]
+        slot = np.asarray(self.slot).astype(np.int64) * self.width + self.ids
+        for k, a, b in zip(at.tolist(), slot[number[at]].tolist(), slot[number[at] + 1].tolist(), strict=True):
+            out[k] = self.buffer[a:b]
+        return out
+
 
 def compile_lexicon(words: Iterable[tuple[bytes, bytes]], width: int) -> bytes:
     """``words``: distinct, with their packed ids of ``width`` bytes each.
@@ -135,10 +169,9 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_
 
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", most: int = LEXICON_WORDS) -> bytes:
     code, pack = packer(path)
-    bpe = Bpe(path)
-    encode = Pieces(path, lambda w: pack(bpe.merge(w)), b"".join, lambda i: pack([i]))
+    encode = Pieces(path, Merger(Bpe(path), code), b"".join, lambda i: pack([i]))
     words = [w for w in frequent_words(docs, text_col, most) if not any(s in w for s in encode.special)]
-    return compile_lexicon(((w.encode(), encode(w)) for w in words), array(code).itemsize)
+    return compile_lexicon(zip([w.encode() for w in words], encode.values(words), strict=True), array(code).itemsize)
 
 
 class Codec:
@@ -147,7 +180,7 @@ class Codec:
     def __init__(self, path: str, lexicon: Lexicon):
         self.code, pack = packer(path)
         bpe = Bpe(path)
-        self.pieces = Pieces(path, lambda w: pack(bpe.merge(w)), b"".join, lambda i: pack([i]), lambda p: lexicon.get(p.encode()))
+        self.pieces = Pieces(path, Merger(bpe, self.code), b"".join, lambda i: pack([i]), lambda ps: lexicon.get_many([f" {p}".encode() for p in ps]))
         byte_of = letters()
         tokens = {i: t for t, i in bpe.vocab.items()} | {i: t for t, i in self.pieces.special.items()}
         self.bytes_of = [
@@ -155,8 +188,8 @@ class Codec:
         ]
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
 
-    def encode(self, text: str) -> list[int]:
-        return array(self.code, self.pieces(text)).tolist()
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [array(self.code, x).tolist() for x in self.pieces.values(texts)]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -185,7 +218,7 @@ def bpe_codec(
         codec, sha = _tables[name], hashlib.sha256
         text_of = codec.text_of.__getitem__
         for b in batches:
-            rows = [codec.encode(x.as_py() or "") for x in b.column(1)]
+            rows = codec.encode([x or "" for x in b.column(1).to_pylist()])
             back = [codec.decode(r) for r in rows]
             cols = [
                 b.column(0),

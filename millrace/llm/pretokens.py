@@ -12,11 +12,12 @@ import re
 from array import array
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Entries of a task's tables; at most as many again are kept as old ones.
-ENTRIES = 250_000
+#: A task's tables with more entries are emptied before the next batch.
+ENTRIES = 300_000
 #: Longer pieces are not kept.
 KEPT_CHARS = 48
 _WS = r"[\s᠎​﻿]"
@@ -35,10 +36,13 @@ def letters() -> dict[str, int]:
 
 
 _LETTER_OF = {b: c for c, b in letters().items()}
+_SPACE = _LETTER_OF[32]
 
 
 def spelled(text: str) -> str:
     """A text in byte-level letters."""
+    if text.isascii() and text.isprintable():
+        return text.replace(" ", _SPACE)
     return text.encode().decode("latin-1").translate(_LETTER_OF)
 
 
@@ -94,34 +98,101 @@ class Bpe:
         return [x for x in ids if x >= 0]
 
 
-class Kept(dict):
-    """A bounded table that computes what it lacks. A full table becomes the old one, from which keys in use come back."""
-
-    def __init__(self, make: Callable, entries: int = ENTRIES):
-        super().__init__()
-        self.make, self.entries, self.old = make, entries, {}
-
-    def __missing__(self, key: str):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) <= KEPT_CHARS:
-            if len(self) >= self.entries:
-                self.old = dict(self)
-                self.clear()
-            self[key] = value
-        return value
+class Merger:
+    """The same merges for many words at once, in numpy: each step merges the first best pair of every word still in work."""
+
+    def __init__(self, bpe: Bpe, code: str):
+        self.bpe, self.code, self.none = bpe, code, len(bpe.made)
+        self.made = np.array(bpe.made, np.int64)
+        spelled_by = {ord(c): bpe.vocab[c] for c in letters() if c in bpe.vocab}
+        self.of_letter = np.full(max(spelled_by) + 1, -1, np.int64)
+        self.of_letter[list(spelled_by)] = list(spelled_by.values())
+        # Open addressing: pairs by a hash, at most half of the slots taken.
+        self.mask = (1 << max(4, (4 * len(bpe.rank)).bit_length())) - 1
+        self.keys = np.full(self.mask + 1, -1, np.int64)
+        self.ranks = np.full(self.mask + 1, self.none, np.int64)
+        pairs = np.array([(a << 32) | b for a, b in bpe.rank], np.int64)
+        value = np.fromiter(bpe.rank.values(), np.int64, len(pairs))
+        slot = self._slot(pairs)
+        while len(pairs):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = pairs[free]
+            held = self.keys[slot] == pairs
+            self.ranks[slot[held]] = value[held]
+            pairs, value, slot = pairs[~held], value[~held], (slot[~held] + 1) & self.mask
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)).astype(np.int64) & self.mask
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pairs = (a << 32) | b
+        slot = self._slot(pairs)
+        out = np.where(self.keys[slot] == pairs, self.ranks[slot], self.none)
+        left = np.flatnonzero((self.keys[slot] != pairs) & (self.keys[slot] >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            key = self.keys[slot[left]]
+            same = key == pairs[left]
+            out[left[same]] = self.ranks[slot[left[same]]]
+            left = left[~same & (key >= 0)]
+        return out
+
+    def __call__(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word, spelled in byte-level letters."""
+        out: list[bytes] = [b""] * len(words)
+        pack = np.dtype("<u2" if self.code == "H" else "<u4")
+        short = []
+        for k, w in enumerate(words):
+            if len(w) > 200:
+                out[k] = np.array(self.bpe.merge(w), pack).tobytes()
+            elif w:
+                short.append(k)
+        live = np.array(short, np.int64)
+        lens = np.fromiter((len(words[k]) for k in short), np.int64, len(short))
+        t = self.of_letter[np.frombuffer("".join([words[k] for k in short]).encode("utf-32-le"), "<u4")]
+        r = np.full(len(t), self.none, np.int64)
+        if len(t) > 1:
+            r[:-1] = self.rank(t[:-1], t[1:])
+        if len(lens):
+            r[np.cumsum(lens) - 1] = self.none
+        while len(live):
+            best = np.minimum.reduceat(r, np.cumsum(lens) - lens)
+            done = best == self.none
+            if done.any():
+                gone = np.repeat(done, lens)
+                data, n = t[gone].astype(pack).tobytes(), lens[done] * pack.itemsize
+                ends = np.cumsum(n).tolist()
+                for k, a, b in zip(live[done].tolist(), [0, *ends], ends):  # noqa: B905
+                    out[k] = data[a:b]
+                t, r, live, lens, best = t[~gone], r[~gone], live[~done], lens[~done], best[~done]
+                if not len(live):
+                    break
+            word = np.repeat(np.arange(len(lens)), lens)
+            hit = np.flatnonzero(r == best[word])
+            at = hit[np.concatenate([[True], np.diff(word[hit]) > 0])]
+            t[at] = self.made[best]
+            keep = np.ones(len(t), bool)
+            keep[at + 1] = False
+            t, r, at, lens = t[keep], r[keep], at - np.arange(len(at)), lens - 1
+            ends = np.cumsum(lens)
+            inner = at < ends - 1
+            r[at] = self.none
+            i = at[inner]
+            r[i] = self.rank(t[i], t[i + 1])
+            i = at[at > ends - lens]
+            r[i - 1] = self.rank(t[i - 1], t[i])
+        return out
 
 
 class Pieces:
-    """Values of whole texts from the values of their pre-tokens.
+    """Values of whole texts from the values of their pre-tokens, a batch of texts at a time.
 
-    ``of_word`` gives a pre-token's value, ``total`` joins values and
+    ``of_words`` gives the values of pre-tokens, ``total`` joins values and
     ``of_special`` gives the value of a special token's id. ``known`` may give
-    a piece's value at once, or None.
+    the values of space-led pieces at once, None for those it has not.
     """
 
-    def __init__(self, path: str, of_word: Callable, total: Callable, of_special: Callable, known: Callable | None = None):
+    def __init__(self, path: str, of_words: Callable[[list[str]], list], total: Callable, of_special: Callable, known: Callable | None = None):
         tok = Tokenizer.from_file(path)
         spec = json.load(open(path, encoding="utf-8"))
         if spec["model"]["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"] or spec["pre_tokenizer"]["add_prefix_space"]:
@@ -130,32 +201,66 @@ class Pieces:
             raise ValueError("added tokens that take in their surroundings are not supported")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.pre, self.total, self.of_special, self.known = tok.pre_tokenizer.pre_tokenize_str, total, of_special, known
-        self.words = Kept(of_word)
-        self.pieces = Kept(self._piece)
+        self.pre, self.of_words, self.total, self.of_special, self.known = tok.pre_tokenizer.pre_tokenize_str, of_words, total, of_special, known
+        self.words: dict[str, object] = {}
+        self.pieces: dict = {}
+        self.entries = ENTRIES
 
-    def _words(self, text: str):
-        return self.total([self.words[w] for w, _ in self.pre(text)])
-
-    def _piece(self, piece: str):
-        if self.known and (value := self.known(f" {piece}")) is not None:
-            return value
-        if m := SIMPLE.fullmatch(piece):
-            one, marks, line, two, more = m.groups()
-            return self.total([self.words[spelled(w)] for w in (f" {one}", marks, line, two, more) if w])
-        return self._words(f" {piece}")
-
-    def _plain(self, text: str):
-        if RISKY.search(text):
-            return self._words(text)
-        first, *rest = text.split(" ")
-        values = list(map(self.pieces.__getitem__, rest))
-        return self.total([self._words(first), *values] if first else values)
-
-    def __call__(self, text: str):
+    def _keys(self, text: str) -> list:
+        """A text as pieces: strings that a space leads, tuples of a string as it stands, ids of special tokens."""
         if self.cut is None or not any(s in text for s in self.special):
-            return self._plain(text)
-        return self.total([self.of_special(self.special[x]) if x in self.special else self._plain(x) for x in self.cut.split(text) if x])
+            parts = [text]
+        else:
+            parts = self.cut.split(text)
+        out: list = []
+        for x in parts:
+            if x in self.special:
+                out.append(self.special[x])
+            elif RISKY.search(x):
+                out.append((x,))
+            elif x:
+                first, *rest = x.split(" ")
+                out += [(first,), *rest] if first else rest
+        return out
+
+    def _words(self, key) -> list[str]:
+        text = key[0] if type(key) is tuple else f" {key}"
+        if m := SIMPLE.fullmatch(text, 0 if type(key) is tuple else 1):
+            one, marks, line, two, more = m.groups()
+            out = [spelled(one) if type(key) is tuple else _SPACE + spelled(one)]
+            if marks:
+                out.append(marks)
+            if line:
+                out += [_LETTER_OF[10], spelled(two)]
+                if more:
+                    out.append(more)
+            return out
+        return [w for w, _ in self.pre(text)]
+
+    def values(self, texts: list[str]) -> list:
+        rows = [self._keys(t) for t in texts]
+        for table in (self.pieces, self.words):
+            if len(table) > self.entries:
+                table.clear()
+        new = [k for k in set().union(*rows) if k not in self.pieces]
+        if self.known:
+            plain = [k for k in new if type(k) is str]
+            self.pieces.update((k, v) for k, v in zip(plain, self.known(plain), strict=True) if v is not None)
+            new = [k for k in new if k not in self.pieces]
+        cut = {k: self._words(k) for k in new if type(k) is not int}
+        words = [w for w in set().union(*cut.values()) if w not in self.words]
+        self.words.update(zip(words, self.of_words(words), strict=True))
+        one = self.words.__getitem__
+        self.pieces.update((k, self.of_special(k) if type(k) is int else self.total(map(one, cut[k]))) for k in new)
+        value = self.pieces.__getitem__
+        out = [self.total(map(value, r)) for r in rows]
+        for k in new:  # what is long, or whole texts, is not kept
+            if type(k) is tuple or type(k) is str and len(k) > KEPT_CHARS:
+                del self.pieces[k]
+        for w in words:
+            if len(w) > KEPT_CHARS:
+                del self.words[w]
+        return out
 
 
 def packer(path: str) -> tuple[str, Callable[[list[int]], bytes]]:

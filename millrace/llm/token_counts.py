@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches
-from .pretokens import Bpe, Pieces, default_tokenizer
+from .pretokens import Bpe, Merger, Pieces, default_tokenizer
 
 _tables: dict = {}
 
@@ -22,12 +23,19 @@ def whole_tokens(path: str) -> frozenset[str]:
     found in this set is known to count one.
     """
     bpe = Bpe(path)
-    return frozenset(v for v, i in bpe.vocab.items() if all(c in bpe.vocab for c in v) and bpe.merge(v) == [i])
+    strings = [v for v in bpe.vocab if all(c in bpe.vocab for c in v)]
+    return frozenset(v for v, ids in zip(strings, Merger(bpe, "I")(strings), strict=True) if ids == np.array([bpe.vocab[v]], "<u4").tobytes())
 
 
 def _counter(path: str, whole: frozenset[str]) -> Pieces:
-    bpe = Bpe(path)
-    return Pieces(path, lambda w: 1 if w in whole else len(bpe.merge(w)), sum, lambda _: 1)
+    merge = Merger(Bpe(path), "I")
+
+    def count(words: list[str]) -> list[int]:
+        rest = [w for w in words if w not in whole]
+        merged = dict(zip(rest, (len(x) // 4 for x in merge(rest)), strict=True))
+        return [merged.get(w, 1) for w in words]
+
+    return Pieces(path, count, sum, lambda _: 1)
 
 
 def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:
@@ -50,12 +58,12 @@ def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
                 import sentencepiece
 
                 model = sentencepiece.SentencePieceProcessor(model_file=path)
-                _tables[path] = lambda text: len(model.encode(text, num_threads=1))
+                _tables[path] = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
             else:
-                _tables[path] = _counter(path, whole.value)
+                _tables[path] = _counter(path, whole.value).values
         count = _tables[path]
         for b in batches:
-            n = [count(x.as_py()) if x.is_valid else 0 for x in b.column(2)]
+            n = count([x or "" for x in b.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
                 [id_col, "n_bytes", "n_tokens", "over_limit"],

@@ -35,22 +35,15 @@ SHARD = "part int, seq int, first_id long, last_id long, n_docs long, n_tokens l
 _tables: dict = {}
 
 
-def _encoder(path: str) -> Pieces:
+def encode_ids(path: str, texts: list[str | None], end_id: int) -> list[bytes]:
+    """The library's ids of each text, then ``end_id``, as packed integers. A pre-token is tokenized once."""
     if path not in _tables:
         model, (_, pack) = Tokenizer.from_file(path).model, packer(path)
-        _tables[path] = Pieces(path, lambda w: pack([t.id for t in model.tokenize(w)]), b"".join, lambda i: pack([i]))
-    return _tables[path]
-
-
-def encode_ids(path: str, text: str | None, end_id: int) -> bytes:
-    """The library's ids of a text, then ``end_id``, as packed integers."""
-    return _encoder(path)(text or "") + packer_of(path)([end_id])
-
-
-def packer_of(path: str):
-    if ("pack", path) not in _tables:
-        _tables["pack", path] = packer(path)[1]
-    return _tables["pack", path]
+        words = lambda ws: [pack([t.id for t in model.tokenize(w)]) for w in ws]
+        _tables[path] = Pieces(path, words, b"".join, lambda i: pack([i])), pack
+    pieces, pack = _tables[path]
+    end = pack([end_id])
+    return [x + end for x in pieces.values([t or "" for t in texts])]
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> bytes:
@@ -62,7 +55,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int, id_col: str, text_
         .limit(SAMPLE_DOCS)
         .collect()
     )
-    samples = [encode_ids(path, r.t, end_id) for r in texts]
+    samples = encode_ids(path, [r.t for r in texts], end_id)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -88,7 +81,7 @@ def write_token_files(docs: DataFrame, to: str, path: str | None = None, end_id:
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared.value) if shared.value else None)
         width = 2 if code == "H" else 4
         for b in batches:
-            ids = [encode_ids(path, x.as_py(), end_id) for x in b.column(1)]
+            ids = encode_ids(path, b.column(1).to_pylist(), end_id)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())],
                 ["doc", "n", "block"],

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from millrace.llm import bpe_lexicon, token_counts, token_files
-from millrace.llm.pretokens import Bpe, Pieces, default_tokenizer
+from millrace.llm.pretokens import Bpe, Merger, Pieces, default_tokenizer
 
 ODD = [
     "", " ", "  ", "a", " a", "a ", "a  b", "x\n foo", "x\n\n foo", "x\n \nfoo", " \nfoo", "x \n", "x\t y", "x \t y", "tab\t\tz  ",
@@ -30,19 +30,24 @@ def library():
 
 def test_merges(library):
     bpe = Bpe(default_tokenizer())
-    for t in texts():
-        for w, _ in library.pre_tokenizer.pre_tokenize_str(t or ""):
-            want = [x.id for x in library.model.tokenize(w)]
-            assert bpe.merge(w) == want
-            assert bpe._merge_long([bpe.vocab[c] for c in w]) == want
+    merge = Merger(bpe, "H")
+    words = [w for t in texts() for w, _ in library.pre_tokenizer.pre_tokenize_str(t or "")]
+    want = [[x.id for x in library.model.tokenize(w)] for w in words]
+    assert [np.frombuffer(x, "<u2").tolist() for x in merge(words)] == want
+    assert merge([]) == [] and merge([""]) == [b""]
+    for w, ids in zip(words, want):
+        assert bpe.merge(w) == ids and bpe._merge_long([bpe.vocab[c] for c in w]) == ids
 
 
 def test_bounded_tables(library):
-    bpe = Bpe(default_tokenizer())
-    p = Pieces(default_tokenizer(), bpe.merge, lambda v: [i for x in v for i in x], lambda i: [i])
-    p.words.entries = p.pieces.entries = 3
-    for t in texts():
-        assert p(t or "") == library.encode(t or "", add_special_tokens=False).ids
+    merge = Merger(Bpe(default_tokenizer()), "H")
+    p = Pieces(default_tokenizer(), merge, b"".join, lambda i: np.array([i], "<u2").tobytes())
+    p.entries = 3
+    for _ in range(2):
+        for k in range(0, 330, 7):
+            some = [t or "" for t in texts()[k : k + 7]]
+            assert [np.frombuffer(x, "<u2").tolist() for x in p.values(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert all(type(k) is not tuple for k in p.pieces)
 
 
 def test_counts(spark, library):
@@ -104,7 +109,9 @@ def test_lexicon_shares_suffixes(tmp_path):
     for lex in (bpe_lexicon.Lexicon.from_bytes(data), bpe_lexicon.Lexicon.open(str(tmp_path / "lex"))):
         assert [lex.get(w) for w in words] == [bytes([k, 0] * (k % 3)) for k in range(len(words))]
         assert lex.get(b"wal") is None and lex.get(b"walke") is None and lex.get(b"") is None and lex.get(b"q") is None
+        assert lex.get_many([*words, b"wal", b"", b"walke"]) == [*(lex.get(w) for w in words), None, None, None]
         assert len(lex.final) < sum(map(len, words)) / 3
+    assert bpe_lexicon.Lexicon.from_bytes(bpe_lexicon.compile_lexicon([], 2)).get_many([b"a"]) == [None]
 
 
 def test_empty(spark, tmp_path):
