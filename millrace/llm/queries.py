@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_lexicon, caps, fm_index, maxent_lm, simhash, site_quality, token_counts, token_files
+from . import bpe_lexicon, caps, fm_index, maxent_lm, pii_tagger, simhash, site_quality, token_counts, token_files
 from .common import scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_pii_tagger")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_tagger.personal_data(table(spark, sf_dir, "documents"))
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii_tagger.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 @query("op8_maxent_lm")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.language_scores(table(spark, sf_dir, "documents"))
