@@ -188,7 +188,7 @@ class Codec:
         ]
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: pa.Array | list[str]) -> list[list[int]]:
         return [array(self.code, x).tolist() for x in self.pieces.values(texts)]
 
     def decode(self, ids: list[int]) -> str:
@@ -218,7 +218,7 @@ def bpe_codec(
         codec, sha = _tables[name], hashlib.sha256
         text_of = codec.text_of.__getitem__
         for b in batches:
-            rows = codec.encode([x or "" for x in b.column(1).to_pylist()])
+            rows = codec.encode(b.column(1))
             back = [codec.decode(r) for r in rows]
             cols = [
                 b.column(0),

@@ -45,9 +45,15 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_ids(docs: DataFrame, id_col: str, *cols: str) -> DataFrame:
-    """The id and the named columns alone, without rows that have no id."""
-    return docs.select(id_col, *cols).where(F.col(id_col).isNotNull())
+def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """About ``n`` rows, all of them if there are no more: those whose hash of ``key`` is low enough.
+
+    The same rows each time; nothing is gathered to choose them.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 40)) < int((1 << 40) * n / total))
 
 
 def components(links: DataFrame, most: int = 60) -> DataFrame:

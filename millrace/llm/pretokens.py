@@ -10,19 +10,22 @@ import heapq
 import json
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: A task's tables with more entries are emptied before the next batch.
-ENTRIES = 300_000
+ENTRIES = 600_000
 #: Longer pieces are not kept.
 KEPT_CHARS = 48
-_WS = r"[\s᠎​﻿]"
+_WS = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 #: Where a space inside white space is not a boundary by itself; such texts are pre-tokenized whole.
-RISKY = re.compile(rf"{_WS} (?:{_WS}|\Z)")
+RISKY_RE2 = rf"{_WS} (?:{_WS}|\z)"
+RISKY = re.compile(re.sub(r"\\x\{(\w+)\}", r"\\u\1", RISKY_RE2).replace(r"\z", r"\Z"))
 #: Latin letters, then ASCII punctuation, and the same once more after a line end: pre-tokens that need no library.
 _LETTERS, _MARKS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", r"[!-/:-@\[-`{-~]*"
 SIMPLE = re.compile(rf"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
@@ -205,6 +208,7 @@ class Pieces:
         self.words: dict[str, object] = {}
         self.pieces: dict = {}
         self.entries = ENTRIES
+        self.width = 2 if tok.get_vocab_size() <= 1 << 16 else 4
 
     def _keys(self, text: str) -> list:
         """A text as pieces: strings that a space leads, tuples of a string as it stands, ids of special tokens."""
@@ -224,10 +228,18 @@ class Pieces:
         return out
 
     def _words(self, key) -> list[str]:
-        text = key[0] if type(key) is tuple else f" {key}"
-        if m := SIMPLE.fullmatch(text, 0 if type(key) is tuple else 1):
+        if type(key) is str:
+            if key.isascii():
+                if key.isalpha():
+                    return [_SPACE + key]
+                if key[:-1].isalpha() and key[-1] in ".,;:!?":
+                    return [_SPACE + key[:-1], key[-1]]
+            text, lead = f" {key}", 1
+        else:
+            text, lead = key[0], 0
+        if m := SIMPLE.fullmatch(text, lead):
             one, marks, line, two, more = m.groups()
-            out = [spelled(one) if type(key) is tuple else _SPACE + spelled(one)]
+            out = [spelled(text[: lead + len(one)])]
             if marks:
                 out.append(marks)
             if line:
@@ -237,29 +249,69 @@ class Pieces:
             return out
         return [w for w, _ in self.pre(text)]
 
-    def values(self, texts: list[str]) -> list:
-        rows = [self._keys(t) for t in texts]
-        for table in (self.pieces, self.words):
-            if len(table) > self.entries:
-                table.clear()
-        new = [k for k in set().union(*rows) if k not in self.pieces]
+    def _learn(self, keys: Iterable) -> list:
+        """Adds what the tables lack for these keys; returns the keys added."""
+        new = [k for k in keys if k not in self.pieces]
         if self.known:
             plain = [k for k in new if type(k) is str]
             self.pieces.update((k, v) for k, v in zip(plain, self.known(plain), strict=True) if v is not None)
-            new = [k for k in new if k not in self.pieces]
-        cut = {k: self._words(k) for k in new if type(k) is not int}
+            rest = [k for k in new if k not in self.pieces]
+        else:
+            rest = new
+        cut = {k: self._words(k) for k in rest if type(k) is not int}
         words = [w for w in set().union(*cut.values()) if w not in self.words]
         self.words.update(zip(words, self.of_words(words), strict=True))
         one = self.words.__getitem__
-        self.pieces.update((k, self.of_special(k) if type(k) is int else self.total(map(one, cut[k]))) for k in new)
+        for k in rest:
+            if type(k) is int:
+                self.pieces[k] = self.of_special(k)
+            else:
+                ws = cut[k]
+                self.pieces[k] = one(ws[0]) if len(ws) == 1 else self.total([one(w) for w in ws])
+        for w in words:  # what is long is not kept
+            if len(w) > KEPT_CHARS:
+                del self.words[w]
+        return new
+
+    def values(self, texts: pa.Array | list[str | None]) -> list:
+        """The value of each text; nulls are empty."""
+        col = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        col = pc.fill_null(col, "")
+        odd = pc.match_substring_regex(col, RISKY_RE2)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(col, s))
+        odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        rows = {k: self._keys(col[k].as_py()) for k in odd_at.tolist()}
+        if len(odd_at):
+            col = pc.if_else(odd, "", col)
+        lists = pc.split_pattern(col, " ")
+        coded = lists.values.dictionary_encode()
+        at, index = lists.offsets.to_numpy()[:-1], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        plain = coded.dictionary.to_pylist()
+        firsts = [(plain[k],) for k in index[at].tolist()]  # a text's first piece has no space before it
+        for table in (self.pieces, self.words):
+            if len(table) > self.entries:
+                table.clear()
+        new = self._learn(set().union(plain, firsts, *rows.values()))
         value = self.pieces.__getitem__
-        out = [self.total(map(value, r)) for r in rows]
-        for k in new:  # what is long, or whole texts, is not kept
+        table = [value(k) for k in plain] + [value(k) for k in firsts]
+        index[at] = np.arange(len(plain), len(table))
+        if self.total is sum:
+            out = np.add.reduceat(np.array(table, np.int64)[index], at).tolist() if len(at) else []
+        else:
+            lens = np.fromiter(map(len, table), np.int64, len(table))
+            blob, n = np.frombuffer(b"".join(table), np.uint8), lens[index]
+            ends = np.cumsum(n)
+            unit = self.width
+            take = np.repeat(((np.cumsum(lens) - lens)[index] - (ends - n)) // unit, n // unit) + np.arange(n.sum() // unit)
+            data = blob.view(f"<u{unit}")[take].tobytes()
+            stop = ends[np.append(at[1:], len(index)) - 1].tolist() if len(at) else []
+            out = [data[a:b] for a, b in zip([0, *stop], stop)]  # noqa: B905
+        for k, keys in rows.items():
+            out[k] = self.total([value(x) for x in keys])
+        for k in new:  # first pieces, whole texts and what is long are not kept
             if type(k) is tuple or type(k) is str and len(k) > KEPT_CHARS:
                 del self.pieces[k]
-        for w in words:
-            if len(w) > KEPT_CHARS:
-                del self.words[w]
         return out
 
 

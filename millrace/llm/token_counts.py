@@ -58,12 +58,12 @@ def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
                 import sentencepiece
 
                 model = sentencepiece.SentencePieceProcessor(model_file=path)
-                _tables[path] = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
+                _tables[path] = lambda texts: [len(x) for x in model.encode([t or "" for t in texts.to_pylist()], num_threads=1)]
             else:
                 _tables[path] = _counter(path, whole.value).values
         count = _tables[path]
         for b in batches:
-            n = count([x or "" for x in b.column(2).to_pylist()])
+            n = count(b.column(2))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
                 [id_col, "n_bytes", "n_tokens", "over_limit"],

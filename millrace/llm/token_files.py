@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import bounded_batches, staged
+from .common import bounded_batches, hash_sample, staged
 from .pretokens import Pieces, default_tokenizer, packer
 
 LEVEL = 3
-#: The dictionary is fitted on at most this many documents of at most this many characters.
+#: The dictionary is fitted on about this many documents, chosen by a hash, of at most this many characters.
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 20_000
 DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 4 << 20
@@ -35,7 +35,7 @@ SHARD = "part int, seq int, first_id long, last_id long, n_docs long, n_tokens l
 _tables: dict = {}
 
 
-def encode_ids(path: str, texts: list[str | None], end_id: int) -> list[bytes]:
+def encode_ids(path: str, texts: pa.Array | list[str | None], end_id: int) -> list[bytes]:
     """The library's ids of each text, then ``end_id``, as packed integers. A pre-token is tokenized once."""
     if path not in _tables:
         model, (_, pack) = Tokenizer.from_file(path).model, packer(path)
@@ -43,18 +43,14 @@ def encode_ids(path: str, texts: list[str | None], end_id: int) -> list[bytes]:
         _tables[path] = Pieces(path, words, b"".join, lambda i: pack([i])), pack
     pieces, pack = _tables[path]
     end = pack([end_id])
-    return [x + end for x in pieces.values([t or "" for t in texts])]
+    return [x + end for x in pieces.values(texts)]
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> bytes:
     """A zstandard dictionary from a bounded sample of serialized id arrays; empty if there is too little to learn from."""
-    texts = (
-        docs.where(F.length(text_col).between(1, SAMPLE_CHARS))
-        .select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"))
-        .orderBy("h", "t")
-        .limit(SAMPLE_DOCS)
-        .collect()
-    )
+    some = hash_sample(docs.where(F.col(id_col).isNotNull()), id_col, SAMPLE_DOCS)
+    texts = some.where(F.length(text_col).between(1, SAMPLE_CHARS)).select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t")).collect()
+    texts.sort()
     samples = encode_ids(path, [r.t for r in texts], end_id)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -81,7 +77,7 @@ def write_token_files(docs: DataFrame, to: str, path: str | None = None, end_id:
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(shared.value) if shared.value else None)
         width = 2 if code == "H" else 4
         for b in batches:
-            ids = encode_ids(path, b.column(1).to_pylist(), end_id)
+            ids = encode_ids(path, b.column(1), end_id)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())],
                 ["doc", "n", "block"],
