@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, hash_sample, staged
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -79,7 +79,7 @@ def base_spans(text: str) -> list[Span]:
 TAGS = 1 + 2 * len(KINDS)
 HIDDEN, WIDTH = 16, 96
 STRIDE = WIDTH // 2
-#: Windows that the tagger is trained on at most, and passes over them.
+#: Windows that the tagger is trained on, about, and passes over them.
 SAMPLE, EPOCHS, BATCH, RATE = 2000, 8, 50, 0.03
 _MARKS = "@.-_+()/:,='\"%#|*\n \t"
 CLASSES = 6 + len(_MARKS)
@@ -277,7 +277,7 @@ def labelled(text: str, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarra
 
 
 def train_tagger(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Tagger | None:
-    """A tagger from at most ``sample`` windows with a digit or an at-sign, chosen by a hash; None if there is none."""
+    """A tagger from about ``sample`` windows with a digit or an at-sign, chosen by a hash; None if there is none."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -291,8 +291,8 @@ def train_tagger(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE)
                         end = a + WIDTH
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["w"])
 
-    windows = docs.select(text_col).mapInArrow(cut, "w string").groupBy("w").count()
-    chosen = windows.select("w", F.xxhash64("w").alias("h")).orderBy("h", "w").limit(sample).collect()
+    windows = staged(docs.select(text_col).mapInArrow(cut, "w string").distinct())
+    chosen = sorted(hash_sample(windows, "w", sample).collect())
     if not chosen:
         return None
     rng = np.random.default_rng(5)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_lexicon, caps, fm_index, maxent_lm, pii_tagger, simhash, site_quality, token_counts, token_files
+from . import bpe_lexicon, caps, chaining, fm_index, maxent_lm, pii_tagger, simhash, site_quality, token_counts, token_files
 from .common import scratch_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii_tagger.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+@query("op7_chaining")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op8_maxent_lm")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.language_scores(table(spark, sf_dir, "documents"))

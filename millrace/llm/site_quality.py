@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, spread_join, staged
+from .common import bounded_batches, hash_sample, spread_join, staged
 
-#: Labelled rows that the document classifier is fitted on at most, and its features for each target.
+#: Labelled ids that the document classifier is fitted on, about, and its features for each target.
 SAMPLE, FEATURES = 6000, 800
 #: A feature is used if it is in so many sampled documents and its share differs by so many standard errors.
 LEAST_DOCS, LEAST_Z = 4, 4.0
@@ -75,11 +75,11 @@ def _regress(x: np.ndarray, y: np.ndarray, steps: int = 300, ridge: float = 0.5)
 def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int = SAMPLE) -> tuple[dict[str, tuple[float, float]], tuple[float, float]]:
     """Weights of features for both targets, as evidence (log odds less the sample's own), and the evidence of no feature.
 
-    ``labels``: id, ``low``, ``toxic`` (0, 1 or null). Fitted on at most
-    ``sample`` labelled rows, chosen by a hash of their id.
+    ``labels``: id, ``low``, ``toxic`` (0, 1 or null). Fitted on about
+    ``sample`` labelled ids, chosen by a hash.
     """
     spark = docs.sparkSession
-    chosen = labels.orderBy(F.xxhash64(id_col), id_col).limit(sample)
+    chosen = hash_sample(labels, id_col, sample)
     rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select("low", "toxic", text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +102,7 @@ def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     names = sorted(used)
     if not names:
         return {}, (0.0, 0.0)
-    # At most ``sample`` rows come to the driver, with the used features alone.
+    # About ``sample`` rows come to the driver, with the used features alone.
     shared = spark.sparkContext.broadcast({f: k for k, f in enumerate(names)})
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
