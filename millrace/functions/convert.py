@@ -45,7 +45,7 @@ def parse_ts12(text: Column) -> Column:
 
 
 def parse_date8(text: Column) -> Column:
-    return F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, F.lit("yyyyMMdd")))
+    return F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
 
 
 def fit_decimal(value: Column, precision: int, scale: int) -> Column:

@@ -156,7 +156,7 @@ def live_files(df: DataFrame, owner: str | None = None, folder: str | None = Non
 def validate_observations(obs: DataFrame, series: DataFrame, today: Column) -> DataFrame:
     """Observations with ``reason``: the first rule that fails, null if none does."""
     known = series.select("series_code", F.lit(True).alias("_known")).distinct()
-    day = F.try_to_date("price_date", F.lit("yyyy-MM-dd"))
+    day = F.try_to_date("price_date", "yyyy-MM-dd")
     reason = (
         F.when(F.col("_known").isNull(), "unknown series")
         .when(day.isNull(), "invalid date")

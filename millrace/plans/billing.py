@@ -110,3 +110,8 @@ def suspend_overdue(tenants: DataFrame, invoices: DataFrame, as_of: Column) -> D
     late = overdue_accounts(invoices, as_of).where(F.col("days_overdue") >= SUSPEND_DAYS).select(F.col("tenant_id").alias("id"), F.lit(True).alias("_late")).distinct()
     hit = (F.col("status") == "active") & F.col("_late").isNotNull()
     return tenants.join(late, "id", "left").withColumns({"notify": F.coalesce(hit, F.lit(False)), "status": F.when(hit, "suspended").otherwise(F.col("status"))}).drop("_late")
+
+
+def finalize_rating_empty(spark) -> DataFrame:
+    """Results of no period: what the first run starts from."""
+    return spark.createDataFrame([], "id string, tenant_id long, period_start date, used_units long, quota_units long, rollover_units long, billable_units long, overage_amount decimal(18,2)")
