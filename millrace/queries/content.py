@@ -1 +1,91 @@
-"""Queries."""
+"""Archiving, orphans, search, incidents and bulk changes over the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import normalize as nz
+from ..plans import content as ct
+from ..sources.sinks import decimal_text
+from .events import documents, ntz
+from .registry import Tables, query
+
+CUT, CUT_SQL = "2024-01-15 00:00:00", "TIMESTAMP '2024-01-15'"
+
+
+@query("dom14_archive", f"SELECT count(*) FILTER (WHERE ts < {CUT_SQL}) AS archived, count(*) FILTER (WHERE ts >= {CUT_SQL}) AS remaining, min(ts) FILTER (WHERE ts < {CUT_SQL}) AS oldest FROM events")
+def _(t: Tables) -> DataFrame:
+    return ct.archive_report(t.events, "ts", ntz(CUT))
+
+
+@query("dom14_archive_rows", f"SELECT event_id, ts < {CUT_SQL} AS archived FROM events")
+def _(t):
+    old, new = ct.archive_split(t.events, "ts", ntz(CUT))
+    return old.select("event_id", F.lit(True).alias("archived")).unionByName(new.select("event_id", F.lit(False).alias("archived")))
+
+
+@query("dom15_quarantine", "SELECT doc_id, 'quarantined/2024-01-15/' || doc_id AS destination FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def _(t):
+    return ct.quarantine_orphans(t.documents.select("doc_id"), t.labels, "doc_id", "2024-01-15")
+
+
+@query("dom16_reindex", "SELECT doc_id::VARCHAR AS id, source AS title, 'document' AS type FROM documents WHERE source <> ''")
+def _(t):
+    rows = nz.index_rows(t.documents.withColumn("title", F.col("source")), "document", {"id": ["doc_id"], "title": ["title"]})
+    return ct.checked_reindex(t.documents.where("source <> ''"), rows)
+
+
+_INDEX = r"""w AS (SELECT id, term, max(weight) AS weight FROM (SELECT doc_id AS id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS term, 1 AS weight FROM documents UNION ALL
+ SELECT doc_id, unnest(regexp_split_to_array(lower(split_part(text, chr(10), 1)), '[^\p{L}\p{N}]+')), 3 FROM documents) WHERE term IN ('the', 'und', 'tiing', 'ciónes') GROUP BY 1, 2)"""
+
+
+@query("dom17_keyword_search", f"WITH {_INDEX} SELECT id, count(*) AS matched, sum(weight)::BIGINT AS score FROM w GROUP BY 1 ORDER BY matched DESC, score DESC, id LIMIT 20")
+def _(t):
+    rows = t.documents.select(F.col("doc_id").alias("id"), "text", F.split("text", "\n")[0].alias("title"))
+    return ct.keyword_search(ct.inverted_index(rows, [("title", 3), ("text", 1)]), "The und tiing ciónes")
+
+
+@query("dom17_highlight", r"SELECT doc_id, regexp_replace(substr(text, 1, 200), '(?i)\b(the|und)\b', '<em>\1</em>', 'g') AS snippet FROM documents WHERE lang = 'en'")
+def _(t):
+    return t.documents.where("lang = 'en'").select("doc_id", ct.highlight(F.col("text"), ["the", "und"]).alias("snippet"))
+
+
+@query("dom18_suggest", "SELECT title, min(rank)::BIGINT AS rank FROM (SELECT p_name AS title, 0 AS rank FROM part UNION ALL SELECT s_name, 1 FROM supplier) WHERE len(list_filter(regexp_split_to_array(lower(title), '[^a-z0-9]+'), lambda w: starts_with(w, 's'))) > 0 GROUP BY 1 ORDER BY rank, title LIMIT 10")
+def _(t):
+    parts = [t.part.select(F.col("p_name").alias("title")), t.supplier.select(F.col("s_name").alias("title"))]
+    return ct.suggest(parts, "S").withColumn("rank", F.col("rank").cast("long"))
+
+
+_ALERTS = "a AS (SELECT event_id, CASE WHEN user_id % 11 = 0 THEN ' ' ELSE 's' || (user_id % 20) END AS service, CASE event_type WHEN 'error' THEN 'firing' WHEN 'signup' THEN 'resolved' ELSE 'other' END AS status, ts FROM events)"
+
+
+def alerts(events: DataFrame) -> DataFrame:
+    status = F.when(F.col("event_type") == "error", "firing").when(F.col("event_type") == "signup", "resolved").otherwise("other")
+    service = F.when(F.col("user_id") % 11 == 0, " ").otherwise(F.concat(F.lit("s"), (F.col("user_id") % 20).cast("string")))
+    return events.select("event_id", service.alias("service"), status.alias("status"), "ts")
+
+
+@query("dom19_incidents", f"""WITH {_ALERTS}, r AS (SELECT *, lag(status) OVER (PARTITION BY service ORDER BY ts, event_id) AS before FROM a WHERE trim(service) <> '' AND status IN ('firing', 'resolved')),
+i AS (SELECT *, sum(CASE WHEN status = 'firing' AND coalesce(before, 'resolved') = 'resolved' THEN 1 ELSE 0 END) OVER (PARTITION BY service ORDER BY ts, event_id) AS no FROM r)
+SELECT service, no::BIGINT AS incident_no, min(ts) AS opened_at, min(ts) FILTER (WHERE status = 'resolved') AS closed_at, count(*) FILTER (WHERE status = 'firing') AS alerts FROM i WHERE no > 0 GROUP BY 1, 2""")
+def _(t):
+    return ct.alerts_to_incidents(alerts(t.events))
+
+
+@query("dom20_bulk_update", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'suspended' ELSE c_mktsegment END AS status FROM customer UNION ALL SELECT DISTINCT o_custkey + 1000000, 'missing' FROM orders WHERE o_orderkey < 10")
+def _(t):
+    extra = t.orders.where("o_orderkey < 10").select((F.col("o_custkey") + 1000000).alias("c_custkey"))
+    ids = t.customer.where("c_custkey % 5 = 0").select("c_custkey").unionByName(extra)
+    changed, missing = ct.bulk_update(t.customer, ids, "c_custkey", "c_mktsegment", "suspended")
+    return changed.select("c_custkey", F.col("c_mktsegment").alias("status")).unionByName(missing.withColumn("status", F.lit("missing")))
+
+
+@query("snk09_decimal_text", "SELECT o_orderpriority, sum(o_totalprice::DECIMAL(31, 8))::DECIMAL(38, 8)::VARCHAR AS total FROM orders GROUP BY 1")
+def _(t):
+    return t.orders.groupBy("o_orderpriority").agg(decimal_text(F.sum(F.col("o_totalprice").cast("decimal(31,8)"))).alias("total"))
+
+
+@query("prj09_documents_page", "SELECT doc_id AS id FROM documents WHERE lang <> 'es' ORDER BY doc_id DESC LIMIT 10 OFFSET 10")
+def _(t):
+    return nz.document_metadata_filter(documents(t)).offset(10).limit(10).select("id")

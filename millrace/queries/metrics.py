@@ -1 +1,184 @@
-"""Queries."""
+"""Time-series metrics over the events, and streams run to their end over the table's files."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..operators import metrics as mt
+from ..streaming import streams as sm
+from .content import alerts
+from .registry import E, Tables, query
+
+#: A counter for each event type, its running count by time, which falls to zero every 500 events.
+_COUNTER = "c AS (SELECT event_type, event_id, ts, (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id)) % 500 AS value FROM events)"
+
+
+def counter(t: Tables) -> DataFrame:
+    n = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
+    return t.events.select("event_type", "event_id", "ts", (n % 500).cast("long").alias("value"))
+
+
+_INC = f"""{_COUNTER}, s AS (SELECT *, lag(value) OVER (PARTITION BY event_type ORDER BY ts) AS p FROM c),
+i AS (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, sum(CASE WHEN p IS NULL THEN 0 WHEN value < p THEN value ELSE value - p END)::BIGINT AS increase FROM s GROUP BY 1, 2)"""
+
+
+@query("ts01_increase", f"WITH {_INC} SELECT * FROM i")
+def _(t: Tables) -> DataFrame:
+    return mt.increase(counter(t), ["event_type"], "1 hour")
+
+
+@query("ts01_rate", f"WITH {_INC} SELECT event_type, start, increase / 3600.0 AS rate FROM i")
+def _(t):
+    return mt.rate(counter(t), ["event_type"], "1 hour", 3600).select("event_type", "start", "rate")
+
+
+@query("ts02_error_ratio", f"WITH {_INC} SELECT start, sum(increase) FILTER (WHERE event_type = 'error') / nullif(sum(increase), 0)::DOUBLE AS ratio FROM (SELECT start, event_type, increase FROM i UNION ALL SELECT start, 'error', 0 FROM i) GROUP BY 1")
+def _(t):
+    return mt.error_ratio(mt.increase(counter(t), ["event_type"], "1 hour"), ["start"], F.col("event_type") == "error", "increase")
+
+
+@query("ts03_histogram_quantile", """WITH b(le) AS (VALUES (10.0), (25.0), (50.0), (100.0), (200.0), ('inf'::DOUBLE)), h AS (SELECT event_type, le, count(*) FILTER (WHERE value <= le) AS n FROM events, b GROUP BY 1, 2),
+w AS (SELECT *, coalesce(lag(le) OVER p, 0) AS low, coalesce(lag(n) OVER p, 0) AS under, max(n) OVER (PARTITION BY event_type) * 0.95 AS t FROM h WINDOW p AS (PARTITION BY event_type ORDER BY le))
+SELECT event_type, CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (t - under) / (n - under) END AS quantile FROM w WHERE n >= t AND under < t""")
+def _(t):
+    bounds = F.array(*[F.lit(x) for x in (10.0, 25.0, 50.0, 100.0, 200.0, float("inf"))])
+    rows = t.events.select("event_type", "value", F.explode(bounds).alias("le"))
+    return mt.histogram_quantile(0.95, rows.groupBy("event_type", "le").agg(F.count_if(F.col("value") <= F.col("le")).alias("n")), ["event_type"])
+
+
+@query("ts04_gauge_ratio", "SELECT c_nationkey::BIGINT AS nation, ratio, coalesce(ratio > 2, false) AS over FROM (SELECT c_nationkey, c / nullif(s, 0)::DOUBLE AS ratio FROM (SELECT c_nationkey, count(*) AS c FROM customer GROUP BY 1) JOIN (SELECT s_nationkey, count(*) FILTER (WHERE s_acctbal > 5000) AS s FROM supplier GROUP BY 1) ON c_nationkey = s_nationkey)")
+def _(t):
+    a = t.customer.groupBy(F.col("c_nationkey").cast("long").alias("nation")).agg(F.count("*").alias("value"))
+    b = t.supplier.groupBy(F.col("s_nationkey").cast("long").alias("nation")).agg(F.count_if(F.col("s_acctbal") > 5000).alias("value"))
+    return mt.gauge_ratio(a, b, ["nation"], 2.0)
+
+
+@query("ts05_availability", "SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS start, avg(CASE WHEN value > 20 THEN 1 ELSE 0 END) AS availability FROM events GROUP BY 1, 2")
+def _(t):
+    return mt.availability(t.events.withColumn("up", (F.col("value") > 20).cast("int")), "event_type", "1 hour")
+
+
+@query("ts05_up_down", "SELECT count(*) FILTER (WHERE v > 0) AS n_up, count(*) FILTER (WHERE v <= 0) AS n_down FROM (SELECT user_id, arg_max(CASE WHEN value > 20 THEN 1 ELSE 0 END, ts) AS v FROM events GROUP BY 1)")
+def _(t):
+    return mt.up_down(t.events.withColumn("up", (F.col("value") > 20).cast("int")), "user_id")
+
+
+@query("ts06_changes", "SELECT user_id, time_bucket(INTERVAL 1 DAY, ts) AS start, sum(CASE WHEN event_type <> p THEN 1 ELSE 0 END)::BIGINT AS changes FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events) GROUP BY 1, 2")
+def _(t):
+    return mt.changes(t.events, "user_id", "1 day", value="event_type").withColumn("changes", F.col("changes").cast("long"))
+
+
+@query("ts07_alert_for", """WITH s AS (SELECT *, sum(CASE WHEN value > 40 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM events)
+SELECT user_id, min(ts) AS since, max(ts) AS until, floor(epoch_us(max(ts)) / 1000000) - floor(epoch_us(min(ts)) / 1000000) >= 36000 AS firing FROM s WHERE value > 40 GROUP BY user_id, g""")
+def _(t):
+    return mt.alert_for(t.events, ["user_id"], F.col("value") > 40, 36000)
+
+
+@query("ts08_avg_per_request", f"WITH {E} SELECT user_id, sum(bytes)::DOUBLE / nullif(count(*), 0) AS mean FROM e GROUP BY 1")
+def _(t):
+    return mt.avg_per_request(t.e.select("user_id", "bytes", F.lit(1).alias("one")), ["user_id"], "bytes", "one")
+
+
+@query("ts09_latency", """WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events)
+SELECT user_id, count(*) AS n, max(CASE WHEN i = n // 2 THEN value END) AS p50, max(CASE WHEN i = least(n - 1, n * 95 // 100) THEN value END) AS p95, count(*) FILTER (WHERE event_type = 'error') / count(*)::DOUBLE AS error_share FROM r GROUP BY 1""")
+def _(t):
+    return mt.latency_summary(t.events, ["user_id"], "value", F.col("event_type") == "error")
+
+
+@query("ts10_sample_traces", """WITH g AS (SELECT user_id, ts::DATE AS d, bool_or(event_type = 'error') OR epoch_us(max(ts)) - epoch_us(min(ts)) > 36000000000 AS keep FROM events GROUP BY 1, 2)
+SELECT event_id FROM events JOIN g ON g.user_id = events.user_id AND g.d = ts::DATE WHERE keep""")
+def _(t):
+    rows = t.events.withColumn("trace", F.concat_ws(":", "user_id", F.to_date("ts")))
+    return mt.sample_traces(rows, "trace", "ts", "ts", F.col("event_type") == "error", slow_ms=36_000_000, percent=0).select("event_id")
+
+
+# Streams: the table's file as the source, run until all of it is read.
+
+
+def _stream(t: Tables) -> DataFrame:
+    """The events' file or folder as a stream, with times as TIMESTAMP."""
+    rows = t.spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events*.parquet")
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _finished(t: Tables, out: DataFrame, mode: str) -> DataFrame:
+    """Run a stream over what is there and read what it wrote, from the shared scratch folder."""
+    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    at = f"{root}/stream-{uuid.uuid4().hex}"
+    q = out.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
+    if mode == "append":
+        q.format("parquet").option("path", f"{at}/rows").start().awaitTermination()
+    else:
+        q.foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{at}/rows")).start().awaitTermination()
+    return t.spark.read.schema(out.schema).parquet(f"{at}/rows")
+
+
+@query("str02_dedup", "SELECT count(*) AS n, count(DISTINCT event_id) AS ids FROM events")
+def _(t):
+    return _finished(t, sm.dedup_events(_stream(t), "event_id", "ts").select("event_id"), "append").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"))
+
+
+@query("str03_tumbling", "SELECT time_bucket(INTERVAL 6 HOURS, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def _(t):
+    out = _finished(t, sm.tumbling_totals(_stream(t), "6 hours", "ts"), "complete")
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("str04_daily_rollup", "SELECT ts::DATE AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def _(t):
+    out = _finished(t, sm.daily_rollup(_stream(t), "ts"), "complete")
+    return out.select(F.to_date("start").alias("day"), "event_type", "n")
+
+
+@query("str07_incident_state", """WITH a AS (SELECT event_id, CASE WHEN user_id % 11 = 0 THEN ' ' ELSE 's' || (user_id % 20) END AS service, CASE event_type WHEN 'error' THEN 'firing' WHEN 'signup' THEN 'resolved' ELSE 'other' END AS status, ts FROM events),
+r AS (SELECT *, lag(status) OVER (PARTITION BY service ORDER BY ts, event_id) AS before FROM a WHERE trim(service) <> '' AND status <> 'other')
+SELECT service, CASE status WHEN 'firing' THEN 'opened' ELSE 'closed' END AS action, ts FROM r WHERE status <> coalesce(before, 'resolved')""")
+def _(t):
+    out = _finished(t, sm.incident_state(alerts(_stream(t))), "append")
+    return out.select("service", "action", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query("str01_parse_stream", "SELECT event_type, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1")
+def _(t):
+    body = F.when(F.col("event_type") == "error", "not json").otherwise(F.to_json(F.struct(F.col("event_id").cast("string").alias("eventId"), F.col("event_type").alias("eventType"))))
+    good, _dead = sm.parse_stream(_stream(t).select(body.alias("value")), "eventId STRING, eventType STRING", "eventId")
+    return _finished(t, good, "append").groupBy(F.col("eventType").alias("event_type")).agg(F.count("*").alias("n"))
+
+
+@query("str01_dead_letters", "SELECT count(*) AS n FROM events WHERE event_type = 'error'")
+def _(t):
+    body = F.when(F.col("event_type") == "error", "not json").otherwise(F.to_json(F.struct(F.col("event_id").cast("string").alias("eventId"))))
+    _good, dead = sm.parse_stream(_stream(t).select(body.alias("value")), "eventId STRING, eventType STRING", "eventId")
+    return _finished(t, dead, "append").agg(F.count("*").alias("n"))
+
+
+@query("str05_index_changes", "SELECT user_id, arg_max(event_type, event_id) AS title FROM events GROUP BY 1 HAVING arg_max(event_type, event_id) <> 'error'")
+def _(t):
+    action = F.when(F.col("event_type") == "error", "delete").otherwise("index")
+    rows = _finished(t, _stream(t).select("user_id", "event_id", F.col("event_type").alias("title"), action.alias("action")), "append")
+    last = sm.index_changes(rows, "user_id", "event_id")
+    return sm.apply_changes(last.limit(0), last, "user_id").select("user_id", "title")
+
+
+@query("str06_audit_ingest", "SELECT user_id::VARCHAR AS user_id, event_type AS action, count(*) AS n FROM events GROUP BY ALL")
+def _(t):
+    body = F.to_json(F.struct(F.col("user_id").cast("string").alias("userId"), F.col("event_type").alias("eventType"), F.col("ts").cast("string").alias("timestamp")))
+    rows = _finished(t, sm.audit_ingest(_stream(t).select(body.alias("value"))).drop("details"), "append")
+    return rows.groupBy("user_id", "action").agg(F.count("*").alias("n"))
+
+
+#: Sessions close when the watermark passes them; the last, still open ones are not in an append result.
+@query("str08_presence")
+def _(t):
+    rows = _stream(t).select("ts", F.col("user_id"), F.get_json_object("props", "$.k").alias("document_id"))
+    return _finished(t, sm.presence(rows, "30 minutes", "ts"), "append")
+
+
+@query("str09_live_alerts", "SELECT start, ratio FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) FILTER (WHERE event_type = 'error') / count(*)::DOUBLE AS ratio FROM events GROUP BY 1) WHERE ratio > 0.3")
+def _(t):
+    out = _finished(t, sm.live_alerts(_stream(t), "1 hour", 0.3, "ts"), "complete")
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz"))

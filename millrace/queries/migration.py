@@ -1 +1,233 @@
-"""Queries."""
+"""Fixed-width conversion, reconciliation and data-quality checks over the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import convert as cv
+from ..operators import checks as dq
+from ..operators import reconcile as rc
+from .registry import Tables, query
+
+#: Cents as a packed decimal in text: the digits, then the sign half-byte.
+_CENTS = "(o_totalprice * 100)::BIGINT"
+
+
+@query("cnv01_unpack_decimal", f"SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN -{_CENTS} ELSE {_CENTS} END AS cents FROM orders")
+def _(t: Tables) -> DataFrame:
+    digits = F.lpad(F.round(F.col("o_totalprice") * 100).cast("long").cast("string"), 15, "0")
+    sign = F.when(F.col("o_orderkey") % 7 == 0, "7").when(F.col("o_orderkey") % 2 == 0, "D").otherwise("C")
+    raw = F.unhex(F.concat(digits, sign))
+    return t.orders.select("o_orderkey", (cv.unpack_decimal(raw, 2) * 100).cast("long").alias("cents"))
+
+
+@query("cnv02_unpack_int", "SELECT o_orderkey, (o_custkey - 500)::BIGINT AS two, -o_orderkey AS four, (o_orderkey - 7) * 1000003 AS eight FROM orders")
+def _(t):
+    raw = lambda v, n: F.unhex(F.right(F.lpad(F.hex(v.cast("long")), 16, "0"), F.lit(2 * n)))
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return t.orders.select("o_orderkey", cv.unpack_int(raw(c - 500, 2)).alias("two"), cv.unpack_int(raw(-k, 4)).alias("four"), cv.unpack_int(raw((k - 7) * 1000003, 8)).alias("eight"))
+
+
+@query("cnv03_decode_ebcdic", "SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name || c_mktsegment END AS name FROM customer")
+def _(t):
+    latin = "".join(map(chr, range(32, 127)))
+    text = F.concat("c_name", "c_mktsegment")
+    raw = F.encode(F.translate(text, latin, latin.encode("cp037").decode("latin-1")), "ISO-8859-1")
+    raw = F.when(F.col("c_custkey") % 9 == 0, F.concat(raw, F.unhex(F.lit("07")))).otherwise(raw)
+    return t.customer.select("c_custkey", cv.decode_ebcdic(raw).alias("name"))
+
+
+@query("cnv04_parse_ts12", "SELECT event_id, CASE WHEN event_type <> 'error' THEN epoch_us(ts) END AS us, CASE WHEN event_type <> 'error' THEN event_id % 1000000 END AS tail FROM events")
+def _(t):
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd-HH.mm.ss.SSSSSS"), F.lpad((F.col("event_id") % 1000000).cast("string"), 6, "0"))
+    text = F.when(F.col("event_type") == "error", F.concat(F.lit("2024-13-01"), F.substring(text, 11, 30))).otherwise(text)
+    parsed = cv.parse_ts12(text)
+    return t.events.select("event_id", F.unix_micros(parsed["ts"]).alias("us"), parsed["tail"].cast("long").alias("tail"))
+
+
+@query("cnv05_parse_date8", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate::DATE END AS d FROM orders")
+def _(t):
+    text = F.when(F.col("o_orderkey") % 5 == 0, F.lit("19970231")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    return t.orders.select("o_orderkey", cv.parse_date8(text).alias("d"))
+
+
+@query("cnv06_fit", "SELECT CASE WHEN l_extendedprice >= 50000 THEN 'DECIMAL_OVERFLOW' END AS d, CASE WHEN length(l_linestatus || l_orderkey) > 4 THEN 'STRING_TRUNCATION' END AS s, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def _(t):
+    price = F.col("l_extendedprice").cast("decimal(31,2)")
+    rows = t.lineitem.select(cv.fit_decimal(price * 2, 7, 2).alias("d"), cv.fit_string(F.concat("l_linestatus", F.col("l_orderkey").cast("string")), 4).alias("s"))
+    return rows.groupBy("d", "s").agg(F.count("*").alias("n"))
+
+
+def _converted(t: Tables) -> DataFrame:
+    """Orders as records with planted faults: bad sums, bad dates, repeated keys."""
+    k = F.col("o_orderkey")
+    raw = t.orders.select(
+        F.when(k % 13 == 0, k - 1).otherwise(k).alias("key"), k.alias("idx"), F.when(k % 10 == 3, "x").otherwise(F.col("o_totalprice").cast("string")).alias("amount"),
+        F.when(k % 10 == 3, "19971399").when(k % 10 == 4, "00000000").otherwise(F.date_format("o_orderdate", "yyyyMMdd")).alias("day"),
+    )
+    amount, date = F.col("amount").try_cast("decimal(31,2)"), cv.parse_date8(F.col("day"))
+    fields = [
+        cv.Field("amount", amount, F.when(amount.isNull(), "PACKED_INVALID")),
+        cv.Field("day", date, F.when(date.isNull(), "DATE_INVALID"), "22007"),
+    ]
+    return cv.convert(raw, fields, ["key", "idx"])
+
+
+_RULES = """raw AS (SELECT CASE WHEN o_orderkey % 13 = 0 THEN o_orderkey - 1 ELSE o_orderkey END AS key, o_orderkey AS idx, CASE WHEN o_orderkey % 10 = 3 THEN 'PACKED_INVALID' WHEN o_orderkey % 10 = 4 THEN 'DATE_INVALID' END AS rule FROM orders)"""
+
+
+@query("cnv07_rejects", f"WITH {_RULES} SELECT coalesce(rule, 'loaded') AS rule, CASE rule WHEN 'PACKED_INVALID' THEN 'amount' WHEN 'DATE_INVALID' THEN 'day' END AS field, count(*) AS n FROM raw GROUP BY 1, 2")
+def _(t):
+    rows = _converted(t)
+    good = cv.accepted(rows).select(F.lit("loaded").alias("rule"), F.lit(None).cast("string").alias("field"))
+    return good.unionByName(cv.rejected(rows).select("rule", "field")).groupBy("rule", "field").agg(F.count("*").alias("n"))
+
+
+@query("cnv08_first_wins", f"WITH {_RULES} SELECT idx, CASE WHEN rule IS NULL AND row_number() OVER (PARTITION BY key, rule IS NULL ORDER BY idx) > 1 THEN 'DUPLICATE_SOURCE_KEY' ELSE rule END AS rule FROM raw")
+def _(t):
+    return cv.first_wins(_converted(t), ["key"], "idx").select("idx", F.col("reject.rule").alias("rule"))
+
+
+@query("cnv09_refusals", "SELECT CASE o_orderstatus WHEN 'F' THEN 'STRING_TRUNCATION' WHEN 'O' THEN 'DUPLICATE_TARGET_KEY' ELSE 'TARGET_REJECTED' END AS rule, count(*) AS n FROM orders GROUP BY 1")
+def _(t):
+    code = F.when(F.col("o_orderstatus") == "F", "22001").when(F.col("o_orderstatus") == "O", "23505").otherwise("99999")
+    return t.orders.select(cv.refusal_rule(code).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+_HASH = "sha256(o_orderkey || '  |' || o_orderstatus || '|' || CASE WHEN o_custkey % 3 = 0 THEN '' ELSE (o_totalprice::DECIMAL(31, 8))::VARCHAR END || '|' || strftime(o_orderdate, '%Y%m%d'))"
+
+
+def _hashed(t: Tables) -> DataFrame:
+    columns = [(F.concat(F.col("o_orderkey").cast("string"), F.lit("  ")), "key"), (F.concat("o_orderstatus", F.lit("  ")), "text"), (F.when(F.col("o_custkey") % 3 > 0, F.col("o_totalprice")), "decimal"), (F.col("o_orderdate"), "date")]
+    return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", cv.business_hash(columns).alias("hash"))
+
+
+@query("cnv10_business_hash", f"SELECT o_orderkey, {_HASH} AS hash FROM orders")
+def _(t):
+    return _hashed(t).select("o_orderkey", "hash")
+
+
+# Reconciliation
+
+
+def _verdicts(t: Tables) -> DataFrame:
+    rows = _hashed(t)
+    staged = rows.withColumn("hash", F.when(F.col("o_orderkey") % 17 == 0, "bad").otherwise(F.col("hash")))
+    archived = rows.where("o_orderkey % 19 = 0").withColumn("hash", F.when(F.col("o_orderkey") % 2 == 0, "other").otherwise(F.col("hash")))
+    parents = t.customer.where("c_custkey % 23 > 0").select(F.col("c_custkey").alias("o_custkey"))
+    return rc.row_verdicts(rows, staged, archived, parents, "o_orderkey", "o_custkey")
+
+
+_VERDICT = "CASE WHEN o_orderkey % 17 = 0 THEN 'HASH_MISMATCH' WHEN o_orderkey % 38 = 0 THEN 'ARCHIVE_CONFLICT' WHEN o_custkey % 23 = 0 THEN 'ORPHAN_PARENT_NOT_SELECTED' ELSE 'OK' END"
+
+
+@query("rec01_row_verdicts", f"SELECT o_orderkey, {_VERDICT} AS verdict FROM orders")
+def _(t):
+    return _verdicts(t)
+
+
+def _moved(t: Tables) -> tuple[DataFrame, DataFrame]:
+    a = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    k = F.col("o_orderkey")
+    b = a.withColumns({
+        "o_orderpriority": F.when((k % 100 == 7) & (F.col("o_orderpriority") == "1-URGENT"), "2-HIGH").otherwise(F.col("o_orderpriority")),
+        "o_totalprice": F.when((k == 11) | (k == 12), F.col("o_totalprice") + 0.25).otherwise(F.col("o_totalprice")),
+    })
+    return a, b
+
+
+_MOVED = """a AS (SELECT o_orderkey AS k, o_orderpriority AS c, o_totalprice::DECIMAL(31, 8) AS v FROM orders),
+b AS (SELECT k, CASE WHEN k % 100 = 7 AND c = '1-URGENT' THEN '2-HIGH' ELSE c END AS c, CASE WHEN k IN (11, 12) THEN v + 0.25 ELSE v END AS v FROM a),
+m AS (SELECT coalesce(x.c, y.c) AS c, CASE WHEN x.n IS DISTINCT FROM y.n THEN 'CLASS_COUNT_MISMATCH' WHEN x.s IS DISTINCT FROM y.s THEN 'CLASS_TOTAL_MISMATCH' END AS rule
+ FROM (SELECT c, count(*) AS n, sum(v) AS s FROM a GROUP BY 1) x FULL JOIN (SELECT c, count(*) AS n, sum(v) AS s FROM b GROUP BY 1) y ON x.c = y.c)"""
+
+
+@query("rec02_class_mismatch", f"WITH {_MOVED} SELECT c AS o_orderpriority, rule FROM m WHERE rule IS NOT NULL")
+def _(t):
+    return rc.class_mismatch(*_moved(t), "o_orderpriority", ["o_totalprice"])
+
+
+@query("rec03_fail_moved", f"""WITH {_MOVED}, bad AS (SELECT c FROM m WHERE rule IS NOT NULL), j AS (SELECT a.k, a.c AS f, b.c AS g FROM a JOIN b USING (k)), mv AS (SELECT k, unnest([f, g]) AS c FROM j WHERE f <> g)
+SELECT DISTINCT k AS o_orderkey FROM (SELECT k FROM mv JOIN bad USING (c) UNION ALL SELECT k FROM j JOIN bad ON g = bad.c WHERE bad.c NOT IN (SELECT c FROM mv))""")
+def _(t):
+    a, b = _moved(t)
+    return rc.fail_moved_rows(a, b, rc.class_mismatch(a, b, "o_orderpriority", ["o_totalprice"]), "o_orderkey", "o_orderpriority")
+
+
+@query("rec04_promote", f"SELECT o_orderkey, 'run-1' AS run_id FROM orders WHERE {_VERDICT} = 'OK' AND o_orderkey % 19 > 0")
+def _(t):
+    archive = t.orders.where("o_orderkey % 19 = 0")
+    return rc.promote(t.orders.select("o_orderkey"), _verdicts(t), archive, "o_orderkey", "run-1")
+
+
+@query("rec05_purge_plan", f"SELECT o_orderkey, 2 AS purge_order FROM orders WHERE {_VERDICT} = 'OK' AND o_orderkey % 3 > 0")
+def _(t):
+    return rc.purge_plan(_verdicts(t), t.orders.where("o_orderkey % 3 = 0"), "o_orderkey", 2)
+
+
+def _stages(t: Tables) -> DataFrame:
+    verdict = _verdicts(t).select(F.lit("orders").alias("table_name"), F.when(F.col("verdict") == "OK", "validated").otherwise("validate_failed").alias("stage"))
+    fixed = t.orders.select(F.lit("orders").alias("table_name"), F.explode(F.array(F.lit("extracted"), F.lit("loaded"))).alias("stage"))
+    return fixed.unionByName(verdict).unionByName(verdict.where("stage = 'validated'").withColumn("stage", F.lit("purge_intended")))
+
+
+@query("rec06_run_ledger", f"""SELECT 'orders' AS table_name, count(*) AS extracted, count(*) AS loaded, 0::BIGINT AS rejected, count(*) FILTER (WHERE {_VERDICT} = 'OK') AS validated, count(*) FILTER (WHERE {_VERDICT} <> 'OK') AS validate_failed,
+ count(*) FILTER (WHERE {_VERDICT} = 'OK') AS purge_intended, 0::BIGINT AS purged FROM orders""")
+def _(t):
+    return rc.run_ledger(_stages(t))
+
+
+@query("rec07_closes", "SELECT 'orders' AS table_name, true AS closes")
+def _(t):
+    return rc.closes(rc.run_ledger(_stages(t))).select("table_name", "closes")
+
+
+@query("rec08_rejects_view", f"SELECT 'orders' AS table_name, o_orderkey AS key, 'validate' AS stage, {_VERDICT} AS rule, NULL::VARCHAR AS field FROM orders WHERE {_VERDICT} <> 'OK'")
+def _(t):
+    rows = _verdicts(t).where("verdict <> 'OK'").select(F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("key"), F.lit("validate").alias("stage"), F.col("verdict").alias("rule"), F.lit(None).cast("string").alias("field"))
+    return rc.rejects_view(rows, "key")
+
+
+# Data quality
+
+
+def suite(t: Tables) -> DataFrame:
+    lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
+    return dq.run_suite([
+        dq.row_count_between(t.orders, "orders rows", 1000, 10**12), dq.not_null(t.orders, "orders not null", ["o_orderkey", "o_custkey", "o_orderdate"]), dq.unique(t.orders, "orders unique", "o_orderkey"),
+        dq.unique(t.lineitem, "lineitem unique", "l_orderkey"), dq.foreign_key(t.orders, t.customer, "orders customer", "o_custkey", "c_custkey"), dq.foreign_key(t.documents, t.labels, "documents labels", "doc_id", "doc_id"),
+        dq.temporal(lines, t.orders, "ships after order", "o_orderkey", "l_shipdate", "o_orderdate"), dq.enum(t.orders, "order status", "o_orderstatus", ["F", "O"]),
+        dq.business_rule(t.lineitem, "discount", F.col("l_discount") <= 0.05),
+    ])
+
+
+_SUITE = """SELECT * FROM (SELECT 'orders rows' AS check_name, count(*) >= 1000 AS ok, count(*)::VARCHAR AS detail FROM orders
+UNION ALL SELECT 'orders not null', count(*) = 0, count(*)::VARCHAR FROM orders WHERE o_orderkey IS NULL OR o_custkey IS NULL OR o_orderdate IS NULL
+UNION ALL SELECT 'orders unique', count(o_orderkey) = count(DISTINCT o_orderkey), (count(o_orderkey) - count(DISTINCT o_orderkey))::VARCHAR FROM orders
+UNION ALL SELECT 'lineitem unique', count(l_orderkey) = count(DISTINCT l_orderkey), (count(l_orderkey) - count(DISTINCT l_orderkey))::VARCHAR FROM lineitem
+UNION ALL SELECT 'orders customer', count(*) = 0, count(*)::VARCHAR FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'documents labels', count(*) = 0, count(*)::VARCHAR FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT 'ships after order', count(*) = 0, count(*)::VARCHAR FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate
+UNION ALL SELECT 'order status', count(*) = 0, coalesce(string_agg(s, ',' ORDER BY s), '') FROM (SELECT DISTINCT o_orderstatus AS s FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))
+UNION ALL SELECT 'discount', count(*) = 0, count(*)::VARCHAR FROM lineitem WHERE NOT coalesce(l_discount <= 0.05, false))"""
+
+
+@query("dq01_to_dq07_suite", f"SELECT check_name, CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS status, detail FROM ({_SUITE})")
+def _(t):
+    return suite(t)
+
+
+@query("dq08_suite_totals", f"SELECT count(*) FILTER (WHERE ok) AS passed, count(*) FILTER (WHERE NOT ok) AS failed FROM ({_SUITE})")
+def _(t):
+    return dq.suite_totals(suite(t))
+
+
+@query("src05_fixed_width", f"SELECT o_orderkey, o_orderstatus AS status, {_CENTS} AS cents FROM orders")
+def _(t):
+    """Orders written as packed 17-byte records in one column, cut again by offset as the fixed-width reader does."""
+    cents = F.lpad(F.round(F.col("o_totalprice") * 100).cast("long").cast("string"), 15, "0")
+    record = F.concat(F.unhex(F.lpad(F.hex("o_orderkey"), 16, "0")), F.encode("o_orderstatus", "US-ASCII"), F.unhex(F.concat(cents, F.lit("C"))))
+    rows = t.orders.select(record.alias("record"))
+    part = lambda at, n: F.substring("record", at + 1, n)
+    return rows.select(cv.unpack_int(part(0, 8)).alias("o_orderkey"), F.decode(part(8, 1), "US-ASCII").alias("status"), (cv.unpack_decimal(part(9, 8), 2) * 100).cast("long").alias("cents"))
