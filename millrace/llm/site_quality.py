@@ -143,11 +143,78 @@ def _prior_weight(groups: DataFrame, rate: dict[str, float]) -> dict[str, float]
     return out
 
 
-def judged(
+class _Judge:
+    """The fitted parts: evidence of texts, and rates of sites from all documents' evidence and labels."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, host: Column | None, path: Column | None, quality_col: str, toxic_col: str, sample: int):
+        spark = docs.sparkSession
+        bounded_batches(spark)
+        host = F.col("source") if host is None else host
+        path = F.col("lang") if path is None else path
+        known = (
+            labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col))
+            .agg(F.max(1 - F.col(quality_col)).cast("int").alias("low"), F.max(toxic_col).cast("int").alias("toxic"))
+        )
+        weights, bias = fit_documents(docs, known, id_col, text_col, sample)
+        shared = spark.sparkContext.broadcast((weights, bias))  # at most 2 * FEATURES features
+
+        @F.arrow_udf("struct<low:double,toxic:double>")
+        def evidence(texts: pa.Array) -> pa.Array:
+            weights, bias = shared.value
+            low, toxic = [], []
+            for x in texts:
+                a, b = bias
+                for f in features(x.as_py()) & weights.keys():
+                    a += weights[f][0]
+                    b += weights[f][1]
+                low.append(a)
+                toxic.append(b)
+            return pa.StructArray.from_arrays([pa.array(low), pa.array(toxic)], ["low", "toxic"])
+
+        taken = set(docs.columns)
+        self.e, self.h, self.p = (next(n for n in (f"_{c}{k}" for k in range(99)) if n not in taken) for c in ("e", "h", "p"))
+        site = {self.h: F.coalesce(host.cast("string"), F.lit("")), self.p: F.coalesce(path.cast("string"), F.lit(""))}
+        #: The documents with their site and evidence, which is computed where it is read.
+        self.marked = docs.withColumns({**site, self.e: evidence(F.col(text_col))})
+        #: Ids, sites and evidence alone, computed once and written.
+        self.narrow = staged(self.marked.select(F.col(id_col).alias("id"), self.h, self.p, self.e))
+        self.sites = self._rates(known.select(F.col(id_col).alias("id"), *TARGETS))
+
+    def _rates(self, known: DataFrame) -> DataFrame:
+        h, p = self.h, self.p
+        given = known.agg(*[F.avg(t).alias(t) for t in TARGETS]).first()
+        prior = {t: min(max(given[t] or 0.0, 1e-4), 1 - 1e-4) for t in TARGETS}
+        guess = {t: 1 / (1 + F.exp(-(F.col(f"{self.e}.{t}") + float(_logit(prior[t]))))) for t in TARGETS}
+        y = self.narrow.join(known, "id", "left").select(h, p, *[F.coalesce(F.col(t).cast("double"), guess[t]).alias(t) for t in TARGETS])
+        sums = lambda c: [F.sum(c.format(t)).alias(f"y_{t}") for t in TARGETS]
+        paths = staged(y.groupBy(h, p).agg(F.count("*").alias("n"), *sums("{}")))
+        hosts = paths.groupBy(h).agg(F.sum("n").alias("n"), *sums("y_{}"))
+        whole = hosts.agg(F.sum("n").alias("n"), *sums("y_{}")).first()
+        rate = {t: ((whole[f"y_{t}"] or 0.0) + prior[t]) / ((whole["n"] or 0) + 1) for t in TARGETS}
+        host_rates = _shrink(hosts, [h], {t: F.lit(rate[t]) for t in TARGETS}, _prior_weight(hosts, rate))
+        above = paths.join(host_rates.select(h, *[F.col(f"rate_{t}").alias(f"above_{t}") for t in TARGETS]), h)
+        sites = _shrink(above, [h, p], {t: F.col(f"above_{t}") for t in TARGETS}, _prior_weight(paths, rate))
+        return staged(sites.select(h, p, *[F.col(f"rate_{t}").alias(f"{h}_{t}") for t in TARGETS]))
+
+    def decide(self, rows: DataFrame, keep: list[str], threshold: float) -> DataFrame:
+        """``keep`` of ``marked`` or ``narrow`` rows, and ``_judged``."""
+        h, p = self.h, self.p
+        if self.sites.count() <= BROADCAST_SITES:
+            joined = rows.join(F.broadcast(self.sites), [h, p])
+        else:
+            joined = spread_join(rows, self.sites, [h, p])
+        site = {t: F.col(f"{h}_{t}") for t in TARGETS}
+        post = {t: 1 / (1 + F.exp(-(F.col(f"{self.e}.{t}") + F.log(site[t] / (1 - site[t]))))) for t in TARGETS}
+        worst = F.greatest(*post.values()) > threshold
+        parts = [site["low"].alias("site_low"), site["toxic"].alias("site_toxic"), post["low"].alias("p_low"), post["toxic"].alias("p_toxic"), worst.alias("rejected")]
+        return joined.select(*[F.col(f"`{c}`") for c in keep], F.struct(*parts).alias("_judged"))
+
+
+def site_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None, path: Column | None = None,
     quality_col: str = "quality", toxic_col: str = "toxic", threshold: float = 0.5, sample: int = SAMPLE,
 ) -> DataFrame:
-    """``docs`` with a column ``_judged``: STRUCT<site_low, site_toxic, p_low, p_toxic, rejected>.
+    """``id_col, site_low, site_toxic, p_low, p_toxic, rejected`` of each row with an id.
 
     The document classifier's log odds (evidence) of low quality and of toxic
     content are added to those of the document's site. A site's rate is that
@@ -159,67 +226,19 @@ def judged(
     Null texts give no evidence; null hosts and paths are groups of their own;
     null labels are not used, and of labels that differ for an id the worse one
     counts; repeated rows are judged like any other; without labels nothing is
-    rejected. Null ids have no labels. Columns of ``docs`` stay as they are.
+    rejected. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    host = F.col("source") if host is None else host
-    path = F.col("lang") if path is None else path
-    known = (
-        labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col))
-        .agg(F.max(1 - F.col(quality_col)).cast("int").alias("low"), F.max(toxic_col).cast("int").alias("toxic"))
-    )
-    weights, bias = fit_documents(docs, known, id_col, text_col, sample)
-    shared = spark.sparkContext.broadcast((weights, bias))  # at most 2 * FEATURES features
-
-    @F.arrow_udf("struct<low:double,toxic:double>")
-    def evidence(texts: pa.Array) -> pa.Array:
-        weights, bias = shared.value
-        low, toxic = [], []
-        for x in texts:
-            a, b = bias
-            for f in features(x.as_py()) & weights.keys():
-                a += weights[f][0]
-                b += weights[f][1]
-            low.append(a)
-            toxic.append(b)
-        return pa.StructArray.from_arrays([pa.array(low), pa.array(toxic)], ["low", "toxic"])
-
-    taken = set(docs.columns)
-    e, h, p = (next(n for n in (f"_{c}{k}" for k in range(99)) if n not in taken) for c in ("e", "h", "p"))
-    marked = docs.withColumns({h: F.coalesce(host.cast("string"), F.lit("")), p: F.coalesce(path.cast("string"), F.lit("")), e: evidence(F.col(text_col))})
-    narrow = staged(marked.select(F.col(id_col).alias("id"), F.col(h).alias("h"), F.col(p).alias("p"), F.col(f"{e}.low").alias("e_low"), F.col(f"{e}.toxic").alias("e_toxic")))
-    labelled = known.select(F.col(id_col).alias("id"), "low", "toxic")
-    given = known.agg(*[F.avg(t).alias(t) for t in TARGETS]).first()
-    prior = {t: min(max(given[t] or 0.0, 1e-4), 1 - 1e-4) for t in TARGETS}
-    guess = {t: 1 / (1 + F.exp(-(F.col(f"e_{t}") + float(_logit(prior[t]))))) for t in TARGETS}
-    y = narrow.join(labelled, "id", "left").select("h", "p", *[F.coalesce(F.col(t).cast("double"), guess[t]).alias(t) for t in TARGETS])
-    paths = staged(y.groupBy("h", "p").agg(F.count("*").alias("n"), *[F.sum(t).alias(f"y_{t}") for t in TARGETS]))
-    hosts = paths.groupBy("h").agg(F.sum("n").alias("n"), *[F.sum(f"y_{t}").alias(f"y_{t}") for t in TARGETS])
-    whole = hosts.agg(F.sum("n").alias("n"), *[F.sum(f"y_{t}").alias(f"y_{t}") for t in TARGETS]).first()
-    rate = {t: ((whole[f"y_{t}"] or 0.0) + prior[t]) / ((whole["n"] or 0) + 1) for t in TARGETS}
-    host_rates = _shrink(hosts, ["h"], {t: F.lit(rate[t]) for t in TARGETS}, _prior_weight(hosts, rate))
-    above = paths.join(host_rates.select("h", *[F.col(f"rate_{t}").alias(f"above_{t}") for t in TARGETS]), "h")
-    sites = _shrink(above, ["h", "p"], {t: F.col(f"above_{t}") for t in TARGETS}, _prior_weight(paths, rate))
-    sites = staged(sites.select(F.col("h").alias(h), F.col("p").alias(p), *[F.col(f"rate_{t}").alias(f"{h}_{t}") for t in TARGETS]))
-    if sites.count() <= BROADCAST_SITES:
-        joined = marked.join(F.broadcast(sites), [h, p])
-    else:
-        joined = spread_join(marked, sites, [h, p])
-    site = {t: F.col(f"{h}_{t}") for t in TARGETS}
-    post = {t: 1 / (1 + F.exp(-(F.col(f"{e}.{t}") + F.log(site[t] / (1 - site[t]))))) for t in TARGETS}
-    worst = F.greatest(*post.values()) > threshold
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.struct(site["low"].alias("site_low"), site["toxic"].alias("site_toxic"), post["low"].alias("p_low"), post["toxic"].alias("p_toxic"), worst.alias("rejected")).alias("_judged"),
-    )
-
-
-def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """``id_col, site_low, site_toxic, p_low, p_toxic, rejected`` of each row with an id; see ``judged``."""
-    return judged(docs, labels, id_col, **kw).where(F.col(id_col).isNotNull()).select(id_col, "_judged.*")
-
-
-def keep_good(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
-    """``docs`` without the rows that ``judged`` rejects."""
-    return judged(docs, labels, **kw).where(~F.col("_judged.rejected")).select(docs.columns)
+    judge = _Judge(docs, labels, id_col, text_col, host, path, quality_col, toxic_col, sample)
+    return judge.decide(judge.narrow.where("id is not null"), ["id"], threshold).select(F.col("id").alias(id_col), "_judged.*")
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None, path: Column | None = None,
+    quality_col: str = "quality", toxic_col: str = "toxic", threshold: float = 0.5, sample: int = SAMPLE,
+) -> DataFrame:
+    """``docs`` without the rows that ``site_quality`` rejects; rows without an id are judged by text and site. Columns stay.
+
+    Evidence is computed again where the texts are read, so that texts are not shuffled.
+    """
+    judge = _Judge(docs, labels, id_col, text_col, host, path, quality_col, toxic_col, sample)
+    return judge.decide(judge.marked, docs.columns, threshold).where(~F.col("_judged.rejected")).select(docs.columns)
