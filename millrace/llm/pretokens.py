@@ -11,6 +11,7 @@ import json
 import re
 from array import array
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -28,6 +29,7 @@ RISKY_RE2 = rf"{_WS} (?:{_WS}|\z)"
 RISKY = re.compile(re.sub(r"\\x\{(\w+)\}", r"\\u\1", RISKY_RE2).replace(r"\z", r"\Z"))
 #: Latin letters, then ASCII punctuation, and the same once more after a line end: pre-tokens that need no library.
 _LETTERS, _MARKS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", r"[!-/:-@\[-`{-~]*"
+SPLIT_RE2 = r"^(?P<a>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+)(?P<b>[!-/:-@\[-`{-~]*)$"
 SIMPLE = re.compile(rf"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
 
 
@@ -228,15 +230,7 @@ class Pieces:
         return out
 
     def _words(self, key) -> list[str]:
-        if type(key) is str:
-            if key.isascii():
-                if key.isalpha():
-                    return [_SPACE + key]
-                if key[:-1].isalpha() and key[-1] in ".,;:!?":
-                    return [_SPACE + key[:-1], key[-1]]
-            text, lead = f" {key}", 1
-        else:
-            text, lead = key[0], 0
+        text, lead = (f" {key}", 1) if type(key) is str else (key[0], 0)
         if m := SIMPLE.fullmatch(text, lead):
             one, marks, line, two, more = m.groups()
             out = [spelled(text[: lead + len(one)])]
@@ -249,28 +243,38 @@ class Pieces:
             return out
         return [w for w, _ in self.pre(text)]
 
-    def _learn(self, keys: Iterable) -> list:
-        """Adds what the tables lack for these keys; returns the keys added."""
-        new = [k for k in keys if k not in self.pieces]
-        if self.known:
-            plain = [k for k in new if type(k) is str]
-            self.pieces.update((k, v) for k, v in zip(plain, self.known(plain), strict=True) if v is not None)
-            rest = [k for k in new if k not in self.pieces]
-        else:
-            rest = new
-        cut = {k: self._words(k) for k in rest if type(k) is not int}
-        words = [w for w in set().union(*cut.values()) if w not in self.words]
-        self.words.update(zip(words, self.of_words(words), strict=True))
-        one = self.words.__getitem__
-        for k in rest:
-            if type(k) is int:
-                self.pieces[k] = self.of_special(k)
-            else:
-                ws = cut[k]
-                self.pieces[k] = one(ws[0]) if len(ws) == 1 else self.total([one(w) for w in ws])
-        for w in words:  # what is long is not kept
+    def _learn(self, plain: list[str], others: Iterable) -> list:
+        """Adds what the tables lack: for distinct space-led pieces, and for other keys. Returns the keys added."""
+        pieces, words = self.pieces, self.words
+        led = [k for k in plain if k not in pieces]
+        rest = [k for k in dict.fromkeys(others) if k not in pieces]
+        new = led + rest
+        if self.known and led:
+            pieces.update((k, v) for k, v in zip(led, self.known(led), strict=True) if v is not None)
+            led = [k for k in led if k not in pieces]
+        # Letters, and letters with marks after them, are taken apart together; all other pieces one by one.
+        parts = pc.extract_regex(pa.array(led, pa.string()), SPLIT_RE2)
+        easy = parts.is_valid()
+        hit = parts.filter(easy)
+        flags = easy.to_pylist()
+        keys = [k for k, f in zip(led, flags) if f]  # noqa: B905
+        rest += [k for k, f in zip(led, flags) if not f]  # noqa: B905
+        stems = [_SPACE + (w if w.isascii() else spelled(w)) for w in hit.field("a").to_pylist()]
+        marks = hit.field("b").to_pylist()
+        cut = [[] if type(k) is int else self._words(k) for k in rest]
+        wanted = dict.fromkeys(stems)
+        wanted.update(dict.fromkeys(m for m in marks if m))
+        for ws in cut:
+            wanted.update(dict.fromkeys(ws))
+        lack = [w for w in wanted if w not in words]
+        words.update(zip(lack, self.of_words(lack), strict=True))
+        one = words.__getitem__
+        pieces.update((k, one(s) + one(m) if m else one(s)) for k, s, m in zip(keys, stems, marks))  # noqa: B905
+        for k, ws in zip(rest, cut):  # noqa: B905
+            pieces[k] = self.of_special(k) if type(k) is int else self.total([one(w) for w in ws])
+        for w in lack:  # what is long is not kept
             if len(w) > KEPT_CHARS:
-                del self.words[w]
+                del words[w]
         return new
 
     def values(self, texts: pa.Array | list[str | None]) -> list:
@@ -292,7 +296,10 @@ class Pieces:
         for table in (self.pieces, self.words):
             if len(table) > self.entries:
                 table.clear()
-        new = self._learn(set().union(plain, firsts, *rows.values()))
+        new = self._learn(plain, chain(firsts, *([x for x in r if type(x) is not str] for r in rows.values())))
+        extra = {x for r in rows.values() for x in r if type(x) is str}.difference(plain)
+        if extra:
+            new += self._learn(list(extra), ())
         value = self.pieces.__getitem__
         table = [value(k) for k in plain] + [value(k) for k in firsts]
         index[at] = np.arange(len(plain), len(table))
