@@ -193,13 +193,12 @@ def _(t):
 # Joins
 
 
-@query("jn01_asof", """WITH p AS (SELECT ts, max(value) AS v FROM events WHERE event_type = 'purchase' GROUP BY 1)
-SELECT event_id, v FROM (SELECT event_id, ts FROM events WHERE event_type = 'error') l ASOF JOIN p ON l.ts >= p.ts""")
+@query("jn01_asof", """WITH p AS (SELECT user_id, ts, max(value) AS v FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT event_id, v FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'error') l ASOF JOIN p ON l.user_id = p.user_id AND l.ts >= p.ts""")
 def _(t):
-    one = F.lit(1).alias("g")
-    left = t.events.where("event_type = 'error'").select("event_id", "ts", F.col("event_type").alias("k"), one)
-    right = t.events.where("event_type = 'purchase'").select("ts", F.col("value").alias("v"), one)
-    return jn.asof_backward(left, right, "ts", ["g"], ["v"]).select("event_id", "v")
+    left = t.events.where("event_type = 'error'").select("event_id", "ts", "user_id")
+    right = t.events.where("event_type = 'purchase'").select("ts", "user_id", F.col("value").alias("v"))
+    return jn.asof_backward(left, right, "ts", ["user_id"], ["v"]).select("event_id", "v")
 
 
 TERMS = """terms AS (SELECT c_custkey AS k, DATE '1995-01-01' + INTERVAL (n * 400) DAYS AS a, CASE WHEN n = 4 THEN NULL ELSE DATE '1995-01-01' + INTERVAL (n * 400 + 420) DAYS END AS b, n FROM customer, range(5) r(n))"""
