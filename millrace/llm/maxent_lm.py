@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, most_frequent, staged, word_counts
@@ -18,8 +19,13 @@ END = b"\n"
 HEAD = 150_000
 #: Classes of words, most frequent words first, and the words in each. One more class holds all other words.
 CLASSES, MEMBERS = 32, 64
-#: Rows of hashed weights: for classes, and for the words of a class.
-CLASS_ROWS, WORD_ROWS = 1 << 13, 1 << 14
+#: Words of that class go down a tree by their hash: children of a node, words to a leaf at most, about, and levels at most.
+BRANCH, LEAF, LEVELS = 32, 16, 4
+SEED = 42
+#: Rows of hashed weights at least: for classes, for the words of a class, and for the nodes of the tree.
+CLASS_ROWS, WORD_ROWS, TREE_ROWS = 1 << 13, 1 << 14, 1 << 15
+#: Training tokens for each row of classes, about; the tables grow to so many times their least size.
+ROW_TOKENS, GROWN = 1 << 12, 8
 FEATURES = 3
 #: The training texts are dealt into as many rounds; after each the tasks' updates are mixed.
 ROUNDS = 2
@@ -33,6 +39,31 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def word_hash(word: bytes) -> int:
+    """62 bits of XXH64, as ``hash_of`` takes them in Spark."""
+    return xxhash.xxh64_intdigest(word, SEED) >> 2
+
+
+def hash_of(col: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(col), 2)
+
+
+def depth_of(words: int) -> int:
+    """Levels of the tree for so many words."""
+    depth = 0
+    while depth < LEVELS and words > LEAF * BRANCH**depth:
+        depth += 1
+    return depth
+
+
+def _order(rows: np.ndarray, n: int) -> np.ndarray:
+    """Stable order of row numbers below ``n``, by halves that numpy sorts by radix."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    if n > 1 << 16:
+        order = order[np.argsort((rows[order] >> 16).astype(np.uint16), kind="stable")]
+    return order
+
+
 def segment_sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of ``rows[order]`` over segments that begin at ``first``: short ones by their length together, long ones alone."""
     lens = np.diff(np.append(first, len(order)))
@@ -64,7 +95,10 @@ class Model:
     A word of the vocabulary is its rank; rank // MEMBERS is its class. The
     probability of a word is that of its class times that within the class,
     both softmaxes over sums of hashed weights for the features of the two
-    words before: the last, the one before it (a skip) and the pair.
+    words before: the last, the one before it (a skip) and the pair. All other
+    words are leaves of a tree by their hash, and the choice of a child at each
+    node is a softmax of the same features; the words of a leaf share its
+    probability by their counts. Numbers of words beyond ``head`` hold the hash.
     """
 
     class_bias: np.ndarray
@@ -73,10 +107,24 @@ class Model:
     word_rows: np.ndarray
     vocabulary: int
     head: int
+    hashes: np.ndarray
+    tree_bias: np.ndarray
+    tree_rows: np.ndarray
+    leaves: np.ndarray
+    depth: int = 0
 
     @classmethod
-    def start(cls, counts: np.ndarray, others: int) -> Model:
-        """``counts``: of the vocabulary by rank; ``others``: tokens that are not in it. Starts from the unigrams."""
+    def start(cls, counts: np.ndarray, others: int, leaves: np.ndarray | None = None, hashes: np.ndarray | None = None, grown: int = 1) -> Model:
+        """``counts``: of the vocabulary by rank; ``others``: tokens that are not in it. Starts from the unigrams.
+
+        ``leaves``: sums of add-one counts of other words by leaf, and of one
+        unseen word in each; ``hashes``: of words by rank; ``grown``: size of
+        the tables as times the least.
+        """
+        leaves = np.ones(1) if leaves is None else leaves.astype(np.float64)
+        depth = round(np.log(len(leaves)) / np.log(BRANCH))
+        sums = [leaves.reshape(BRANCH**level, BRANCH, -1).sum(2) for level in range(depth)]
+        tree_bias = np.concatenate([np.log(x / x.sum(1, keepdims=True)) for x in sums]) if sums else np.zeros((0, BRANCH))
         size = np.zeros((CLASSES, MEMBERS), np.float64)
         size.ravel()[: len(counts)] = counts
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -84,7 +132,21 @@ class Model:
             total = np.append(size.sum(1), others + 1)
             class_bias = np.where(total > 0, np.log(total / total.sum()), _MASK)
         zero = lambda *n: np.zeros(n, np.float32)
-        return cls(class_bias.astype(np.float32), word_bias.astype(np.float32), zero(CLASS_ROWS, CLASSES + 1), zero(WORD_ROWS, MEMBERS), len(counts), 0)
+        return cls(class_bias.astype(np.float32), word_bias.astype(np.float32), zero(CLASS_ROWS * grown, CLASSES + 1), zero(WORD_ROWS * grown, MEMBERS), len(counts), 0,
+                   np.zeros(0, np.int64) if hashes is None else hashes, tree_bias.astype(np.float32), zero(TREE_ROWS * grown if depth else 0, BRANCH), np.log(leaves), depth)
+
+    @property
+    def tables(self) -> list[np.ndarray]:
+        return [self.class_rows, self.word_rows, *([self.tree_rows] if self.depth else [])]
+
+    def leaf(self, word: np.ndarray) -> np.ndarray:
+        """Leaves of words outside the vocabulary."""
+        if not self.depth:
+            return np.zeros(len(word), np.int64)
+        known = word < self.head
+        out = word - self.head - 2
+        out[known] = self.hashes[word[known]]
+        return out % BRANCH**self.depth
 
     def features(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Hashes of the contexts, one line for each feature. ``one``: the word before, ``two``: the one before that."""
@@ -95,15 +157,24 @@ class Model:
     def _sides(self, word: np.ndarray, hashed: np.ndarray):
         known = word < self.vocabulary
         klass = np.where(known, word // MEMBERS, CLASSES)
-        rows = (hashed >> np.uint64(20)) % np.uint64(CLASS_ROWS)
+        rows = (hashed >> np.uint64(20)) % np.uint64(len(self.class_rows))
         yield self.class_rows, rows.astype(np.int64), self.class_bias[None, :], klass, None
         at = np.flatnonzero(known)
         k = klass[at]
-        rows = ((hashed[:, at] + k.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(24)) % np.uint64(WORD_ROWS)
+        rows = ((hashed[:, at] + k.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(24)) % np.uint64(len(self.word_rows))
         yield self.word_rows, rows.astype(np.int64), self.word_bias[k], word[at] % MEMBERS, at
+        if self.depth:
+            at = np.flatnonzero(~known)
+            leaf = self.leaf(word[at])
+            # All levels in a row; nodes are numbered level by level.
+            nodes = np.concatenate([leaf // BRANCH ** (self.depth - k) + (BRANCH**k - 1) // (BRANCH - 1) for k in range(self.depth)])
+            goal = np.concatenate([leaf // BRANCH ** (self.depth - k - 1) % BRANCH for k in range(self.depth)])
+            rows = np.tile(hashed[:, at], self.depth) + (nodes + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            rows = ((rows ^ (rows >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(24)) % np.uint64(len(self.tree_rows))
+            yield self.tree_rows, rows.astype(np.int64), self.tree_bias[nodes], goal, np.tile(at, self.depth)
 
     def score(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Natural logarithms; for a word outside the vocabulary, of the class of such words."""
+        """Natural logarithms; for a word outside the vocabulary, of its leaf, less that of the leaf's add-one counts."""
         out = np.empty(len(word), np.float64)
         for k in range(0, len(word), STEP):
             w = word[k : k + STEP]
@@ -115,7 +186,9 @@ class Model:
                 if at is None:
                     part += value
                 else:
-                    part[at] += value
+                    part += np.bincount(at, value, len(part))
+            other = np.flatnonzero(w >= self.vocabulary)
+            part[other] -= self.leaves[self.leaf(w[other])]
             out[k : k + STEP] = part
         return out
 
@@ -131,7 +204,7 @@ class Model:
                 z /= z.sum(1, keepdims=True)
                 z[np.arange(len(goal)), goal] -= 1
                 flat = rows.ravel()
-                order = np.argsort(flat.astype(np.int16), kind="stable")  # rows are fewer than 2 ** 15
+                order = _order(flat, len(weights))
                 flat = flat[order]
                 first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
                 slope = segment_sums(z, order % len(goal), first)
@@ -158,18 +231,19 @@ def _train(docs: DataFrame, shared, ranks, tasks: int) -> list[tuple[int, int, b
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         get, none = ranks.value.get, len(ranks.value)
-        old = (model.class_rows, model.word_rows)
-        model = Model(model.class_bias, model.word_bias, old[0].copy(), old[1].copy(), model.vocabulary, model.head)
+        code = lambda w: none + 2 + word_hash(w) if (k := get(w)) is None else k
+        old = model.tables
+        model = replace(model, class_rows=old[0].copy(), word_rows=old[1].copy(), tree_rows=model.tree_rows.copy())
         squares = [np.zeros(len(w), np.float32) for w in old]
         for b in batches:
             held = []
             for x in b.column(0):
                 words = words_of(x.as_py() or b"")
-                held.append(np.fromiter([*[get(w, none) for w in words], get(END, none)], np.int64, len(words) + 1))
+                held.append(np.fromiter([*map(code, words), code(END)], np.int64, len(words) + 1))
             if held:
                 model.train(*_contexts(held, none + 1), squares)
         out = []
-        for table, (before, after) in enumerate(zip(old, (model.class_rows, model.word_rows), strict=True)):
+        for table, (before, after) in enumerate(zip(old, model.tables, strict=True)):
             change = (after - before).astype(np.float16)
             for k in range(0, len(change), CHUNK):
                 part = change[k : k + CHUNK]
@@ -191,7 +265,7 @@ def _train(docs: DataFrame, shared, ranks, tasks: int) -> list[tuple[int, int, b
             yield pa.RecordBatch.from_pylist([row], pa.schema([("t", pa.int32()), ("k", pa.int32()), ("d", pa.binary())]))
 
     changes = docs.coalesce(tasks).mapInArrow(steps, "t int, k int, d binary")
-    # The model alone comes to the driver, whose size the constants above fix.
+    # The model alone comes to the driver, whose most size the constants above fix.
     return [(r.t, r.k, bytes(r.d)) for r in changes.repartition("t", "k").mapInArrow(mix, "t int, k int, d binary").collect()]
 
 
@@ -202,7 +276,17 @@ def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROU
     top = most_frequent(counts, head)
     n = np.array([c for _, c in top], np.int64)
     vocabulary = n[: CLASSES * MEMBERS]
-    model = Model.start(vocabulary, int(total - vocabulary.sum()))
+    depth = depth_of(distinct - len(vocabulary))
+    size, hashes = BRANCH**depth, np.fromiter((word_hash(w) for w, _ in top), np.int64, len(top))
+    # At most BRANCH ** LEVELS rows.
+    sums = counts.groupBy((hash_of("w") % size).cast("int").alias("leaf")).agg(F.sum(F.col("n") + 1).alias("n")).toArrow()
+    leaves = np.ones(size, np.int64)
+    leaves[sums["leaf"].to_numpy()] += sums["n"].to_numpy()
+    np.subtract.at(leaves, hashes[: len(vocabulary)] % size, vocabulary + 1)
+    grown = 1
+    while grown < GROWN and CLASS_ROWS * grown * 2 * ROW_TOKENS <= total:
+        grown *= 2
+    model = Model.start(vocabulary, int(total - vocabulary.sum()), leaves, hashes, grown)
     model.head = len(top)
     ranks = {w: k for k, (w, _) in enumerate(top)}
     shared_ranks = spark.sparkContext.broadcast(ranks)  # at most ``head`` words
@@ -211,7 +295,7 @@ def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROU
         shared = spark.sparkContext.broadcast(model)
         part = train.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("t")
         for t, k, d in _train(part, shared, shared_ranks, tasks):
-            rows = model.word_rows if t else model.class_rows
+            rows = model.tables[t]
             rows[k : k + CHUNK] += np.frombuffer(d, np.float32).reshape(CHUNK, -1)
     return model, ranks, n, int(total), int(distinct)
 
@@ -225,9 +309,10 @@ def language_scores(
     one end for each text. Rows whose CRC-32 of the id, as text, modulo
     ``folds`` is ``held_fold`` are scored but not learned from. ``base_score``
     is the add-one unigram log10 probability, ``score`` the model's. A word
-    outside the model's vocabulary has the probability of the class of such
-    words times its add-one share among them, so the probabilities of all
-    words, and of one unseen word, sum to one.
+    outside the most frequent ones has the probability of its leaf in a tree
+    of all others, given the words before, times its add-one share in the
+    leaf, so the probabilities of all words, and of one unseen word in each
+    leaf, sum to one. Levels of the tree follow from the distinct words.
 
     Null texts are empty (the end alone), rows without an id are left out,
     repeated rows are learned from and returned as often as they occur, other
@@ -243,20 +328,19 @@ def language_scores(
     train = rows.where(~F.col("held_out")).select("id", "t")
     counts = word_counts(train.select("t"), lambda t: [*words_of(t), END])
     model, ranks, n, total, distinct = fit(train, counts, head, rounds)
-    inside = n[: model.vocabulary]
-    others = total - int(inside.sum()) + distinct - len(inside) + 1
     shared = spark.sparkContext.broadcast((model, ranks, np.log10(np.append(n, 0) + 1.0)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, ranks, logs = shared.value
         get, none = ranks.get, len(ranks)
+        code = lambda w: none + 2 + word_hash(w) if (k := get(w)) is None else k
         for b in batches:
             docs, rare = [], []
             for x in b.column(2):
                 words = [*words_of(x.as_py() or b""), END]
-                ids = np.fromiter([get(w, none) for w in words], np.int64, len(words))
+                ids = np.fromiter(map(code, words), np.int64, len(words))
                 docs.append(ids)
-                rare.append([words[k] for k in np.flatnonzero(ids == none).tolist()])
+                rare.append([words[k] for k in np.flatnonzero(ids >= none).tolist()])
             if not docs:
                 continue
             word, one, two = _contexts(docs, none + 1)
@@ -265,13 +349,13 @@ def language_scores(
             out = word >= model.vocabulary
             known = np.bincount(doc, word < none, len(docs)).astype(np.int64)
             tokens = pa.array([len(d) for d in docs], pa.int64())
-            outside = pa.array(np.bincount(doc, out, len(docs)).astype(np.int64))
+            held = logs[np.minimum(word, none)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), tokens, pa.array(known), outside, add(logs[word]), add(logs[word] * out), add(model.score(word, one, two)), pa.array(rare, pa.list_(pa.binary()))],
-                ["id", "held_out", "n_tokens", "known", "outside", "logs", "outside_logs", "model", "rare"],
+                [b.column(0), b.column(1), tokens, pa.array(known), add(held), add(held * out), add(model.score(word, one, two)), pa.array(rare, pa.list_(pa.binary()))],
+                ["id", "held_out", "n_tokens", "known", "logs", "outside_logs", "model", "rare"],
             )
 
-    kind = "id long, held_out boolean, n_tokens long, known long, outside long, logs double, outside_logs double, model double, rare array<binary>"
+    kind = "id long, held_out boolean, n_tokens long, known long, logs double, outside_logs double, model double, rare array<binary>"
     scored = staged(rows.mapInArrow(score, kind).withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode("rare").alias("w"))
     tail = rare.join(counts, "w").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
@@ -279,5 +363,5 @@ def language_scores(
     return scored.drop("rare").join(tail, "row", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + more).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.col("logs") + more_logs - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))).alias("base_score"),
-        (F.col("model") / float(np.log(10)) + F.col("outside_logs") + more_logs - F.col("outside") * F.log10(F.lit(float(others)))).alias("score"),
+        (F.col("model") / float(np.log(10)) + F.col("outside_logs") + more_logs).alias("score"),
     )

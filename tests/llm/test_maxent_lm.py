@@ -63,3 +63,36 @@ def test_nothing_to_learn_from(spark):
     held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
     df = spark.createDataFrame([(held, "a b")], "doc_id long, text string")
     assert [tuple(r) for r in maxent_lm.language_scores(df).collect()] == [(held, True, 3, 0, 0, 0.0, 0.0)]
+
+
+def test_rare_words_are_predicted_from_their_context(spark):
+    words = [f"t{k}" for k in range(4500)]  # more than twice the words of the frequent classes, all alike in frequency
+    rng = random.Random(4)
+    rows = []
+    for k in range(2500):
+        at = [rng.randrange(0, 4500, 2) for _ in range(15)]
+        rows.append((k, " ".join(f"{words[x]} {words[x + 1]}" for x in at)))  # every second word follows from the one before
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r for r in maxent_lm.language_scores(df, head=3000).collect() if r.held_out]
+    assert sum(r.score for r in got) > 0.78 * sum(r.base_score for r in got)  # 0.83 if other words share a class without contexts
+    assert maxent_lm.depth_of(4500 - 2048) == 2 and maxent_lm.depth_of(409_487) == 3
+    hashed = spark.createDataFrame([(w.encode() * n,) for n, w in enumerate(words[:40])], "w binary").select("w", maxent_lm.hash_of("w").alias("h"))
+    assert all(maxent_lm.word_hash(bytes(r.w)) == r.h for r in hashed.collect())
+
+
+def test_tree_probabilities_sum_to_one():
+    rng = np.random.default_rng(0)
+    counts, size = np.arange(3300, 0, -1), maxent_lm.BRANCH**2
+    hashes, inside = rng.integers(0, 1 << 62, 3300), maxent_lm.CLASSES * maxent_lm.MEMBERS
+    leaves = np.ones(size, np.int64)
+    np.add.at(leaves, hashes[inside:] % size, counts[inside:] + 1)
+    m = maxent_lm.Model.start(counts[:inside], int(counts[inside:].sum()), leaves, hashes, 4)
+    m.head = 3300
+    word = rng.integers(0, 3300, 20000)
+    before = m.score(word, np.roll(word, 1), np.roll(word, 2)).sum()
+    m.train(word, np.roll(word, 1), np.roll(word, 2), [np.zeros(len(t), np.float32) for t in m.tables])
+    assert m.score(word, np.roll(word, 1), np.roll(word, 2)).sum() > before
+    unseen = m.head + 2 + np.arange(size)  # one in each leaf
+    every = np.concatenate([np.arange(3300), unseen])
+    share = np.concatenate([np.where(np.arange(3300) < inside, 1, counts + 1), np.ones(size)])
+    assert (np.exp(m.score(every, np.full(len(every), 3), np.full(len(every), 7))) * share).sum() == pytest.approx(1, abs=1e-3)
