@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, components, spread_join, staged
 
-#: Filters that a vector passes, on average, and at least.
+#: Filters that a vector passes of the least number of filters, on average, and at least of any.
 PASSED, LEAST = 16, 5
+#: Near vectors share fewer of many filters, so those passed grow as this power of their number.
+GROWTH = 0.25
 #: Vectors in a bucket, about, which sets the number of filters; and in a tile of a crowded bucket.
 BUCKET, TILE = 400, 400
 FILTERS = (1024, 1 << 22)
@@ -39,7 +41,7 @@ class Caps:
             w = rng.standard_normal((self.words, n))
             length = np.linalg.norm(w, axis=1, keepdims=True)
             self.codes.append(w / np.where(length == 0, 1, length))
-        share = min(0.5, PASSED / self.words**2)
+        share = min(0.5, PASSED * max(1, self.words**2 / FILTERS[0]) ** GROWTH / self.words**2)
         # A unit vector's product with both words of a pair has a variance of 2 / dim.
         self.threshold = NormalDist().inv_cdf(1 - share) * np.sqrt(2 / dim)
 

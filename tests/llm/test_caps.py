@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from millrace.llm.caps import vector_groups
+from millrace.llm.caps import Caps, vector_groups
 
 from .test_simhash import find
 
@@ -51,3 +52,13 @@ def test_recall_on_given_vectors(spark):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_groups(df).collect()}
     assert all(got[i][0] <= want[i][0] for i in got)
     assert sum(x[0] for x in got.values()) >= 0.97 * sum(x[0] for x in want.values())
+
+
+@pytest.mark.parametrize("filters", [1024, 40_000, 400_000, 1 << 22])
+def test_recall_does_not_fall_with_filters(filters):
+    rng = np.random.default_rng(1)
+    one, other = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, 600, 64)))
+    other -= (other * one).sum(1, keepdims=True) * one
+    two = 0.95 * one + np.sqrt(1 - 0.95**2) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    caps = Caps(64, filters)
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(caps.lists(one), caps.lists(two), strict=True)]) >= 0.93
