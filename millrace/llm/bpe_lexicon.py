@@ -5,12 +5,16 @@ from __future__ import annotations
 import hashlib
 import json
 import mmap
+import os
+import tempfile
 from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, most_frequent, word_counts
@@ -21,7 +25,10 @@ LEXICON_WORDS = 50_000
 #: Longer words are not counted for it.
 LEXICON_BYTES = 64
 _BYTE = [bytes([k]) for k in range(256)]
+#: White space in place of ASCII punctuation and control characters.
+_APART = bytes(k if k >= 0x80 or chr(k).isalnum() else 32 for k in range(256))
 _tables: dict = {}
+_shared: dict[str, set] = {}
 
 
 class Lexicon:
@@ -29,7 +36,7 @@ class Lexicon:
 
     Each arc holds how many words come before those behind it, so a walk gives
     the word's number, and that number's slot holds its ids. The arrays lie in
-    one buffer, a memory map in use.
+    one file, which is mapped read-only.
     """
 
     def __init__(self, buffer: mmap.mmap):
@@ -47,12 +54,6 @@ class Lexicon:
         state = np.repeat(np.arange(len(self.first) - 1), np.diff(np.asarray(self.first).astype(np.int64)))
         self.arcs = state * 256 + np.frombuffer(buffer, np.uint8, part["labels"][1], self.labels)
 
-    @classmethod
-    def from_bytes(cls, data: bytes) -> Lexicon:
-        buffer = mmap.mmap(-1, len(data))
-        buffer.write(data)
-        return cls(buffer)
-
     @classmethod
     def open(cls, path: str) -> Lexicon:
         with open(path, "rb") as f:
@@ -161,38 +162,63 @@ def compile_lexicon(words: Iterable[tuple[bytes, bytes]], width: int) -> bytes:
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent space-led words of all texts: at most ``most``."""
+    """The most frequent words of all texts, with a space before them: at most ``most``."""
     bounded_batches(docs.sparkSession)
-    counts = word_counts(docs.select(F.col(text_col).cast("binary")), lambda t: t.split(b" ")[1:])
+    counts = word_counts(docs.select(F.col(text_col).cast("binary")), lambda t: t.translate(_APART).split())
     return [f" {w.decode()}" for w, _ in most_frequent(counts.where(F.octet_length("w").between(1, LEXICON_BYTES - 1)), most)]
 
 
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", most: int = LEXICON_WORDS) -> bytes:
-    code, pack = packer(path)
-    encode = Pieces(path, Merger(Bpe(path), code), b"".join, lambda i: pack([i]))
+    code, _ = packer(path)
+    encode = Pieces(path, Merger(Bpe(path), code))
     words = [w for w in frequent_words(docs, text_col, most) if not any(s in w for s in encode.special)]
-    return compile_lexicon(zip([w.encode() for w in words], encode.values(words), strict=True), array(code).itemsize)
+    width = encode.kind.itemsize
+    ids, n = encode.values(words)
+    data, ends = ids.tobytes(), (np.cumsum(n) * width).tolist()
+    return compile_lexicon(((w.encode(), data[a:b]) for w, a, b in zip(words, [0, *ends], ends)), width)  # noqa: B905
 
 
 class Codec:
     """Texts to ids and back, exactly as the tokenizer file says."""
 
     def __init__(self, path: str, lexicon: Lexicon):
-        self.code, pack = packer(path)
         bpe = Bpe(path)
-        self.pieces = Pieces(path, Merger(bpe, self.code), b"".join, lambda i: pack([i]), lambda ps: lexicon.get_many([f" {p}".encode() for p in ps]))
+        self.pieces = Pieces(path, Merger(bpe, packer(path)[0]), known=lexicon.get_many)
         byte_of = letters()
         tokens = {i: t for t, i in bpe.vocab.items()} | {i: t for t, i in self.pieces.special.items()}
-        self.bytes_of = [
-            bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in (tokens.get(i, "") for i in range(max(tokens) + 1))
-        ]
-        self.text_of = [str(i) for i in range(len(self.bytes_of))]
+        self.bytes_of = pa.array(
+            [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in (tokens.get(i, "") for i in range(max(tokens) + 1))], pa.large_binary()
+        )
+        self.text_of = pa.array([str(i) for i in range(len(self.bytes_of))], pa.large_string())
+
+    def encode(self, texts: pa.Array | list[str]) -> pa.LargeListArray:
+        """Lists of ids."""
+        ids, n = self.pieces.values(texts)
+        return pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]), ids.astype(np.int32))
+
+    def _joined(self, rows: pa.LargeListArray, table: pa.Array, mark: pa.Scalar) -> pa.Array:
+        return pc.binary_join(pa.LargeListArray.from_arrays(rows.offsets, table.take(rows.values)), mark)
 
-    def encode(self, texts: pa.Array | list[str]) -> list[list[int]]:
-        return [array(self.code, x).tolist() for x in self.pieces.values(texts)]
+    def decimal(self, rows: pa.LargeListArray) -> list[str]:
+        return self._joined(rows, self.text_of, pa.scalar(",", pa.large_string())).to_pylist()
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, rows: pa.LargeListArray) -> list[str]:
+        return [t.decode("utf-8", "replace") for t in self._joined(rows, self.bytes_of, pa.scalar(b"", pa.large_binary())).to_pylist()]
+
+
+def share_lexicon(spark: SparkSession, data: bytes) -> str:
+    """Hand the lexicon, whose size ``most`` bounds, to all machines as a file; its name there.
+
+    Spark fetches the file once for each executor, and the Python workers on it map the same pages.
+    """
+    name = f"lexicon-{hashlib.sha256(data).hexdigest()}"
+    if name not in _shared.setdefault(spark.sparkContext.applicationId, set()):
+        path = os.path.join(tempfile.mkdtemp(prefix="spark-"), name)
+        with open(path, "wb") as f:
+            f.write(data)
+        spark.sparkContext.addFile(path)  # served from here as long as the application runs
+        _shared[spark.sparkContext.applicationId].add(name)
+    return name
 
 
 def bpe_codec(
@@ -207,27 +233,24 @@ def bpe_codec(
     spark = docs.sparkSession
     bounded_batches(spark)
     path = path or default_tokenizer()
-    data = build_lexicon(docs, path, text_col, most)
-    name = hashlib.sha256(data).hexdigest()
-    shared = spark.sparkContext.broadcast(data)  # at most ``most`` words of LEXICON_BYTES bytes
+    name = share_lexicon(spark, build_lexicon(docs, path, text_col, most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _tables:
             _tables.clear()
-            _tables[name] = Codec(path, Lexicon.from_bytes(shared.value))
+            _tables[name] = Codec(path, Lexicon.open(SparkFiles.get(name)))
         codec, sha = _tables[name], hashlib.sha256
-        text_of = codec.text_of.__getitem__
         for b in batches:
             rows = codec.encode(b.column(1))
-            back = [codec.decode(r) for r in rows]
+            back = codec.decode(rows)
             cols = [
                 b.column(0),
-                pa.array(list(map(len, rows)), pa.int64()),
-                pa.array([sha(",".join(map(text_of, r)).encode()).hexdigest() for r in rows], pa.string()),
+                rows.value_lengths(),
+                pa.array([sha(t.encode()).hexdigest() for t in codec.decimal(rows)], pa.string()),
                 pa.array([sha(t.encode()).hexdigest() for t in back], pa.string()),
             ]
             if texts:
-                cols += [pa.array(rows, pa.list_(pa.int32())), pa.array(back, pa.string())]
+                cols += [rows.cast(pa.list_(pa.int32())), pa.array(back, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names)
 
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * texts

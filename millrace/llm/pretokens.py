@@ -1,7 +1,7 @@
 """Byte-level BPE by pieces: what the tokenizer operators share.
 
-A text is cut before spaces, where byte-level pre-tokenization always has a
-boundary, so each piece is tokenized once and then looked up.
+A text is cut where byte-level pre-tokenization always has a boundary, so each
+piece is tokenized once and then looked up.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import heapq
 import json
 import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -19,18 +19,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: A task's tables with more entries are emptied before the next batch.
-ENTRIES = 600_000
-#: Longer pieces are not kept.
-KEPT_CHARS = 48
-_WS = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
-#: Where a space inside white space is not a boundary by itself; such texts are pre-tokenized whole.
-RISKY_RE2 = rf"{_WS} (?:{_WS}|\z)"
-RISKY = re.compile(re.sub(r"\\x\{(\w+)\}", r"\\u\1", RISKY_RE2).replace(r"\z", r"\Z"))
+#: A task's table with more pieces is emptied before the next batch.
+ENTRIES = 1_000_000
+#: Longer pieces, in bytes, are not kept.
+KEPT = 64
 #: Latin letters, then ASCII punctuation, and the same once more after a line end: pre-tokens that need no library.
 _LETTERS, _MARKS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", r"[!-/:-@\[-`{-~]*"
-SPLIT_RE2 = r"^(?P<a>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+)(?P<b>[!-/:-@\[-`{-~]*)$"
 SIMPLE = re.compile(rf"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
+MARKS = re.compile(r"[!-/:-@\[-`{-~]+")
 
 
 def letters() -> dict[str, int]:
@@ -189,15 +185,48 @@ class Merger:
         return out
 
 
+#: Classes of bytes: 1 letters, 2 punctuation, 3 digits (all ASCII), 4 parts of other characters, 0 white space and control.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = 2
+_CLASS[[*range(0x30, 0x3A)]] = 3
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_CLASS[0x80:] = 4
+#: Last bytes and first bytes of the other characters that may be white space.
+_TAIL, _LEAD3 = np.zeros(256, bool), np.zeros(256, bool)
+_TAIL[[*range(0x80, 0x8C), 0x8E, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF, 0xBF]] = True
+_LEAD3[[0xE1, 0xE2, 0xE3, 0xEF]] = True
+#: Bytes before and after the texts, so that places next to a text can be read.
+_PAD = 8
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+_MIX, _TIMES = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+class Rows:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, kind, size: int = 1024):
+        self.data, self.n = np.zeros(size, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.n + len(more)
+        if end > len(self.data):
+            wide = np.zeros(max(end, 2 * len(self.data)), self.data.dtype)
+            wide[: self.n] = self.data[: self.n]
+            self.data = wide
+        self.data[self.n : end] = more
+        self.n = end
+
+
 class Pieces:
-    """Values of whole texts from the values of their pre-tokens, a batch of texts at a time.
+    """Values of whole texts from the values of their pieces, a batch of texts at a time in numpy.
 
-    ``of_words`` gives the values of pre-tokens, ``total`` joins values and
-    ``of_special`` gives the value of a special token's id. ``known`` may give
-    the values of space-led pieces at once, None for those it has not.
+    A value is the packed ids of a piece, or with ``counts`` their number.
+    ``of_words`` gives the values of pre-tokens; ``known`` may give those of
+    space-led pieces at once, None for those it has not. Pieces that occurred
+    are found by a hash in a table and compared in full with what it holds.
     """
 
-    def __init__(self, path: str, of_words: Callable[[list[str]], list], total: Callable, of_special: Callable, known: Callable | None = None):
+    def __init__(self, path: str, of_words: Callable[[list[str]], list], counts: bool = False, known: Callable | None = None):
         tok = Tokenizer.from_file(path)
         spec = json.load(open(path, encoding="utf-8"))
         if spec["model"]["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"] or spec["pre_tokenizer"]["add_prefix_space"]:
@@ -206,31 +235,22 @@ class Pieces:
             raise ValueError("added tokens that take in their surroundings are not supported")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.pre, self.of_words, self.total, self.of_special, self.known = tok.pre_tokenizer.pre_tokenize_str, of_words, total, of_special, known
-        self.words: dict[str, object] = {}
-        self.pieces: dict = {}
+        self.pre, self.of_words, self.counts, self.known = tok.pre_tokenizer.pre_tokenize_str, of_words, counts, known
         self.entries = ENTRIES
-        self.width = 2 if tok.get_vocab_size() <= 1 << 16 else 4
-
-    def _keys(self, text: str) -> list:
-        """A text as pieces: strings that a space leads, tuples of a string as it stands, ids of special tokens."""
-        if self.cut is None or not any(s in text for s in self.special):
-            parts = [text]
-        else:
-            parts = self.cut.split(text)
-        out: list = []
-        for x in parts:
-            if x in self.special:
-                out.append(self.special[x])
-            elif RISKY.search(x):
-                out.append((x,))
-            elif x:
-                first, *rest = x.split(" ")
-                out += [(first,), *rest] if first else rest
-        return out
-
-    def _words(self, key) -> list[str]:
-        text, lead = (f" {key}", 1) if type(key) is str else (key[0], 0)
+        self.kind = np.dtype("<u2" if tok.get_vocab_size() <= 1 << 16 else "<u4")
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots = np.full(1 << 16, -1, np.int32)
+        #: Of each piece: its hash, bytes, where its text is in ``text`` (8 bytes a row), where its ids are and how many.
+        self.hash, self.size, self.text_at, self.text = Rows(np.uint64), Rows(np.int32), Rows(np.int64), Rows(np.uint64)
+        self.at, self.n, self.ids = Rows(np.int64), Rows(np.int64), Rows(self.kind)
+
+    def _words(self, text: str) -> list[str]:
+        """Pre-tokens of a piece in byte-level letters."""
+        lead = text[0] == " "
+        if MARKS.fullmatch(text, lead):
+            return [spelled(text)]
         if m := SIMPLE.fullmatch(text, lead):
             one, marks, line, two, more = m.groups()
             out = [spelled(text[: lead + len(one)])]
@@ -243,83 +263,177 @@ class Pieces:
             return out
         return [w for w, _ in self.pre(text)]
 
-    def _learn(self, plain: list[str], others: Iterable) -> list:
-        """Adds what the tables lack: for distinct space-led pieces, and for other keys. Returns the keys added."""
-        pieces, words = self.pieces, self.words
-        led = [k for k in plain if k not in pieces]
-        rest = [k for k in dict.fromkeys(others) if k not in pieces]
-        new = led + rest
-        if self.known and led:
-            pieces.update((k, v) for k, v in zip(led, self.known(led), strict=True) if v is not None)
-            led = [k for k in led if k not in pieces]
-        # Letters, and letters with marks after them, are taken apart together; all other pieces one by one.
-        parts = pc.extract_regex(pa.array(led, pa.string()), SPLIT_RE2)
-        easy = parts.is_valid()
-        hit = parts.filter(easy)
-        flags = easy.to_pylist()
-        keys = [k for k, f in zip(led, flags) if f]  # noqa: B905
-        rest += [k for k, f in zip(led, flags) if not f]  # noqa: B905
-        stems = [_SPACE + (w if w.isascii() else spelled(w)) for w in hit.field("a").to_pylist()]
-        marks = hit.field("b").to_pylist()
-        cut = [[] if type(k) is int else self._words(k) for k in rest]
-        wanted = dict.fromkeys(stems)
-        wanted.update(dict.fromkeys(m for m in marks if m))
-        for ws in cut:
-            wanted.update(dict.fromkeys(ws))
-        lack = [w for w in wanted if w not in words]
-        words.update(zip(lack, self.of_words(lack), strict=True))
-        one = words.__getitem__
-        pieces.update((k, one(s) + one(m) if m else one(s)) for k, s, m in zip(keys, stems, marks))  # noqa: B905
-        for k, ws in zip(rest, cut):  # noqa: B905
-            pieces[k] = self.of_special(k) if type(k) is int else self.total([one(w) for w in ws])
-        for w in lack:  # what is long is not kept
-            if len(w) > KEPT_CHARS:
-                del words[w]
-        return new
-
-    def values(self, texts: pa.Array | list[str | None]) -> list:
-        """The value of each text; nulls are empty."""
-        col = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
-        col = pc.fill_null(col, "")
-        odd = pc.match_substring_regex(col, RISKY_RE2)
+    def _values(self, pieces: list[bytes]) -> list:
+        """Values of distinct pieces."""
+        out: list = self.known([p if p[:1] == b" " else b"" for p in pieces]) if self.known else [None] * len(pieces)
+        left = [k for k, v in enumerate(out) if v is None]
+        cut = [self._words(pieces[k].decode()) for k in left]
+        wanted = list(dict.fromkeys(chain.from_iterable(cut)))
+        value = dict(zip(wanted, self.of_words(wanted), strict=True)).__getitem__
+        join = sum if self.counts else b"".join
+        for k, ws in zip(left, cut):  # noqa: B905
+            out[k] = value(ws[0]) if len(ws) == 1 else join(map(value, ws))
+        return out
+
+    def _add_values(self, values: list) -> None:
+        if self.counts:
+            self.at.add(np.zeros(len(values), np.int64))
+            self.n.add(np.array(values, np.int64))
+            return
+        n = np.fromiter(map(len, values), np.int64, len(values)) // self.kind.itemsize
+        self.at.add(self.ids.n + np.cumsum(n) - n)
+        self.n.add(n)
+        self.ids.add(np.frombuffer(b"".join(values), self.kind))
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Entries with these hashes, -1 where there is none."""
+        mask = np.uint64(len(self.slots) - 1)
+        slot = (h & mask).astype(np.int64)
+        out = self.slots[slot]
+        left = np.flatnonzero((out >= 0) & (self.hash.data[out] != h))
+        while len(left):
+            slot[left] = (slot[left] + 1) & int(mask)
+            entry = self.slots[slot[left]]
+            out[left] = entry
+            left = left[(entry >= 0) & (self.hash.data[entry] != h[left])]
+        return out
+
+    def _place(self, first: int) -> None:
+        """Puts entries from ``first`` on into the slots, which are at most a quarter full."""
+        if 4 * self.hash.n > len(self.slots):
+            self.slots = np.full(1 << (8 * self.hash.n).bit_length(), -1, np.int32)
+            first = 0
+        mask = len(self.slots) - 1
+        entry = np.arange(first, self.hash.n, dtype=np.int32)
+        slot = (self.hash.data[first : self.hash.n] & np.uint64(mask)).astype(np.int64)
+        while len(entry):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = entry[free]
+            out = self.slots[slot] != entry
+            entry, slot = entry[out], (slot[out] + 1) & mask
+
+    def _cuts(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Starts of pieces: of texts, at spaces between two characters that are not white space, at punctuation after a letter.
+
+        A pre-token begins at all of these, so pieces can be tokenized apart.
+        """
+        kind = _CLASS[buf]
+        starts = np.zeros(len(buf), bool)
+        marks = np.flatnonzero(kind[_PAD:-_PAD] == 2) + _PAD
+        starts[marks[kind[marks - 1] == 1]] = True
+        space = np.flatnonzero(buf[_PAD:-_PAD] == 32) + _PAD
+        before, after = kind[space - 1], kind[space + 1]
+        ok = (before > 0) & (after > 0)
+        for at in (np.flatnonzero(ok & (before == 4)),):
+            p = space[at] - 1
+            ok[at[_TAIL[buf[p]] & ((buf[p - 1] == 0xC2) | _LEAD3[buf[p - 2]])]] = False
+        for at in (np.flatnonzero(ok & (after == 4)),):
+            p = space[at] + 1
+            ok[at[(_TAIL[buf[p + 1]] & (buf[p] == 0xC2)) | (_TAIL[buf[p + 2]] & _LEAD3[buf[p]])]] = False
+        starts[space[ok]] = True
+        ends = offsets[1:] - 1 + _PAD  # a space that ends a text is white space before nothing
+        last = ends[buf[ends] == 32]
+        starts[last] = False
+        starts[offsets[:-1][np.diff(offsets) > 0] + _PAD] = True
+        return np.flatnonzero(starts)
+
+    def _entries(self, buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Entries of pieces of at most KEPT bytes; what is new is added. -1 where a hash stands for another piece."""
+        view = np.ndarray(len(buf) - 7, "<u8", buf.data, strides=(1,))
+        h = (size.astype(np.uint64) + np.uint64(1)) * _TIMES
+        words, live, k = [], slice(None), 0
+        while k == 0 or len(live):
+            w = view[start[live] + 8 * k] & _MASKS[np.minimum(size[live] - 8 * k, 8)]
+            x = (h[live] ^ w) * _MIX
+            h[live] = x ^ (x >> np.uint64(32))
+            words.append((live, w))
+            k += 1
+            live = np.flatnonzero(size > 8) if k == 1 else live[size[live] > 8 * k]
+        entry = self._find(h)
+        lack = np.flatnonzero(entry < 0)
+        if len(lack):
+            _, at = np.unique(h[lack], return_index=True)
+            at = np.sort(lack[at])
+            ends = start[at] + size[at]
+            raw = buf.tobytes()
+            self._add_values(self._values([raw[a:b] for a, b in zip(start[at].tolist(), ends.tolist())]))  # noqa: B905
+            rows = -(-size[at] // 8)
+            row_at = np.cumsum(rows) - rows
+            held = np.zeros(int(rows.sum()), np.uint64)
+            for k, (live, w) in enumerate(words):
+                full = np.zeros(len(size), np.uint64)
+                full[live] = w
+                long = rows > k
+                held[row_at[long] + k] = full[at[long]]
+            first = self.hash.n
+            self.hash.add(h[at])
+            self.size.add(size[at])
+            self.text_at.add(self.text.n + row_at)
+            self.text.add(held)
+            self._place(first)
+            entry[lack] = self._find(h[lack])
+        same = self.size.data[entry] == size
+        text_at = self.text_at.data[entry]
+        for k, (live, w) in enumerate(words):
+            same[live] &= self.text.data[np.minimum(text_at[live] + k, self.text.n - 1)] == w
+        entry[~same] = -1
+        return entry
+
+    def values(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in a row (nothing with ``counts``), and how many each text has; nulls are empty."""
+        col = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        odd = np.zeros(len(col), bool)
         for s in self.special:
-            odd = pc.or_(odd, pc.match_substring(col, s))
-        odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-        rows = {k: self._keys(col[k].as_py()) for k in odd_at.tolist()}
-        if len(odd_at):
-            col = pc.if_else(odd, "", col)
-        lists = pc.split_pattern(col, " ")
-        coded = lists.values.dictionary_encode()
-        at, index = lists.offsets.to_numpy()[:-1], coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        plain = coded.dictionary.to_pylist()
-        firsts = [(plain[k],) for k in index[at].tolist()]  # a text's first piece has no space before it
-        for table in (self.pieces, self.words):
-            if len(table) > self.entries:
-                table.clear()
-        new = self._learn(plain, chain(firsts, *([x for x in r if type(x) is not str] for r in rows.values())))
-        extra = {x for r in rows.values() for x in r if type(x) is str}.difference(plain)
-        if extra:
-            new += self._learn(list(extra), ())
-        value = self.pieces.__getitem__
-        table = [value(k) for k in plain] + [value(k) for k in firsts]
-        index[at] = np.arange(len(plain), len(table))
-        if self.total is sum:
-            out = np.add.reduceat(np.array(table, np.int64)[index], at).tolist() if len(at) else []
+            odd |= pc.match_substring(col, s).to_numpy(zero_copy_only=False)
+        if odd.any():
+            return self._with_special(col, odd)
+        if self.hash.n > self.entries:
+            self.clear()
+        _, where, data = col.buffers()
+        offsets = np.frombuffer(where, np.int64 if pa.types.is_large_string(col.type) else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+        offsets, whole = offsets - offsets[0] if len(offsets) else np.zeros(1, np.int64), offsets
+        buf = np.zeros(int(offsets[-1]) + 2 * _PAD, np.uint8)
+        if offsets[-1]:
+            buf[_PAD:-_PAD] = np.frombuffer(data, np.uint8)[whole[0] : whole[-1]]
         else:
-            lens = np.fromiter(map(len, table), np.int64, len(table))
-            blob, n = np.frombuffer(b"".join(table), np.uint8), lens[index]
-            ends = np.cumsum(n)
-            unit = self.width
-            take = np.repeat(((np.cumsum(lens) - lens)[index] - (ends - n)) // unit, n // unit) + np.arange(n.sum() // unit)
-            data = blob.view(f"<u{unit}")[take].tobytes()
-            stop = ends[np.append(at[1:], len(index)) - 1].tolist() if len(at) else []
-            out = [data[a:b] for a, b in zip([0, *stop], stop)]  # noqa: B905
-        for k, keys in rows.items():
-            out[k] = self.total([value(x) for x in keys])
-        for k in new:  # first pieces, whole texts and what is long are not kept
-            if type(k) is tuple or type(k) is str and len(k) > KEPT_CHARS:
-                del self.pieces[k]
-        return out
+            return np.zeros(0, self.kind), np.zeros(len(col), np.int64)
+        start = self._cuts(buf, offsets)
+        size = np.diff(start, append=len(buf) - _PAD)
+        entry = np.full(len(start), -1, np.int64)
+        short = np.flatnonzero(size <= KEPT)
+        entry[short] = self._entries(buf, start[short], size[short].astype(np.int32))
+        kept = self.at.n, self.n.n, self.ids.n
+        rest = np.flatnonzero(entry < 0)
+        if len(rest):  # long pieces, and those whose hash another piece has, are not kept
+            entry[rest] = np.arange(self.n.n, self.n.n + len(rest))
+            pieces = [buf[a : a + n].tobytes() for a, n in zip(start[rest].tolist(), size[rest].tolist(), strict=True)]
+            distinct = list(dict.fromkeys(pieces))
+            value = dict(zip(distinct, self._values(distinct), strict=True))
+            self._add_values([value[p] for p in pieces])
+        n = self.n.data[entry]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        total = np.diff(ends[np.searchsorted(start - _PAD, offsets)])
+        if self.counts:
+            ids = np.zeros(0, self.kind)
+        else:
+            ids = self.ids.data[np.repeat(self.at.data[entry] - ends[:-1], n) + np.arange(ends[-1])]
+        self.at.n, self.n.n, self.ids.n = kept
+        return ids, total
+
+    def _with_special(self, col: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same where texts hold special tokens: these are cut out, and the parts are texts of their own."""
+        parts, owner, special = [], [], []
+        for k, t in enumerate(col.to_pylist()):
+            for x in self.cut.split(t) if odd[k] else [t]:
+                special.append(self.special.get(x, -1) if odd[k] else -1)
+                parts.append("" if special[-1] >= 0 else x)
+                owner.append(k)
+        ids, n = self.values(parts)
+        mark = np.array(special, np.int64)
+        at = np.cumsum(n)[mark >= 0]
+        if not self.counts:
+            ids = np.insert(ids, at, mark[mark >= 0].astype(self.kind))
+        return ids, np.bincount(owner, n + (mark >= 0), len(col)).astype(np.int64)
 
 
 def packer(path: str) -> tuple[str, Callable[[list[int]], bytes]]:

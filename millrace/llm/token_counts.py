@@ -35,7 +35,7 @@ def _counter(path: str, whole: frozenset[str]) -> Pieces:
         merged = dict(zip(rest, (len(x) // 4 for x in merge(rest)), strict=True))
         return [merged.get(w, 1) for w in words]
 
-    return Pieces(path, count, sum, lambda _: 1)
+    return Pieces(path, count, counts=True)
 
 
 def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:
@@ -58,14 +58,15 @@ def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
                 import sentencepiece
 
                 model = sentencepiece.SentencePieceProcessor(model_file=path)
-                _tables[path] = lambda texts: [len(x) for x in model.encode([t or "" for t in texts.to_pylist()], num_threads=1)]
+                _tables[path] = lambda texts: np.array([len(x) for x in model.encode([t or "" for t in texts.to_pylist()], num_threads=1)], np.int64)
             else:
-                _tables[path] = _counter(path, whole.value).values
+                pieces = _counter(path, whole.value)
+                _tables[path] = lambda texts: pieces.values(texts)[1]
         count = _tables[path]
         for b in batches:
             n = count(b.column(2))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(n > limit)],
                 [id_col, "n_bytes", "n_tokens", "over_limit"],
             )
 

@@ -36,14 +36,16 @@ _tables: dict = {}
 
 
 def encode_ids(path: str, texts: pa.Array | list[str | None], end_id: int) -> list[bytes]:
-    """The library's ids of each text, then ``end_id``, as packed integers. A pre-token is tokenized once."""
+    """The library's ids of each text, then ``end_id``, as packed integers. A piece is tokenized once."""
     if path not in _tables:
         model, (_, pack) = Tokenizer.from_file(path).model, packer(path)
-        words = lambda ws: [pack([t.id for t in model.tokenize(w)]) for w in ws]
-        _tables[path] = Pieces(path, words, b"".join, lambda i: pack([i])), pack
-    pieces, pack = _tables[path]
-    end = pack([end_id])
-    return [x + end for x in pieces.values(texts)]
+        _tables[path] = Pieces(path, lambda ws: [pack([t.id for t in model.tokenize(w)]) for w in ws])
+    pieces = _tables[path]
+    ids, n = pieces.values(texts)
+    ends = np.cumsum(n)
+    data, width = np.insert(ids, ends, end_id).tobytes(), pieces.kind.itemsize
+    stop = ((ends + np.arange(1, len(ends) + 1)) * width).tolist()
+    return [data[a:b] for a, b in zip([0, *stop], stop)]  # noqa: B905
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> bytes:

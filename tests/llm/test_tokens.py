@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm import bpe_lexicon, token_counts, token_files
+from millrace.llm import bpe_lexicon, pretokens, token_counts, token_files
 from millrace.llm.pretokens import Bpe, Merger, Pieces, default_tokenizer
 
 ODD = [
@@ -41,13 +41,37 @@ def test_merges(library):
 
 def test_bounded_tables(library):
     merge = Merger(Bpe(default_tokenizer()), "H")
-    p = Pieces(default_tokenizer(), merge, b"".join, lambda i: np.array([i], "<u2").tobytes())
+    p = Pieces(default_tokenizer(), merge)
     p.entries = 3
     for _ in range(2):
         for k in range(0, 330, 7):
             some = [t or "" for t in texts()[k : k + 7]]
-            assert [np.frombuffer(x, "<u2").tolist() for x in p.values(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
-    assert all(type(k) is not tuple for k in p.pieces)
+            ids, n = p.values(some)
+            want = [library.encode(t, add_special_tokens=False).ids for t in some]
+            assert n.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+    assert p.size.data[: p.size.n].max() <= pretokens.KEPT
+
+
+def test_pieces_whose_hashes_clash(library, monkeypatch):
+    monkeypatch.setattr(pretokens, "_MIX", np.uint64(1 << 60))  # few hashes are left
+    p = Pieces(default_tokenizer(), Merger(Bpe(default_tokenizer()), "H"))
+    for _ in range(2):
+        ids, n = p.values(texts())
+        assert ids.tolist() == sum([library.encode(t or "", add_special_tokens=False).ids for t in texts()], [])
+    assert len(set(p.hash.data[: p.hash.n].tolist())) == p.hash.n < 300
+
+
+def test_random_texts(library):
+    rng = random.Random(8)
+    p = Pieces(default_tokenizer(), Merger(Bpe(default_tokenizer()), "H"))
+    parts = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2009", "\u2028", "\u3000", "\ufeff", "\u1680", "\u180e", "a", "Z", "'s", "'ll", "'", ".", "”", "…", "é", "日", "7", "½", "<|endoftext|>", "ab", "\x00", "_", "😀", "\u0301"]
+    for _ in range(60):
+        some = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+        ids, n = p.values(some)
+        at = 0
+        for t, k in zip(some, n.tolist()):
+            assert ids[at : at + k].tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+            at += k
 
 
 def test_counts(spark, library):
@@ -106,12 +130,13 @@ def test_lexicon_shares_suffixes(tmp_path):
     words = sorted({a + b for a in (b"walk", b"talk", b"\xff", b"stalk") for b in (b"", b"s", b"ed", b"ing")})
     data = bpe_lexicon.compile_lexicon([(w, bytes([k, 0] * (k % 3))) for k, w in enumerate(words)], 2)
     (tmp_path / "lex").write_bytes(data)
-    for lex in (bpe_lexicon.Lexicon.from_bytes(data), bpe_lexicon.Lexicon.open(str(tmp_path / "lex"))):
+    for lex in (bpe_lexicon.Lexicon.open(str(tmp_path / "lex")),):
         assert [lex.get(w) for w in words] == [bytes([k, 0] * (k % 3)) for k in range(len(words))]
         assert lex.get(b"wal") is None and lex.get(b"walke") is None and lex.get(b"") is None and lex.get(b"q") is None
         assert lex.get_many([*words, b"wal", b"", b"walke"]) == [*(lex.get(w) for w in words), None, None, None]
         assert len(lex.final) < sum(map(len, words)) / 3
-    assert bpe_lexicon.Lexicon.from_bytes(bpe_lexicon.compile_lexicon([], 2)).get_many([b"a"]) == [None]
+    (tmp_path / "none").write_bytes(bpe_lexicon.compile_lexicon([], 2))
+    assert bpe_lexicon.Lexicon.open(str(tmp_path / "none")).get_many([b"a"]) == [None]
 
 
 def test_empty(spark, tmp_path):
