@@ -17,7 +17,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, most_frequent, word_counts
+from .common import bounded_batches, most_frequent, word_counts, words_in
 from .pretokens import Bpe, Merger, Pieces, default_tokenizer, letters, packer
 
 #: Words in the lexicon at most; all other words are merged.
@@ -25,8 +25,8 @@ LEXICON_WORDS = 50_000
 #: Longer words are not counted for it.
 LEXICON_BYTES = 64
 _BYTE = [bytes([k]) for k in range(256)]
-#: White space in place of ASCII punctuation and control characters.
-_APART = bytes(k if k >= 0x80 or chr(k).isalnum() else 32 for k in range(256))
+#: Bytes of words: ASCII letters and digits, and all of other characters.
+_WORD = np.array([k >= 0x80 or chr(k).isalnum() for k in range(256)])
 _tables: dict = {}
 _shared: dict[str, set] = {}
 
@@ -164,7 +164,7 @@ def compile_lexicon(words: Iterable[tuple[bytes, bytes]], width: int) -> bytes:
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> list[str]:
     """The most frequent words of all texts, with a space before them: at most ``most``."""
     bounded_batches(docs.sparkSession)
-    counts = word_counts(docs.select(F.col(text_col).cast("binary")), lambda t: t.translate(_APART).split())
+    counts = word_counts(docs.select(F.col(text_col).cast("binary")), lambda t: words_in(t, _WORD, False)[0])
     return [f" {w.decode()}" for w, _ in most_frequent(counts.where(F.octet_length("w").between(1, LEXICON_BYTES - 1)), most)]
 
 

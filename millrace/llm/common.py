@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,33 +115,53 @@ def spread_join(rows: DataFrame, side: DataFrame, keys: list[str], parts: int =
     return left.join(right, [*keys, "_salt"]).drop("_salt")
 
 
-#: Words that a task counts before it hands on its counts.
-HELD = 300_000
+#: Bytes that are no ASCII white space.
+SOLID = np.ones(256, bool)
+SOLID[[*range(9, 14), 32]] = False
 
 
-def word_counts(texts: DataFrame, words: Callable[[bytes], Iterable[bytes]]) -> DataFrame:
-    """``w`` (BINARY), ``n`` over all rows of ``texts``, a frame of one BINARY column; written to the shared folder."""
+def words_in(texts: pa.Array, solid: np.ndarray = SOLID, lower: bool = True) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """All words of a BINARY array in a row, and how many each text has; nulls have none.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            pair = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["w", "n"])
-            held.clear()
-            return pair
+    A word is a run of bytes for which ``solid`` holds; with ``lower``, ASCII
+    capitals are lower-cased.
+    """
+    texts = pc.fill_null(texts, b"")
+    if not len(texts):
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
+    _, where, data = texts.buffers()
+    kind = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    offsets = np.frombuffer(where, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    if lower:
+        raw = raw + ((raw - np.uint8(65)) < 26).view(np.uint8) * np.uint8(32)
+    inside = solid[raw]
+    edge = np.zeros(len(raw) + 1, bool)  # where a text begins, a word ends
+    edge[offsets] = True
+    start = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1] | edge[1:-1]])) if len(raw) else np.zeros(0, np.int64)
+    end = np.flatnonzero(inside & np.concatenate([~inside[1:] | edge[1:-1], [True]])) if len(raw) else start
+    ends = np.concatenate([[0], np.cumsum(end + 1 - start)])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw[inside]))])
+    return words, np.diff(np.searchsorted(start, offsets))
+
+
+def word_counts(texts: DataFrame, words: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """``w`` (BINARY), ``n`` over all rows of ``texts``, a frame of one BINARY column; written to the shared folder.
+
+    ``words`` gives the words of a batch; its counts are added up before the shuffle.
+    """
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x in b.column(0):
-                held.update(words(x.as_py() or b""))
-                if len(held) >= HELD:
-                    yield out()
-        yield out()
+            pair = pc.value_counts(words(b.column(0)))
+            yield pa.RecordBatch.from_arrays([pair.field(0).cast(pa.binary()), pair.field(1)], ["w", "n"])
 
     return staged(texts.mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")))
 
 
-def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """The most frequent words of ``word_counts``: at most ``most``, most frequent first, ties in the words' order.
+def most_frequent(counts: DataFrame, most: int, *more: str) -> list[tuple]:
+    """The most frequent words ``w`` by ``n``, and columns ``more``: at most ``most``, most frequent first, ties in the words' order.
 
     Counts are put into about a thousand levels at most, and whole levels are
     taken from the top, so the driver gets the levels and the words taken.
@@ -154,5 +175,5 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
         least = at
     if least is None:
         return []
-    rows = [(bytes(r.w), r.n) for r in counts.where(level >= least).select("w", "n").collect()]
+    rows = [(bytes(r[0]), *r[1:]) for r in counts.where(level >= least).select("w", "n", *more).collect()]
     return sorted(rows, key=lambda x: (-x[1], x[0]))

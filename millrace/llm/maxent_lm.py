@@ -7,11 +7,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, most_frequent, staged, word_counts
+from .common import bounded_batches, most_frequent, staged, words_in
 
 #: The end of a text; no word holds white space.
 END = b"\n"
@@ -19,13 +19,18 @@ END = b"\n"
 HEAD = 150_000
 #: Classes of words, most frequent words first, and the words in each. One more class holds all other words.
 CLASSES, MEMBERS = 32, 64
-#: Words of that class go down a tree by their hash: children of a node, words to a leaf at most, about, and levels at most.
-BRANCH, LEAF, LEVELS = 32, 16, 4
-SEED = 42
+#: Words with fewer than so many more frequent ones stand for themselves in contexts, others for their leaf.
+CONTEXTS = 16_384
+#: Words of the last class are put in order and cut into leaves of a tree: children of a node, and levels at most.
+BRANCH, LEVELS = 32, 4
+#: Words to a leaf, about, that make for two levels, and for more.
+LEAF, CROWDED = 16, 8192
+#: Bytes of a word that its place in the order follows from.
+PREFIX = 7
 #: Rows of hashed weights at least: for classes, for the words of a class, and for the nodes of the tree.
-CLASS_ROWS, WORD_ROWS, TREE_ROWS = 1 << 13, 1 << 14, 1 << 15
+CLASS_ROWS, WORD_ROWS, TREE_ROWS = 1 << 14, 1 << 15, 1 << 14
 #: Training tokens for each row of classes, about; the tables grow to so many times their least size.
-ROW_TOKENS, GROWN = 1 << 12, 8
+ROW_TOKENS, GROWN = 1 << 10, 8
 FEATURES = 3
 #: The training texts are dealt into as many rounds; after each the tasks' updates are mixed.
 ROUNDS = 2
@@ -35,23 +40,10 @@ RATE, STEP, CHUNK = 0.25, 8192, 64
 _MASK = np.float32(-1e9)
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
-
-
-def word_hash(word: bytes) -> int:
-    """62 bits of XXH64, as ``hash_of`` takes them in Spark."""
-    return xxhash.xxh64_intdigest(word, SEED) >> 2
-
-
-def hash_of(col: str) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(col), 2)
-
-
 def depth_of(words: int) -> int:
     """Levels of the tree for so many words."""
     depth = 0
-    while depth < LEVELS and words > LEAF * BRANCH**depth:
+    while depth < LEVELS and words > (LEAF if depth < 2 else CROWDED) * BRANCH**depth:
         depth += 1
     return depth
 
@@ -107,21 +99,20 @@ class Model:
     word_rows: np.ndarray
     vocabulary: int
     head: int
-    hashes: np.ndarray
+    leaf_of: np.ndarray
     tree_bias: np.ndarray
     tree_rows: np.ndarray
     leaves: np.ndarray
     depth: int = 0
 
     @classmethod
-    def start(cls, counts: np.ndarray, others: int, leaves: np.ndarray | None = None, hashes: np.ndarray | None = None, grown: int = 1) -> Model:
-        """``counts``: of the vocabulary by rank; ``others``: tokens that are not in it. Starts from the unigrams.
+    def start(cls, counts: np.ndarray, leaves: np.ndarray, leaf_of: np.ndarray | None = None, grown: int = 1) -> Model:
+        """Starts from the unigrams. ``counts``: of the vocabulary by rank; ``leaves``: tokens of other words by leaf.
 
-        ``leaves``: sums of add-one counts of other words by leaf, and of one
-        unseen word in each; ``hashes``: of words by rank; ``grown``: size of
-        the tables as times the least.
+        ``leaf_of``: leaves of words by rank; ``grown``: size of the tables as
+        times the least.
         """
-        leaves = np.ones(1) if leaves is None else leaves.astype(np.float64)
+        leaves = leaves.astype(np.float64) + 1
         depth = round(np.log(len(leaves)) / np.log(BRANCH))
         sums = [leaves.reshape(BRANCH**level, BRANCH, -1).sum(2) for level in range(depth)]
         tree_bias = np.concatenate([np.log(x / x.sum(1, keepdims=True)) for x in sums]) if sums else np.zeros((0, BRANCH))
@@ -129,11 +120,12 @@ class Model:
         size.ravel()[: len(counts)] = counts
         with np.errstate(divide="ignore", invalid="ignore"):
             word_bias = np.where(size > 0, np.log(size / size.sum(1, keepdims=True)), _MASK)
-            total = np.append(size.sum(1), others + 1)
+            total = np.append(size.sum(1), leaves.sum())
             class_bias = np.where(total > 0, np.log(total / total.sum()), _MASK)
         zero = lambda *n: np.zeros(n, np.float32)
-        return cls(class_bias.astype(np.float32), word_bias.astype(np.float32), zero(CLASS_ROWS * grown, CLASSES + 1), zero(WORD_ROWS * grown, MEMBERS), len(counts), 0,
-                   np.zeros(0, np.int64) if hashes is None else hashes, tree_bias.astype(np.float32), zero(TREE_ROWS * grown if depth else 0, BRANCH), np.log(leaves), depth)
+        return cls(class_bias.astype(np.float32), word_bias.astype(np.float32), zero(CLASS_ROWS * grown, CLASSES + 1), zero(WORD_ROWS * grown, MEMBERS), len(counts),
+                   0 if leaf_of is None else len(leaf_of), np.zeros(0, np.int64) if leaf_of is None else leaf_of,
+                   tree_bias.astype(np.float32), zero(TREE_ROWS * grown if depth else 0, BRANCH), np.log(leaves), depth)
 
     @property
     def tables(self) -> list[np.ndarray]:
@@ -141,12 +133,10 @@ class Model:
 
     def leaf(self, word: np.ndarray) -> np.ndarray:
         """Leaves of words outside the vocabulary."""
-        if not self.depth:
-            return np.zeros(len(word), np.int64)
-        known = word < self.head
         out = word - self.head - 2
-        out[known] = self.hashes[word[known]]
-        return out % BRANCH**self.depth
+        known = word < self.head
+        out[known] = self.leaf_of[word[known]]
+        return out
 
     def features(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Hashes of the contexts, one line for each feature. ``one``: the word before, ``two``: the one before that."""
@@ -174,7 +164,7 @@ class Model:
             yield self.tree_rows, rows.astype(np.int64), self.tree_bias[nodes], goal, np.tile(at, self.depth)
 
     def score(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Natural logarithms; for a word outside the vocabulary, of its leaf, less that of the leaf's add-one counts."""
+        """Natural logarithms; for a word outside the vocabulary, of its leaf, less that of the leaf's tokens and one."""
         out = np.empty(len(word), np.float64)
         for k in range(0, len(word), STEP):
             w = word[k : k + STEP]
@@ -213,35 +203,66 @@ class Model:
                 weights[at] -= (RATE / np.sqrt(square[at] + 1))[:, None] * slope
 
 
-def _contexts(docs: list[np.ndarray], none: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens in a row, and the two before each; ``none`` stands before a text."""
-    word = np.concatenate(docs)
-    starts = np.cumsum([0] + [len(d) for d in docs[:-1]])
+def _contexts(word: np.ndarray, n: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two tokens before each of texts of ``n`` tokens in a row; ``none`` stands before a text."""
     one, two = np.roll(word, 1), np.roll(word, 2)
+    starts = np.cumsum(n) - n
     one[starts] = none
     two[starts] = none
-    second = starts + 1
-    two[second[(second < len(word)) & ~np.isin(second, starts)]] = none
-    return word, one, two
+    two[starts[n > 1] + 1] = none
+    return one, two
+
+
+def _keys(words: pa.LargeBinaryArray) -> np.ndarray:
+    """The first bytes of words as numbers in the same order, as ``_KEY`` takes them in Spark."""
+    _, where, data = words.buffers()
+    at = np.frombuffer(where, np.int64)[words.offset : words.offset + len(words) + 1]
+    raw = np.concatenate([np.frombuffer(data, np.uint8)[: at[-1]], np.zeros(8, np.uint8)])
+    first = np.ndarray(len(raw) - 7, ">u8", raw.data, strides=(1,))[at[:-1]].astype(np.uint64)
+    cut = np.uint64(8) * (np.uint64(8) - np.minimum(np.diff(at), PREFIX).astype(np.uint64))
+    return (first >> cut << cut >> np.uint64(8)).astype(np.int64)
+
+
+_KEY = f"cast(conv(hex(rpad(substring(w, 1, {PREFIX}), {PREFIX})), 16, 10) as bigint)"
+
+
+@dataclass
+class Numbers:
+    """What gives words their numbers: the head, most frequent first, with counts, and the bounds of leaves."""
 
+    head: pa.LargeBinaryArray
+    n: np.ndarray
+    bounds: np.ndarray
 
-def _train(docs: DataFrame, shared, ranks, tasks: int) -> list[tuple[int, int, bytes]]:
+    @property
+    def none(self) -> int:
+        return min(len(self.head), CONTEXTS) + 1
+
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.LargeBinaryArray]:
+        """Numbers of all tokens, tokens of each text, ranks in the head (-1: not there) and the words, ends included."""
+        words, n = words_in(texts)
+        at = np.cumsum(n)
+        order = np.insert(np.arange(len(words)), at, len(words))
+        words = pa.concat_arrays([words, pa.array([END], pa.large_binary())])
+        rank = pc.fill_null(pc.index_in(words, self.head), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        known = np.append(self.n, 0)[rank] > 0
+        leaf = np.searchsorted(self.bounds, _keys(words), "right")
+        number = np.where(known & (rank < CONTEXTS) & (rank >= 0), rank, self.none + 1 + leaf)
+        return number[order], n + 1, rank[order], words.take(order)
+
+
+def _train(docs: DataFrame, shared, numbers, tasks: int) -> list[tuple[int, int, bytes]]:
     """One round: each task takes gradient steps from the shared weights; changes of rows are averaged over the tasks that changed them."""
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        get, none = ranks.value.get, len(ranks.value)
-        code = lambda w: none + 2 + word_hash(w) if (k := get(w)) is None else k
+        model, words = shared.value, numbers.value
         old = model.tables
         model = replace(model, class_rows=old[0].copy(), word_rows=old[1].copy(), tree_rows=model.tree_rows.copy())
         squares = [np.zeros(len(w), np.float32) for w in old]
         for b in batches:
-            held = []
-            for x in b.column(0):
-                words = words_of(x.as_py() or b"")
-                held.append(np.fromiter([*map(code, words), code(END)], np.int64, len(words) + 1))
-            if held:
-                model.train(*_contexts(held, none + 1), squares)
+            if b.num_rows:
+                word, n, _, _ = words.read(b.column(0))
+                model.train(word, *_contexts(word, n, words.none), squares)
         out = []
         for table, (before, after) in enumerate(zip(old, model.tables, strict=True)):
             change = (after - before).astype(np.float16)
@@ -269,35 +290,79 @@ def _train(docs: DataFrame, shared, ranks, tasks: int) -> list[tuple[int, int, b
     return [(r.t, r.k, bytes(r.d)) for r in changes.repartition("t", "k").mapInArrow(mix, "t int, k int, d binary").collect()]
 
 
-def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> tuple[Model, dict[bytes, int], np.ndarray, int, int]:
-    """``train``: ``id`` and ``t`` (BINARY). Returns the model, the ranks of frequent words and their counts, N and V."""
+def count_words(rows: DataFrame) -> DataFrame:
+    """``w``, ``n`` (in training texts), ``every`` (in all) over ``t`` and ``held_out``; written to the shared folder."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words, n = words_in(b.column(0))
+            held = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            own = np.repeat(~held, n)
+            coded = words.dictionary_encode()
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            every = np.append(np.bincount(at, minlength=len(coded.dictionary)), len(held)).astype(np.int64)
+            train = np.append(np.bincount(at[own], minlength=len(coded.dictionary)), (~held).sum()).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())]), pa.array(train), pa.array(every)], ["w", "n", "every"])
+
+    both = rows.select("t", "held_out").mapInArrow(count, "w binary, n long, every long")
+    return staged(both.groupBy("w").agg(F.sum("n").alias("n"), F.sum("every").alias("every")))
+
+
+def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> tuple[Model, Numbers, Tail, int, int]:
+    """``train``: ``id`` and ``t`` (BINARY). Returns the model, the words' numbers, the share of other words, N and V."""
     spark = train.sparkSession
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = most_frequent(counts, head)
-    n = np.array([c for _, c in top], np.int64)
+    seen = F.when(F.col("n") > 0, 1)
+    total, distinct, once, twice = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count(seen), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    ).first()
+    # By all texts: what is left has at most a ``head``-th of all tokens, held out or not, so no key of the later join is hot.
+    top = sorted(most_frequent(counts.select("w", F.col("every").alias("n"), F.col("n").alias("own")), head, "own"), key=lambda x: (-x[2], x[0]))
+    n = np.array([x[2] for x in top], np.int64)
     vocabulary = n[: CLASSES * MEMBERS]
+    vocabulary = vocabulary[vocabulary > 0]
     depth = depth_of(distinct - len(vocabulary))
-    size, hashes = BRANCH**depth, np.fromiter((word_hash(w) for w, _ in top), np.int64, len(top))
+    size = BRANCH**depth
+    bounds = np.zeros(0, np.int64)
+    if depth:
+        cuts = [k / size for k in range(1, size)]
+        bounds = np.array(counts.agg(F.percentile_approx(F.expr(_KEY), cuts, max(10_000, 8 * size))).first()[0], np.int64)
+    words = pa.array([x[0] for x in top], pa.large_binary())
+    numbers = Numbers(words, n, bounds)
+    leaf_of = np.searchsorted(bounds, _keys(words), "right")
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(bounds, b.column(0).to_numpy(), "right").astype(np.int32)), *b.columns[1:]], ["leaf", "n", "v"])
+
     # At most BRANCH ** LEVELS rows.
-    sums = counts.groupBy((hash_of("w") % size).cast("int").alias("leaf")).agg(F.sum(F.col("n") + 1).alias("n")).toArrow()
-    leaves = np.ones(size, np.int64)
-    leaves[sums["leaf"].to_numpy()] += sums["n"].to_numpy()
-    np.subtract.at(leaves, hashes[: len(vocabulary)] % size, vocabulary + 1)
+    by_leaf = counts.where("n > 0").groupBy(F.expr(_KEY).alias("key")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).mapInArrow(sums, "leaf int, n long, v long")
+    got = by_leaf.groupBy("leaf").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow()
+    tokens, types = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    tokens[got["leaf"].to_numpy()], types[got["leaf"].to_numpy()] = got["n"].to_numpy(), got["v"].to_numpy()
+    np.subtract.at(tokens, leaf_of[: len(vocabulary)], vocabulary)
+    np.subtract.at(types, leaf_of[: len(vocabulary)], 1)
     grown = 1
     while grown < GROWN and CLASS_ROWS * grown * 2 * ROW_TOKENS <= total:
         grown *= 2
-    model = Model.start(vocabulary, int(total - vocabulary.sum()), leaves, hashes, grown)
-    model.head = len(top)
-    ranks = {w: k for k, (w, _) in enumerate(top)}
-    shared_ranks = spark.sparkContext.broadcast(ranks)  # at most ``head`` words
+    model = Model.start(vocabulary, tokens, leaf_of[: min(len(top), CONTEXTS)], grown)
+    discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5
+    shared_numbers = spark.sparkContext.broadcast(numbers)  # at most ``head`` words
     tasks = max(1, int(total // TASK_TOKENS))
     for r in range(rounds if total else 0):
         shared = spark.sparkContext.broadcast(model)
         part = train.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("t")
-        for t, k, d in _train(part, shared, shared_ranks, tasks):
+        for t, k, d in _train(part, shared, shared_numbers, tasks):
             rows = model.tables[t]
             rows[k : k + CHUNK] += np.frombuffer(d, np.float32).reshape(CHUNK, -1)
-    return model, ranks, n, int(total), int(distinct)
+    return model, numbers, Tail(discount, np.log10(discount * types + 1)), int(total), int(distinct)
+
+
+@dataclass
+class Tail:
+    """Shares in a leaf: a word's tokens less a discount, and for an unseen word what is discounted, and one."""
+
+    discount: float
+    unseen: np.ndarray
 
 
 def language_scores(
@@ -308,11 +373,15 @@ def language_scores(
     Tokens are runs without ASCII white space, ASCII capitals lower-cased, and
     one end for each text. Rows whose CRC-32 of the id, as text, modulo
     ``folds`` is ``held_fold`` are scored but not learned from. ``base_score``
-    is the add-one unigram log10 probability, ``score`` the model's. A word
-    outside the most frequent ones has the probability of its leaf in a tree
-    of all others, given the words before, times its add-one share in the
-    leaf, so the probabilities of all words, and of one unseen word in each
-    leaf, sum to one. Levels of the tree follow from the distinct words.
+    is the add-one unigram log10 probability, ``score`` the model's. The
+    CLASSES * MEMBERS most frequent words are predicted one by one from the
+    words before; any other has the probability of its leaf in a tree of all
+    others, given the words before, times its share in the leaf. An unseen
+    word has the share that the discount of the leaf's words leaves, so the
+    probabilities of all words, and of one unseen word in each leaf, sum to
+    one. Levels of the tree and rows of weights follow from the corpus.
+    Updates are mixed over tasks, so scores depend a little on how rows fall
+    into them; ``base_score`` and counts do not.
 
     Null texts are empty (the end alone), rows without an id are left out,
     repeated rows are learned from and returned as often as they occur, other
@@ -325,43 +394,55 @@ def language_scores(
         (F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(folds)) == held_fold).alias("held_out"),
         F.col(text_col).cast("binary").alias("t"),
     )
-    train = rows.where(~F.col("held_out")).select("id", "t")
-    counts = word_counts(train.select("t"), lambda t: [*words_of(t), END])
-    model, ranks, n, total, distinct = fit(train, counts, head, rounds)
-    shared = spark.sparkContext.broadcast((model, ranks, np.log10(np.append(n, 0) + 1.0)))
+    counts = count_words(rows)
+    return score_texts(rows, counts, fit(rows.where(~F.col("held_out")).select("id", "t"), counts, head, rounds), id_col)
+
+
+def score_texts(rows: DataFrame, counts: DataFrame, fitted: tuple[Model, Numbers, Tail, int, int], id_col: str = "doc_id") -> DataFrame:
+    """Scores of ``id``, ``held_out``, ``t`` as ``language_scores`` returns them, from what ``fit`` gave."""
+    model, numbers, tail, total, distinct = fitted
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((model, numbers, tail))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, ranks, logs = shared.value
-        get, none = ranks.get, len(ranks)
-        code = lambda w: none + 2 + word_hash(w) if (k := get(w)) is None else k
+        model, numbers, tail = shared.value
+        count = np.append(numbers.n, 0)
+        add_one = np.log10(count + 1.0)
+        share = np.log10(np.maximum(count - tail.discount, 0.05))
+        leaf_of = np.searchsorted(numbers.bounds, _keys(numbers.head), "right")
         for b in batches:
-            docs, rare = [], []
-            for x in b.column(2):
-                words = [*words_of(x.as_py() or b""), END]
-                ids = np.fromiter(map(code, words), np.int64, len(words))
-                docs.append(ids)
-                rare.append([words[k] for k in np.flatnonzero(ids >= none).tolist()])
-            if not docs:
+            if not b.num_rows:
                 continue
-            word, one, two = _contexts(docs, none + 1)
-            doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-            add = lambda v: pa.array(np.bincount(doc, v, len(docs)))
-            out = word >= model.vocabulary
-            known = np.bincount(doc, word < none, len(docs)).astype(np.int64)
-            tokens = pa.array([len(d) for d in docs], pa.int64())
-            held = logs[np.minimum(word, none)]
+            word, n, rank, words = numbers.read(b.column(2))
+            doc = np.repeat(np.arange(len(n)), n)
+            add = lambda v: np.bincount(doc, v, len(n))  # noqa: B023, E731
+            held, other = rank >= 0, word >= model.vocabulary
+            # Words of the head that no training text has are unseen like any other.
+            own = np.where(count[rank] > 0, share[rank], tail.unseen[np.where(held, np.append(leaf_of, 0)[rank], 0)])
+            value = add(np.where(other & held, own, 0)) + add(model.score(word, *_contexts(word, n, numbers.none))) / np.log(10)
+            at = np.flatnonzero(~held)
+            coded = words.take(at).dictionary_encode()
+            pair, times = np.unique(doc[at] * max(1, len(coded.dictionary)) + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            of, at = np.divmod(pair, max(1, len(coded.dictionary)))
+            leaf = np.searchsorted(numbers.bounds, _keys(coded.dictionary), "right")[at]
+            item = pa.StructArray.from_arrays([coded.dictionary.take(at).cast(pa.binary()), pa.array(times), pa.array(tail.unseen[leaf])], ["w", "m", "u"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(n) + 1)), pa.int32()), item)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), tokens, pa.array(known), add(held), add(held * out), add(model.score(word, one, two)), pa.array(rare, pa.list_(pa.binary()))],
-                ["id", "held_out", "n_tokens", "known", "logs", "outside_logs", "model", "rare"],
+                [b.column(0), b.column(1), pa.array(n), pa.array(add(held & (count[rank] > 0)).astype(np.int64)), pa.array(add(np.where(held, add_one[rank], 0))), pa.array(value), lists],
+                ["id", "held_out", "n_tokens", "known", "logs", "value", "rare"],
             )
 
-    kind = "id long, held_out boolean, n_tokens long, known long, logs double, outside_logs double, model double, rare array<binary>"
+    kind = "id long, held_out boolean, n_tokens long, known long, logs double, value double, rare array<struct<w:binary,m:long,u:double>>"
     scored = staged(rows.mapInArrow(score, kind).withColumn("row", F.monotonically_increasing_id()))
-    rare = scored.select("row", F.explode("rare").alias("w"))
-    tail = rare.join(counts, "w").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
-    more, more_logs = F.coalesce("more", F.lit(0)), F.coalesce("more_logs", F.lit(0.0))
-    return scored.drop("rare").join(tail, "row", "left").select(
-        F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + more).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("logs") + more_logs - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))).alias("base_score"),
-        (F.col("model") / float(np.log(10)) + F.col("outside_logs") + more_logs).alias("score"),
+    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(counts.where("n > 0").select("w", "n"), "w", "left")
+    more = rare.groupBy("row").agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.col("m"))).alias("more"),
+        F.sum(F.col("m") * F.log10(F.col("n") + 1)).alias("more_logs"),
+        F.sum(F.col("m") * F.coalesce(F.log10(F.col("n") - tail.discount), "u")).alias("more_value"),
+    )
+    nought = lambda c: F.coalesce(c, F.lit(0))
+    return scored.drop("rare").join(more, "row", "left").select(
+        F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + nought("more")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("logs") + nought("more_logs") - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))).alias("base_score"),
+        (F.col("value") + nought("more_value")).alias("score"),
     )
