@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import staged
+
 
 def top_rows(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
     """The ``n`` greatest, ties by key: no global sort and no single-partition window."""
@@ -55,35 +57,26 @@ def scd2(changes: DataFrame, scope: Sequence[str], starts: str, ends: str) -> Da
 def key_ranges(df: DataFrame, key: str, n: int, partitions: int | None = None) -> DataFrame:
     """``seq, from_key, to_key, rows``: sorted keys cut into ranges of ``n``.
 
-    Keys are range-partitioned; each partition numbers its own rows and adds
-    what lies before it, so no task sees all keys. Repeated keys are an error.
+    Keys are range-partitioned once and written with their partition's number,
+    so the rows that are counted are the rows that are numbered; each partition
+    numbers its own and adds what lies before it. Repeated keys, which fall into
+    one partition, are an error. Null keys are left out.
     """
-    import pyarrow as pa
-
-    keys = df.select(F.col(key).alias("k"))
-    spread = (keys.repartitionByRange(partitions, "k") if partitions else keys.repartitionByRange("k")).sortWithinPartitions("k")
-    cut = spread.select("k", F.spark_partition_id().alias("p"))
+    keys = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"))
+    spread = keys.repartitionByRange(partitions, "k") if partitions else keys.repartitionByRange("k")
+    cut = staged(spread.select("k", F.spark_partition_id().alias("p")))
     # Partition numbers and their row counts: one row for each partition.
-    counts = cut.groupBy("p").count().orderBy("p").collect()
-    before, base = 0, {}
-    for r in counts:
-        base[r.p] = before
-        before += r["count"]
-
-    def number(batches):
-        at = None
-        for b in batches:
-            if b.num_rows:
-                at = base[b.column(1)[0].as_py()] if at is None else at
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(range(at, at + b.num_rows), pa.int64())], ["k", "i"])
-                at += b.num_rows
-
-    kind = df.schema[key].dataType.simpleString()
-    numbered = cut.mapInArrow(number, f"k {kind}, i long")
-    out = numbered.groupBy((F.floor(F.col("i") / n) + 1).cast("long").alias("seq")).agg(
-        F.min("k").alias("from_key"), F.max("k").alias("to_key"), F.count("*").alias("rows"), F.count_distinct("k").alias("_d")
-    )
-    return out.select("seq", "from_key", "to_key", F.when(F.col("rows") == F.col("_d"), F.col("rows")).otherwise(F.raise_error(F.lit("duplicate keys")).cast("long")).alias("rows"))
+    before, base = 0, []
+    for p, rows in sorted(map(tuple, cut.groupBy("p").count().collect())):
+        base.append((p, before))
+        before += rows
+    offsets = F.broadcast(df.sparkSession.createDataFrame(base, "p int, base long"))
+    w = Window.partitionBy("p").orderBy("k")
+    numbered = cut.withColumns({"i": F.row_number().over(w) - 1, "same": F.lag("k").over(w) == F.col("k")}).join(offsets, "p")
+    at = F.floor((F.col("base") + F.col("i")) / n).cast("long") + 1
+    out = numbered.groupBy(at.alias("seq")).agg(F.min("k").alias("from_key"), F.max("k").alias("to_key"), F.count("*").alias("rows"), F.bool_or("same").alias("_same"))
+    refuse = F.raise_error(F.lit("duplicate keys")).cast("long")
+    return out.select("seq", "from_key", "to_key", F.when(F.col("_same"), refuse).otherwise(F.col("rows")).alias("rows"))
 
 
 def resource_history(audit: DataFrame, resource: str, ts: str, id_col: str) -> DataFrame:

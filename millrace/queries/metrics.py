@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
+from ..scratch import scratch_path
 from ..streaming import streams as sm
 from .content import alerts
 from .registry import E, Tables, query
@@ -107,8 +105,7 @@ def _stream(t: Tables) -> DataFrame:
 
 def _finished(t: Tables, out: DataFrame, mode: str) -> DataFrame:
     """Run a stream over what is there and read what it wrote, from the shared scratch folder."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    at = f"{root}/stream-{uuid.uuid4().hex}"
+    at = scratch_path(t.spark, "stream")
     q = out.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
     if mode == "append":
         q.format("parquet").option("path", f"{at}/rows").start().awaitTermination()

@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import scratch
 from millrace.operators import windows as wn
 from millrace.plans import content as ct
 from millrace.sources import readers, sinks
@@ -61,6 +62,28 @@ def test_key_ranges_refuse_repeated_keys(spark):
     assert [(r.seq, r.from_key, r.to_key, r.rows) for r in got] == [(1, 0, 9, 10), (2, 10, 19, 10), (3, 20, 24, 5)]
 
 
+@pytest.mark.parametrize("partitions", [None, 64])
+def test_key_ranges_over_many_partitions(spark, partitions):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3_000_000).select(F.xxhash64("id").alias("k"))
+        got = wn.key_ranges(df, "k", 1000, partitions).orderBy("seq").collect()
+        by_rank = sorted(r.k for r in df.collect())
+        assert [tuple(r) for r in got] == [(k // 1000 + 1, by_rank[k], by_rank[k + 999], 1000) for k in range(0, 3_000_000, 1000)]
+        with pytest.raises(Exception, match="duplicate keys"):  # equal keys on both sides of a range's end
+            wn.key_ranges(spark.range(2000).select(F.when(F.col("id") == 1000, 999).otherwise(F.col("id")).alias("k")), "k", 1000, partitions).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_scratch(spark, tmp_path):
+    df = scratch.staged(spark.range(5))
+    assert df.count() == 5
+    scratch.clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+        df.sparkSession.read.parquet(df.inputFiles()[0]).count()
+
+
 def test_reindex_refuses_lost_rows(spark):
     df = spark.range(5)
     assert ct.checked_reindex(df, df).count() == 5
