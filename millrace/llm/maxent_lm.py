@@ -30,12 +30,12 @@ PREFIX = 7
 #: Rows of hashed weights at least: for classes, for the words of a class, and for the nodes of the tree.
 CLASS_ROWS, WORD_ROWS, TREE_ROWS = 1 << 14, 1 << 15, 1 << 14
 #: Training tokens for each row of classes, about; the tables grow to so many times their least size.
-ROW_TOKENS, GROWN = 1 << 10, 8
+ROW_TOKENS, GROWN = 1 << 11, 8
 FEATURES = 3
 #: The training texts are dealt into as many rounds; after each the tasks' updates are mixed.
 ROUNDS = 2
-#: Training tokens for each task at least, so that updates stay small against the texts.
-TASK_TOKENS = 1_000_000
+#: Training tokens for each task at least, times the growth of the tables, so that updates stay small against the texts.
+TASK_TOKENS = 2_000_000
 RATE, STEP, CHUNK = 0.25, 8192, 64
 _MASK = np.float32(-1e9)
 
@@ -347,7 +347,7 @@ def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROU
     model = Model.start(vocabulary, tokens, leaf_of[: min(len(top), CONTEXTS)], grown)
     discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5
     shared_numbers = spark.sparkContext.broadcast(numbers)  # at most ``head`` words
-    tasks = max(1, int(total // TASK_TOKENS))
+    tasks = max(1, int(total // (TASK_TOKENS * grown)))
     for r in range(rounds if total else 0):
         shared = spark.sparkContext.broadcast(model)
         part = train.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("t")
