@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, hash_sample, staged
 
-KINDS = ("email", "ip", "card", "phone")
+#: Kinds of the fixed patterns, and all kinds: only the tagger finds secrets, such as access tokens.
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 Span = tuple[str, int, int]
 # Characters of the base patterns.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -23,7 +25,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANCHOR = re.compile(r"[0-9@]")
 #: What may be the same data in another form: such windows have no sure labels.
-_UNSURE = re.compile(r"@|[0-9](?:[ ().+/-]*[0-9]){9,}")
+_UNSURE = re.compile(r"@|[0-9](?:[ ().+/-]*[0-9]){9,}|(?=[a-zA-Z_-]*[0-9])(?=[0-9_-]*[a-zA-Z])[0-9a-zA-Z_-]{16,}")
+#: Labels of secrets for training: a quoted run of letters and digits that something is set to.
+_QUOTED = re.compile(r"""[=:]\s?["']((?=[a-zA-Z]*[0-9])(?=[0-9]*[a-zA-Z])[0-9a-zA-Z]{20,80})["']""")
 
 
 def luhn(digits: str) -> bool:
@@ -82,8 +86,7 @@ STRIDE = WIDTH // 2
 #: Windows that the tagger is trained on, about, and passes over them.
 SAMPLE, EPOCHS, BATCH, RATE = 2000, 8, 50, 0.03
 _MARKS = "@.-_+()/:,='\"%#|*\n \t"
-CLASSES = 6 + len(_MARKS)
-_ASCII = np.zeros(128, np.int64)
+CLASSES = 8 + len(_MARKS)
 
 
 def _class_table() -> np.ndarray:
@@ -91,7 +94,8 @@ def _class_table() -> np.ndarray:
     table[[ord(c) for c in "abcdefghijklmnopqrstuvwxyz"]] = 1
     table[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = 2
     table[[ord(c) for c in "0123456789"]] = 3
-    table[[ord(c) for c in _MARKS]] = np.arange(6, CLASSES)
+    table[[ord(c) for c in "abcdef"]], table[[ord(c) for c in "ABCDEF"]] = 6, 7
+    table[[ord(c) for c in _MARKS]] = np.arange(8, CLASSES)
     return table
 
 
@@ -156,20 +160,21 @@ class Tagger:
         h = np.concatenate([a, b], 2)
         return h @ self.p["out"] + self.p["bias"], h, {"f": pa_, "b": pb}
 
-    def decode(self, x: np.ndarray) -> np.ndarray:
-        """Best tags of each window (batch, place). The first tag of a window may go on with a kind."""
+    def marginals(self, x: np.ndarray) -> np.ndarray:
+        """Probabilities of tags at each place of each window (batch, place, TAGS)."""
         e = self.emissions(x)[0]
-        step = self.p["next"] + self.allowed()
-        score, back = e[:, 0], []
+        e = np.exp(e - e.max(2, keepdims=True))
+        step = np.exp(self.p["next"] + self.allowed())
+        ahead, behind = np.empty_like(e), np.ones_like(e)
+        ahead[:, 0] = e[:, 0]
         for t in range(1, x.shape[1]):
-            both = score[:, :, None] + step[None]
-            back.append(both.argmax(1))
-            score = both.max(1) + e[:, t]
-        tags = np.empty(x.shape, np.int64)
-        tags[:, -1] = score.argmax(1)
+            a = (ahead[:, t - 1] @ step) * e[:, t]
+            ahead[:, t] = a / a.sum(1, keepdims=True)
         for t in range(x.shape[1] - 2, -1, -1):
-            tags[:, t] = np.take_along_axis(back[t], tags[:, t + 1, None], 1)[:, 0]
-        return tags
+            b = (behind[:, t + 1] * e[:, t + 1]) @ step.T
+            behind[:, t] = b / b.sum(1, keepdims=True)
+        both = ahead * behind
+        return both / both.sum(2, keepdims=True)
 
     def gradient(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Negative log likelihood of the tags, for each window, and its gradient."""
@@ -241,7 +246,7 @@ def windows_of(length: int) -> range:
 
 
 def labelled(text: str, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray] | None:
-    """A training window: base spans are its labels, and some are rewritten as the same data in other forms.
+    """A training window: base spans and quoted secrets are its labels, and some are rewritten as the same data in other forms or places.
 
     Numbers of a card's shape are labelled whatever their check digit says,
     which a character tagger cannot learn; ``additions`` tests it. None for a
@@ -249,30 +254,53 @@ def labelled(text: str, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarra
     """
     spans = [(k, a, b) for k, a, b in base_spans(text) if k != "card"]
     spans += [("card", *m.span()) for m in _CARD.finditer(text) if 14 <= len(_only_digits(m[0])) <= 19]
-    if not text or _UNSURE.search("".join("x" if any(a <= k < b for _, a, b in spans) else c for k, c in enumerate(text))):
+    spans += [("secret", *m.span(1)) for m in _QUOTED.finditer(text)]
+    inside = np.zeros(len(text) + 1, bool)
+    for _, a, b in spans:
+        inside[a:b] = True
+    if not text or _UNSURE.search("".join("~" if inside[k] else c for k, c in enumerate(text))):
         return None
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
     taken, at, out, tags = [], 0, [], []
+
+    def put(kind: str | None, piece: str) -> None:
+        out.append(piece)
+        k = None if kind is None else KINDS.index(kind)
+        tags.extend([0] * len(piece) if k is None else [1 + 2 * k] + [2 + 2 * k] * (len(piece) - 1))
+
     for kind, a, b in sorted(spans, key=lambda s: s[1]):
         if taken and a < taken[-1]:
             continue
         taken.append(b)
         piece, form = text[a:b], rng.integers(4)
+        put(None, text[at:a])
         if kind == "phone" and form:
-            digits = _only_digits(piece)
-            tail = [digits[:-10], digits[-10:-7], digits[-7:-4], digits[-4:]]
+            number = _only_digits(piece)
+            tail = [number[:-10], number[-10:-7], number[-7:-4], number[-4:]]
             piece = "-".join(filter(None, tail)) if form == 1 else ".".join(filter(None, tail)) if form == 2 else f"({tail[1]}) {tail[2]}-{tail[3]}"
         elif kind == "card" and form > 1:
-            digits = _only_digits(piece)
-            piece = "./"[form - 2].join(digits[k : k + 4] for k in range(0, len(digits), 4))
+            number = _only_digits(piece)
+            piece = "./"[form - 2].join(number[k : k + 4] for k in range(0, len(number), 4))
         elif kind == "email" and form == 3:
             piece = piece.replace("@", " @ ")
-        out += [text[at:a], piece]
-        tags += [0] * (a - at) + [1 + 2 * KINDS.index(kind)] + [2 + 2 * KINDS.index(kind)] * (len(piece) - 1)
+        elif kind == "secret":
+            piece = piece[: rng.integers(20, len(piece) + 1)] if form == 3 else piece
+            if form and text[at:a][-1:] in ('"', "'"):  # not in quotes
+                del tags[-1]
+                out[-1] = out[-1][:-1]
+                b += text[b : b + 1] in ("'", '"')
+        put(kind, piece)
+        if kind in ("phone", "card") and rng.integers(3) == 0:  # numbers that follow, as the patterns run on into them
+            put(None, " ")
+            if rng.integers(2):
+                put(None, digits(int(rng.integers(1, 5))))
+            else:
+                put("ip", ".".join(map(str, rng.integers(0, 256, 4))))
         at = b
-    whole = ("".join(out) + text[at:])[:WIDTH]
-    tags = (tags + [0] * (len(text) - at))[: len(whole)]
+    put(None, text[at:])
+    whole = "".join(out)[:WIDTH]
     x, y = np.zeros(WIDTH, np.int64), np.zeros(WIDTH, np.int64)
-    x[: len(whole)], y[: len(whole)] = classes(whole), tags
+    x[: len(whole)], y[: len(whole)] = classes(whole), tags[: len(whole)]
     return x, y
 
 
@@ -314,6 +342,8 @@ def _sound(kind: str, text: str) -> bool:
         return bool(re.fullmatch(r"[0-9]+(\.[0-9]+){3}", text)) and _octets(text)
     if kind == "card":
         return 14 <= len(digits) <= 19 and luhn(digits) and bool(re.fullmatch(r"[0-9]+(?:[ ./-][0-9]+){0,6}", text))
+    if kind == "secret":
+        return bool(re.fullmatch(r"[0-9A-Za-z_-]{20,}", text)) and len(digits) >= 3 and sum(map(str.isalpha, text)) >= 3
     parts = re.findall(r"[0-9]+", text)
     return 10 <= len(digits) <= 15 and len(parts) >= 3 and max(map(len, parts)) <= 5 and len(parts[-1]) >= 4 and bool(re.fullmatch(r"[ ().0-9+-]+", text))
 
@@ -342,38 +372,75 @@ def additions(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
     return out
 
 
-def tag_texts(texts: list[str], tagger: Tagger, every: bool = False) -> list[np.ndarray]:
-    """Tags of whole texts from overlapping windows: each place takes the tag of the window it is most central in.
+def best_tags(shares: list[np.ndarray]) -> list[np.ndarray]:
+    """The best tags of sequences of tag probabilities, among those where a kind goes on only from its own tags."""
+    step, out = Tagger.allowed(), [np.empty(0, np.int8)] * len(shares)
+    order = sorted(range(len(shares)), key=lambda k: len(shares[k]))
+    for k in range(0, len(order), 128):
+        some = order[k : k + 128]
+        width = len(shares[some[-1]])
+        e = np.full((len(some), width, TAGS), -1e4, np.float32)
+        e[:, :, 0] = 0  # what follows a sequence is outside
+        for r, j in enumerate(some):
+            e[r, : len(shares[j])] = np.log(np.maximum(shares[j], 1e-6))
+        score, back = e[:, 0].copy(), np.zeros((len(some), width, TAGS), np.int8)
+        score[:, 2::2] = -1e4  # and what comes before it
+        for t in range(1, width):
+            both = score[:, :, None] + step
+            back[:, t] = both.argmax(1)
+            score = both.max(1) + e[:, t]
+        tags = np.empty((len(some), width), np.int8)
+        tags[:, -1] = score.argmax(1)
+        for t in range(width - 1, 0, -1):
+            tags[:, t - 1] = back[np.arange(len(some)), t, tags[:, t]]
+        for r, j in enumerate(some):
+            out[j] = tags[r, : len(shares[j])]
+    return out
+
+
+def tag_texts(texts: list[str], tagger: Tagger) -> list[np.ndarray]:
+    """Tags of whole texts, reconciled from overlapping windows.
 
-    A span must hold a digit or an at-sign, so a window without either decodes
-    to tags outside, and the network need not run on it; ``every`` runs it all
-    the same.
+    A span must hold a digit or an at-sign, so only windows with one have a
+    say. Each stretch that such windows cover gets the mean of their tag
+    probabilities, the middle of a window weighing most, and one decoding of
+    the whole stretch gives its tags. All else is outside.
     """
     tags = [np.zeros(len(t), np.int8) for t in texts]
     todo, rows = [], []
     for d, t in enumerate(texts):
-        starts = windows_of(len(t))
-        if every:
-            wanted = list(starts)
-        else:
-            near = {k for m in _ANCHOR.finditer(t) for k in (m.start() // STRIDE, m.start() // STRIDE - 1)}
-            near |= {starts[-1] // STRIDE} if near else set()
-            wanted = sorted(k * STRIDE for k in near if 0 <= k * STRIDE <= starts[-1])
-        for a in wanted:
-            todo.append((d, a))
-            rows.append(t[a : a + WIDTH])
+        last = windows_of(len(t))[-1] // STRIDE
+        near = {k for m in _ANCHOR.finditer(t) for k in (m.start() // STRIDE, m.start() // STRIDE - 1, min(last, m.start() // STRIDE))}
+        for k in sorted(near):
+            w = t[k * STRIDE : k * STRIDE + WIDTH]
+            if 0 <= k <= last and _ANCHOR.search(w):
+                todo.append((d, k * STRIDE))
+                rows.append(w)
+    weight = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(np.float32)
+    stretches, at = [], []  # sums of probabilities and of weights
     for k in range(0, len(todo), 512):
         part = rows[k : k + 512]
         x = np.zeros((len(part), WIDTH), np.int64)
         for r, w in enumerate(part):
             x[r, : len(w)] = classes(w)
-        found = tagger.decode(x)
-        for (d, a), got, w in zip(todo[k : k + 512], found, part, strict=True):
-            if not _ANCHOR.search(w):
-                continue
-            n, last = len(tags[d]), windows_of(len(tags[d]))[-1]
-            lo, hi = 0 if a == 0 else STRIDE // 2, len(w) if a == last else WIDTH - STRIDE // 2
-            tags[d][a + lo : min(n, a + hi)] = got[lo : min(hi, n - a)]
+        found = tagger.marginals(x)
+        for (d, a), share, w in zip(todo[k : k + 512], found, part, strict=True):
+            n = len(w)
+            if at and at[-1][0] == d and at[-1][1] + len(stretches[-1][-1][1]) + stretches[-1][-1][2] > a:
+                stretches[-1].append((share[:n] * weight[:n, None], weight[:n], a - at[-1][1]))
+            else:
+                at.append((d, a))
+                stretches.append([(share[:n] * weight[:n, None], weight[:n], 0)])
+    means = []
+    for parts in stretches:
+        size = max(a + len(w) for _, w, a in parts)
+        total, whole = np.zeros((size, TAGS), np.float32), np.zeros(size, np.float32)
+        for share, w, a in parts:
+            total[a : a + len(w)] += share
+            whole[a : a + len(w)] += w
+        means.append(total / whole[:, None])
+    for (d, a), got in zip(at, best_tags(means), strict=True):
+        tags[d][a : a + len(got)] = got
     return tags
 
 
@@ -394,6 +461,10 @@ def find_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span]
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """``id_col, base, spans`` of each row: ARRAY<STRUCT<kind, start, end>> in code points, end exclusive.
 
+    ``base`` has what the fixed patterns find, ``spans`` also what the tagger
+    adds: secrets, other forms, and data that a pattern loses because it runs
+    on into the next number.
+
     Spans of a kind do not overlap; those of different kinds may. Null texts
     are empty, rows without an id are left out, repeated rows are returned as
     often as they occur, other columns are ignored.
@@ -424,7 +495,7 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def mask_personal_data(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with spans masked in ``text_col``, and ``length_col`` set to the new length where there is such a column.
+    """``docs`` with spans masked in ``text_col``, also those that a pattern finds once their neighbours are masked, and ``length_col`` set to the new length where there is such a column.
 
     Null texts stay null. Rows and other columns stay as they are.
     """
@@ -436,7 +507,13 @@ def mask_personal_data(docs: DataFrame, text_col: str = "text", length_col: str
     def mask(texts: pa.Array) -> pa.Array:
         plain = texts.to_pylist()
         found = find_spans([t or "" for t in plain], shared.value)
-        return pa.array([None if t is None else masked(t, s) for t, (_, s) in zip(plain, found, strict=True)], pa.string())
+        out = []
+        for t, (_, spans) in zip(plain, found, strict=True):
+            while spans:
+                t = masked(t, spans)
+                spans = base_spans(t)
+            out.append(t)
+        return pa.array(out, pa.string())
 
     out = docs.withColumn(text_col, mask(F.col(text_col)))
     if length_col in docs.columns:
