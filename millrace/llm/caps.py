@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bounded_batches, components, spread_join, staged
 
@@ -16,6 +18,8 @@ from .common import bounded_batches, components, spread_join, staged
 PASSED, LEAST = 16, 5
 #: Near vectors share fewer of many filters, so those passed grow as this power of their number.
 GROWTH = 0.25
+#: Crowded buckets whose list is broadcast at most; beyond it the list is joined.
+BROADCAST = 100_000
 #: Vectors in a bucket, about, which sets the number of filters; and in a tile of a crowded bucket.
 BUCKET, TILE = 400, 400
 FILTERS = (1024, 1 << 22)
@@ -71,40 +75,68 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _links(cap: int, one: list[dict], two: list[dict] | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _flat(col: pa.Array) -> np.ndarray:
+    """The bytes of a BINARY array, one after the other."""
+    _, where, data = col.buffers()
+    at = np.frombuffer(where, np.int32)[col.offset : col.offset + len(col) + 1]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]] if len(col) and at[-1] > at[0] else np.zeros(0, np.uint8)
+
+
+@dataclass
+class Tile:
+    """Vectors of a bucket: keys, copies, unit vectors, and filters in a row with the vector each belongs to."""
+
+    key: np.ndarray
+    n: np.ndarray
+    unit: np.ndarray
+    filters: np.ndarray
+    owner: np.ndarray
+
+    @classmethod
+    def read(cls, rows: pa.StructArray, dim: int) -> Tile:
+        key, n, v, f, c = (rows.field(name) for name in ("k", "n", "v", "f", "c"))
+        size = c.to_numpy()
+        flat = _flat(v)
+        return cls(key.to_numpy(), n.to_numpy().astype(np.float64), _unit(flat.view(f"<f{len(flat) // (dim * len(rows))}").reshape(-1, dim)), _flat(f).view("<i4"), np.repeat(np.arange(len(rows)), size))
+
+    def has(self, used: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors and filters under ``cap`` of the vectors used."""
+        wanted = np.zeros(len(self.key), bool)
+        wanted[used] = True
+        at = np.flatnonzero(wanted[self.owner] & (self.filters < cap))
+        return self.owner[at], self.filters[at]
+
+
+def _links(cap: int, one: Tile, two: Tile | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows ``kind, a, b`` of one pair of tiles: 0 for a vector's number of links, 1 for links thinned to stars.
 
     A pair that shares several filters is counted at the least of them alone.
     """
     other = one if two is None else two
-    x, y = _unit(np.array([r["v"] for r in one])), _unit(np.array([r["v"] for r in other]))
-    hit = x @ y.T >= cosine
+    hit = one.unit @ other.unit.T >= cosine
     if two is None:
         hit = np.triu(hit, 1)
     i, j = np.nonzero(hit)
     none = np.empty(0, np.int64)
     if not len(i):
         return none, none, none
-    used = [sorted(set(k.tolist())) for k in (i, j)]
-    smaller = [{k: {f for f in t[k]["f"] if f < cap} for k in ks} for t, ks in zip((one, other), used, strict=True)]
-    both = set().union(*smaller[0].values()) & set().union(*smaller[1].values())
-    if both:
-        column = {f: k for k, f in enumerate(both)}
+    (x, f), (y, g) = one.has(i, cap), other.has(j, cap)
+    both = np.intersect1d(f, g)
+    if len(both):
         has = []
-        for t, s in zip((one, other), smaller, strict=True):
-            m = np.zeros((len(t), len(both)), np.float32)
-            for k, fs in s.items():
-                m[k, [column[f] for f in fs & both]] = 1
+        for t, row, fs in ((one, x, f), (other, y, g)):
+            at = np.searchsorted(both, fs)
+            ok = both[np.minimum(at, len(both) - 1)] == fs
+            m = np.zeros((len(t.key), len(both)), np.float32)
+            m[row[ok], at[ok]] = 1
             has.append(m)
         new = (has[0] @ has[1].T)[i, j] == 0
         i, j = i[new], j[new]
         if not len(i):
             return none, none, none
-    key, key2 = np.array([r["k"] for r in one]), np.array([r["k"] for r in other])
-    n, n2 = np.array([r["n"] for r in one], np.float64), np.array([r["n"] for r in other], np.float64)
-    ids, flat = np.unique(np.concatenate([key[i], key2[j]]), return_inverse=True)
+    ids, flat = np.unique(np.concatenate([one.key[i], other.key[j]]), return_inverse=True)
     u, v = flat[: len(i)], flat[len(i) :]
-    count = np.bincount(u, n2[j], len(ids)) + np.bincount(v, n[i], len(ids))
+    count = np.bincount(u, other.n[j], len(ids)) + np.bincount(v, one.n[i], len(ids))
     low = np.arange(len(ids))
     while True:
         was = low.copy()
@@ -119,7 +151,8 @@ def _links(cap: int, one: list[dict], two: list[dict] | None, cosine: float) ->
 
 
 def cap_links(unique: DataFrame, filters: int, cosine: float, tile: int = TILE) -> DataFrame:
-    """``kind, a, b`` as in ``_links`` for ``unique`` rows ``k`` (key), ``n`` (copies), ``v`` (ARRAY<DOUBLE>)."""
+    """``kind, a, b`` as in ``_links`` for ``unique`` rows ``k`` (key), ``n`` (copies), ``v`` (ARRAY<FLOAT> or ARRAY<DOUBLE>)."""
+    width = 4 if unique.schema["v"].dataType.elementType.typeName() == "float" else 8
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caps: dict[int, Caps] = {}
@@ -131,32 +164,40 @@ def cap_links(unique: DataFrame, filters: int, cosine: float, tile: int = TILE)
                 caps.setdefault(dim, Caps(dim, filters))
                 for k, found in zip(at, caps[dim].lists(_unit(np.array([rows[k] for k in at]))), strict=True):
                     lists[k] = found
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lists, pa.list_(pa.int32()))], ["k", "n", "v", "f"])
-
-    passed = staged(unique.select("k", "n", "v").mapInArrow(decode, "k long, n long, v array<double>, f array<int>"))
-    dealt = passed.select(F.size("v").alias("dim"), F.explode("f").alias("cap"), "k", "n", "v", "f")
-    # Crowded buckets alone, and never more than there are filters.
-    crowded = dealt.groupBy("dim", "cap").agg(F.count("*").alias("c")).where(F.col("c") > tile).select("dim", "cap", F.ceil(F.col("c") / tile).cast("int").alias("tiles"))
-    rows = dealt.join(F.broadcast(crowded), ["dim", "cap"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+            # Vectors keep their own width in shuffles, as bytes.
+            own = [b.column(0), b.column(1), pa.array([len(r) for r in rows], pa.int32()), pa.array([r.astype(f"<f{width}").tobytes() for r in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([len(x) for x in lists], pa.int32()), pa.array([x.astype("<i4").tobytes() for x in lists], pa.binary()), pa.array(lists, pa.list_(pa.int32()))], ["k", "n", "dim", "v", "c", "f", "caps"])
+
+    passed = staged(unique.select("k", "n", "v").mapInArrow(decode, "k long, n long, dim int, v binary, c int, f binary, caps array<int>"))
+    caps = passed.select("dim", F.explode("caps").alias("cap"))
+    crowded = caps.groupBy("dim", "cap").agg(F.count("*").alias("c")).where(F.col("c") > tile).select("dim", "cap", F.ceil(F.col("c") / tile).cast("int").alias("tiles"))
+    crowded = staged(crowded)
+    dealt = passed.select("dim", F.explode("caps").alias("cap"), "k", "n", "v", "c", "f")
+    if crowded.count() <= BROADCAST:
+        rows = dealt.join(F.broadcast(crowded), ["dim", "cap"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    else:
+        # Crowded buckets are many: what is dealt out is the list of a vector's filters, not the vectors.
+        sizes = passed.select("k", "dim", F.explode("caps").alias("cap")).join(crowded.hint("shuffle_hash"), ["dim", "cap"])
+        several = sizes.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("cap", "tiles"))).alias("m"))
+        rows = passed.join(several, "k", "left").select("dim", F.explode("caps").alias("cap"), "k", "n", "v", "c", "f", "m").withColumn("tiles", F.coalesce(F.try_element_at("m", F.col("cap")), F.lit(1))).drop("m")
     tiles = staged(
         rows.groupBy("dim", "cap", "tiles", F.pmod(F.xxhash64("k"), F.col("tiles")).cast("int").alias("tile")).agg(
-            F.collect_list(F.struct("k", "n", "v", "f")).alias("one")
+            F.collect_list(F.struct("k", "n", "v", "c", "f")).alias("one")
         )
     )
     split = tiles.where("tiles > 1")
     left = split.withColumn("tile2", F.explode(F.sequence("tile", F.col("tiles") - 1))).where("tile2 > tile")
     right = split.select("dim", "cap", F.col("tile").alias("tile2"), F.col("one").alias("two"))
-    pairs = tiles.select("cap", "one", F.lit(None).cast(tiles.schema["one"].dataType).alias("two")).unionByName(
-        left.join(right, ["dim", "cap", "tile2"]).select("cap", "one", "two")
-    )
+    alone = tiles.where((F.col("tiles") > 1) | (F.size("one") > 1)).select("cap", "dim", "one", F.lit(None).cast(tiles.schema["one"].dataType).alias("two"))
+    pairs = alone.unionByName(left.join(right, ["dim", "cap", "tile2"]).select("cap", "dim", "one", "two"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = []
             for k in range(b.num_rows):
-                one, two = b.column(1)[k].as_py(), b.column(2)[k].as_py()
-                if two is not None or len(one) > 1:
-                    found.append(_links(b.column(0)[k].as_py(), one, two, cosine))
+                dim = b.column(1)[k].as_py()
+                one, two = (Tile.read(c[k].values, dim) if c[k].is_valid else None for c in (b.column(2), b.column(3)))
+                found.append(_links(b.column(0)[k].as_py(), one, two, cosine))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[c] for x in found])) for c in range(3)], ["kind", "a", "b"])
 
@@ -178,7 +219,9 @@ def vector_groups(
     ``filters`` follows from the number of rows if it is not given.
     """
     bounded_batches(vectors.sparkSession)
-    rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    own = vectors.schema[vec_col].dataType
+    kind = "float" if isinstance(own, T.ArrayType) and isinstance(own.elementType, T.FloatType) else "double"
+    rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(f"array<{kind}>").alias("v"))
     fit = F.coalesce((F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     good = rows.where(fit)
     unique = staged(good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")).withColumn("k", F.monotonically_increasing_id()))
