@@ -22,6 +22,8 @@ LEAST_PRIOR, MOST_PRIOR = 20.0, 1e6
 #: Sites are broadcast up to this number, else joined by a shuffle.
 BROADCAST_SITES = 20_000
 TARGETS = ("low", "toxic")
+#: Host and first part of the path of a source; a source without a path is divided by language instead.
+HOST, PATH = r"^(?:[A-Za-z]+://)?([^/]*)", r"^(?:[A-Za-z]+://)?[^/]*/([^/?#]+)"
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGN = re.compile(r"[^\w\s.,;:'\"?!()-]")
 _PREFIXES = (4, 5, 6, 7)
@@ -80,7 +82,9 @@ def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     """
     spark = docs.sparkSession
     chosen = hash_sample(labels, id_col, sample)
-    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select("low", "toxic", text_col)
+    # Of rows that repeat an id one counts, so that the sample keeps its bound.
+    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id")
+    rows = joined.groupBy("id").agg(F.max(F.struct("t", "low", "toxic")).alias("r")).select("r.low", "r.toxic", "r.t")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -146,11 +150,11 @@ def _prior_weight(groups: DataFrame, rate: dict[str, float]) -> dict[str, float]
 class _Judge:
     """The fitted parts: evidence of texts, and rates of sites from all documents' evidence and labels."""
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, host: Column | None, path: Column | None, quality_col: str, toxic_col: str, sample: int):
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, host: Column | None, path: Column | None, quality_col: str, toxic_col: str, sample: int, whole: bool = False):
         spark = docs.sparkSession
         bounded_batches(spark)
-        host = F.col("source") if host is None else host
-        path = F.col("lang") if path is None else path
+        host = F.regexp_extract("source", HOST, 1) if host is None else host
+        path = F.coalesce(F.nullif(F.regexp_extract("source", PATH, 1), F.lit("")), F.col("lang")) if path is None else path
         known = (
             labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col))
             .agg(F.max(1 - F.col(quality_col)).cast("int").alias("low"), F.max(toxic_col).cast("int").alias("toxic"))
@@ -174,10 +178,10 @@ class _Judge:
         taken = set(docs.columns)
         self.e, self.h, self.p = (next(n for n in (f"_{c}{k}" for k in range(99)) if n not in taken) for c in ("e", "h", "p"))
         site = {self.h: F.coalesce(host.cast("string"), F.lit("")), self.p: F.coalesce(path.cast("string"), F.lit(""))}
-        #: The documents with their site and evidence, which is computed where it is read.
-        self.marked = docs.withColumns({**site, self.e: evidence(F.col(text_col))})
-        #: Ids, sites and evidence alone, computed once and written.
-        self.narrow = staged(self.marked.select(F.col(id_col).alias("id"), self.h, self.p, self.e))
+        marked = docs.withColumns({**site, self.e: evidence(F.col(text_col))})
+        #: The documents (with ``whole``) with their site and evidence, computed once and written; and ids, sites and evidence alone.
+        self.marked = staged(marked if whole else marked.select(F.col(id_col), self.h, self.p, self.e))
+        self.narrow = self.marked.select(F.col(id_col).alias("id"), self.h, self.p, self.e)
         self.sites = self._rates(known.select(F.col(id_col).alias("id"), *TARGETS))
 
     def _rates(self, known: DataFrame) -> DataFrame:
@@ -217,7 +221,9 @@ def site_quality(
     """``id_col, site_low, site_toxic, p_low, p_toxic, rejected`` of each row with an id.
 
     The document classifier's log odds (evidence) of low quality and of toxic
-    content are added to those of the document's site. A site's rate is that
+    content are added to those of the document's site: its ``host`` (by default
+    of ``source``) and ``path`` (the first part of the source's, or else
+    ``lang``). A site's rate is that
     of its documents (labels where given, else the classifier's probability),
     shrunk: paths towards their host, hosts towards all documents, each by a
     weight estimated from how much the groups differ. A document is rejected
@@ -238,7 +244,7 @@ def keep_good(
 ) -> DataFrame:
     """``docs`` without the rows that ``site_quality`` rejects; rows without an id are judged by text and site. Columns stay.
 
-    Evidence is computed again where the texts are read, so that texts are not shuffled.
+    The documents are written once with their evidence, so that it is not computed again and texts are not shuffled.
     """
-    judge = _Judge(docs, labels, id_col, text_col, host, path, quality_col, toxic_col, sample)
+    judge = _Judge(docs, labels, id_col, text_col, host, path, quality_col, toxic_col, sample, whole=True)
     return judge.decide(judge.marked, docs.columns, threshold).where(~F.col("_judged.rejected")).select(docs.columns)
