@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,38 +10,35 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import scratch_dir, scratch_path, staged  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep each Arrow batch small, whatever the length of the texts in it."""
+    """Keep each Arrow batch small, whatever the length of the texts in it. The session keeps this setting, as results are computed later."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+#: Rows to leave out whose numbers are broadcast at most, 8 bytes each; beyond it they are joined.
+BROADCAST_ROWS = 1_000_000
 
-    Only where it is unset (as in local tests) is a temporary folder taken.
-    """
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        where = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written once, with a number for each row, and the number's column: rows without an id or with the same id are told apart by it."""
+    name = next(n for n in (f"_row{k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns)
+    return staged(docs.withColumn(name, F.monotonically_increasing_id())), name
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
 
-    This cuts the lineage: what was computed survives the loss of executors
-    and is not computed again by each later reader.
-    """
-    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def left_out(rows: DataFrame, number: str, gone: DataFrame) -> DataFrame:
+    """``rows`` of ``numbered`` less those whose numbers are in ``gone``, without the number. Rows are not shuffled for a short list."""
+    gone = staged(gone.select(F.col(number)).distinct())
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, number, "left_anti").drop(number)
 
 
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -76,17 +71,20 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
         return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
     before = mark(stars)
+    # Few links need no salt, and so no count of their keys.
+    join = (lambda x, y: x.join(y, "a")) if before[0] <= BROADCAST_ROWS else (lambda x, y: spread_join(x, y, ["a"]))
     if not before[0]:
         return stars.select(F.col("a").alias("id"), F.col("b").alias("component"))
     for _ in range(most):
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # The hub of a large component is a key with all its members: its rows are dealt over several tasks.
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+            join(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         )
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            large.join(lowest, "a")
+            join(large, lowest)
             .select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("x"))
             .select(F.col("x.b").alias("a"), F.col("x.m").alias("b"))
             .where("a <> b")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, staged
+from .common import bounded_batches, left_out, numbered, staged
 
 #: Words of a shard, about: a shard is a run of whole documents of one partition.
 SHARD_WORDS = 500_000
@@ -292,6 +292,7 @@ def contamination(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` without the rows whose id has a text with a benchmark window; rows without an id go, too. Columns stay."""
-    hit = contamination(docs, benchmark, id_col, text_col, window=window).where(F.size("spans") > 0).select(id_col)
-    return docs.where(F.col(id_col).isNotNull()).join(hit.distinct(), id_col, "left_anti").select(docs.columns)
+    """``docs`` without the rows whose text has a benchmark window. Each row is judged by itself, with an id or without. Columns stay."""
+    rows, row = numbered(docs)
+    hit = contamination(rows.select(row, text_col), benchmark, row, text_col, window=window).where(F.size("spans") > 0)
+    return left_out(rows, row, hit).select(docs.columns)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, components, spread_join, staged
+from .common import bounded_batches, components, left_out, numbered, spread_join, staged
 
 SEED = 42
 #: Fingerprints in a tile, about. Two tiles are compared by one matrix of exclusive-ors.
@@ -104,15 +104,17 @@ def fingerprint_links(unique: DataFrame, radius: int = 2, tile: int = TILE) -> D
     near = F.array(*[F.array(*[F.lit(x) for x in s]) for s in steps])
     digit = [F.floor(F.col("cell") / 17**k).cast("int") % 17 for k in range(4)]
     inside = lambda s: F.reduce(F.array(*[(digit[k] + s[k]).between(0, 16) for k in range(4)]), F.lit(True), lambda x, y: x & y)
+    # Pairs of tiles by number first; each side's fingerprints are joined to them once.
     left = (
-        tiles.select("cell", "tile", "fps", "ids", F.explode(F.filter(near, inside)).alias("s"))
+        tiles.select("cell", "tile", F.explode(F.filter(near, inside)).alias("s"))
         .withColumn("cell2", F.col("cell") + sum((F.col("s")[k] * 17**k for k in range(4)), F.lit(0)))
         .join(tiles_in.select(F.col("cell").alias("cell2"), "n"), "cell2")
         .withColumn("tile2", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
         .where("cell <> cell2 or tile <= tile2")
+        .select("cell", "tile", "cell2", "tile2")
     )
     right = tiles.select(F.col("cell").alias("cell2"), F.col("tile").alias("tile2"), F.col("fps").alias("fps2"), F.col("ids").alias("ids2"))
-    pairs = left.join(right, ["cell2", "tile2"]).select(
+    pairs = left.join(tiles.select("cell", "tile", "fps", "ids"), ["cell", "tile"]).join(right, ["cell2", "tile2"]).select(
         "fps", "ids", "fps2", "ids2", ((F.col("cell") == F.col("cell2")) & (F.col("tile") == F.col("tile2"))).alias("same")
     )
 
@@ -155,7 +157,18 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest id.
 
-    Of repeated rows with that id one stays. Columns stay as they are.
+    Rows are told apart by a number of their own, so rows with the same id but
+    unlike texts all stay, and rows without an id are compared like any other;
+    one of them stays only where no row of its group has an id. Null texts and
+    texts without words are one group. Columns stay as they are.
     """
-    keep = simhash_groups(docs, id_col, text_col, shingle, radius).where(F.col(id_col) == F.col("component_id")).select(id_col)
-    return docs.join(keep.distinct(), id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns)
+    bounded_batches(docs.sparkSession)
+    rows, row = numbered(docs)
+    marks = staged(fingerprints(rows, row, text_col, shingle))
+    unique = marks.groupBy("fp").agg(F.min("id").alias("id"))
+    joined = components(fingerprint_links(unique, radius))
+    classes = unique.join(joined, "id", "left").select("fp", F.coalesce("component", "id").alias("group"))
+    named = spread_join(marks, classes, ["fp"]).select(F.col("id").alias(row), "group").join(rows.select(row, F.col(id_col).alias("id")), row)
+    named = staged(named.select(row, "group", F.struct(F.col("id").isNull().alias("none"), "id", row).alias("place")))
+    first = named.groupBy("group").agg(F.min("place").alias("first")).select(F.col(f"first.{row}").alias(row))
+    return left_out(rows, row, named.select(row).join(first, row, "left_anti")).select(docs.columns)

@@ -48,7 +48,18 @@ def test_groups_match_brute_force(spark):
     assert len(set(want.values())) < len(want) - 20
     kept = simhash.simhash_dedup(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+    # Rows without an id are compared, too; here its text is unlike all others.
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(want.values()))
+    assert [r.text for r in kept.where("doc_id is null").collect()] == ["gone"]
+
+
+def test_dedup_tells_rows_apart(spark):
+    a, b = " ".join(f"a{k}" for k in range(50)), " ".join(f"b{k}" for k in range(50))
+    rows = [(1, a), (1, b), (2, a), (None, a), (None, "c d e f"), (None, "c d e f"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(str, map(tuple, simhash.simhash_dedup(df).collect())))
+    assert got == sorted(map(str, [(1, a), (1, b), (None, "c d e f"), (3, None)]))
+    assert simhash.simhash_dedup(df.limit(0)).count() == 0
 
 
 def test_hot_cell_in_tiles(spark):
