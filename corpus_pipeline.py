@@ -3,17 +3,22 @@
 Documents that the quality classifier rejects go, one document of each group of
 near copies stays, documents with a benchmark window go, personal data is
 masked, and what is left is encoded and decoded.
+
+Rows without an id, and rows that share one, pass the filtering stages like any
+other: quality judges them by text and site, near_dedup and decontaminate tell
+rows apart by a number of their own. The last stage returns results by id, so
+rows without one end there. Null texts count as empty; of all rows without
+words near_dedup keeps one.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import bpe_lexicon, fm_index, pii_tagger, simhash, site_quality
-from millrace.llm.common import scratch_dir, table
+from millrace.llm.common import scratch_path, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
+    """The document with the smallest id of each group of near copies; rows without an id come last."""
     return simhash.simhash_dedup(docs)
 
 
@@ -55,7 +60,7 @@ ORACLE_SQL = None  # a fitted classifier and BPE are not SQL; tests hold the sta
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written and read again."""
     docs = table(spark, sf_dir, "documents")
-    at = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    at = scratch_path(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{name}")
         docs = spark.read.parquet(f"{at}/{name}")
