@@ -108,10 +108,20 @@ def active_users(events: DataFrame, ts: str = "ts") -> DataFrame:
     return events.groupBy("user_id").agg(F.count("*").alias("n"), F.max(ts).alias("last_active"))
 
 
-def storage_usage(events: DataFrame, allocated: str, released: str, by: Sequence[str] = ()) -> DataFrame:
-    """Bytes allocated less released, files and their kinds."""
+def counted(df: DataFrame, by: Sequence[str], kind: str, name: str, value: Column | None = None) -> DataFrame:
+    """``by`` and a MAP ``name`` of ``kind`` to its rows, or to the sum of ``value``: two keyed aggregations, no list of rows."""
+    per = df.groupBy(*by, F.col(kind).alias("_k")).agg((F.count("*") if value is None else F.sum(value)).cast("long").alias("_v"))
+    return per.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", "_v")))).alias(name))
+
+
+def storage_usage(events: DataFrame, allocated: str, released: str, created: str, by: Sequence[str] = ("user_id",)) -> DataFrame:
+    """Bytes allocated less released, files, documents, and bytes by type of event."""
     signed = F.when(_kind(allocated), F.col("bytes")).when(_kind(released), -F.col("bytes")).otherwise(0)
-    return events.groupBy(*by).agg(F.coalesce(F.sum(signed), F.lit(0)).cast("long").alias("total_bytes"), F.count_distinct(F.when(_kind(allocated), F.col("resource_id"))).alias("files"))
+    totals = events.groupBy(*by).agg(
+        F.coalesce(F.sum(signed), F.lit(0)).cast("long").alias("total_bytes"), F.count_distinct(F.when(_kind(allocated), F.col("resource_id"))).alias("files"),
+        F.count_distinct(F.when(_kind(created), F.col("resource_id"))).alias("documents"),
+    )
+    return totals.join(counted(events, by, "event_type", "bytes_by_type", F.coalesce("bytes", F.lit(0))), list(by))
 
 
 def activity_trend(daily: DataFrame, day: Column, lookback: int = 30) -> DataFrame:
@@ -124,21 +134,25 @@ def activity_trend(daily: DataFrame, day: Column, lookback: int = 30) -> DataFra
     )
 
 
-def user_totals(daily_users: DataFrame) -> DataFrame:
-    """Per user over days of ``user_id, day, actions`` (MAP): total, active days and merged counts."""
+def user_totals(daily_users: DataFrame, top: int | None = None) -> DataFrame:
+    """Per user over days of ``user_id, day, actions`` (MAP): total, active days and merged counts; with ``top``, the users with the most, ties by id."""
     rows = daily_users.select("user_id", "day", F.explode("actions").alias("kind", "n"))
     kinds = rows.groupBy("user_id", "kind").agg(F.sum("n").alias("n"))
     days = daily_users.groupBy("user_id").agg(F.count_distinct("day").alias("active_days"))
     merged = kinds.groupBy("user_id").agg(F.sum("n").alias("total"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "n")))).alias("actions"))
-    return merged.join(days, "user_id")
+    out = merged.join(days, "user_id")
+    return out if top is None else out.orderBy(F.desc("total"), "user_id").limit(top)
 
 
-def user_audit_report(audit: DataFrame, ts: str = "ts") -> DataFrame:
-    """Per user: total, kinds of action and of resource, first and last time."""
-    return audit.groupBy("user_id").agg(
-        F.count("*").alias("total"), F.count_distinct("event_type").alias("actions"), F.count_distinct("resource_id").alias("resources"),
-        F.min(ts).alias("first_activity"), F.max(ts).alias("last_activity"),
-    )
+def user_audit_report(audit: DataFrame, ts: str = "ts", id_col: str = "event_id", latest: int = 10) -> DataFrame:
+    """Per user: total, counts by action and by resource type, first and last time, and the ids of the ``latest`` events, newest first."""
+    totals = audit.groupBy("user_id").agg(F.count("*").alias("total"), F.min(ts).alias("first_activity"), F.max(ts).alias("last_activity"))
+    # Spark cuts each user's rows before the shuffle, so a list holds ``latest`` rows at most.
+    w = Window.partitionBy("user_id").orderBy(F.desc(ts), F.desc(id_col))
+    newest = audit.select("user_id", id_col, F.row_number().over(w).alias("_n")).where(F.col("_n") <= latest)
+    newest = newest.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", id_col))), lambda x: x[id_col]).alias("recent"))
+    out = totals.join(counted(audit, ["user_id"], "event_type", "actions"), "user_id")
+    return out.join(counted(audit, ["user_id"], "resource_type", "resource_types"), "user_id").join(newest, "user_id")
 
 
 def compliance_report(audit: DataFrame) -> DataFrame:
@@ -157,7 +171,8 @@ def suspicious_users(audit: DataFrame, factor: int = 3, least: int = 100) -> Dat
     n = audit.groupBy("user_id").agg(F.count("*").alias("n"))
     mean = n.agg(F.greatest(F.avg("n") * factor, F.lit(float(least))).alias("limit"))
     hit = n.join(F.broadcast(mean), F.col("n") > F.col("limit"))
-    return hit.select("user_id", "n", F.concat(F.lit("Unusually high activity: "), F.col("n").cast("string"), F.lit(" events")).alias("reason"))
+    reason = F.concat(F.lit("Unusually high activity: "), F.col("n").cast("string"), F.lit(" events (threshold: "), F.round("limit", 0).cast("long").cast("string"), F.lit(")"))
+    return hit.select("user_id", "n", reason.alias("reason"))
 
 
 def search_analytics(queries: DataFrame, query: str = "query", results: str = "result_count", top: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -177,6 +192,24 @@ def admin_metrics(users: DataFrame, by: str, used: str, quota: str) -> DataFrame
     )
 
 
+def platform_metrics(users: DataFrame, audit: DataFrame, now: Column, created: str, groups: Sequence[str], flags: Sequence[tuple[str, Column]], ts: str = "ts", top: int = 5) -> DataFrame:
+    """``part, name, n``: users by each of ``groups``, sign-ups of 30 days, ``flags`` that hold, events of all time, of today and of a week, and the week's ``top`` actions."""
+    spark = users.sparkSession
+    counts = [users.groupBy(F.lit(g).alias("part"), F.col(g).cast("string").alias("name")).agg(F.count("*").alias("n")) for g in groups]
+    own = [("users", F.count("*")), ("recent_signups", F.count_if(F.col(created) >= now - F.expr("INTERVAL 30 DAYS"))), *[(name, F.count_if(c)) for name, c in flags]]
+    week = F.col(ts) >= now - F.expr("INTERVAL 7 DAYS")
+    log = [("total_events", F.count("*")), ("events_today", F.count_if(F.col(ts) >= F.date_trunc("day", now))), ("events_this_week", F.count_if(week))]
+    for df, items in ((users, own), (audit, log)):
+        row = df.agg(*[c.alias(n) for n, c in items])
+        counts.append(row.select(F.explode(F.array(*[F.struct(F.lit("total").alias("part"), F.lit(n).alias("name"), F.col(n).alias("n")) for n, _ in items])).alias("x")).select("x.*"))
+    best = audit.where(week).groupBy("event_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "event_type").limit(top)
+    counts.append(best.select(F.lit("top_actions").alias("part"), F.col("event_type").alias("name"), "n"))
+    out = spark.createDataFrame([], "part string, name string, n long")
+    for c in counts:
+        out = out.unionByName(c)
+    return out
+
+
 def class_totals(df: DataFrame, class_col: str, columns: Sequence[str]) -> DataFrame:
     """Exact count and sums by class: DECIMAL(31,8) sums to DECIMAL(38,8) without rounding."""
     return df.groupBy(class_col).agg(F.count("*").alias("n"), *[F.sum(F.col(c).cast("decimal(31,8)")).alias(f"sum_{c}") for c in columns])
@@ -191,8 +224,11 @@ def commission_summary(fact: DataFrame, agents: DataFrame, periods: DataFrame, p
     return joined.groupBy("agent_id", "period_month", "line_of_business").agg(F.count("*").alias("n"), F.sum("commission_amt").alias("commission"))
 
 
-def margin_kpis(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.round(F.avg("margin_pct"), 2).alias("avg_margin_pct"), F.round(F.avg("cogs_usd"), 2).alias("avg_cogs_usd"))
+def margin_kpis(rows: DataFrame, prices: DataFrame, commodity: str, freight: str) -> DataFrame:
+    """Mean margin and cost, and the last values of two series of ``prices``."""
+    last = lambda code, name: F.max_by(F.when(F.col("series_code") == code, F.col("value")), F.when(F.col("series_code") == code, F.col("price_date"))).alias(name)
+    means = rows.agg(F.round(F.avg("margin_pct"), 2).alias("avg_margin_pct"), F.round(F.avg("cogs_usd"), 2).alias("avg_cogs_usd"))
+    return means.join(prices.agg(last(commodity, "commodity_index"), last(freight, "freight_index")))
 
 
 def margin_series(margins: DataFrame, by: str, on: str = "margin_date") -> DataFrame:
@@ -245,3 +281,11 @@ def daily_type_counts(events: DataFrame, ts: str = "ts") -> DataFrame:
 
 def unread_counts(notes: DataFrame, user: str, read_at: str) -> DataFrame:
     return notes.groupBy(user).agg(_n(F.col(read_at).isNull(), "unread"), F.count("*").alias("total"))
+
+
+def notes_page(notes: DataFrame, user: str, order: Sequence[Column], page: int, size: int = 20) -> DataFrame:
+    """A page of each user's notes with ``total`` and ``has_more``; Spark cuts rows beyond the page before the shuffle."""
+    w = Window.partitionBy(user).orderBy(*order)
+    rows = notes.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= page * size).where(F.col("_n") > (page - 1) * size).drop("_n")
+    total = notes.groupBy(user).agg(F.count("*").alias("total"))
+    return rows.join(total, user).withColumn("has_more", F.col("total") > page * size)

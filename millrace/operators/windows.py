@@ -85,6 +85,12 @@ def resource_history(audit: DataFrame, resource: str, ts: str, id_col: str) -> D
     return audit.withColumns({"place": F.row_number().over(w.orderBy(F.col(ts).desc(), id_col)), "n": F.count("*").over(w)})
 
 
+def version_restore(versions: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """A new version of each document of ``wanted`` (key, version): that version's content under the next number. Versions that are not there restore nothing."""
+    last = versions.groupBy(key).agg(F.max("version").alias("_last"))
+    return versions.join(wanted.select(key, "version"), [key, "version"]).join(last, key).withColumn("version", F.col("_last") + 1).drop("_last")
+
+
 def version_append(docs: DataFrame, edits: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """A version row for each edit, numbered on from the document's own version."""
     at = F.row_number().over(Window.partitionBy(key).orderBy(*order))

@@ -27,6 +27,11 @@ def day(text: str):
     return F.lit(text).cast("date")
 
 
+def listed(c: str):
+    """A map as text: key=value in the order of keys."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), ",")
+
+
 @query("src01_events_ndjson", "SELECT event_id::VARCHAR AS event_id, event_type, epoch_us(ts) // 1000 AS ms FROM events")
 def _(t: Tables) -> DataFrame:
     lines = t.events.select(F.to_json(F.struct(F.col("event_id").cast("string").alias("eventId"), F.col("event_type").alias("eventType"), F.unix_millis(F.col("ts").cast("timestamp")).cast("string").alias("timestamp"))).alias("value"))
@@ -379,10 +384,13 @@ def _(t):
     return ag.active_users(nz.period_filter(t.e, "ts", "7d", ntz(NOW)))
 
 
-@query("agg12_storage_usage", f"""WITH {E} SELECT user_id, coalesce(sum(CASE event_type WHEN 'purchase' THEN bytes WHEN 'error' THEN -bytes ELSE 0 END), 0)::BIGINT AS total_bytes,
- count(DISTINCT CASE WHEN event_type = 'purchase' THEN resource_id END) AS files FROM e GROUP BY 1""")
+@query("agg12_storage_usage", f"""WITH {E}, k AS (SELECT user_id, event_type, sum(coalesce(bytes, 0))::BIGINT AS b FROM e GROUP BY 1, 2)
+SELECT user_id, coalesce(sum(CASE event_type WHEN 'purchase' THEN bytes WHEN 'error' THEN -bytes ELSE 0 END), 0)::BIGINT AS total_bytes,
+ count(DISTINCT CASE WHEN event_type = 'purchase' THEN resource_id END) AS files, count(DISTINCT CASE WHEN event_type = 'signup' THEN resource_id END) AS documents,
+ any_value(t) AS bytes_by_type
+FROM e JOIN (SELECT user_id, string_agg(event_type || '=' || b, ',' ORDER BY event_type) AS t FROM k GROUP BY 1) USING (user_id) GROUP BY 1""")
 def _(t):
-    return ag.storage_usage(t.e, "purchase", "error", ["user_id"])
+    return ag.storage_usage(t.e, "purchase", "error", "signup").withColumn("bytes_by_type", listed("bytes_by_type"))
 
 
 @query("agg13_activity_trend", f"""WITH {E}, r AS ({_rollup_sql()}) SELECT sum(total_events)::BIGINT AS total_events, max(users) AS peak_users, round(sum(total_events)::DECIMAL(30, 6) / count(*), 2)::DOUBLE AS avg_daily, count(*) AS days
@@ -391,17 +399,25 @@ def _(t):
     return ag.activity_trend(daily_usage(t), day("2024-01-25"), 10)
 
 
-@query("agg14_user_totals", f"""WITH {E}, d AS (SELECT user_id, ts::DATE AS day, event_type, count(*) AS n FROM e GROUP BY ALL)
-SELECT user_id, event_type AS kind, sum(n)::BIGINT AS n, any_value(total)::BIGINT AS total, any_value(active_days) AS active_days FROM d JOIN (SELECT user_id, sum(n) AS total, count(DISTINCT day) AS active_days FROM d GROUP BY 1) USING (user_id) GROUP BY 1, 2""")
+@query("agg14_user_totals", f"""WITH {E}, d AS (SELECT user_id, ts::DATE AS day, event_type, count(*) AS n FROM e GROUP BY ALL),
+u AS (SELECT user_id, sum(n)::BIGINT AS total, count(DISTINCT day) AS active_days FROM d GROUP BY 1 ORDER BY total DESC, user_id LIMIT 500)
+SELECT user_id, event_type AS kind, sum(n)::BIGINT AS n, any_value(total) AS total, any_value(active_days) AS active_days FROM d JOIN u USING (user_id) GROUP BY 1, 2""")
 def _(t):
     daily = t.e.groupBy("user_id", F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
     daily = daily.groupBy("user_id", "day").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("actions"))
-    return ag.user_totals(daily).select("user_id", F.explode("actions").alias("kind", "n"), "total", "active_days")
+    return ag.user_totals(daily, top=500).select("user_id", F.explode("actions").alias("kind", "n"), "total", "active_days")
 
 
-@query("agg15_user_audit", f"WITH {E} SELECT user_id, count(*) AS total, count(DISTINCT event_type) AS actions, count(DISTINCT resource_id) AS resources, min(ts) AS first_activity, max(ts) AS last_activity FROM e GROUP BY 1")
+@query("agg15_user_audit", f"""WITH {E}, a AS (SELECT *, 'r' || (resource_id::INT % 4) AS resource_type FROM e),
+x AS (SELECT user_id, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS actions FROM (SELECT user_id, event_type, count(*) AS n FROM a GROUP BY ALL) GROUP BY 1),
+y AS (SELECT user_id, string_agg(resource_type || '=' || n, ',' ORDER BY resource_type) AS resource_types FROM (SELECT user_id, resource_type, count(*) AS n FROM a GROUP BY ALL) GROUP BY 1),
+z AS (SELECT user_id, string_agg(event_id::VARCHAR, ',' ORDER BY ts DESC, event_id DESC) AS recent FROM (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 10) GROUP BY 1)
+SELECT user_id, total, first_activity, last_activity, actions, resource_types, recent
+FROM (SELECT user_id, count(*) AS total, min(ts) AS first_activity, max(ts) AS last_activity FROM a GROUP BY 1) JOIN x USING (user_id) JOIN y USING (user_id) JOIN z USING (user_id)""")
 def _(t):
-    return ag.user_audit_report(t.e)
+    audit = t.e.withColumn("resource_type", F.concat(F.lit("r"), (F.col("resource_id").cast("int") % 4).cast("string")))
+    report = ag.user_audit_report(audit)
+    return report.withColumns({"actions": listed("actions"), "resource_types": listed("resource_types"), "recent": F.array_join(F.transform("recent", lambda x: x.cast("string")), ",")})
 
 
 @query("agg16_compliance", f"""WITH {E} SELECT CASE WHEN grouping(event_type) = 0 THEN 'action' WHEN grouping(resource_id) = 0 THEN 'resource' ELSE 'all' END AS part, coalesce(event_type, resource_id, '') AS name, count(*) AS n, count(DISTINCT user_id) AS users
@@ -411,7 +427,7 @@ def _(t):
 
 
 @query("agg17_suspicious", f"""WITH {E}, n AS (SELECT CASE WHEN user_id::INT % 20 < 16 THEN '0' ELSE user_id END AS user_id, count(*) AS n FROM e GROUP BY 1)
-SELECT user_id, n, 'Unusually high activity: ' || n || ' events' AS reason FROM n WHERE n > (SELECT greatest(avg(n) * 3, 100) FROM n)""")
+SELECT user_id, n, 'Unusually high activity: ' || n || ' events (threshold: ' || round(l)::BIGINT || ')' AS reason FROM n, (SELECT greatest(avg(n) * 3, 100) AS l FROM n) WHERE n > l""")
 def _(t):
     u = F.when(F.col("user_id").cast("int") % 20 < 16, "0").otherwise(F.col("user_id"))
     return ag.suspicious_users(t.e.withColumn("user_id", u))
@@ -435,6 +451,22 @@ def _(t):
     return ag.admin_metrics(t.customer.withColumn("quota", F.col("c_custkey") % 5 * 1000), "c_mktsegment", "c_acctbal", "quota")
 
 
+@query("agg19_platform_metrics", f"""WITH u AS (SELECT *, TIMESTAMP '2023-11-01' + INTERVAL (c_custkey % 100) DAYS AS created, 'role' || (c_custkey % 4) AS role, CASE WHEN c_acctbal < 0 THEN 'suspended' ELSE 'active' END AS status, 'tier' || (c_nationkey % 3) AS tier FROM customer),
+w AS (SELECT * FROM events WHERE ts >= {NOW_SQL} - INTERVAL 7 DAYS)
+SELECT 'role' AS part, role AS name, count(*) AS n FROM u GROUP BY 2 UNION ALL SELECT 'status', status, count(*) FROM u GROUP BY 2 UNION ALL SELECT 'tier', tier, count(*) FROM u GROUP BY 2
+UNION ALL SELECT 'total', 'users', count(*) FROM u UNION ALL SELECT 'total', 'recent_signups', count(*) FROM u WHERE created >= {NOW_SQL} - INTERVAL 30 DAYS
+UNION ALL SELECT 'total', 'enabled', count(*) FROM u WHERE c_acctbal > 5000 UNION ALL SELECT 'total', 'disabled', count(*) FROM u WHERE NOT c_acctbal > 5000
+UNION ALL SELECT 'total', 'total_events', count(*) FROM events UNION ALL SELECT 'total', 'events_today', count(*) FROM events WHERE ts >= date_trunc('day', {NOW_SQL}) UNION ALL SELECT 'total', 'events_this_week', count(*) FROM w
+UNION ALL SELECT * FROM (SELECT 'top_actions', event_type, count(*) AS n FROM w GROUP BY 2 ORDER BY n DESC, event_type LIMIT 5)""")
+def _(t):
+    users = t.customer.select(
+        F.expr("TIMESTAMP_NTZ'2023-11-01 00:00:00' + make_dt_interval(cast(c_custkey % 100 as int))").alias("created"), F.concat(F.lit("role"), (F.col("c_custkey") % 4).cast("string")).alias("role"),
+        F.when(F.col("c_acctbal") < 0, "suspended").otherwise("active").alias("status"), F.concat(F.lit("tier"), (F.col("c_nationkey") % 3).cast("string")).alias("tier"), "c_acctbal",
+    )
+    rich = F.col("c_acctbal") > 5000
+    return ag.platform_metrics(users, t.events, ntz(NOW), "created", ["role", "status", "tier"], [("enabled", rich), ("disabled", ~rich)])
+
+
 @query("agg20_class_totals", "SELECT o_orderpriority, count(*) AS n, sum(o_totalprice::DECIMAL(31, 8))::DOUBLE AS total FROM orders GROUP BY 1")
 def _(t):
     return ag.class_totals(t.orders, "o_orderpriority", ["o_totalprice"]).select("o_orderpriority", "n", F.col("sum_o_totalprice").cast("double").alias("total"))
@@ -515,6 +547,11 @@ def _(t):
     return ag.unread_counts(notes, "conv_id", "read_at")
 
 
+@query("agg32_page", """SELECT conv_id, turn, total, total > 2 AS has_more FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS n, count(*) OVER (PARTITION BY conv_id) AS total FROM conversations) WHERE n <= 2""")
+def _(t):
+    return ag.notes_page(t.conversations.select("conv_id", "turn"), "conv_id", [F.desc("turn")], 1, 2)
+
+
 # Windows
 
 
@@ -577,6 +614,13 @@ def _(t):
     return wn.version_append(docs, t.conversations.select("conv_id", "turn"), "conv_id", ["turn"])
 
 
+@query("win10_version_restore", "SELECT conv_id, max(turn) + 2 AS version, min_by(text, turn) AS text FROM conversations GROUP BY 1 HAVING count(*) > 1")
+def _(t):
+    versions = t.conversations.select("conv_id", (F.col("turn") + 1).alias("version"), "text")
+    first = versions.groupBy("conv_id").agg(F.min("version").alias("version"), F.count("*").alias("n")).where("n > 1").select("conv_id", "version")
+    return wn.version_restore(versions, first, "conv_id")
+
+
 # Sets
 
 
