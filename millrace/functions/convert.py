@@ -59,21 +59,22 @@ def fit_string(value: Column, length: int) -> Column:
 
 @dataclass(frozen=True)
 class Field:
-    """A column to make: ``value`` from the raw row, ``rule`` the name of the first rule it breaks, null if none."""
+    """A column to make: ``value`` from the raw row, ``rule`` the name of the first rule it breaks, null if none, ``raw`` the bytes it is made from."""
 
     name: str
     value: Column
     rule: Column
     sqlstate: str = "22000"
+    raw: Column | None = None
 
 
 def convert(df: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()) -> DataFrame:
-    """All fields, with ``reject`` STRUCT<rule, field, sqlstate>: the first field in order that fails, null for good rows.
+    """All fields, with ``reject`` STRUCT<rule, field, sqlstate, raw>: the first field in order that fails, null for good rows.
 
     One pass; ``accepted`` and ``rejected`` are filters on its result, which
     callers that need both should write or persist first.
     """
-    tries = [F.when(f.rule.isNotNull(), F.struct(f.rule.alias("rule"), F.lit(f.name).alias("field"), F.lit(f.sqlstate).alias("sqlstate"))) for f in fields]
+    tries = [F.when(f.rule.isNotNull(), F.struct(f.rule.alias("rule"), F.lit(f.name).alias("field"), F.lit(f.sqlstate).alias("sqlstate"), (F.lit(None) if f.raw is None else f.raw).cast("binary").alias("raw"))) for f in fields]
     return df.select(*keep, *[f.value.alias(f.name) for f in fields], F.coalesce(*tries).alias("reject"))
 
 
@@ -89,7 +90,7 @@ def first_wins(converted: DataFrame, key: Sequence[str], order: str) -> DataFram
     """Good rows after the first of their key, in file order, become rejects; bad rows claim no key."""
     good = F.col("reject").isNull()
     at = F.row_number().over(Window.partitionBy(*key, good).orderBy(order))
-    again = F.struct(F.lit("DUPLICATE_SOURCE_KEY").alias("rule"), F.lit(key[0]).alias("field"), F.lit("23505").alias("sqlstate"))
+    again = F.struct(F.lit("DUPLICATE_SOURCE_KEY").alias("rule"), F.lit(key[0]).alias("field"), F.lit("23505").alias("sqlstate"), F.lit(None).cast("binary").alias("raw"))
     return converted.withColumn("_n", at).withColumn("reject", F.when(good & (F.col("_n") > 1), again).otherwise(F.col("reject"))).drop("_n")
 
 
@@ -99,7 +100,7 @@ def refusal_rule(code: Column) -> Column:
 
 
 def canonical(value: Column, kind: str) -> Column:
-    """Text of a value for hashing: keys keep their padding, other text does not; 8 decimals, no minus zero; YYYYMMDD dates."""
+    """Text of a value for hashing: keys keep their padding, other text does not; 8 decimals, no minus zero; times with 12 digits; YYYYMMDD dates."""
     if kind == "key":
         text = value.cast("string")
     elif kind == "decimal":
@@ -108,6 +109,8 @@ def canonical(value: Column, kind: str) -> Column:
         text = F.date_format(value, "yyyyMMdd")
     elif kind == "timestamp":
         text = F.concat(F.date_format(value, "yyyy-MM-dd-HH.mm.ss.SSSSSS"), F.lit("000000"))
+    elif kind == "timestamp12":  # a struct as ``parse_ts12`` gives it
+        text = F.concat(F.date_format(value["ts"], "yyyy-MM-dd-HH.mm.ss.SSSSSS"), F.lpad(value["tail"].cast("string"), 6, "0"))
     elif kind == "int":
         text = value.cast("long").cast("string")
     else:

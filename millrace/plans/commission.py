@@ -9,15 +9,17 @@ from ..operators.joins import resolve_rate
 from ..operators.sets import upsert_by_key
 
 
-def validate_splits(splits: DataFrame, agents: DataFrame) -> DataFrame:
-    """``policy_id, problem``: the first of duplicate agent, share outside (0, 100], inactive agent, total not 100; null if sound."""
+def validate_splits(splits: DataFrame, agents: DataFrame, policies: DataFrame | None = None) -> DataFrame:
+    """``policy_id, problem``: the first of no split (of ``policies``, if given), duplicate agent, share outside (0, 100], inactive agent, total not 100; null if sound."""
     a = agents.select("agent_id", F.col("status").alias("_status"))
     rows = splits.join(a, "agent_id", "left")
+    if policies is not None:
+        rows = policies.select("policy_id").distinct().join(rows, "policy_id", "left")
     out = rows.groupBy("policy_id").agg(
-        (F.count("agent_id") != F.count_distinct("agent_id")).alias("twice"), F.bool_or((F.col("split_pct") <= 0) | (F.col("split_pct") > 100)).alias("range"),
+        (F.count("agent_id") == 0).alias("none"), (F.count("agent_id") != F.count_distinct("agent_id")).alias("twice"), F.bool_or((F.col("split_pct") <= 0) | (F.col("split_pct") > 100)).alias("range"),
         F.bool_or(F.coalesce(F.col("_status") != "ACTIVE", F.lit(True))).alias("inactive"), (F.sum("split_pct") != 100).alias("total"),
     )
-    problem = F.when(F.col("twice"), "DUPLICATE_AGENT").when(F.col("range"), "SPLIT_RANGE").when(F.col("inactive"), "AGENT_INACTIVE").when(F.col("total"), "SPLIT_TOTAL")
+    problem = F.when(F.col("none"), "NO_SPLIT").when(F.col("twice"), "DUPLICATE_AGENT").when(F.col("range"), "SPLIT_RANGE").when(F.col("inactive"), "AGENT_INACTIVE").when(F.col("total"), "SPLIT_TOTAL")
     return out.select("policy_id", problem.alias("problem"))
 
 
@@ -50,6 +52,12 @@ def validate_rates(changes: DataFrame, products: DataFrame, agents: DataFrame) -
     return changes.join(p, "product_code", "left").join(a, "agent_id", "left").withColumn("problem", problem).drop("_p", "_status")
 
 
+def rate_audit(validated: DataFrame, actor: str) -> DataFrame:
+    """An audit row for each change of ``validate_rates`` that was taken: its rate's id, percentage and first day."""
+    text = [F.lit("rate_id="), F.col("rate_id").cast("string"), F.lit(" pct="), F.col("rate_pct").cast("string"), F.lit(" from="), F.date_format("effective_from", "yyyy-MM-dd")]
+    return validated.where("problem is null").select(F.lit("RATE_UPSERT").alias("action"), "product_code", "agent_id", F.concat(*text).alias("detail"), F.lit(actor).alias("actor"))
+
+
 def dimension(rows: DataFrame, natural: str, surrogate: str) -> DataFrame:
     """A surrogate key from the natural one, so that a rebuilt dimension has the same keys."""
     return rows.withColumn(surrogate, F.xxhash64(natural))

@@ -113,14 +113,15 @@ def _(t):
     return bl.suspend_overdue(tenants, invoices(t), day(AS_OF)).select("id", "status", "notify")
 
 
-@query("dom08_validate_splits", """WITH s AS (SELECT l_orderkey AS policy_id, l_suppkey AS agent_id, CASE WHEN l_linenumber = 1 THEN 100 - 10 * (count(*) OVER (PARTITION BY l_orderkey) - 1) ELSE 10 END AS pct FROM lineitem)
-SELECT policy_id, CASE WHEN count(agent_id) <> count(DISTINCT agent_id) THEN 'DUPLICATE_AGENT' WHEN bool_or(pct <= 0 OR pct > 100) THEN 'SPLIT_RANGE' WHEN bool_or(s_acctbal < 0) THEN 'AGENT_INACTIVE' WHEN sum(pct) <> 100 THEN 'SPLIT_TOTAL' END AS problem
-FROM s JOIN supplier ON s_suppkey = agent_id GROUP BY 1""")
+@query("dom08_validate_splits", """WITH s AS (SELECT l_orderkey AS policy_id, l_suppkey AS agent_id, CASE WHEN l_linenumber = 1 THEN 100 - 10 * (count(*) OVER (PARTITION BY l_orderkey) - 1) ELSE 10 END AS pct FROM lineitem WHERE l_orderkey % 9 > 0)
+SELECT o_orderkey AS policy_id, CASE WHEN count(agent_id) = 0 THEN 'NO_SPLIT' WHEN count(agent_id) <> count(DISTINCT agent_id) THEN 'DUPLICATE_AGENT' WHEN bool_or(pct <= 0 OR pct > 100) THEN 'SPLIT_RANGE' WHEN bool_or(s_acctbal < 0) THEN 'AGENT_INACTIVE' WHEN sum(pct) <> 100 THEN 'SPLIT_TOTAL' END AS problem
+FROM orders LEFT JOIN s ON policy_id = o_orderkey LEFT JOIN supplier ON s_suppkey = agent_id GROUP BY 1""")
 def _(t):
-    n = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    splits = t.lineitem.join(n, "l_orderkey").select(F.col("l_orderkey").alias("policy_id"), F.col("l_suppkey").alias("agent_id"), F.when(F.col("l_linenumber") == 1, 100 - 10 * (F.col("n") - 1)).otherwise(10).alias("split_pct"))
+    lines = t.lineitem.where("l_orderkey % 9 > 0")  # the others have no split
+    n = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    splits = lines.join(n, "l_orderkey").select(F.col("l_orderkey").alias("policy_id"), F.col("l_suppkey").alias("agent_id"), F.when(F.col("l_linenumber") == 1, 100 - 10 * (F.col("n") - 1)).otherwise(10).alias("split_pct"))
     agents = t.supplier.select(F.col("s_suppkey").alias("agent_id"), F.when(F.col("s_acctbal") < 0, "INACTIVE").otherwise("ACTIVE").alias("status"))
-    return cm.validate_splits(splits, agents)
+    return cm.validate_splits(splits, agents, t.orders.select(F.col("o_orderkey").alias("policy_id")))
 
 
 COMMISSION = """p AS (SELECT o_orderkey AS policy_id, 'Brand#' || (o_custkey % 25 + 1) AS product, (o_totalprice * 100)::BIGINT AS c FROM orders WHERE o_orderstatus = 'O'),
@@ -141,10 +142,21 @@ def _(t):
 @query("dom10_validate_rates", """SELECT p_partkey, CASE WHEN p_size <= 5 OR p_size > 45 THEN 'RATE_RANGE' WHEN p_type = 'ECONOMY' THEN 'UNKNOWN_PRODUCT' WHEN p_partkey % 200 >= (SELECT count(*) FROM supplier) OR s_acctbal < 0 THEN 'AGENT_INACTIVE' END AS problem
 FROM part LEFT JOIN supplier ON s_suppkey = p_partkey % 200""")
 def _(t):
+    return _rate_changes(t).select("p_partkey", "problem")
+
+
+def _rate_changes(t: Tables) -> DataFrame:
     changes = t.part.select("p_partkey", F.col("p_type").alias("product_code"), (F.col("p_partkey") % 200).alias("agent_id"), F.when(F.col("p_size") > 45, F.col("p_size") + 10).otherwise(F.col("p_size") - 5).alias("rate_pct"))
     products = t.part.where("p_type <> 'ECONOMY'").select(F.col("p_type").alias("product_code"))
     agents = t.supplier.select(F.col("s_suppkey").alias("agent_id"), F.when(F.col("s_acctbal") < 0, "INACTIVE").otherwise("ACTIVE").alias("status"))
-    return cm.validate_rates(changes, products, agents).select("p_partkey", "problem")
+    return cm.validate_rates(changes, products, agents)
+
+
+@query("dom10_rate_audit", """SELECT 'RATE_UPSERT' AS action, p_type AS product_code, p_partkey % 200 AS agent_id, 'rate_id=' || p_partkey || ' pct=' || (p_size - 5) || ' from=1997-01-01' AS detail, 'load' AS actor
+FROM part JOIN supplier ON s_suppkey = p_partkey % 200 WHERE p_size BETWEEN 6 AND 45 AND p_type <> 'ECONOMY' AND s_acctbal >= 0""")
+def _(t):
+    rows = _rate_changes(t).withColumns({"rate_id": F.col("p_partkey"), "effective_from": day("1997-01-01")})
+    return cm.rate_audit(rows, "load").select("action", "product_code", "agent_id", "detail", "actor")
 
 
 @query("dom11_load_star", "SELECT strftime(l_shipdate, '%Y-%m') AS period_month, quarter(l_shipdate)::BIGINT AS quarter, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -157,41 +169,47 @@ def _(t):
     return joined.groupBy("period_month", F.col("quarter").cast("long").alias("quarter")).agg(F.count("*").alias("n"))
 
 
-PRICES = """prices AS (SELECT o_orderpriority AS code, o_orderdate::DATE AS d, max((o_totalprice)::DECIMAL(14, 2)) AS v FROM orders WHERE o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1998-03-01' GROUP BY 1, 2)"""
+PRICES = """prices AS (SELECT o_orderpriority AS code, date_trunc('month', o_orderdate)::DATE AS d, max(o_totalprice::DECIMAL(14, 2)) AS v FROM orders GROUP BY 1, 2)"""
+#: All products and months; amounts in ten-thousandths, so that each step rounds as the plan does.
+MARGINS = f"""{PRICES}, s AS (SELECT p_partkey AS sku, CASE WHEN p_partkey % 2 = 0 THEN '1-URGENT' ELSE '2-HIGH' END AS code, p_size, p_retailprice::DECIMAL(12, 2) AS price FROM part),
+f AS (SELECT d, v FROM prices WHERE code = '5-LOW'), b AS (SELECT sku, p.d, p.v, p_size, price FROM s JOIN prices p USING (code)),
+j AS (SELECT b.*, f.v AS fr FROM (SELECT * FROM b WHERE d >= (SELECT min((ts - INTERVAL 11700 DAYS)::DATE) FROM events)) b ASOF JOIN f ON b.d >= f.d),
+m AS (SELECT sku, d AS margin_date, price, ((v * 100)::BIGINT + 40) // 80 AS commodity, ((fr * 100)::BIGINT * p_size * 100 + 12500) // 25000 AS freight FROM j),
+c AS (SELECT *, commodity + freight + (commodity + freight + 5) // 10 AS cogs FROM m)"""
 
 
 def prices(t: Tables) -> DataFrame:
-    rows = t.orders.where((F.col("o_orderdate") >= day("1998-01-01")) & (F.col("o_orderdate") < day("1998-03-01")))
-    return rows.groupBy(F.col("o_orderpriority").alias("series_code"), F.to_date("o_orderdate").alias("price_date")).agg(F.max(F.col("o_totalprice").cast("decimal(14,2)")).alias("value"))
+    """A price of each month and priority: the highest total of its orders."""
+    month = F.to_date(F.trunc("o_orderdate", "MM"))
+    return t.orders.groupBy(F.col("o_orderpriority").alias("series_code"), month.alias("price_date")).agg(F.max(F.col("o_totalprice").cast("decimal(14,2)")).alias("value"))
+
+
+def products(t: Tables) -> DataFrame:
+    code = F.when(F.col("p_partkey") % 2 == 0, "1-URGENT").otherwise("2-HIGH")
+    return t.part.select(F.col("p_partkey").alias("sku"), code.alias("commodity_series_code"), F.lit(0.001).alias("content_kg"), F.col("p_size").alias("freight_kg"), F.lit(10).alias("overhead_pct"), F.col("p_retailprice").alias("list_price_usd"))
 
 
 def margins(t: Tables) -> DataFrame:
     p = prices(t)
-    products = t.part.where("p_partkey < 40").select(F.col("p_partkey").alias("sku"), F.when(F.col("p_partkey") % 2 == 0, "1-URGENT").otherwise("2-HIGH").alias("commodity_series_code"), F.lit(0.001).alias("content_kg"), F.col("p_size").alias("freight_kg"), F.lit(10).alias("overhead_pct"), F.col("p_retailprice").alias("list_price_usd"))
-    fx = t.events.groupBy(F.to_date(F.expr("ts - INTERVAL 9496 DAYS")).alias("price_date")).agg(F.lit(8).alias("value"))
-    return mg.product_margin(products, p, fx, p.where("series_code = '5-LOW'"))
+    fx = t.events.groupBy(F.to_date(F.expr("ts - INTERVAL 11700 DAYS")).alias("price_date")).agg(F.lit(8).alias("value"))
+    return mg.product_margin(products(t), p, fx, p.where("series_code = '5-LOW'"))
 
 
-@query("dom12_product_margin", f"""WITH {PRICES}, days AS (SELECT DISTINCT (ts - INTERVAL 9496 DAYS)::DATE AS d FROM events),
-s AS (SELECT p_partkey AS sku, CASE WHEN p_partkey % 2 = 0 THEN '1-URGENT' ELSE '2-HIGH' END AS code, p_size FROM part WHERE p_partkey < 40),
-f AS (SELECT d, v FROM prices WHERE code = '5-LOW'), b AS (SELECT sku, p.d, p.v, p_size FROM s JOIN prices p USING (code)),
-j AS (SELECT b.*, f.v AS fr FROM b ASOF JOIN f ON b.d >= f.d WHERE b.d >= (SELECT min(d) FROM days))
-SELECT sku, d AS margin_date, ((v * 100)::BIGINT + 40) // 80 AS commodity, ((fr * 100)::BIGINT * p_size * 100 + 12500) // 25000 AS freight FROM j""")
+@query("dom12_product_margin", f"WITH {MARGINS} SELECT sku, margin_date, commodity, freight, cogs FROM c")
 def _(t):
     units = lambda c, n: (F.col(c) * 10000).cast("long").alias(n)
-    return margins(t).select("sku", "margin_date", units("commodity_cost_usd", "commodity"), units("freight_cost_usd", "freight"))
+    return margins(t).select("sku", "margin_date", units("commodity_cost_usd", "commodity"), units("freight_cost_usd", "freight"), units("cogs_usd", "cogs"))
 
 
-@query("dom13_recompute", f"""WITH {PRICES}, days AS (SELECT min((ts - INTERVAL 9496 DAYS)::DATE) AS d FROM events), f AS (SELECT min(d) AS d FROM prices WHERE code = '5-LOW')
-SELECT p_partkey AS sku, count(*) AS n, count(*) FILTER (WHERE prices.d >= DATE '1998-02-01' AND p_partkey % 2 = 0) AS fresh FROM part JOIN prices ON code = CASE WHEN p_partkey % 2 = 0 THEN '1-URGENT' ELSE '2-HIGH' END WHERE p_partkey < 40
- AND prices.d >= (SELECT d FROM days) AND prices.d >= (SELECT d FROM f) GROUP BY 1""")
+@query("dom13_recompute", f"WITH {MARGINS} SELECT sku, count(*) AS n, count(*) FILTER (WHERE margin_date >= DATE '1998-02-01' AND sku % 2 = 0) AS fresh FROM c GROUP BY 1")
 def _(t):
     now = margins(t)
-    products = t.part.where("p_partkey < 40").select(F.col("p_partkey").alias("sku"), F.when(F.col("p_partkey") % 2 == 0, "1-URGENT").otherwise("2-HIGH").alias("commodity_series_code"))
-    out = mg.recompute_margins(now.withColumn("fresh", F.lit(0)), now.withColumn("fresh", F.lit(1)), products, ["1-URGENT"], ["5-LOW"], day("1998-02-01"))
+    out = mg.recompute_margins(now.withColumn("fresh", F.lit(0)), now.withColumn("fresh", F.lit(1)), products(t), ["1-URGENT"], ["5-LOW"], day("1998-02-01"))
     return out.groupBy("sku").agg(F.count("*").alias("n"), F.sum("fresh").alias("fresh"))
 
 
-@query("agg23_margin_kpis")
+@query("agg23_margin_kpis", f"""WITH {MARGINS} SELECT round(avg(CASE WHEN price = 0 THEN 0 ELSE round((price::DOUBLE * 10000 - cogs) / (price::DOUBLE * 10000) * 100, 4) END), 2) AS avg_margin_pct, round(avg(cogs / 10000.0), 2)::DOUBLE AS avg_cogs_usd,
+ (SELECT arg_max(v, d)::DOUBLE FROM prices WHERE code = '1-URGENT') AS commodity_index, (SELECT arg_max(v, d)::DOUBLE FROM prices WHERE code = '5-LOW') AS freight_index FROM c""")
 def _(t):
-    return margin_kpis(margins(t))
+    out = margin_kpis(margins(t), prices(t), "1-URGENT", "5-LOW")
+    return out.select(*[F.col(c).cast("double").alias(c) for c in out.columns])

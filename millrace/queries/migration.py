@@ -68,8 +68,8 @@ def _converted(t: Tables) -> DataFrame:
     )
     amount, date = F.col("amount").try_cast("decimal(31,2)"), cv.parse_date8(F.col("day"))
     fields = [
-        cv.Field("amount", amount, F.when(amount.isNull(), "PACKED_INVALID")),
-        cv.Field("day", date, F.when(date.isNull(), "DATE_INVALID"), "22007"),
+        cv.Field("amount", amount, F.when(amount.isNull(), "PACKED_INVALID"), raw=F.col("amount")),
+        cv.Field("day", date, F.when(date.isNull(), "DATE_INVALID"), "22007", F.col("day")),
     ]
     return cv.convert(raw, fields, ["key", "idx"])
 
@@ -77,11 +77,12 @@ def _converted(t: Tables) -> DataFrame:
 _RULES = """raw AS (SELECT CASE WHEN o_orderkey % 13 = 0 THEN o_orderkey - 1 ELSE o_orderkey END AS key, o_orderkey AS idx, CASE WHEN o_orderkey % 10 = 3 THEN 'PACKED_INVALID' WHEN o_orderkey % 10 = 4 THEN 'DATE_INVALID' END AS rule FROM orders)"""
 
 
-@query("cnv07_rejects", f"WITH {_RULES} SELECT coalesce(rule, 'loaded') AS rule, CASE rule WHEN 'PACKED_INVALID' THEN 'amount' WHEN 'DATE_INVALID' THEN 'day' END AS field, count(*) AS n FROM raw GROUP BY 1, 2")
+@query("cnv07_rejects", f"WITH {_RULES} SELECT coalesce(rule, 'loaded') AS rule, CASE rule WHEN 'PACKED_INVALID' THEN 'amount' WHEN 'DATE_INVALID' THEN 'day' END AS field, CASE rule WHEN 'PACKED_INVALID' THEN '78' WHEN 'DATE_INVALID' THEN '3030303030303030' END AS raw, count(*) AS n FROM raw GROUP BY 1, 2, 3")
 def _(t):
     rows = _converted(t)
-    good = cv.accepted(rows).select(F.lit("loaded").alias("rule"), F.lit(None).cast("string").alias("field"))
-    return good.unionByName(cv.rejected(rows).select("rule", "field")).groupBy("rule", "field").agg(F.count("*").alias("n"))
+    none = F.lit(None).cast("string")
+    good = cv.accepted(rows).select(F.lit("loaded").alias("rule"), none.alias("field"), none.alias("raw"))
+    return good.unionByName(cv.rejected(rows).select("rule", "field", F.hex("raw").alias("raw"))).groupBy("rule", "field", "raw").agg(F.count("*").alias("n"))
 
 
 @query("cnv08_first_wins", f"WITH {_RULES} SELECT idx, CASE WHEN rule IS NULL AND row_number() OVER (PARTITION BY key, rule IS NULL ORDER BY idx) > 1 THEN 'DUPLICATE_SOURCE_KEY' ELSE rule END AS rule FROM raw")
@@ -108,6 +109,12 @@ def _(t):
     return _hashed(t).select("o_orderkey", "hash")
 
 
+@query("cnv10_time_hash", "SELECT event_id, sha256(event_id || '|' || strftime(ts, '%Y-%m-%d-%H.%M.%S.%f') || lpad((event_id % 1000000)::VARCHAR, 6, '0')) AS hash FROM events")
+def _(t):
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd-HH.mm.ss.SSSSSS"), F.lpad((F.col("event_id") % 1000000).cast("string"), 6, "0"))
+    return t.events.select("event_id", cv.business_hash([(F.col("event_id"), "int"), (cv.parse_ts12(text), "timestamp12")]).alias("hash"))
+
+
 # Reconciliation
 
 
@@ -178,9 +185,11 @@ def _(t):
     return rc.run_ledger(_stages(t))
 
 
-@query("rec07_closes", "SELECT 'orders' AS table_name, true AS closes")
+@query("rec07_closes", "SELECT 'orders' AS table_name, true AS closes UNION ALL SELECT 'lineitem', false WHERE (SELECT count(*) FROM lineitem WHERE l_linenumber = 7) > 0")
 def _(t):
-    return rc.closes(rc.run_ledger(_stages(t))).select("table_name", "closes")
+    """The orders' ledger closes; of the lineitems those with number 7 were extracted and never loaded."""
+    lines = t.lineitem.select(F.lit("lineitem").alias("table_name"), F.explode(F.when(F.col("l_linenumber") == 7, F.array(F.lit("extracted"))).otherwise(F.array(*map(F.lit, ("extracted", "loaded", "validated"))))).alias("stage"))
+    return rc.closes(rc.run_ledger(_stages(t).unionByName(lines))).select("table_name", "closes")
 
 
 @query("rec08_rejects_view", f"SELECT 'orders' AS table_name, o_orderkey AS key, 'validate' AS stage, {_VERDICT} AS rule, NULL::VARCHAR AS field FROM orders WHERE {_VERDICT} <> 'OK'")
