@@ -230,13 +230,3 @@ def _(t):
 @query("dq08_suite_totals", f"SELECT count(*) FILTER (WHERE ok) AS passed, count(*) FILTER (WHERE NOT ok) AS failed FROM ({_SUITE})")
 def _(t):
     return dq.suite_totals(suite(t))
-
-
-@query("src05_fixed_width", f"SELECT o_orderkey, o_orderstatus AS status, {_CENTS} AS cents FROM orders")
-def _(t):
-    """Orders written as packed 17-byte records in one column, cut again by offset as the fixed-width reader does."""
-    cents = F.lpad(F.round(F.col("o_totalprice") * 100).cast("long").cast("string"), 15, "0")
-    record = F.concat(F.unhex(F.lpad(F.hex("o_orderkey"), 16, "0")), F.encode("o_orderstatus", "US-ASCII"), F.unhex(F.concat(cents, F.lit("C"))))
-    rows = t.orders.select(record.alias("record"))
-    part = lambda at, n: F.substring("record", at + 1, n)
-    return rows.select(cv.unpack_int(part(0, 8)).alias("o_orderkey"), F.decode(part(8, 1), "US-ASCII").alias("status"), (cv.unpack_decimal(part(9, 8), 2) * 100).cast("long").alias("cents"))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 EVENT = "eventId STRING, eventType STRING, userId STRING, resourceId STRING, resourceType STRING, metadata MAP<STRING,STRING>, timestamp STRING"
 LOG = "timestamp STRING, level STRING, service STRING, message STRING, trace_id STRING, span_id STRING, user_id STRING, request_id STRING, duration_ms DOUBLE, status INT, path STRING, error STRUCT<type: STRING, message: STRING, stack: STRING>"
@@ -45,20 +45,30 @@ def read_market_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_fixed_width(spark: SparkSession, path: str, length: int, layout: Sequence[tuple[str, int, int]]) -> DataFrame:
-    """Raw bytes of each field of fixed-length records: (name, offset from 0, length). Splits fall on record borders."""
-    rows = spark.sparkContext.binaryRecords(path, length).map(lambda r: (bytearray(r),))
-    df = spark.createDataFrame(rows, T.StructType([T.StructField("record", T.BinaryType())]))
-    return df.select("record", *[F.substring("record", at + 1, n).alias(name) for name, at, n in layout])
+def read_fixed_width(spark: SparkSession, path: str, length: int, layout: Sequence[tuple[str, int, int]], expected: int | None = None) -> DataFrame:
+    """Raw bytes of each field of fixed-length records: (name, offset from 0, length). Splits fall on record borders.
 
+    Files must hold whole records, and ``expected`` of them if it is given.
+    """
+    sizes = read_object_inventory(spark, path).agg(F.coalesce(F.sum("size"), F.lit(0)), F.count_if(F.col("size") % length > 0)).first()
+    if sizes[1]:
+        raise ValueError(f"{sizes[1]} files do not hold whole records of {length} bytes")
+    if expected is not None and sizes[0] != expected * length:
+        raise ValueError(f"{sizes[0] // length} records where {expected} were recorded")
+    # Records stay in the JVM from the split to the fields.
+    records = spark.sparkContext._jsc.binaryRecords(path, length)
+    df = DataFrame(spark._jsparkSession.createDataset(records.rdd(), spark._jvm.org.apache.spark.sql.Encoders.BINARY()).toDF(), spark)
+    return df.select(F.col("value").alias("record"), *[F.substring("value", at + 1, n).alias(name) for name, at, n in layout])
 
-def read_jdbc_range(spark: SparkSession, url: str, name: str, key: str, ranges: Sequence[tuple[str, str]], selection: str = "1 = 1", options: dict[str, str] | None = None) -> DataFrame:
-    """One task for each planned key range."""
-    return spark.read.jdbc(url, name, predicates=range_predicates(key, ranges, selection), properties=options or {})
 
+def read_jdbc_range(spark: SparkSession, url: str, name: str, key: str, ranges: Sequence[tuple], selection: str = "1 = 1", options: dict[str, str] | None = None) -> DataFrame:
+    """One task for each planned key range, sorted by the key inside it."""
+    return spark.read.jdbc(url, name, predicates=range_predicates(key, ranges, selection), properties=options or {}).sortWithinPartitions(key)
 
-def range_predicates(key: str, ranges: Sequence[tuple[str, str]], selection: str = "1 = 1") -> list[str]:
-    quoted = lambda v: "'" + str(v).replace("'", "''") + "'"
+
+def range_predicates(key: str, ranges: Sequence[tuple], selection: str = "1 = 1") -> list[str]:
+    """A condition for each range; numbers stand as they are, other keys as quoted text."""
+    quoted = lambda v: str(v) if isinstance(v, (int, float, Decimal)) else "'" + str(v).replace("'", "''") + "'"
     return [f"({selection}) AND {key} BETWEEN {quoted(a)} AND {quoted(b)}" for a, b in ranges]
 
 

@@ -18,6 +18,12 @@ def write_lake_partition(df: DataFrame, root: str, day: str) -> None:
     )
 
 
+def write_lake_days(df: DataFrame, root: str, day: Column) -> None:
+    """Rows of many days in one job, each under its year, month and day; days that the rows hold are overwritten."""
+    out = df.withColumns({"year": F.year(day), "month": F.month(day), "day": F.day(day)})
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("year", "month", "day").json(root)
+
+
 def csv_lines(df: DataFrame, columns: Sequence[str], quote_all: bool = False) -> DataFrame:
     """``value``: a CSV line of each row; fields are quoted if they must be (or all), inner quotes doubled, nulls empty."""
     def field(c: str) -> Column:

@@ -29,6 +29,10 @@ def test_fixed_width_and_inventory(spark, tmp_path):
     (tmp_path / "r.bin").write_bytes(b"AAA\x00\x01BBB\xff\xfe")
     out = readers.read_fixed_width(spark, str(tmp_path / "r.bin"), 5, [("code", 0, 3), ("n", 3, 2)])
     assert [(bytes(r.code), bytes(r.n)) for r in out.collect()] == [(b"AAA", b"\x00\x01"), (b"BBB", b"\xff\xfe")]
+    with pytest.raises(ValueError, match="whole records"):
+        readers.read_fixed_width(spark, str(tmp_path / "r.bin"), 4, [])
+    with pytest.raises(ValueError, match="2 records where 3"):
+        readers.read_fixed_width(spark, str(tmp_path / "r.bin"), 5, [], expected=3)
     inv = readers.read_object_inventory(spark, str(tmp_path), "*.bin").collect()
     assert [(r.key.rsplit("/", 1)[1], r.size) for r in inv] == [("r.bin", 10)]
 
@@ -53,6 +57,15 @@ def test_csv_json_reports(spark, tmp_path):
 
 def test_range_predicates():
     assert readers.range_predicates("k", [("a", "o'b")], "x > 1") == ["(x > 1) AND k BETWEEN 'a' AND 'o''b'"]
+    assert readers.range_predicates("k", [(1, 20)]) == ["(1 = 1) AND k BETWEEN 1 AND 20"]
+
+
+def test_jdbc_ranges(spark):
+    url, options = "jdbc:derby:memory:ranges;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    spark.range(100).select(F.col("id").alias("K"), F.concat(F.lit("n"), "id").alias("V")).write.jdbc(url, "ROWS_OF", properties=options)
+    df = readers.read_jdbc_range(spark, url, "ROWS_OF", "K", [(0, 9), (10, 49), (50, 99)], "K <> 7", options)
+    assert df.rdd.getNumPartitions() == 3
+    assert [r.K for r in df.collect()] == [k for k in range(100) if k != 7]
 
 
 def test_key_ranges_refuse_repeated_keys(spark):
