@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import staged
 
-def asof_backward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """The latest right values at or before each left row, within ``by``; left rows without one are dropped.
+
+def asof_backward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], values: Sequence[str], outer: bool = False) -> DataFrame:
+    """The latest right values at or before each left row, within ``by``; left rows without one are dropped, or with ``outer`` kept.
 
     Both sides go into one stream by key and time, so there is one shuffle and
     no pairing of rows within a range. Of right rows at one time the greatest
@@ -19,7 +21,7 @@ def asof_backward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str],
     a = left.select(*by, on, F.lit(1).alias("_side"), row.alias("_row"), F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType).alias("_v"))
     b = right.select(*by, on, F.lit(0).alias("_side"), F.lit(None).cast(left.select(row).schema[0].dataType).alias("_row"), F.struct(*values).alias("_v"))
     w = Window.partitionBy(*by).orderBy(on, "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
-    out = a.unionByName(b).withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_side = 1 and _v is not null")
+    out = a.unionByName(b).withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_side = 1" if outer else "_side = 1 and _v is not null")
     return out.select("_row.*", "_v.*")
 
 
@@ -33,20 +35,45 @@ def effective_dated(facts: DataFrame, terms: DataFrame, key: str, on: str, start
     return joined.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_id")
 
 
+#: Segments of rates whose lists are broadcast at most; beyond it they are joined as of the day.
+BROADCAST_SEGMENTS = 100_000
+
+
+def rate_segments(rates: DataFrame, product: str, agent: str) -> DataFrame:
+    """``product, agent, at, rate_id, rate_pct``: the rate in force from each day on which it may change, null where there is none.
+
+    Of overlapping rates the one that began last counts, then the smallest id.
+    """
+    r = rates.select(product, agent, "rate_id", "rate_pct", "effective_from", "effective_to")
+    at = F.explode(F.array("effective_from", F.date_add("effective_to", 1))).alias("at")
+    days = r.select(product, agent, at).where("at is not null").distinct()
+    live = (F.col(f"d.{product}") == F.col(f"r.{product}")) & F.col(f"d.{agent}").eqNullSafe(F.col(f"r.{agent}"))
+    live = live & (F.col("r.effective_from") <= F.col("d.at")) & (F.col("r.effective_to").isNull() | (F.col("r.effective_to") >= F.col("d.at")))
+    rows = days.alias("d").join(r.alias("r"), live, "left").select("d.*", "r.rate_id", "r.rate_pct", "r.effective_from")
+    age = F.struct(F.datediff(F.lit("1970-01-01").cast("date"), "effective_from"), "rate_id")
+    return rows.groupBy(product, agent, "at").agg(F.min_by(F.struct("rate_id", "rate_pct"), F.when(F.col("rate_id").isNotNull(), age)).alias("s")).select(product, agent, "at", "s.*")
+
+
 def resolve_rate(requests: DataFrame, rates: DataFrame, product: str, agent: str, on: str) -> DataFrame:
     """Each request with ``rate_id, rate_pct`` in force: an agent's own before the product's default, then the latest.
 
-    A request without one has ``error`` NO_RATE.
+    A request without one has ``error`` NO_RATE. A request meets the lists of
+    its agent and of its product, not each of their rates.
     """
-    r = requests.withColumn("_id", F.monotonically_increasing_id())
-    hit = (
-        (F.col(f"q.{product}") == F.col(f"r.{product}")) & (F.col(f"r.{agent}").isNull() | (F.col(f"r.{agent}") == F.col(f"q.{agent}")))
-        & (F.col("r.effective_from") <= F.col(f"q.{on}")) & (F.col("r.effective_to").isNull() | (F.col("r.effective_to") >= F.col(f"q.{on}")))
-    )
-    joined = r.alias("q").join(rates.alias("r"), hit, "left").select("q.*", "r.rate_id", "r.rate_pct", F.col("r.effective_from").alias("_from"), F.col(f"r.{agent}").isNull().alias("_default"))
-    best = Window.partitionBy("_id").orderBy("_default", F.col("_from").desc(), "rate_id")
-    out = joined.withColumn("_n", F.row_number().over(best)).where("_n = 1")
-    return out.withColumn("error", F.when(F.col("rate_id").isNull(), "NO_RATE")).drop("_n", "_id", "_from", "_default")
+    segments = staged(rate_segments(rates, product, agent))
+    own, default = segments.where(F.col(agent).isNotNull()), segments.where(F.col(agent).isNull()).drop(agent)
+    if segments.count() <= BROADCAST_SEGMENTS:
+        lists = lambda df, keys, name: F.broadcast(df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", "rate_id", "rate_pct"))).alias(name)))
+        rows = requests.join(lists(own, [product, agent], "_own"), [product, agent], "left").join(lists(default, [product], "_all"), product, "left")
+        last = lambda name: F.try_element_at(F.filter(name, lambda x: x["at"] <= F.col(on)), F.lit(-1))
+        rows = rows.withColumns({"_own": last("_own"), "_all": last("_all")})
+    else:
+        named = lambda df, name, keys: df.select(*keys, F.col("at").alias(on), F.struct("rate_id", "rate_pct").alias(name))
+        rows = asof_backward(requests, named(own, "_own", [product, agent]), on, [product, agent], ["_own"], outer=True)
+        rows = asof_backward(rows, named(default, "_all", [product]), on, [product], ["_all"], outer=True)
+    best = F.when(F.col("_own.rate_id").isNotNull(), F.struct("_own.rate_id", "_own.rate_pct")).otherwise(F.struct("_all.rate_id", "_all.rate_pct"))
+    out = rows.withColumn("_best", best).select(*[F.col(c) for c in requests.columns], "_best.*")
+    return out.withColumn("error", F.when(F.col("rate_id").isNull(), "NO_RATE"))
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

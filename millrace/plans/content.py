@@ -46,10 +46,35 @@ def inverted_index(rows: DataFrame, fields: Sequence[tuple[str, int]]) -> DataFr
     return out.groupBy("term", "id").agg(F.max("weight").alias("weight"))
 
 
-def keyword_search(index: DataFrame, query: str, page: int = 1, size: int = 20) -> DataFrame:
-    """``id, matched, score``: rows with most of the query's words first, then by field weight, then by id."""
+def search_filter(rows: DataFrame, kind: str | None = None, owner: str | None = None, tags: Sequence[str] = (), since: str | None = None, until: str | None = None) -> DataFrame:
+    """Rows of a type and an owner, with any of the tags, made within two dates; what is not given does not filter."""
+    if kind:
+        rows = rows.where(F.col("type") == kind)
+    if owner:
+        rows = rows.where(F.col("owner_id") == owner)
+    if tags:
+        rows = rows.where(F.arrays_overlap("tags", F.array(*map(F.lit, tags))))
+    if since:
+        rows = rows.where(F.col("created_at") >= since)
+    return rows.where(F.col("created_at") <= until) if until else rows
+
+
+def keyword_search(rows: DataFrame, fields: Sequence[tuple[str, int]], query: str, page: int = 1, size: int = 20) -> DataFrame:
+    """``id, matched, score``: rows with most of the query's words first, then by field weight, then by id; without words, all rows.
+
+    A row's words are met with the query's where it is read: nothing but the
+    page's candidates is shuffled. For many queries over the same rows there is
+    ``inverted_index``.
+    """
     words = sorted({w for w in query.lower().split() if w})
-    hits = index.where(F.col("term").isin(words)).groupBy("id").agg(F.count("*").alias("matched"), F.sum("weight").alias("score"))
+    if words:
+        wanted = F.array(*map(F.lit, words))
+        found = rows.select("id", *[F.array_intersect(terms(F.col(f)), wanted).alias(f"_{k}") for k, (f, _) in enumerate(fields)])
+        weights = [F.greatest(F.lit(0), *[F.when(F.array_contains(f"_{k}", w), n).otherwise(0) for k, (_, n) in enumerate(fields)]) for w in words]
+        hits = found.select("id", F.array(*weights).alias("w")).select("id", F.size(F.filter("w", lambda x: x > 0)).cast("long").alias("matched"), F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x).alias("score"))
+        hits = hits.where("matched > 0")
+    else:
+        hits = rows.select("id", F.lit(0).cast("long").alias("matched"), F.lit(0).cast("long").alias("score"))
     return hits.orderBy(F.desc("matched"), F.desc("score"), "id").offset((page - 1) * size).limit(size)
 
 
@@ -86,3 +111,14 @@ def bulk_update(users: DataFrame, ids: DataFrame, key: str, column: str, value:
     hit = users.join(listed.withColumn("_hit", F.lit(True)), key, "left")
     changed = hit.withColumn(column, F.when(F.col("_hit"), F.lit(value)).otherwise(F.col(column))).drop("_hit")
     return changed, listed.join(users.select(key), key, "left_anti")
+
+
+def bulk_operation(users: DataFrame, ids: DataFrame, key: str, operation: str, role: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Users after ``suspend``, ``activate``, ``delete`` or ``update_role`` of the listed ones, and ``success_count, failure_count, missing``."""
+    done = {"suspend": ("status", "suspended"), "activate": ("status", "active"), "delete": ("status", "deleted"), "update_role": ("role", role)}
+    if operation not in done:
+        raise ValueError(f"Invalid operation: {operation}")
+    changed, missing = bulk_update(users, ids, key, *done[operation])
+    listed = ids.agg(F.count_distinct(key).alias("_listed"))
+    counts = listed.join(missing.agg(F.count("*").alias("missing")))
+    return changed, counts.select((F.col("_listed") - F.col("missing")).alias("success_count"), F.col("missing").alias("failure_count"), "missing")

@@ -43,7 +43,21 @@ _INDEX = r"""w AS (SELECT id, term, max(weight) AS weight FROM (SELECT doc_id AS
 @query("dom17_keyword_search", f"WITH {_INDEX} SELECT id, count(*) AS matched, sum(weight)::BIGINT AS score FROM w GROUP BY 1 ORDER BY matched DESC, score DESC, id LIMIT 20")
 def _(t):
     rows = t.documents.select(F.col("doc_id").alias("id"), "text", F.split("text", "\n")[0].alias("title"))
-    return ct.keyword_search(ct.inverted_index(rows, [("title", 3), ("text", 1)]), "The und tiing ciónes")
+    return ct.keyword_search(rows, [("title", 3), ("text", 1)], "The und tiing ciónes")
+
+
+@query("dom17_filtered_search", f"WITH {_INDEX} SELECT id, count(*) AS matched, sum(weight)::BIGINT AS score FROM w JOIN documents ON doc_id = id WHERE lang = 'en' AND (source IN ('src1', 'src2') OR n_chars % 2 = 1) AND n_chars BETWEEN 100 AND 5000 GROUP BY 1 ORDER BY matched DESC, score DESC, id LIMIT 20 OFFSET 20")
+def _(t):
+    tags = F.array("source", F.when(F.col("n_chars") % 2 == 1, "odd").otherwise("even"))
+    rows = t.documents.select(F.col("doc_id").alias("id"), "text", F.split("text", "\n")[0].alias("title"), F.col("lang").alias("type"), tags.alias("tags"), F.lpad(F.col("n_chars").cast("string"), 9, "0").alias("created_at"))
+    rows = ct.search_filter(rows, kind="en", tags=["src1", "src2", "odd"], since="000000100", until="000005000")
+    return ct.keyword_search(rows, [("title", 3), ("text", 1)], "The und tiing ciónes", page=2)
+
+
+@query("dom17_inverted_index", r"""SELECT term, count(*) AS rows FROM (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS term FROM documents) WHERE term IN ('the', 'und', 'tiing', 'ciónes') GROUP BY 1""")
+def _(t):
+    index = ct.inverted_index(t.documents.select(F.col("doc_id").alias("id"), "text"), [("text", 1)])
+    return index.where(F.col("term").isin("the", "und", "tiing", "ciónes")).groupBy("term").agg(F.count("*").alias("rows"))
 
 
 @query("dom17_highlight", r"SELECT doc_id, regexp_replace(substr(text, 1, 200), '(?i)\b(the|und)\b', '<em>\1</em>', 'g') AS snippet FROM documents WHERE lang = 'en'")
@@ -81,6 +95,15 @@ def _(t):
     return changed.select("c_custkey", F.col("c_mktsegment").alias("status")).unionByName(missing.withColumn("status", F.lit("missing")))
 
 
+@query("dom20_bulk_counts", """SELECT count(*) FILTER (WHERE found) AS success_count, count(*) FILTER (WHERE NOT found) AS failure_count, count(*) FILTER (WHERE NOT found) AS missing, (SELECT count(*) FROM customer WHERE c_custkey % 5 = 0) AS deleted
+FROM (SELECT DISTINCT k, k <= (SELECT max(c_custkey) FROM customer) AS found FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 5 = 0 UNION ALL SELECT o_custkey + 1000000000 FROM orders WHERE o_orderkey < 10))""")
+def _(t):
+    users = t.customer.select("c_custkey", F.lit("active").alias("status"))
+    ids = users.where("c_custkey % 5 = 0").select("c_custkey").unionByName(t.orders.where("o_orderkey < 10").select((F.col("o_custkey") + 1000000000).alias("c_custkey")))
+    changed, counts = ct.bulk_operation(users, ids, "c_custkey", "delete")
+    return counts.join(changed.agg(F.count_if(F.col("status") == "deleted").alias("deleted")))
+
+
 @query("snk09_decimal_text", "SELECT o_orderpriority, sum(o_totalprice::DECIMAL(31, 8))::DECIMAL(38, 8)::VARCHAR AS total FROM orders GROUP BY 1")
 def _(t):
     return t.orders.groupBy("o_orderpriority").agg(decimal_text(F.sum(F.col("o_totalprice").cast("decimal(31,8)"))).alias("total"))

@@ -97,9 +97,9 @@ def _(t):
 # Streams: the table's file as the source, run until all of it is read.
 
 
-def _stream(t: Tables) -> DataFrame:
-    """The events' file or folder as a stream, with times as TIMESTAMP."""
-    rows = t.spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/events*.parquet")
+def _stream(t: Tables, files: int = 100) -> DataFrame:
+    """The events' file or folder as a stream of so many files a batch, with times as TIMESTAMP."""
+    rows = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", files).parquet(f"{t.sf_dir}/events*.parquet")
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -125,9 +125,18 @@ def _(t):
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
+def _upserted(t: Tables, out: DataFrame, mode: str, keys: list[str], order: str) -> DataFrame:
+    """Run a stream whose batches are merged by key, and read the merged table."""
+    at = scratch_path(t.spark, "stream")
+    q = out.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
+    q.foreachBatch(sm.upsert_into(f"{at}/rows", keys, order)).start().awaitTermination()
+    return sm.read_upserted(t.spark, f"{at}/rows", out.schema)
+
+
 @query("str04_daily_rollup", "SELECT ts::DATE AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def _(t):
-    out = _finished(t, sm.daily_rollup(_stream(t), "ts"), "complete")
+    """Batches bring the counts that changed; counts only grow, so the greatest is the last."""
+    out = _upserted(t, sm.daily_rollup(_stream(t, 1), "ts"), "update", ["start", "event_type"], "n")
     return out.select(F.to_date("start").alias("day"), "event_type", "n")
 
 
@@ -155,10 +164,10 @@ def _(t):
 
 @query("str05_index_changes", "SELECT user_id, arg_max(event_type, event_id) AS title FROM events GROUP BY 1 HAVING arg_max(event_type, event_id) <> 'error'")
 def _(t):
+    """Each batch's last change of an id is merged into the table; deletions stay as rows, so that later batches cannot bring back older ones."""
     action = F.when(F.col("event_type") == "error", "delete").otherwise("index")
-    rows = _finished(t, _stream(t).select("user_id", "event_id", F.col("event_type").alias("title"), action.alias("action")), "append")
-    last = sm.index_changes(rows, "user_id", "event_id")
-    return sm.apply_changes(last.limit(0), last, "user_id").select("user_id", "title")
+    changes = _stream(t, 1).select("user_id", "event_id", F.col("event_type").alias("title"), action.alias("action"))
+    return _upserted(t, changes, "append", ["user_id"], "event_id").where("action <> 'delete'").select("user_id", "title")
 
 
 @query("str06_audit_ingest", "SELECT user_id::VARCHAR AS user_id, event_type AS action, count(*) AS n FROM events GROUP BY ALL")
@@ -168,11 +177,19 @@ def _(t):
     return rows.groupBy("user_id", "action").agg(F.count("*").alias("n"))
 
 
-#: Sessions close when the watermark passes them; the last, still open ones are not in an append result.
-@query("str08_presence")
+@query("str08_presence", """WITH r AS (SELECT ts, user_id, json_extract_string(props, '$.k') AS document_id, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS opens FROM events WINDOW w AS (PARTITION BY user_id, json_extract_string(props, '$.k') ORDER BY ts)),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id, document_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM r)
+SELECT document_id, user_id, min(ts) AS joined_at, max(ts) + INTERVAL 30 MINUTES AS left_at, count(*) AS n FROM s GROUP BY document_id, user_id, no""")
 def _(t):
-    rows = _stream(t).select("ts", F.col("user_id"), F.get_json_object("props", "$.k").alias("document_id"))
-    return _finished(t, sm.presence(rows, "30 minutes", "ts"), "append")
+    """Sessions close when the watermark passes them, so a last event long after all others, which is left out again, closes the rest."""
+    at = scratch_path(t.spark, "events")
+    rows = t.events.select("ts", "user_id", F.get_json_object("props", "$.k").alias("document_id"))
+    rows.write.parquet(f"{at}/0")
+    end = rows.agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts"))
+    end.select("ts", F.lit(-1).cast("long").alias("user_id"), F.lit(None).cast("string").alias("document_id")).write.parquet(f"{at}/1")
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1000).parquet(f"{at}/*")
+    out = _finished(t, sm.presence(stream.withColumn("ts", F.col("ts").cast("timestamp")), "30 minutes", "ts"), "append").where("user_id >= 0")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("joined_at", "left_at")})
 
 
 @query("str09_live_alerts", "SELECT start, ratio FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) FILTER (WHERE event_type = 'error') / count(*)::DOUBLE AS ratio FROM events GROUP BY 1) WHERE ratio > 0.3")

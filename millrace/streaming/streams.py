@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.normalize import audit_from_message, unwrap_envelope
 from ..operators.sets import upsert_by_key
@@ -40,22 +42,54 @@ def daily_rollup(events: DataFrame, ts: str, late: str = "1 day") -> DataFrame:
     return tumbling_totals(events, "1 day", ts, late)
 
 
-def upsert_into(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """A batch writer that keeps the last row of each key in a Parquet table: each batch makes the next version of it."""
+#: Parts of a table that batches are merged into, by a hash of the key.
+PARTS = 32
+
+
+def upsert_into(path: str, keys: list[str], order: str, parts: int = PARTS) -> Callable[[DataFrame, int], None]:
+    """A batch writer that keeps the row with the greatest ``order`` of each key in a Parquet table of ``parts`` parts.
+
+    A batch writes the next version of the parts its keys fall into and leaves
+    the others alone. It starts from the newest version of a part that is older
+    than itself, so batches may be skipped, and a batch that runs again writes
+    the same version again. ``read_upserted`` reads the table.
+    """
 
     def write(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(f"{path}/v={n - 1}")
-        except Exception as e:  # there is no version yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = batch.limit(0)
-        upsert_by_key(old, batch, keys).write.mode("overwrite").parquet(f"{path}/v={n}")
+        new = batch.withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+        touched = [r[0] for r in new.select("_part").distinct().collect()]
+        if not touched:
+            return
+        old = _newest(batch.sparkSession, path, batch.schema, n)
+        both = new if old is None else new.unionByName(old.where(F.col("_part").isin(touched)).select(new.columns))
+        rest = [c for c in new.columns if c not in (*keys, "_part")]
+        last = both.groupBy("_part", *keys).agg(F.max_by(F.struct(*rest), order).alias("_r")).select("_part", *keys, "_r.*")
+        out = last.withColumn("_version", F.lit(n)).repartition(len(touched), "_part")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part", "_version").parquet(path)
 
     return write
 
 
+def _newest(spark: SparkSession, path: str, schema: StructType, below: int) -> DataFrame | None:
+    """Rows of the newest version of each part under ``below``; None if there is no table."""
+    try:
+        rows = spark.read.schema(StructType([*schema.fields, StructField("_part", IntegerType()), StructField("_version", IntegerType())])).parquet(path)
+    except AnalysisException as e:  # nothing was written yet
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    # The names of folders alone: a few for each part.
+    names = sorted({tuple(r) for r in rows.select("_part", "_version").where(F.col("_version") < below).distinct().collect()})
+    wanted = [f"(_part = {p} AND _version = {v})" for p, v in dict(names).items()]
+    return rows.where(" OR ".join(wanted) or "false").drop("_version")
+
+
+def read_upserted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table that ``upsert_into`` wrote, as of its last batch."""
+    rows = _newest(spark, path, schema, 1 << 30)
+    return spark.createDataFrame([], schema) if rows is None else rows.drop("_part")
+
+
 def index_changes(changes: DataFrame, id_col: str, order: str) -> DataFrame:
     """Of one batch's changes the last of each id."""
     rest = [c for c in changes.columns if c != id_col]
@@ -73,7 +107,13 @@ def audit_ingest(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def incident_state(alerts: DataFrame) -> DataFrame:
-    """Open and resolve of each service as alerts come: ``service, incident_no, action, ts``. ``alerts``: service, status, ts, event_id."""
+    """Open and resolve of each service as alerts come: ``service, incident_no, action, ts``. ``alerts``: service, status, ts, event_id.
+
+    A trigger's alerts of a service are put in order of time; an alert that
+    comes in a later trigger than a newer one is taken as it comes. A trigger's
+    alerts of one service are held in memory, so the source's rows for each
+    trigger (``maxFilesPerTrigger``) bound it.
+    """
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         is_open, number = state.get if state.exists else (False, 0)

@@ -3,8 +3,11 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import daily_usage_rollup, usage_report_header
+from millrace.operators import joins as jn
 from millrace.plans import commission as cm
 from millrace.plans import margin as mg
+from millrace.queries import events
+from millrace.queries.registry import Tables
 
 
 def test_daily_rollup_of_a_seed(spark):
@@ -28,6 +31,15 @@ def test_daily_rollup_of_a_seed(spark):
     assert (head.day_count, head.total_events) == (3, 165)
 
 
+def test_rates_of_long_lists_are_the_same(spark, monkeypatch):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    q = t.orders.select("o_orderkey", F.concat(F.lit("Brand#"), (F.col("o_custkey") % 25 + 1).cast("string")).alias("product"), (F.col("o_custkey") % 12).alias("agent"), F.to_date("o_orderdate").alias("on_day"))
+    want = sorted(map(str, jn.resolve_rate(q, events.rates(t), "product", "agent", "on_day").collect()))
+    monkeypatch.setattr(jn, "BROADCAST_SEGMENTS", 0)
+    assert sorted(map(str, jn.resolve_rate(q, events.rates(t), "product", "agent", "on_day").collect())) == want
+    assert any("NO_RATE" in x for x in want) and any("rate_id=" in x and "rate_id=None" not in x for x in want)
+
+
 def test_commission_of_a_split_policy(spark):
     """Policy 4 in June 2025: 38.00, 19.20 and 12.80."""
     d = lambda s: F.lit(s).cast("date")

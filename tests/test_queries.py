@@ -42,4 +42,4 @@ def test_matches_sql(spark, db, name):
 
 
 def test_all_but_few_have_sql():
-    assert set(base.QUERIES) - set(base.ORACLE) == {"str08_presence"}
+    assert set(base.QUERIES) - set(base.ORACLE) == set()
