@@ -21,7 +21,7 @@ GROWTH = 0.25
 #: Crowded buckets whose list is broadcast at most; beyond it the list is joined.
 BROADCAST = 100_000
 #: Vectors in a bucket, about, which sets the number of filters; and in a tile of a crowded bucket.
-BUCKET, TILE = 400, 400
+BUCKET, TILE = 400, 1600
 FILTERS = (1024, 1 << 22)
 
 
@@ -205,7 +205,7 @@ def cap_links(unique: DataFrame, filters: int, cosine: float, tile: int = TILE)
 
 
 def vector_groups(
-    vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = 0.95, filters: int | None = None
+    vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = 0.95, filters: int | None = None, tile: int = TILE
 ) -> DataFrame:
     """``id_col, n_links, component_id, kept`` of each row.
 
@@ -216,7 +216,8 @@ def vector_groups(
     once and link with each other. Rows without an id are left out; repeated
     rows are rows like any other and are returned as often as they occur; an
     empty table gives an empty result; other columns are ignored.
-    ``filters`` follows from the number of rows if it is not given.
+    ``filters`` follows from the number of rows if it is not given; a bucket of
+    more than ``tile`` vectors is compared in tiles.
     """
     bounded_batches(vectors.sparkSession)
     own = vectors.schema[vec_col].dataType
@@ -227,7 +228,7 @@ def vector_groups(
     unique = staged(good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")).withColumn("k", F.monotonically_increasing_id()))
     if filters is None:
         filters = min(FILTERS[1], max(FILTERS[0], unique.count() * PASSED // BUCKET))
-    found = staged(cap_links(unique, filters, cosine))
+    found = staged(cap_links(unique, filters, cosine, tile))
     near = found.where("kind = 0").groupBy(F.col("a").alias("k")).agg(F.sum("b").alias("links"))
     joined = components(found.where("kind = 1").select("a", "b")).select(F.col("id").alias("k"), "component")
     named = unique.join(joined, "k", "left").withColumn("component", F.coalesce("component", "k"))

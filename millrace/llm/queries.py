@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_lexicon, caps, chaining, fm_index, maxent_lm, pii_tagger, simhash, site_quality, token_counts, token_files
-from .common import scratch_dir, table
+from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,7 +29,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_token_files")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = f"{scratch_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    at = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), at)
     return token_files.read_token_files(spark, at)
 

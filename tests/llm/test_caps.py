@@ -29,7 +29,7 @@ def test_links_recall_and_edge_cases(spark):
     rows += [(5000 + k, base[9].tolist()) for k in range(30)] + [(1, (base[9] * 2).tolist())]
     rows += [(6000, None), (6001, []), (6002, [0.0] * 64), (6003, [None] + [1.0] * 63), (6004, [float("nan")] * 64), (6005, [float("inf")] * 64)]
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows] + [(None, [1.0] * 64, 1, "x")], "vec_id long, embedding array<double>, n int, v string")
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_groups(df).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_groups(df, tile=400).collect()}
     want = by_hand(rows)
     assert got.keys() == want.keys()
     assert all(got[i][0] <= want[i][0] for i in got)  # none below the threshold
@@ -70,7 +70,8 @@ def test_many_crowded_buckets(spark, monkeypatch):
     base = rng.standard_normal(64)
     rows = [(k, (base + rng.standard_normal(64) * 0.1).astype(np.float32).tolist()) for k in range(1500)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    want = sorted(map(tuple, caps.vector_groups(df).collect()))
+    want = sorted(map(tuple, caps.vector_groups(df, tile=400).collect()))
     monkeypatch.setattr(caps, "BROADCAST", 0)  # their list is joined
+    assert sorted(map(tuple, caps.vector_groups(df, tile=400).collect())) == want
     assert sorted(map(tuple, caps.vector_groups(df).collect())) == want
     assert sum(r[1] for r in want) >= 0.97 * sum(x[0] for x in by_hand(rows).values())
