@@ -29,6 +29,14 @@ def normalise_event_type(df: DataFrame, to: str = "eventType") -> DataFrame:
     return df.withColumn(to, F.coalesce(*found, F.lit("unknown")))
 
 
+def uuid5(namespace: str, name: Column) -> Column:
+    """The name-based id of a text in a namespace: SHA-1 of both, with the bits for version and variant set."""
+    h = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
+    part = lambda at, n: F.substring(h, at, n)
+    variant = F.translate(part(17, 1), "0123456789abcdef", "89ab" * 4)
+    return F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("5"), part(14, 3)), F.concat(variant, part(18, 3)), part(21, 12))
+
+
 def hour_bucket(ts: Column) -> Column:
     """The hour as written in an ISO text, '00' if it is not a time."""
     return F.when(F.try_to_timestamp(ts).isNotNull() & ts.rlike(r"^.{10}[T ]\d\d"), F.substring(ts, 12, 2)).otherwise("00")

@@ -76,13 +76,18 @@ def avg_per_request(sums: DataFrame, by: Sequence[str], total: str, count: str)
 
 
 def latency_summary(requests: DataFrame, by: Sequence[str], value: str, error: Column) -> DataFrame:
-    """Count, the sorted values at floor(n / 2) and min(n - 1, floor(0.95 n)), and the share of errors."""
+    """Count, the sorted values at floor(n / 2) and min(n - 1, floor(0.95 n)), and the share of errors.
+
+    Rows are counted by value before the shuffle, so a busy group brings as many
+    rows as it has distinct values, not requests.
+    """
+    per = requests.groupBy(*by, value).agg(F.count("*").alias("_c"), F.count_if(error).alias("_e"))
     w = Window.partitionBy(*by)
-    rows = requests.withColumns({"_i": F.row_number().over(w.orderBy(value)) - 1, "_n": F.count("*").over(w)})
-    at = lambda k: F.max(F.when(F.col("_i") == k, F.col(value)))
+    rows = per.withColumns({"_upto": F.sum("_c").over(w.orderBy(value)), "_n": F.sum("_c").over(w)})
+    at = lambda k: F.min_by(F.col(value), F.when(F.col("_upto") > k, F.col("_upto")))
     return rows.groupBy(*by).agg(
-        F.count("*").alias("n"), at(F.floor(F.col("_n") / 2)).alias("p50"), at(F.least(F.col("_n") - 1, F.floor(F.col("_n") * 95 / 100))).alias("p95"),
-        (F.count_if(error) / F.count("*")).alias("error_share"),
+        F.sum("_c").alias("n"), at(F.floor(F.col("_n") / 2)).alias("p50"), at(F.least(F.col("_n") - 1, F.floor(F.col("_n") * 95 / 100))).alias("p95"),
+        (F.sum("_e") / F.sum("_c")).alias("error_share"),
     )
 
 

@@ -1,9 +1,11 @@
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from millrace.operators.aggregates import daily_usage_rollup, usage_report_header
+from millrace.functions.normalize import uuid5
 from millrace.operators import joins as jn
+from millrace.operators.aggregates import daily_usage_rollup, usage_report_header
 from millrace.plans import commission as cm
 from millrace.plans import margin as mg
 from millrace.queries import events
@@ -57,6 +59,12 @@ def test_commission_of_a_split_policy(spark):
     assert [r.problem for r in cm.validate_splits(splits.where("agent_id < 3"), agents).collect()] == ["SPLIT_TOTAL"]
 
 
+def test_uuid5(spark):
+    rows = spark.createDataFrame([(t,) for t in ("", "a", "tenant:7:2024-06", "é日")], "t string")
+    got = {r.t: r.u for r in rows.select("t", uuid5(str(uuid.NAMESPACE_URL), F.col("t")).alias("u")).collect()}
+    assert got == {t: str(uuid.uuid5(uuid.NAMESPACE_URL, t)) for t in got}
+
+
 def test_margin_steps(spark):
     one = spark.range(1)
     x = lambda v: F.lit(v).cast("decimal(18,6)")
