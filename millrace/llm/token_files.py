@@ -63,6 +63,9 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int, id_col: str, text_
 def write_token_files(docs: DataFrame, to: str, path: str | None = None, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write ``to/dictionary`` and ``to/shards`` in ascending id order.
 
+    The dictionary is fitted on about SAMPLE_DOCS documents of at most
+    SAMPLE_CHARS characters; all documents are written, whatever their length.
+
     Null texts are empty (their block holds the end id alone), rows without an
     id are left out, repeated ids are kept one after the other.
     """
