@@ -324,7 +324,8 @@ def train_tagger(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE)
     if not chosen:
         return None
     rng = np.random.default_rng(5)
-    pairs = [p for r in chosen if (p := labelled(r.w, rng))]
+    # Few windows are rewritten several times, so that training is alike at every size.
+    pairs = [p for _ in range(-(-sample // len(chosen))) for r in chosen if (p := labelled(r.w, rng))]
     if not pairs:
         return None
     x, y = zip(*pairs, strict=True)
