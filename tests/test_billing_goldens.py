@@ -5,6 +5,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import joins as jn
+from millrace.operators import sets as st
+from millrace.operators import windows as wn
 from millrace.plans import billing as bl
 
 D = lambda s: F.lit(s).cast("date")
@@ -68,3 +71,17 @@ def test_finalize_twice(b, spark):
     first = bl.finalize_rating(bl.finalize_rating_empty(spark).withColumn("tenant_id", F.col("tenant_id").cast("int")), rated(b), D("2026-02-01"))
     again = bl.finalize_rating(first, rated(b), D("2026-02-01"))
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_plans(b):
+    """The catalogue, what a tenant is entitled to on a day, and changes of plan."""
+    assert [(r.code, r.monthly_fee) for r in st.plan_catalog(b["plans"], "monthly_fee", "code", F.lit(True)).collect()] == [("STARTER", Decimal("49.00")), ("GROWTH", Decimal("149.00")), ("SCALE", Decimal("499.00"))]
+    asked = b["tenants"].select(F.col("id").alias("tenant_id"), D("2026-02-28").alias("on_day"))
+    got = {r.tenant_id: (r.code, r.included_units, r.status) for r in jn.effective_dated(asked, b["subs"].join(b["plans"].withColumnRenamed("id", "plan_id"), "plan_id"), "tenant_id", "on_day").collect()}
+    assert got[1] == ("STARTER", 100, "active") and got[2] == ("GROWTH", 500, "suspended")
+    own = b["subs"].select("tenant_id", "starts_on", "plan_id", F.lit("active").alias("status"), F.lit(0).alias("_seq"))
+    new = b["tenants"].where("id in (1, 4)").select(F.col("id").alias("tenant_id"), F.when(F.col("id") == 1, D("2026-03-01")).otherwise(D("2026-03-15")).alias("starts_on"), F.when(F.col("id") == 1, 2).otherwise(3).alias("plan_id"), F.lit("active").alias("status"), F.lit(1).alias("_seq"))
+    rows = wn.scd2(own.unionByName(new), ["tenant_id"], "starts_on", "ends_on").where("tenant_id in (1, 4)").orderBy("tenant_id", "starts_on")
+    assert [(r.tenant_id, r.plan_id, str(r.starts_on), str(r.ends_on), r.status) for r in rows.collect()] == [
+        (1, 1, "2026-01-01", "2026-02-28", "active"), (1, 2, "2026-03-01", "None", "active"), (4, 1, "2026-01-01", "2026-03-14", "active"), (4, 3, "2026-03-15", "None", "active"),
+    ]
