@@ -144,10 +144,22 @@ def _(t):
 r AS (SELECT *, lag(status) OVER (PARTITION BY service ORDER BY ts, event_id) AS before FROM a WHERE trim(service) <> '' AND status <> 'other')
 SELECT service, CASE status WHEN 'firing' THEN 'opened' ELSE 'closed' END AS action, ts FROM r WHERE status <> coalesce(before, 'resolved')""")
 def _(t):
-    out = _finished(t, sm.incident_state(alerts(_stream(t))), "append")
+    """Alerts are taken in once the watermark passes them, so a last one of a service of its own, long after all others, ends the wait."""
+    rows = alerts(t.events).select("service", "status", "ts", "event_id")
+    end = t.events.agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts")).select(F.lit("~").alias("service"), F.lit("firing").alias("status"), "ts", F.lit(-1).cast("long").alias("event_id"))
+    out = _finished(t, sm.incident_state(_restreamed(t, rows, end)), "append").where("service <> '~'")
     return out.select("service", "action", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+def _restreamed(t: Tables, rows: DataFrame, end: DataFrame) -> DataFrame:
+    """Rows and a last one, written and read as a stream with ``ts`` as TIMESTAMP."""
+    at = scratch_path(t.spark, "events")
+    rows.write.parquet(f"{at}/0")
+    end.write.parquet(f"{at}/1")
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1000).parquet(f"{at}/*")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @query("str01_parse_stream", "SELECT event_type, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1")
 def _(t):
     body = F.when(F.col("event_type") == "error", "not json").otherwise(F.to_json(F.struct(F.col("event_id").cast("string").alias("eventId"), F.col("event_type").alias("eventType"))))
@@ -182,13 +194,9 @@ s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id, document_id ORDER BY ts R
 SELECT document_id, user_id, min(ts) AS joined_at, max(ts) + INTERVAL 30 MINUTES AS left_at, count(*) AS n FROM s GROUP BY document_id, user_id, no""")
 def _(t):
     """Sessions close when the watermark passes them, so a last event long after all others, which is left out again, closes the rest."""
-    at = scratch_path(t.spark, "events")
     rows = t.events.select("ts", "user_id", F.get_json_object("props", "$.k").alias("document_id"))
-    rows.write.parquet(f"{at}/0")
-    end = rows.agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts"))
-    end.select("ts", F.lit(-1).cast("long").alias("user_id"), F.lit(None).cast("string").alias("document_id")).write.parquet(f"{at}/1")
-    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1000).parquet(f"{at}/*")
-    out = _finished(t, sm.presence(stream.withColumn("ts", F.col("ts").cast("timestamp")), "30 minutes", "ts"), "append").where("user_id >= 0")
+    end = rows.agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts")).select("ts", F.lit(-1).cast("long").alias("user_id"), F.lit(None).cast("string").alias("document_id"))
+    out = _finished(t, sm.presence(_restreamed(t, rows, end), "30 minutes", "ts"), "append").where("user_id >= 0")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("joined_at", "left_at")})
 
 

@@ -106,32 +106,44 @@ def audit_ingest(lines: DataFrame, line: str = "value") -> DataFrame:
     return audit_from_message(lines.select(unwrap_envelope(F.col(line)).alias("body")), F.current_timestamp())
 
 
-def incident_state(alerts: DataFrame) -> DataFrame:
-    """Open and resolve of each service as alerts come: ``service, incident_no, action, ts``. ``alerts``: service, status, ts, event_id.
+def incident_state(alerts: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """Open and resolve of each service in order of time: ``service, incident_no, action, ts``. ``alerts``: service, status, ts (TIMESTAMP), event_id.
 
-    A trigger's alerts of a service are put in order of time; an alert that
-    comes in a later trigger than a newer one is taken as it comes. A trigger's
-    alerts of one service are held in memory, so the source's rows for each
-    trigger (``maxFilesPerTrigger``) bound it.
+    Alerts wait in the state until the watermark passes them, so those that
+    come out of order by less than ``late`` take their place; later ones are
+    dropped. What a service has waiting is held in memory: the alerts of
+    ``late`` and of one trigger, which ``maxFilesPerTrigger`` bounds.
     """
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        is_open, number = state.get if state.exists else (False, 0)
-        rows, out = pd.concat(list(parts)).sort_values(["ts", "event_id"]), []
-        for status, ts in zip(rows.status, rows.ts, strict=True):
-            if status == "firing" and not is_open:
+        is_open, number, *held = state.get if state.exists else (False, 0, [], [], [])
+        mark = state.getCurrentWatermarkMs() * 1000
+        waiting = list(zip(*held, strict=True))
+        for rows in parts:
+            waiting += [x for x in zip(rows.us.tolist(), rows.event_id.tolist(), rows.status.tolist(), strict=True) if x[0] > mark]
+        waiting.sort()
+        out, rest = [], []
+        for us, event_id, status in waiting:
+            if us > mark:
+                rest.append((us, event_id, status))
+            elif status == "firing" and not is_open:
                 is_open, number = True, number + 1
-                out.append((key[0], number, "opened", ts))
+                out.append((key[0], number, "opened", us))
             elif status == "resolved" and is_open:
                 is_open = False
-                out.append((key[0], number, "closed", ts))
-        state.update((is_open, number))
-        yield pd.DataFrame(out, columns=["service", "incident_no", "action", "ts"])
-
-    live = alerts.where((F.trim("service") != "") & F.col("status").isin("firing", "resolved"))
-    return live.groupBy("service").applyInPandasWithState(
-        step, "service string, incident_no int, action string, ts timestamp", "is_open boolean, number int", "append", GroupStateTimeout.NoTimeout
+                out.append((key[0], number, "closed", us))
+        state.update((is_open, number, *(list(x) for x in zip(*rest, strict=True))) if rest else (is_open, number, [], [], []))
+        if rest:
+            state.setTimeoutTimestamp(rest[0][0] // 1000 + 1)
+        yield pd.DataFrame(out, columns=["service", "incident_no", "action", "us"])
+
+    live = alerts.where((F.trim("service") != "") & F.col("status").isin("firing", "resolved")).withWatermark("ts", late)
+    live = live.select("service", "status", "ts", "event_id", F.unix_micros("ts").alias("us"))
+    held = "is_open boolean, number int, ts array<long>, event_id array<long>, status array<string>"
+    out = live.groupBy("service").applyInPandasWithState(
+        step, "service string, incident_no int, action string, us long", held, "append", GroupStateTimeout.EventTimeTimeout
     )
+    return out.select("service", "incident_no", "action", F.timestamp_micros("us").alias("ts"))
 
 
 def presence(events: DataFrame, idle: str, ts: str, late: str = "10 minutes") -> DataFrame:

@@ -130,3 +130,24 @@ def test_upsert_versions(spark, tmp_path):
     write(spark.createDataFrame([], schema), 4)
     before = {p.name for p in (tmp_path / "t").glob("_part=*/*")}
     assert read() == [(1, "a"), (2, "c"), (3, "e")] and before == {"_version=0", "_version=2", "_version=3"}
+
+
+def test_late_alerts_take_their_place(spark, tmp_path):
+    schema = "service string, status string, ts timestamp, event_id long"
+    at = lambda m: datetime.datetime(2024, 1, 1, 12) + datetime.timedelta(minutes=m)
+    batches = [
+        [("a", "firing", at(0), 1), ("a", "resolved", at(8), 3), ("b", "firing", at(5), 4)],
+        [("a", "firing", at(4), 2), ("a", "firing", at(9), 5)],  # the first comes late, and opens nothing
+        [("z", "firing", at(60), 9)],
+        [("a", "resolved", at(3), 6), ("z", "resolved", at(200), 10)],  # too late
+    ]
+    got = []
+    (tmp_path / "in").mkdir()
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+        out = sm.incident_state(spark.readStream.schema(schema).parquet(str(tmp_path / "in/*")))
+        q = out.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True)
+        q.foreachBatch(lambda df, n: got.extend(df.collect())).start().awaitTermination()
+    assert sorted((r.service, r.incident_no, r.action, r.ts) for r in got if r.service != "z") == [
+        ("a", 1, "closed", at(8)), ("a", 1, "opened", at(0)), ("a", 2, "opened", at(9)), ("b", 1, "opened", at(5)),
+    ]
