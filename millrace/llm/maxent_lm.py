@@ -282,11 +282,11 @@ def _train(docs: DataFrame, shared, numbers, tasks: int) -> list[tuple[int, int,
                 total += part
                 times += part.any(1, keepdims=True)
         for (t, k), (total, times) in sums.items():
-            row = {"t": t, "k": k, "d": (total / np.maximum(times, 1)).astype(np.float32).tobytes()}
+            row = {"t": t, "k": k, "d": (total / np.maximum(times, 1)).astype(np.float16).tobytes()}
             yield pa.RecordBatch.from_pylist([row], pa.schema([("t", pa.int32()), ("k", pa.int32()), ("d", pa.binary())]))
 
     changes = docs.coalesce(tasks).mapInArrow(steps, "t int, k int, d binary")
-    # The model alone comes to the driver, whose most size the constants above fix.
+    # The model's changes alone come to the driver: 50 MB at most, by the rows above grown eight times.
     return [(r.t, r.k, bytes(r.d)) for r in changes.repartition("t", "k").mapInArrow(mix, "t int, k int, d binary").collect()]
 
 
@@ -353,7 +353,7 @@ def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROU
         part = train.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("t")
         for t, k, d in _train(part, shared, shared_numbers, tasks):
             rows = model.tables[t]
-            rows[k : k + CHUNK] += np.frombuffer(d, np.float32).reshape(CHUNK, -1)
+            rows[k : k + CHUNK] += np.frombuffer(d, np.float16).astype(np.float32).reshape(CHUNK, -1)
     return model, numbers, Tail(discount, np.log10(discount * types + 1)), int(total), int(distinct)
 
 
