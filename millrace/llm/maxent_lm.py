@@ -228,27 +228,29 @@ _KEY = f"cast(conv(hex(rpad(substring(w, 1, {PREFIX}), {PREFIX})), 16, 10) as bi
 
 @dataclass
 class Numbers:
-    """What gives words their numbers: the head, most frequent first, with counts, and the bounds of leaves."""
+    """What gives words their numbers: the head, most frequent first, with counts and leaves, and the bounds of leaves."""
 
     head: pa.LargeBinaryArray
     n: np.ndarray
     bounds: np.ndarray
+    leaf: np.ndarray
 
     @property
     def none(self) -> int:
         return min(len(self.head), CONTEXTS) + 1
 
-    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.LargeBinaryArray]:
-        """Numbers of all tokens, tokens of each text, ranks in the head (-1: not there) and the words, ends included."""
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.LargeBinaryArray, np.ndarray]:
+        """Numbers of all tokens, ends included, tokens of each text, ranks in the head (-1: not there); distinct places of words, and which one each token is."""
         words, n = words_in(texts)
-        at = np.cumsum(n)
-        order = np.insert(np.arange(len(words)), at, len(words))
+        order = np.insert(np.arange(len(words)), np.cumsum(n), len(words))
         words = pa.concat_arrays([words, pa.array([END], pa.large_binary())])
         rank = pc.fill_null(pc.index_in(words, self.head), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        known = np.append(self.n, 0)[rank] > 0
-        leaf = np.searchsorted(self.bounds, _keys(words), "right")
-        number = np.where(known & (rank < CONTEXTS) & (rank >= 0), rank, self.none + 1 + leaf)
-        return number[order], n + 1, rank[order], words.take(order)
+        leaf = np.append(self.leaf, 0)[rank]
+        other = np.flatnonzero(rank < 0)
+        leaf[other] = np.searchsorted(self.bounds, _keys(words.take(other)), "right")
+        itself = (np.append(self.n, 0)[rank] > 0) & (rank < CONTEXTS)
+        number = np.where(itself, rank, self.none + 1 + leaf)
+        return number[order], n + 1, rank[order], words, order
 
 
 def _train(docs: DataFrame, shared, numbers, tasks: int) -> list[tuple[int, int, bytes]]:
@@ -261,7 +263,7 @@ def _train(docs: DataFrame, shared, numbers, tasks: int) -> list[tuple[int, int,
         squares = [np.zeros(len(w), np.float32) for w in old]
         for b in batches:
             if b.num_rows:
-                word, n, _, _ = words.read(b.column(0))
+                word, n, _, _, _ = words.read(b.column(0))
                 model.train(word, *_contexts(word, n, words.none), squares)
         out = []
         for table, (before, after) in enumerate(zip(old, model.tables, strict=True)):
@@ -327,8 +329,8 @@ def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROU
         cuts = [k / size for k in range(1, size)]
         bounds = np.array(counts.agg(F.percentile_approx(F.expr(_KEY), cuts, max(10_000, 8 * size))).first()[0], np.int64)
     words = pa.array([x[0] for x in top], pa.large_binary())
-    numbers = Numbers(words, n, bounds)
     leaf_of = np.searchsorted(bounds, _keys(words), "right")
+    numbers = Numbers(words, n, bounds, leaf_of)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -409,19 +411,18 @@ def score_texts(rows: DataFrame, counts: DataFrame, fitted: tuple[Model, Numbers
         count = np.append(numbers.n, 0)
         add_one = np.log10(count + 1.0)
         share = np.log10(np.maximum(count - tail.discount, 0.05))
-        leaf_of = np.searchsorted(numbers.bounds, _keys(numbers.head), "right")
         for b in batches:
             if not b.num_rows:
                 continue
-            word, n, rank, words = numbers.read(b.column(2))
+            word, n, rank, words, order = numbers.read(b.column(2))
             doc = np.repeat(np.arange(len(n)), n)
             add = lambda v: np.bincount(doc, v, len(n))  # noqa: B023, E731
             held, other = rank >= 0, word >= model.vocabulary
             # Words of the head that no training text has are unseen like any other.
-            own = np.where(count[rank] > 0, share[rank], tail.unseen[np.where(held, np.append(leaf_of, 0)[rank], 0)])
+            own = np.where(count[rank] > 0, share[rank], tail.unseen[np.where(held, np.append(numbers.leaf, 0)[rank], 0)])
             value = add(np.where(other & held, own, 0)) + add(model.score(word, *_contexts(word, n, numbers.none))) / np.log(10)
             at = np.flatnonzero(~held)
-            coded = words.take(at).dictionary_encode()
+            coded = words.take(order[at]).dictionary_encode()
             pair, times = np.unique(doc[at] * max(1, len(coded.dictionary)) + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
             of, at = np.divmod(pair, max(1, len(coded.dictionary)))
             leaf = np.searchsorted(numbers.bounds, _keys(coded.dictionary), "right")[at]
