@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_lexicon, caps, chaining, fm_index, maxent_lm, pii_tagger, simhash, site_quality, token_counts, token_files, whitening
+from . import bpe_lexicon, caps, chaining, fm_index, maxent_lm, periodic, pii_tagger, simhash, site_quality, token_counts, token_files, whitening
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query("op11_periodic")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the texts, by a hash of their ids, end in a period of their own; the runs of all are reported."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def looped(w):
+        n = F.size(w).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        word = lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), word), " "))
+
+    # The words are bound to a variable, so that the text is split once, not for each word.
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    text = F.when(h % 10 == 0, F.get(F.transform(F.array(words), looped), 0)).otherwise(F.col("text"))
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", text.alias("text")))
+    # Runs are in the order that breaks ties, so a later one must be greater.
+    best = F.aggregate(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", 0), lambda x, r: F.when(r["length"] * x["period"] > x["length"] * r["period"], r).otherwise(x))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"), grid=whitening.Grid(64, 1_000_000))
