@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_lexicon, caps, chaining, fm_index, maxent_lm, periodic, pii_tagger, simhash, site_quality, token_counts, token_files, whitening
+from . import bpe_lexicon, caps, chaining, fm_index, maxent_lm, packing, periodic, pii_tagger, simhash, site_quality, token_counts, token_files, whitening
 from .common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_slack_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"), grid=whitening.Grid(64, 1_000_000))
