@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from statistics import NormalDist
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,14 +14,16 @@ from pyspark.sql import types as T
 
 from .common import bounded_batches, components, spread_join, staged
 
-#: Filters that a vector passes of the least number of filters, on average, and at least of any.
-PASSED, LEAST = 16, 5
-#: Near vectors share fewer of many filters, so those passed grow as this power of their number.
-GROWTH = 0.25
+#: Share of random pairs at the wanted cosine that share a filter, on ``SAMPLE`` pairs; a vector passes ``LEAST`` filters at least.
+WANTED, SAMPLE, LEAST = 0.955, 1000, 5
+#: Filters that a vector may pass on average.
+MOST = 80
+#: Of a pair of vectors so many words of either half are looked at for their best common filter.
+NEAR = 48
 #: Crowded buckets whose list is broadcast at most; beyond it the list is joined.
 BROADCAST = 100_000
-#: Vectors in a bucket, about, which sets the number of filters; and in a tile of a crowded bucket.
-BUCKET, TILE = 400, 1600
+#: One filter for so many vectors, about, between the bounds; and vectors in a tile of a crowded bucket.
+VECTORS, TILE = 25, 1600
 FILTERS = (1024, 1 << 22)
 
 
@@ -33,21 +35,67 @@ class Caps:
     it if the sum of its products with both is over the threshold. Sums over
     the threshold are found from the words alone, not by going through all
     pairs of words.
+
+    The threshold is the one at which random pairs at ``cosine`` share a filter
+    as often as wanted, by these very codes. In few dimensions caps that fine
+    would have to be passed by the hundred, so there are only as many filters,
+    ``filters`` at most, as make the comparisons few: a vector's list times the
+    vectors of a bucket. A single filter, which all pass, is the last resort.
     """
 
-    def __init__(self, dim: int, filters: int, seed: int = 11):
+    def __init__(self, dim: int, filters: int, cosine: float = 0.95, seed: int = 11):
         rng = np.random.default_rng([seed, dim])
-        self.words = max(2, int(np.ceil(np.sqrt(filters))))
         self.turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.half = max(1, dim // 2)
-        self.codes = []
+        # So few dimensions do not tell more words apart.
+        most = 2 * 8 ** min(self.half - 1, 6)
+        words = max(1, min(most, int(np.ceil(np.sqrt(filters)))))
+        codes = []
         for n in (self.half, dim - self.half):
-            w = rng.standard_normal((self.words, n))
+            w = rng.standard_normal((words, n))
             length = np.linalg.norm(w, axis=1, keepdims=True)
-            self.codes.append(w / np.where(length == 0, 1, length))
-        share = min(0.5, PASSED * max(1, self.words**2 / FILTERS[0]) ** GROWTH / self.words**2)
-        # A unit vector's product with both words of a pair has a variance of 2 / dim.
-        self.threshold = NormalDist().inv_cdf(1 - share) * np.sqrt(2 / dim)
+            codes.append(w / np.where(length == 0, 1, length))
+        one = _unit(rng.standard_normal((SAMPLE, dim)) + 1e-9)
+        away = rng.standard_normal((SAMPLE, dim)) if dim > 1 else np.zeros((SAMPLE, 1))
+        away -= (away * one).sum(1, keepdims=True) * one
+        length = np.linalg.norm(away, axis=1, keepdims=True)
+        two = _unit(cosine * one + np.sqrt(max(0.0, 1 - cosine**2)) * away / np.where(length == 0, 1, length))
+        best = None
+        while True:
+            self.words, self.codes = words, [c[:words] for c in codes]
+            passed = self._calibrate(one, two)
+            cost = passed**2 / words**2
+            if (passed <= MOST or words == 1) and (best is None or cost < best[0]):
+                best = cost, words, self.threshold
+            if words == 1 or best is not None and cost > best[0]:
+                break
+            words //= 2
+        _, self.words, self.threshold = best
+        self.codes = [c[: self.words] for c in codes]
+
+    def _calibrate(self, one: np.ndarray, two: np.ndarray) -> float:
+        """Sets the threshold by pairs of vectors; returns how many filters a vector passes on average."""
+        if self.words == 1:
+            self.threshold = -np.inf
+            return 1.0
+        products = []
+        m = min(NEAR, self.words)
+        for at, code in ((slice(None, self.half), self.codes[0]), (slice(self.half, None), self.codes[1])):
+            x, y = (one @ self.turn)[:, at] @ code.T, (two @ self.turn)[:, at] @ code.T
+            near = np.argpartition(-(x + y), m - 1, axis=1)[:, :m]
+            products.append((np.take_along_axis(x, near, 1), np.take_along_axis(y, near, 1)))
+        (a, c), (b, d) = products
+        common = np.minimum(a[:, :, None] + b[:, None], c[:, :, None] + d[:, None]).reshape(len(one), -1).max(1)
+        for lost in (0.12, 0.08, 0.06, 0.045, 0.03):  # the least number of filters each passes makes up for some
+            self.threshold = float(np.quantile(common, lost))
+            x = self.lists(one[:100])
+            passed = float(np.mean([len(v) for v in x]))
+            if passed > 4 * MOST:  # far too many at any threshold
+                break
+            x += self.lists(one[100:])
+            if np.mean([len(np.intersect1d(p, q, True)) > 0 for p, q in zip(x, self.lists(two), strict=True)]) >= WANTED:
+                break
+        return passed
 
     def lists(self, unit: np.ndarray) -> list[np.ndarray]:
         turned = unit @ self.turn
@@ -64,6 +112,11 @@ class Caps:
         return out
 
 
+@lru_cache(maxsize=64)
+def caps_for(dim: int, filters: int, cosine: float) -> Caps:
+    return Caps(dim, filters, cosine)
+
+
 def _ragged(col: pa.Array) -> list[np.ndarray]:
     at, flat = col.offsets.to_numpy(), col.values.to_numpy(zero_copy_only=False)
     return [flat[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
@@ -155,14 +208,12 @@ def cap_links(unique: DataFrame, filters: int, cosine: float, tile: int = TILE)
     width = 4 if unique.schema["v"].dataType.elementType.typeName() == "float" else 8
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        caps: dict[int, Caps] = {}
         for b in batches:
             rows = _ragged(b.column(2))
             lists: list = [None] * len(rows)
             for dim in {len(r) for r in rows}:
                 at = [k for k, r in enumerate(rows) if len(r) == dim]
-                caps.setdefault(dim, Caps(dim, filters))
-                for k, found in zip(at, caps[dim].lists(_unit(np.array([rows[k] for k in at]))), strict=True):
+                for k, found in zip(at, caps_for(dim, filters, cosine).lists(_unit(np.array([rows[k] for k in at]))), strict=True):
                     lists[k] = found
             # Vectors keep their own width in shuffles, as bytes.
             own = [b.column(0), b.column(1), pa.array([len(r) for r in rows], pa.int32()), pa.array([r.astype(f"<f{width}").tobytes() for r in rows], pa.binary())]
@@ -216,8 +267,10 @@ def vector_groups(
     once and link with each other. Rows without an id are left out; repeated
     rows are rows like any other and are returned as often as they occur; an
     empty table gives an empty result; other columns are ignored.
-    ``filters`` follows from the number of rows if it is not given; a bucket of
-    more than ``tile`` vectors is compared in tiles.
+    Of pairs at ``cosine`` itself about WANTED are found, whatever the vectors'
+    length and the number of filters; nearer pairs are found more often.
+    ``filters`` is the most there are; it follows from the number of rows if it
+    is not given. A bucket of more than ``tile`` vectors is compared in tiles.
     """
     bounded_batches(vectors.sparkSession)
     own = vectors.schema[vec_col].dataType
@@ -227,7 +280,7 @@ def vector_groups(
     good = rows.where(fit)
     unique = staged(good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")).withColumn("k", F.monotonically_increasing_id()))
     if filters is None:
-        filters = min(FILTERS[1], max(FILTERS[0], unique.count() * PASSED // BUCKET))
+        filters = min(FILTERS[1], max(FILTERS[0], unique.count() // VECTORS))
     found = staged(cap_links(unique, filters, cosine, tile))
     near = found.where("kind = 0").groupBy(F.col("a").alias("k")).agg(F.sum("b").alias("links"))
     joined = components(found.where("kind = 1").select("a", "b")).select(F.col("id").alias("k"), "component")

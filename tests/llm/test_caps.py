@@ -56,13 +56,29 @@ def test_recall_on_given_vectors(spark):
 
 
 @pytest.mark.parametrize("filters", [1024, 40_000, 400_000, 1 << 22])
-def test_recall_does_not_fall_with_filters(filters):
+@pytest.mark.parametrize("dim", [2, 3, 4, 8, 16, 32, 64, 128, 768])
+def test_recall_at_every_width_and_number_of_filters(dim, filters):
     rng = np.random.default_rng(1)
-    one, other = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, 600, 64)))
+    one, other = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, 800, dim)))
     other -= (other * one).sum(1, keepdims=True) * one
     two = 0.95 * one + np.sqrt(1 - 0.95**2) * other / np.linalg.norm(other, axis=1, keepdims=True)
-    some = Caps(64, filters)
-    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(some.lists(one), some.lists(two), strict=True)]) >= 0.93
+    some = Caps(dim, filters)
+    lists = some.lists(one)
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(lists, some.lists(two), strict=True)]) >= 0.93
+    assert np.mean([len(x) for x in lists]) <= 1.1 * caps.MOST
+
+
+@pytest.mark.parametrize("dim", [1, 2, 4, 8, 16])
+def test_links_of_short_vectors(spark, dim):
+    rng = np.random.default_rng(dim)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.standard_normal((600, dim)))]
+    rows += [(1000 + k, (np.array(rows[k][1]) + 0.1 * rng.standard_normal(dim)).tolist()) for k in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = by_hand(rows)
+    for filters in (None, 1 << 20):
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_groups(df, filters=filters).collect()}
+        assert all(got[i][0] <= want[i][0] for i in got)
+        assert sum(x[0] for x in got.values()) >= 0.95 * sum(x[0] for x in want.values())
 
 
 def test_many_crowded_buckets(spark, monkeypatch):
