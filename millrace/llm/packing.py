@@ -191,11 +191,11 @@ def pack_documents(docs: DataFrame, path: str | None = None, end_id: int = 0, ca
     # At most ``capacity`` numbers, whatever the number of pieces.
     counts = {r.length: r.n for r in per.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = docs.sparkSession.sparkContext.broadcast(Places.of(slack_plan(counts, capacity)))
-    # A length has as many rows here as tasks that wrote pieces.
+    # A length has as many rows here as tasks that wrote pieces; the whole grows with the tasks, so it is not broadcast.
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = per.select("length", "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
     kept = [c for c in pieces.columns if c not in ("_part", "_number") and (with_ids or c != "ids")]
-    numbered = pieces.join(bases, ["length", "_part"]).select(*kept, (F.col("_base") + F.col("_number")).alias("_number"))
+    numbered = pieces.join(bases.hint("merge"), ["length", "_part"]).select(*kept, (F.col("_base") + F.col("_number")).alias("_number"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
