@@ -62,16 +62,17 @@ def search_filter(rows: DataFrame, kind: str | None = None, owner: str | None =
 def keyword_search(rows: DataFrame, fields: Sequence[tuple[str, int]], query: str, page: int = 1, size: int = 20) -> DataFrame:
     """``id, matched, score``: rows with most of the query's words first, then by field weight, then by id; without words, all rows.
 
-    A row's words are met with the query's where it is read: nothing but the
-    page's candidates is shuffled. For many queries over the same rows there is
-    ``inverted_index``.
+    A text is searched for each word where it is read, without taking it
+    apart, and nothing but the page's candidates is shuffled. For many queries
+    over the same rows there are kept postings (``plans/search.py``).
     """
     words = sorted({w for w in query.lower().split() if w})
     if words:
-        wanted = F.array(*map(F.lit, words))
-        found = rows.select("id", *[F.array_intersect(terms(F.col(f)), wanted).alias(f"_{k}") for k, (f, _) in enumerate(fields)])
-        weights = [F.greatest(F.lit(0), *[F.when(F.array_contains(f"_{k}", w), n).otherwise(0) for k, (_, n) in enumerate(fields)]) for w in words]
-        hits = found.select("id", F.array(*weights).alias("w")).select("id", F.size(F.filter("w", lambda x: x > 0)).cast("long").alias("matched"), F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x).alias("score"))
+        low = rows.select("id", *[F.lower(F.coalesce(f, F.lit(""))).alias(f"_{k}") for k, (f, _) in enumerate(fields)])
+        # A plain search first; letters next to what it finds are looked at only in texts that have it.
+        has = lambda k, w: F.col(f"_{k}").contains(w) & F.col(f"_{k}").rlike(rf"(?<![\p{{L}}\p{{N}}]){re.escape(w)}(?![\p{{L}}\p{{N}}])")
+        weights = [F.greatest(F.lit(0), *[F.when(has(k, w), n).otherwise(0) for k, (_, n) in enumerate(fields)]) for w in words]
+        hits = low.select("id", F.array(*weights).alias("w")).select("id", F.size(F.filter("w", lambda x: x > 0)).cast("long").alias("matched"), F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x).alias("score"))
         hits = hits.where("matched > 0")
     else:
         hits = rows.select("id", F.lit(0).cast("long").alias("matched"), F.lit(0).cast("long").alias("score"))
