@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
+from ..operators import ranges as rg
 from ..scratch import scratch_path
 from ..streaming import streams as sm
 from .content import alerts
@@ -48,6 +49,54 @@ def _(t):
     return mt.histogram_quantile(0.95, rows.groupBy("event_type", "le").agg(F.count_if(F.col("value") <= F.col("le")).alias("n")), ["event_type"])
 
 
+#: Counters of the events of a type and instance, which begin again each day, and their rates over six hours at each full hour.
+_RANGE = """c AS (SELECT event_type, user_id % 3 AS instance, epoch_us(ts) AS us, row_number() OVER (PARTITION BY event_type, user_id % 3, ts::DATE ORDER BY ts, event_id)::DOUBLE AS value FROM events)"""
+
+
+def _rates_sql(series: str) -> str:
+    """Rates of ``c`` by a scan of each window."""
+    return f"""g AS (SELECT {series}, unnest(ts) AS t FROM (SELECT {series}, range(ceil(min(us) / 3600000000.0)::BIGINT * 3600000000, max(us) + 21600000000, 3600000000) AS ts FROM c GROUP BY ALL)),
+s AS (SELECT *, lag(value) OVER (PARTITION BY {series}, t ORDER BY us, value) AS p FROM g JOIN c USING ({series}) WHERE us > t - 21600000000 AND us <= t),
+a AS (SELECT {series}, t, count(*) AS n, min(us) AS f, max(us) AS l, first(value ORDER BY us, value) AS fv, last(value ORDER BY us, value) - first(value ORDER BY us, value) + sum(CASE WHEN value < p THEN p ELSE 0 END) AS inc FROM s GROUP BY ALL HAVING max(us) > min(us)),
+b AS (SELECT *, (l - f) / 1e6 AS d, (l - f) / 1e6 / (n - 1) AS m, (f - t + 21600000000) / 1e6 AS x, (t - l) / 1e6 AS y FROM a),
+e AS (SELECT * REPLACE (CASE WHEN x >= 1.1 * m THEN m / 2 ELSE x END AS x, CASE WHEN y >= 1.1 * m THEN m / 2 ELSE y END AS y) FROM b),
+r AS (SELECT {series}, make_timestamp(t) AS ts, inc * (d + CASE WHEN inc > 0 AND fv >= 0 AND d * fv / inc < x THEN d * fv / inc ELSE x END + y) / d / 21600 AS rate FROM e)"""
+
+
+def _counters(t: Tables) -> DataFrame:
+    n = F.row_number().over(Window.partitionBy("event_type", "instance", F.to_date("ts")).orderBy("ts", "event_id"))
+    return t.events.select("event_type", (F.col("user_id") % 3).alias("instance"), "ts", "event_id").select("event_type", "instance", "ts", n.alias("value"))
+
+
+def _hourly(rates: DataFrame) -> DataFrame:
+    return rates.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("ts01_range_rate", f"WITH {_RANGE}, {_rates_sql('event_type, instance')} SELECT event_type, ts, sum(rate) AS rate FROM r GROUP BY 1, 2")
+def _(t):
+    return _hourly(rg.summed_rate(rg.range_rate(_counters(t), ["event_type", "instance"], 21_600, 3_600), ["event_type"]))
+
+
+@query("ts02_range_ratio", f"WITH {_RANGE}, {_rates_sql('event_type, instance')} SELECT instance, ts, sum(rate) FILTER (WHERE event_type = 'error') / nullif(sum(rate), 0) AS ratio FROM r GROUP BY 1, 2 HAVING sum(rate) FILTER (WHERE event_type = 'error') IS NOT NULL")
+def _(t):
+    rates = rg.range_rate(_counters(t), ["event_type", "instance"], 21_600, 3_600)
+    return _hourly(rg.rate_ratio(rates, ["instance"], F.col("event_type") == "error"))
+
+
+@query("ts03_range_quantile", f"""WITH bounds(le) AS (VALUES (10.0), (25.0), (50.0), (100.0), (200.0), ('inf'::DOUBLE)),
+c AS (SELECT event_type, le, epoch_us(ts) AS us, (count(*) FILTER (WHERE events.value <= le) OVER (PARTITION BY event_type, le, ts::DATE ORDER BY ts, event_id))::DOUBLE AS value FROM events, bounds), {_rates_sql('event_type, le')},
+w AS (SELECT *, coalesce(lag(le) OVER p, 0) AS low, coalesce(lag(rate) OVER p, 0) AS under, max(rate) OVER (PARTITION BY event_type, ts) * 0.95 AS q FROM r WINDOW p AS (PARTITION BY event_type, ts ORDER BY le)),
+h AS (SELECT event_type, ts, CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (q - under) / (rate - under) END AS quantile, row_number() OVER (PARTITION BY event_type, ts ORDER BY le) AS k FROM w WHERE rate >= q AND under < q)
+SELECT event_type, ts, quantile FROM h WHERE k = 1""")
+def _(t):
+    """Bucket counters are cumulative over bounds, so each event is a sample of each bound; rates come before the quantile."""
+    bounds = F.array(*[F.lit(x) for x in (10.0, 25.0, 50.0, 100.0, 200.0, float("inf"))])
+    rows = t.events.select("event_type", "ts", "event_id", "value", F.explode(bounds).alias("le"))
+    n = F.count_if(F.col("value") <= F.col("le")).over(Window.partitionBy("event_type", "le", F.to_date("ts")).orderBy("ts", "event_id"))
+    rates = rg.range_rate(rows.select("event_type", "le", "ts", n.alias("n")), ["event_type", "le"], 21_600, 3_600, value="n")
+    return _hourly(mt.histogram_quantile(0.95, rg.summed_rate(rates, ["event_type", "le"]), ["event_type", "ts"], count="rate"))
+
+
 @query("ts04_gauge_ratio", "SELECT c_nationkey::BIGINT AS nation, ratio, coalesce(ratio > 2, false) AS over FROM (SELECT c_nationkey, c / nullif(s, 0)::DOUBLE AS ratio FROM (SELECT c_nationkey, count(*) AS c FROM customer GROUP BY 1) JOIN (SELECT s_nationkey, count(*) FILTER (WHERE s_acctbal > 5000) AS s FROM supplier GROUP BY 1) ON c_nationkey = s_nationkey)")
 def _(t):
     a = t.customer.groupBy(F.col("c_nationkey").cast("long").alias("nation")).agg(F.count("*").alias("value"))
