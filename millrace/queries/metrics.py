@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as mt
 from ..operators import ranges as rg
 from ..scratch import scratch_path
+from ..streaming import alerts as al
 from ..streaming import streams as sm
 from .content import alerts
 from .registry import E, Tables, query
@@ -253,3 +254,19 @@ def _(t):
 def _(t):
     out = _finished(t, sm.live_alerts(_stream(t), "1 hour", 0.3, "ts"), "complete")
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("str09_alerts_for", """WITH w AS (SELECT user_id % 5 AS service, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS t, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS bad FROM events GROUP BY 1, 2),
+o AS (SELECT service, t, t - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY service ORDER BY t) AS run FROM w WHERE n >= 2 AND bad / n::DOUBLE > 0.15),
+r AS (SELECT service, min(t) AS since, max(t) AS last FROM o GROUP BY service, run)
+SELECT service, 'pending' AS state, since, since AS ts FROM r UNION ALL
+SELECT service, 'firing', since, since + INTERVAL 1 HOUR FROM r WHERE last > since UNION ALL
+SELECT service, CASE WHEN last > since THEN 'resolved' ELSE 'inactive' END, since, last + INTERVAL 1 HOUR FROM r""")
+def _(t):
+    """Each hour's share of errors, of two events or more; it fires after another hour. A last event ends the wait for the watermark."""
+    rows = t.events.select("ts", "event_type", (F.col("user_id") % 5).alias("service"))
+    end = rows.agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts")).select("ts", F.lit("view").alias("event_type"), F.lit(-1).cast("long").alias("service"))
+    windows = al.condition_windows(_restreamed(t, rows, end), ["service"], 3600, F.col("event_type") == "error", 0.15, 2)
+    with al.state_in_rocksdb(t.spark):
+        out = _finished(t, al.held_alerts(windows, ["service"], 3600, 3600), "append")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("since", "ts")})
