@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as mt
 from ..operators import ranges as rg
 from ..scratch import scratch_path
+from ..sources.queue import queue_stream
 from ..streaming import alerts as al
 from ..streaming import streams as sm
 from .content import alerts
@@ -224,6 +225,22 @@ def _(t):
     return _finished(t, dead, "append").agg(F.count("*").alias("n"))
 
 
+@query("str01_queue_source", "SELECT CASE event_type WHEN 'error' THEN 'dead letter' ELSE event_type END AS kind, count(*) AS n FROM events GROUP BY 1")
+def _(t):
+    """The events as messages of a queue, a few bundles a batch; lines that are no JSON are kept as dead letters."""
+    at = scratch_path(t.spark, "queue")
+    body = F.when(F.col("event_type") == "error", "not json").otherwise(F.to_json(F.struct(F.col("event_id").cast("string").alias("eventId"), F.col("event_type").alias("eventType"))))
+    t.events.select(body.alias("value")).repartition(12).write.text(f"{at}/q")
+    good, dead = sm.parse_stream(queue_stream(t.spark, f"{at}/q", f"{at}/log", most=5, together=2), "eventId STRING, eventType STRING", "eventId")
+    out = good.select(F.col("eventType").alias("kind")).unionByName(dead.select(F.lit("dead letter").alias("kind")))
+    q = out.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/state").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return t.spark.read.schema(out.schema).parquet(f"{at}/rows").groupBy("kind").agg(F.count("*").alias("n"))
+
+
 @query("str05_index_changes", "SELECT user_id, arg_max(event_type, event_id) AS title FROM events GROUP BY 1 HAVING arg_max(event_type, event_id) <> 'error'")
 def _(t):
     """Each batch's last change of an id is merged into the table; deletions stay as rows, so that later batches cannot bring back older ones."""
