@@ -91,9 +91,14 @@ def latency_summary(requests: DataFrame, by: Sequence[str], value: str, error: C
     )
 
 
-def sample_traces(spans: DataFrame, trace: str, start: str, end: str, error: Column, slow_ms: int = 2000, percent: int = 10) -> DataFrame:
+def in_share(trace: str, percent: int, bucket: Column | None = None) -> Column:
+    """Whether a trace is of the fixed share; ``bucket`` gives its number from 0 to 99, by default from a hash of its name."""
+    return (F.pmod(F.xxhash64(trace), F.lit(100)) if bucket is None else bucket) < percent
+
+
+def sample_traces(spans: DataFrame, trace: str, start: str, end: str, error: Column, slow_ms: int = 2000, percent: int = 10, bucket: Column | None = None) -> DataFrame:
     """All spans of traces with an error, of slow traces and of a fixed share, by hash, of the rest."""
     length = (F.unix_micros(F.max(F.col(end).cast("timestamp"))) - F.unix_micros(F.min(F.col(start).cast("timestamp")))) / 1000
     t = spans.groupBy(trace).agg(F.bool_or(F.coalesce(error, F.lit(False))).alias("_bad"), length.alias("_ms"))
-    keep = t.where(F.col("_bad") | (F.col("_ms") > slow_ms) | (F.pmod(F.xxhash64(trace), F.lit(100)) < percent))
+    keep = t.where(F.col("_bad") | (F.col("_ms") > slow_ms) | in_share(trace, percent, bucket))
     return spans.join(keep.select(trace), trace, "left_semi")

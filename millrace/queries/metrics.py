@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
@@ -11,6 +11,7 @@ from ..scratch import scratch_path
 from ..sources.queue import queue_stream
 from ..streaming import alerts as al
 from ..streaming import streams as sm
+from ..streaming import traces as tr
 from .content import alerts
 from .registry import E, Tables, query
 
@@ -145,6 +146,24 @@ def _(t):
     return mt.sample_traces(rows, "trace", "ts", "ts", F.col("event_type") == "error", slow_ms=36_000_000, percent=0).select("event_id")
 
 
+#: Traces are a user's events of a day; slow are those of over ten hours, and of the rest a tenth is kept by a hash that SQL has too.
+_SAMPLED = """SELECT event_id FROM events JOIN (SELECT user_id, ts::DATE AS d, bool_or(event_type = 'error') OR epoch_us(max(ts)) - epoch_us(min(ts)) > 36000000000
+  OR ('0x' || substr(md5(user_id || ':' || ts::DATE), 1, 8))::BIGINT % 100 < 10 AS keep FROM events GROUP BY 1, 2) g ON g.user_id = events.user_id AND g.d = ts::DATE WHERE keep"""
+
+
+def _spans(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "event_type", "ts", F.concat_ws(":", "user_id", F.to_date("ts")).alias("trace"))
+
+
+def _bucket() -> Column:
+    return F.conv(F.substring(F.md5("trace"), 1, 8), 16, 10).cast("long") % 100
+
+
+@query("ts10_sample_share", _SAMPLED)
+def _(t):
+    return mt.sample_traces(_spans(t.events), "trace", "ts", "ts", F.col("event_type") == "error", slow_ms=36_000_000, percent=10, bucket=_bucket()).select("event_id")
+
+
 # Streams: the table's file as the source, run until all of it is read.
 
 
@@ -287,3 +306,13 @@ def _(t):
     with al.state_in_rocksdb(t.spark):
         out = _finished(t, al.held_alerts(windows, ["service"], 3600, 3600), "append")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("since", "ts")})
+
+
+@query("ts10_stream", _SAMPLED)
+def _(t):
+    """Traces are decided a day after their last span; a last span ends the wait for the watermark."""
+    rows = _spans(t.events)
+    end = t.events.agg((F.max("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts")).select(F.lit(-1).cast("long").alias("event_id"), F.lit("view").alias("event_type"), "ts", F.lit("~").alias("trace"))
+    kept = tr.sample_trace_stream(_restreamed(t, rows, end), "trace", "ts", "ts", F.col("event_type") == "error", wait_seconds=86_400, slow_ms=36_000_000, percent=10, late="10 minutes", bucket=_bucket())
+    with al.state_in_rocksdb(t.spark):
+        return _finished(t, kept, "append").where("event_id >= 0").select("event_id")
