@@ -10,9 +10,12 @@ from ..operators import ranges as rg
 from ..scratch import scratch_path
 from ..sources.queue import queue_stream
 from ..streaming import alerts as al
+from ..streaming import merged as mg
 from ..streaming import streams as sm
 from ..streaming import traces as tr
+from ..streaming.usage import UsageRollup
 from .content import alerts
+from .events import USAGE, _rollup_sql
 from .registry import E, Tables, query
 
 #: A counter for each event type, its running count by time, which falls to zero every 500 events.
@@ -199,8 +202,9 @@ def _upserted(t: Tables, out: DataFrame, mode: str, keys: list[str], order: str)
     """Run a stream whose batches are merged by key, and read the merged table."""
     at = scratch_path(t.spark, "stream")
     q = out.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
-    q.foreachBatch(sm.upsert_into(f"{at}/rows", keys, order)).start().awaitTermination()
-    return sm.read_upserted(t.spark, f"{at}/rows", out.schema)
+    table = mg.MergedTable(f"{at}/rows", mg.latest(keys, order))
+    q.foreachBatch(table.write).start().awaitTermination()
+    return table.read(t.spark, out.schema)
 
 
 @query("str04_daily_rollup", "SELECT ts::DATE AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -210,6 +214,18 @@ def _(t):
     return out.select(F.to_date("start").alias("day"), "event_type", "n")
 
 
+@query("str04_usage_rollup", f"WITH {E} {_rollup_sql()}")
+def _(t):
+    """The events in batches of a file each, in no order of time; each batch is merged into the tables of counts and users."""
+    at = scratch_path(t.spark, "usage")
+    t.e.repartition(10).write.parquet(f"{at}/in")
+    events = t.spark.readStream.schema(t.e.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    rollup = UsageRollup(f"{at}/out", USAGE, F.col("user_id").cast("long"))
+    q = events.writeStream.option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
+    q.foreachBatch(rollup.write).start().awaitTermination()
+    return rollup.read(t.spark, t.e)
+
+
 @query("str07_incident_state", """WITH a AS (SELECT event_id, CASE WHEN user_id % 11 = 0 THEN ' ' ELSE 's' || (user_id % 20) END AS service, CASE event_type WHEN 'error' THEN 'firing' WHEN 'signup' THEN 'resolved' ELSE 'other' END AS status, ts FROM events),
 r AS (SELECT *, lag(status) OVER (PARTITION BY service ORDER BY ts, event_id) AS before FROM a WHERE trim(service) <> '' AND status <> 'other')
 SELECT service, CASE status WHEN 'firing' THEN 'opened' ELSE 'closed' END AS action, ts FROM r WHERE status <> coalesce(before, 'resolved')""")

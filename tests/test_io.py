@@ -115,23 +115,6 @@ def test_streams_from_files(spark, tmp_path):
     assert out == {"good": ["a", "b"], "dead": ["broken"]}
 
 
-def test_upsert_versions(spark, tmp_path):
-    at, schema = str(tmp_path / "t"), spark.createDataFrame([], "k int, v string, o int").schema
-    write = sm.upsert_into(at, ["k"], "o")
-    read = lambda: sorted((r.k, r.v) for r in sm.read_upserted(spark, at, schema).collect())
-    assert read() == []
-    write(spark.createDataFrame([(1, "a", 1), (2, "b", 1), (2, "b2", 2)], schema), 0)
-    assert read() == [(1, "a"), (2, "b2")]  # one row of a key within a batch
-    write(spark.createDataFrame([(2, "c", 3)], schema), 2)  # a batch is skipped
-    write(spark.createDataFrame([(2, "old", 1), (3, "d", 1)], schema), 3)
-    assert read() == [(1, "a"), (2, "c"), (3, "d")]
-    write(spark.createDataFrame([(2, "old", 1), (3, "e", 1)], schema), 3)  # a batch runs again
-    assert read() == [(1, "a"), (2, "c"), (3, "e")]
-    write(spark.createDataFrame([], schema), 4)
-    before = {p.name for p in (tmp_path / "t").glob("_part=*/*")}
-    assert read() == [(1, "a"), (2, "c"), (3, "e")] and before == {"_version=0", "_version=2", "_version=3"}
-
-
 def test_late_alerts_take_their_place(spark, tmp_path):
     schema = "service string, status string, ts timestamp, event_id long"
     at = lambda m: datetime.datetime(2024, 1, 1, 12) + datetime.timedelta(minutes=m)
