@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import convert as cv
 from ..operators import checks as dq
+from ..operators import criteria as cr
+from ..operators import purge as pg
 from ..operators import reconcile as rc
+from ..scratch import scratch_path
 from .registry import Tables, query
 
 #: Cents as a packed decimal in text: the digits, then the sign half-byte.
@@ -173,6 +176,54 @@ def _(t):
     return rc.purge_plan(_verdicts(t), t.orders.where("o_orderkey % 3 = 0"), "o_orderkey", 2)
 
 
+_OK = f"(SELECT count(*) FROM orders WHERE {_VERDICT} = 'OK')"
+
+
+@query("rec05_guarded_plan", f"SELECT o_orderkey, 2 AS purge_order FROM orders WHERE {_VERDICT} = 'OK' AND o_orderkey % 3 > 0")
+def _(t):
+    """The plan with the guard as a part of it."""
+    verdicts = _verdicts(t)
+    plan = rc.purge_plan(verdicts, t.orders.where("o_orderkey % 3 = 0"), "o_orderkey", 2)
+    return pg.guarded(plan, verdicts.where("verdict = 'OK'"), rc.run_ledger(_stages(t)))
+
+
+@query("rec05_order", "SELECT 'lineitem' AS table_name, 1 AS purge_order, count(*) AS n_rows FROM lineitem UNION ALL SELECT 'orders', 2, count(*) FROM orders UNION ALL SELECT 'customer', 3, count(*) FROM customer UNION ALL SELECT 'supplier', 2, count(*) FROM supplier")
+def _(t):
+    references = [("lineitem", "orders"), ("lineitem", "supplier"), ("orders", "customer"), ("customer", "nation"), ("supplier", "nation")]
+    return pg.run_order({n: getattr(t, n) for n in ("orders", "customer", "supplier", "lineitem")}, references)
+
+
+class _CutOff(Exception):
+    pass
+
+
+@query("rec05_purge_run", f"""SELECT 'orders' AS table_name, {_OK} AS validated, {_OK} AS purge_intended, {_OK} AS purged, false AS dry_run, (SELECT count(*) FROM orders) - {_OK} AS live
+UNION ALL SELECT 'dry', {_OK}, {_OK}, 0, true, (SELECT count(*) FROM orders) - {_OK}""")
+def _(t):
+    """A run that is cut off after the source has deleted some waves, one of which the audit does not hold; then a rerun, and a dry run."""
+    at, waves = scratch_path(t.spark, "purge"), []
+
+    class Cut(pg.LakeSource):
+        def delete(self, batches: DataFrame, run_id: str) -> None:
+            super().delete(batches, run_id)
+            waves.append(run_id)
+            if len(waves) == 2:
+                raise _CutOff
+
+    orders = t.orders.select("o_orderkey")
+    safe = _verdicts(t).where("verdict = 'OK'").select("o_orderkey")
+    validated = safe.count()
+    more = {"key": "o_orderkey", "validated": validated, "audit": pg.Audit(f"{at}/audit"), "run_id": "run-1", "batch_rows": 100, "wave": 3}
+    try:
+        pg.purge_table(t.spark, "orders", safe, source=Cut(orders, "o_orderkey", f"{at}/deleted"), **more)
+    except _CutOff:
+        pass
+    source = pg.LakeSource(orders, "o_orderkey", f"{at}/deleted")
+    ledger = pg.purge_table(t.spark, "orders", safe, source=source, **more | {"wave": 1000})
+    dry = pg.purge_table(t.spark, "dry", safe, source=source, **more, dry_run=True)
+    return ledger.unionByName(dry).crossJoin(F.broadcast(source.live(t.spark).agg(F.count("*").alias("live"))))
+
+
 def _stages(t: Tables) -> DataFrame:
     verdict = _verdicts(t).select(F.lit("orders").alias("table_name"), F.when(F.col("verdict") == "OK", "validated").otherwise("validate_failed").alias("stage"))
     fixed = t.orders.select(F.lit("orders").alias("table_name"), F.explode(F.array(F.lit("extracted"), F.lit("loaded"))).alias("stage"))
@@ -230,3 +281,25 @@ def _(t):
 @query("dq08_suite_totals", f"SELECT count(*) FILTER (WHERE ok) AS passed, count(*) FILTER (WHERE NOT ok) AS failed FROM ({_SUITE})")
 def _(t):
     return dq.suite_totals(suite(t))
+
+
+#: Acceptance criteria as they come in a file.
+_CRITERIA = """{"orders": {"min_rows": 1000, "max_rows": 1000000000000, "required_columns": ["o_orderkey", "o_custkey", "o_orderdate"], "unique_columns": ["o_orderkey"], "enum_constraints": {"o_orderstatus": ["F", "O"], "o_orderpriority": ["1-URGENT"]}},
+"customer": {"min_rows": 1000000000000, "required_columns": ["c_name"], "unique_columns": ["c_nationkey", "c_mktsegment"]}, "labels": {"min_rows": 1, "required_columns": ["doc_id"], "unique_columns": ["doc_id"]}, "missing": {"min_rows": 1}}"""
+
+
+@query("dq08_criteria", """SELECT check_name, CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS status, detail FROM (
+SELECT 'orders: row count' AS check_name, count(*) BETWEEN 1000 AND 1000000000000 AS ok, count(*)::VARCHAR AS detail FROM orders
+UNION ALL SELECT 'orders: not null', count(*) = 0, count(*)::VARCHAR FROM (SELECT o_orderkey AS c FROM orders UNION ALL SELECT o_custkey FROM orders UNION ALL SELECT CASE WHEN o_orderdate IS NULL THEN NULL ELSE 1 END FROM orders) WHERE c IS NULL
+UNION ALL SELECT 'orders: unique', count(o_orderkey) = count(DISTINCT o_orderkey), (count(o_orderkey) - count(DISTINCT o_orderkey))::VARCHAR FROM orders
+UNION ALL SELECT 'orders: values of o_orderstatus', count(*) = 0, coalesce(string_agg(s, ',' ORDER BY s), '') FROM (SELECT DISTINCT o_orderstatus AS s FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))
+UNION ALL SELECT 'orders: values of o_orderpriority', count(*) = 0, coalesce(string_agg(s, ',' ORDER BY s), '') FROM (SELECT DISTINCT o_orderpriority AS s FROM orders WHERE o_orderpriority NOT IN ('1-URGENT'))
+UNION ALL SELECT 'customer: row count', count(*) >= 1000000000000, count(*)::VARCHAR FROM customer
+UNION ALL SELECT 'customer: not null', count(*) = 0, count(*)::VARCHAR FROM customer WHERE c_name IS NULL
+UNION ALL SELECT 'customer: unique', n = 0, n::VARCHAR FROM (SELECT count(c_nationkey) - count(DISTINCT c_nationkey) + count(c_mktsegment) - count(DISTINCT c_mktsegment) AS n FROM customer)
+UNION ALL SELECT 'labels: row count', count(*) >= 1, count(*)::VARCHAR FROM labels
+UNION ALL SELECT 'labels: not null', count(*) = 0, count(*)::VARCHAR FROM labels WHERE doc_id IS NULL
+UNION ALL SELECT 'labels: unique', count(doc_id) = count(DISTINCT doc_id), (count(doc_id) - count(DISTINCT doc_id))::VARCHAR FROM labels
+UNION ALL SELECT 'missing: exists', false, 'no such table')""")
+def _(t):
+    return cr.run_criteria(t.spark, {n: getattr(t, n) for n in ("orders", "customer", "labels")}, _CRITERIA)
