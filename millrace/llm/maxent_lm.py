@@ -25,9 +25,11 @@ CONTEXTS = 16_384
 BRANCH, LEVELS = 32, 4
 #: Words to a leaf, about, that make for two levels, and for more.
 LEAF, CROWDED = 16, 8192
+#: Words to a leaf, about, that the leaves' bounds are taken from.
+SAMPLED = 64
 #: Bytes of a word that its place in the order follows from.
 PREFIX = 7
-#: Rows of hashed weights at least: for classes, for the words of a class, and for the nodes of the tree.
+#: Rows of hashed weights at least, powers of two: for classes, for the words of a class, and for the nodes of the tree.
 CLASS_ROWS, WORD_ROWS, TREE_ROWS = 1 << 14, 1 << 15, 1 << 14
 #: Training tokens for each row of classes, about; the tables grow to so many times their least size.
 ROW_TOKENS, GROWN = 1 << 11, 8
@@ -36,7 +38,9 @@ FEATURES = 3
 ROUNDS = 2
 #: Training tokens for each task at least, times the growth of the tables, so that updates stay small against the texts.
 TASK_TOKENS = 2_000_000
-RATE, STEP, CHUNK = 0.25, 8192, 64
+RATE, CHUNK = 0.25, 64
+#: Tokens of one gradient step, and tokens that are scored together.
+STEP, SCORED = 32_768, 8192
 _MASK = np.float32(-1e9)
 
 
@@ -57,17 +61,25 @@ def _order(rows: np.ndarray, n: int) -> np.ndarray:
 
 
 def segment_sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of ``rows[order]`` over segments that begin at ``first``: short ones by their length together, long ones alone."""
+    """Sums of ``rows[order]`` over segments that begin at ``first``: short ones by their length together, long ones by eights."""
     lens = np.diff(np.append(first, len(order)))
     out = np.empty((len(first), rows.shape[1]), np.float32)
     for n in range(1, 8):
         at = np.flatnonzero(lens == n)
-        part = rows[order[first[at]]]
+        part = rows.take(order[first[at]], 0)
         for k in range(1, n):
-            part += rows[order[first[at] + k]]
+            part += rows.take(order[first[at] + k], 0)
         out[at] = part
-    for k in np.flatnonzero(lens >= 8).tolist():
-        out[k] = rows[order[first[k] : first[k] + lens[k]]].sum(0)
+    at = np.flatnonzero(lens >= 8)
+    if len(at):
+        eights = (lens[at] + 7) >> 3
+        begins = np.cumsum(eights) - eights
+        place = (np.repeat(first[at] - 8 * begins, eights) + 8 * np.arange(eights.sum()))[:, None] + np.arange(8)
+        over = place >= np.repeat(first[at] + lens[at], eights)[:, None]
+        part = rows.take(order[np.where(over, 0, place)].ravel(), 0)
+        part[over.ravel()] = 0
+        part = part.reshape(-1, 8, rows.shape[1]).sum(1)
+        out[at] = segment_sums(part, np.arange(len(part)), begins)
     return out
 
 
@@ -147,11 +159,11 @@ class Model:
     def _sides(self, word: np.ndarray, hashed: np.ndarray):
         known = word < self.vocabulary
         klass = np.where(known, word // MEMBERS, CLASSES)
-        rows = (hashed >> np.uint64(20)) % np.uint64(len(self.class_rows))
+        rows = (hashed >> np.uint64(20)) & np.uint64(len(self.class_rows) - 1)
         yield self.class_rows, rows.astype(np.int64), self.class_bias[None, :], klass, None
         at = np.flatnonzero(known)
         k = klass[at]
-        rows = ((hashed[:, at] + k.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(24)) % np.uint64(len(self.word_rows))
+        rows = ((hashed[:, at] + k.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(24)) & np.uint64(len(self.word_rows) - 1)
         yield self.word_rows, rows.astype(np.int64), self.word_bias[k], word[at] % MEMBERS, at
         if self.depth:
             at = np.flatnonzero(~known)
@@ -160,26 +172,26 @@ class Model:
             nodes = np.concatenate([leaf // BRANCH ** (self.depth - k) + (BRANCH**k - 1) // (BRANCH - 1) for k in range(self.depth)])
             goal = np.concatenate([leaf // BRANCH ** (self.depth - k - 1) % BRANCH for k in range(self.depth)])
             rows = np.tile(hashed[:, at], self.depth) + (nodes + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-            rows = ((rows ^ (rows >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(24)) % np.uint64(len(self.tree_rows))
+            rows = ((rows ^ (rows >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(24)) & np.uint64(len(self.tree_rows) - 1)
             yield self.tree_rows, rows.astype(np.int64), self.tree_bias[nodes], goal, np.tile(at, self.depth)
 
     def score(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural logarithms; for a word outside the vocabulary, of its leaf, less that of the leaf's tokens and one."""
         out = np.empty(len(word), np.float64)
-        for k in range(0, len(word), STEP):
-            w = word[k : k + STEP]
+        for k in range(0, len(word), SCORED):
+            w = word[k : k + SCORED]
             part = np.zeros(len(w))
-            for weights, rows, bias, goal, at in self._sides(w, self.features(one[k : k + STEP], two[k : k + STEP])):
+            for weights, rows, bias, goal, at in self._sides(w, self.features(one[k : k + SCORED], two[k : k + SCORED])):
                 z = _sums(bias, weights, rows)
                 value = z[np.arange(len(goal)), goal]
-                value = value - np.log(np.exp(z, out=z).sum(1))
+                value = value - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], np.float32))
                 if at is None:
                     part += value
                 else:
                     part += np.bincount(at, value, len(part))
             other = np.flatnonzero(w >= self.vocabulary)
             part[other] -= self.leaves[self.leaf(w[other])]
-            out[k : k + STEP] = part
+            out[k : k + SCORED] = part
         return out
 
     def train(self, word: np.ndarray, one: np.ndarray, two: np.ndarray, squares: list[np.ndarray]) -> None:
@@ -191,7 +203,7 @@ class Model:
                     continue
                 z = _sums(bias, weights, rows)
                 np.exp(z, out=z)
-                z /= z.sum(1, keepdims=True)
+                z *= (1 / (z @ np.ones(z.shape[1], np.float32)))[:, None]
                 z[np.arange(len(goal)), goal] -= 1
                 flat = rows.ravel()
                 order = _order(flat, len(weights))
@@ -199,8 +211,11 @@ class Model:
                 first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
                 slope = segment_sums(z, order % len(goal), first)
                 at = flat[first]
-                square[at] += (slope * slope).mean(1)
-                weights[at] -= (RATE / np.sqrt(square[at] + 1))[:, None] * slope
+                total = square[at] + np.einsum("ij,ij->i", slope, slope) / slope.shape[1]
+                square[at] = total
+                slope *= (-RATE / np.sqrt(total + 1))[:, None]
+                slope += weights.take(at, 0)
+                weights[at] = slope
 
 
 def _contexts(word: np.ndarray, n: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +268,26 @@ class Numbers:
         return number[order], n + 1, rank[order], words, order
 
 
-def _train(docs: DataFrame, shared, numbers, tasks: int) -> list[tuple[int, int, bytes]]:
+def _numbered(docs: DataFrame, numbers, tasks: int, wide: bool) -> DataFrame:
+    """The words' numbers of each text, dealt to ``tasks`` tasks and put in order by a hash of the id.
+
+    So each task meets the same texts in the same order, however the rows lie
+    in files; numbers, not texts, are shuffled.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                word, n, _, _, _ = numbers.value.read(b.column(1))
+                data, ends = word.astype("<i4" if wide else "<u2").tobytes(), np.cumsum(n) * (4 if wide else 2)
+                parts = [data[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist())]  # noqa: B905
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(parts, pa.binary())], ["h", "words"])
+
+    rows = docs.select(F.xxhash64("id").alias("h"), "t").mapInArrow(read, "h long, words binary")
+    return rows.repartition(tasks, "h").sortWithinPartitions("h", "words").select("words")
+
+
+def _train(texts: DataFrame, shared, numbers, wide: bool) -> list[tuple[int, int, bytes]]:
     """One round: each task takes gradient steps from the shared weights; changes of rows are averaged over the tasks that changed them."""
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,9 +295,11 @@ def _train(docs: DataFrame, shared, numbers, tasks: int) -> list[tuple[int, int,
         old = model.tables
         model = replace(model, class_rows=old[0].copy(), word_rows=old[1].copy(), tree_rows=model.tree_rows.copy())
         squares = [np.zeros(len(w), np.float32) for w in old]
+        kind = np.dtype("<i4" if wide else "<u2")
         for b in batches:
             if b.num_rows:
-                word, n, _, _, _ = words.read(b.column(0))
+                word = np.frombuffer(b"".join(b.column(0).to_pylist()), kind).astype(np.int64)
+                n = pc.binary_length(b.column(0)).to_numpy().astype(np.int64) // kind.itemsize
                 model.train(word, *_contexts(word, n, words.none), squares)
         out = []
         for table, (before, after) in enumerate(zip(old, model.tables, strict=True)):
@@ -287,7 +323,7 @@ def _train(docs: DataFrame, shared, numbers, tasks: int) -> list[tuple[int, int,
             row = {"t": t, "k": k, "d": (total / np.maximum(times, 1)).astype(np.float16).tobytes()}
             yield pa.RecordBatch.from_pylist([row], pa.schema([("t", pa.int32()), ("k", pa.int32()), ("d", pa.binary())]))
 
-    changes = docs.coalesce(tasks).mapInArrow(steps, "t int, k int, d binary")
+    changes = texts.mapInArrow(steps, "t int, k int, d binary")
     # The model's changes alone come to the driver: 50 MB at most, by the rows above grown eight times.
     return [(r.t, r.k, bytes(r.d)) for r in changes.repartition("t", "k").mapInArrow(mix, "t int, k int, d binary").collect()]
 
@@ -326,8 +362,11 @@ def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROU
     size = BRANCH**depth
     bounds = np.zeros(0, np.int64)
     if depth:
-        cuts = [k / size for k in range(1, size)]
-        bounds = np.array(counts.agg(F.percentile_approx(F.expr(_KEY), cuts, max(10_000, 8 * size))).first()[0], np.int64)
+        # Words are chosen by their hash, so the bounds do not hang on how rows fall into tasks.
+        most = max(8 * size, min(SAMPLED * size, 1 << 21))
+        some = counts.where(F.pmod(F.xxhash64("w"), F.lit(1 << 40)) < int(min(1.0, most / counts.count()) * (1 << 40)))
+        keys = np.sort(some.select(F.expr(_KEY).alias("key")).toArrow()["key"].to_numpy())
+        bounds = keys[np.arange(1, size) * len(keys) // size] if len(keys) else np.zeros(size - 1, np.int64)
     words = pa.array([x[0] for x in top], pa.large_binary())
     leaf_of = np.searchsorted(bounds, _keys(words), "right")
     numbers = Numbers(words, n, bounds, leaf_of)
@@ -350,10 +389,11 @@ def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROU
     discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5
     shared_numbers = spark.sparkContext.broadcast(numbers)  # at most ``head`` words
     tasks = max(1, int(total // (TASK_TOKENS * grown)))
+    wide = numbers.none + 1 + size > 1 << 16
     for r in range(rounds if total else 0):
         shared = spark.sparkContext.broadcast(model)
-        part = train.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == r).select("t")
-        for t, k, d in _train(part, shared, shared_numbers, tasks):
+        part = train.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(rounds)) == r)
+        for t, k, d in _train(_numbered(part, shared_numbers, tasks, wide), shared, shared_numbers, wide):
             rows = model.tables[t]
             rows[k : k + CHUNK] += np.frombuffer(d, np.float16).astype(np.float32).reshape(CHUNK, -1)
     return model, numbers, Tail(discount, np.log10(discount * types + 1)), int(total), int(distinct)
@@ -382,12 +422,20 @@ def language_scores(
     word has the share that the discount of the leaf's words leaves, so the
     probabilities of all words, and of one unseen word in each leaf, sum to
     one. Levels of the tree and rows of weights follow from the corpus.
-    Updates are mixed over tasks, so scores depend a little on how rows fall
-    into them; ``base_score`` and counts do not.
+    Texts are dealt to training tasks, and put in order there, by a hash of
+    the id, so scores repeat but for rounding however the rows are partitioned.
 
     Null texts are empty (the end alone), rows without an id are left out,
     repeated rows are learned from and returned as often as they occur, other
-    columns are ignored. With nothing to learn from, all probabilities are one.
+    columns are ignored; an empty table gives an empty result. With nothing to
+    learn from, all probabilities are one. A very long text is read whole by
+    its task and learned from in steps of STEP tokens.
+
+    Bounds that stay at any size: CLASSES * MEMBERS words with classes of their
+    own, LEVELS levels of the tree, tables of GROWN times their least rows
+    (from ROW_TOKENS * CLASS_ROWS * GROWN training tokens on), and words whose
+    first PREFIX bytes agree share a leaf. What lies beyond them is hashed
+    together, not left out.
     """
     spark = docs.sparkSession
     bounded_batches(spark)

@@ -155,3 +155,25 @@ def test_score_by_hand(spark):
     got = {r.doc_id: r.score for r in maxent_lm.score_texts(df, words, fitted).collect()}
     for i, _, t in rows[:60]:
         assert got[i] == pytest.approx(by_hand(t, fitted, counts), rel=1e-4, abs=1e-3)
+
+
+def test_scores_do_not_hang_on_partitions(spark):
+    """Three layouts of the same rows, and the gain of the trained weights over what smoothing alone gives."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    runs = [{r.doc_id: r for r in maxent_lm.language_scores(df).collect()} for df in (docs, docs.repartition(7), docs.orderBy(docs.doc_id.desc()).coalesce(3))]
+    for other in runs[1:]:
+        assert max(abs(other[k].score - r.score) / r.n_tokens for k, r in runs[0].items()) < 0.001
+    plain = {r.doc_id: r for r in maxent_lm.language_scores(docs, rounds=0).collect()}
+    total = lambda rows, c: sum(getattr(r, c) for r in rows.values() if r.held_out)
+    base, smoothed, trained = total(plain, "base_score"), total(plain, "score"), total(runs[0], "score")
+    assert smoothed > 0.95 * base  # discounts and leaves alone
+    assert trained > 0.955 * smoothed  # what the contexts give beyond them
+
+
+def test_segment_sums():
+    rng = np.random.default_rng(0)
+    lens = np.concatenate([rng.integers(1, 12, 60), [8, 64, 65, 511, 1000, 1]])
+    first = np.cumsum(lens) - lens
+    rows, order = rng.standard_normal((300, 5)).astype(np.float32), rng.integers(0, 300, lens.sum())
+    want = np.add.reduceat(rows[order].astype(float), first, axis=0)
+    assert np.abs(maxent_lm.segment_sums(rows, order, first) - want).max() < 1e-3
