@@ -91,10 +91,8 @@ def period_filter(df: DataFrame, ts: str, period: str | None, now: Column) -> Da
     return df.where(F.col(ts).between(now - F.expr(f"INTERVAL {days} DAYS"), now))
 
 
-def filter_page(
-    df: DataFrame, equal: dict[str, object | None], ts: str, since: Column | None, until: Column | None, key: str, page: int, size: int
-) -> DataFrame:
-    """A page of the rows that pass all given filters, newest first, ties by ``key``; sizes are kept within 1 to 100."""
+def filtered(df: DataFrame, equal: dict[str, object | None], ts: str, since: Column | None, until: Column | None) -> DataFrame:
+    """Rows that pass all given filters; what is None does not filter."""
     for name, value in equal.items():
         if value is not None:
             df = df.where(F.col(name) == F.lit(value))
@@ -102,6 +100,14 @@ def filter_page(
         df = df.where(F.col(ts) >= since)
     if until is not None:
         df = df.where(F.col(ts) <= until)
+    return df
+
+
+def filter_page(
+    df: DataFrame, equal: dict[str, object | None], ts: str, since: Column | None, until: Column | None, key: str, page: int, size: int
+) -> DataFrame:
+    """A page of the rows that pass all given filters, newest first, ties by ``key``; sizes are kept within 1 to 100."""
+    df = filtered(df, equal, ts, since, until)
     size = min(100, max(1, size))
     return df.orderBy(F.col(ts).desc(), key).offset((max(1, page) - 1) * size).limit(size)
 
@@ -208,8 +214,23 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != ""))
 
 
+def filter_total(df: DataFrame, equal: dict[str, object | None], ts: str, since: Column | None, until: Column | None, size: int) -> DataFrame:
+    """One row beside a page: ``total`` rows that pass the filters, and ``pages`` of the size."""
+    size = min(100, max(1, size))
+    return filtered(df, equal, ts, since, until).agg(F.count("*").alias("total")).withColumn("pages", F.ceil(F.col("total") / size))
+
+
 def index_rows(df: DataFrame, kind: str, names: dict[str, Sequence[str]]) -> DataFrame:
     """Search rows: each field from the first of its columns that is there, rows without id or title left out, ``type`` added."""
+    return _index_fields(df, kind, names).where((F.col("id") != "") & (F.col("title") != ""))
+
+
+def index_rejects(df: DataFrame, kind: str, names: dict[str, Sequence[str]]) -> DataFrame:
+    """The rows that ``index_rows`` leaves out, with ``reason``."""
+    reason = F.when(F.col("id") == "", "id is missing").when(F.col("title") == "", "title is missing")
+    return _index_fields(df, kind, names).withColumn("reason", reason).where("reason IS NOT NULL")
+
+
+def _index_fields(df: DataFrame, kind: str, names: dict[str, Sequence[str]]) -> DataFrame:
     pick = lambda cs: F.coalesce(*[F.col(c).cast("string") for c in cs if c in df.columns], F.lit(""))
-    out = df.select(*[pick(cs).alias(n) for n, cs in names.items()], F.lit(kind).alias("type"))
-    return out.where((F.col("id") != "") & (F.col("title") != ""))
+    return df.select(*[pick(cs).alias(n) for n, cs in names.items()], F.lit(kind).alias("type"))

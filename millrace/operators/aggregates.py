@@ -104,6 +104,11 @@ def top_content(events: DataFrame, kind: str | None, limit: int, resource: str =
     return df.groupBy(resource).agg(F.count("*").alias("n"), F.count_distinct(user).alias("users")).orderBy(F.desc("n"), resource).limit(limit)
 
 
+def top_titles(top: DataFrame, titles: DataFrame, resource: str = "resource_id") -> DataFrame:
+    """A short list of ``top_content`` with the ``title`` of each resource, null where none is known. ``titles`` has one row a resource."""
+    return titles.select(resource, "title").join(F.broadcast(top), resource, "right")  # the list has a limit
+
+
 def active_users(events: DataFrame, ts: str = "ts") -> DataFrame:
     return events.groupBy("user_id").agg(F.count("*").alias("n"), F.max(ts).alias("last_active"))
 
@@ -231,7 +236,14 @@ def margin_kpis(rows: DataFrame, prices: DataFrame, commodity: str, freight: str
     return means.join(prices.agg(last(commodity, "commodity_index"), last(freight, "freight_index")))
 
 
-def margin_series(margins: DataFrame, by: str, on: str = "margin_date") -> DataFrame:
+def margin_series(margins: DataFrame, by: str, on: str = "margin_date", keys: Sequence[str] = (), start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """Mean margin by key and day, of the given keys and between two days if these are given."""
+    if keys:
+        margins = margins.where(F.col(by).isin(list(keys)))
+    if start is not None:
+        margins = margins.where(F.col(on) >= start)
+    if end is not None:
+        margins = margins.where(F.col(on) <= end)
     return margins.groupBy(by, on).agg(F.round(F.avg("margin_pct"), 4).alias("margin_pct"))
 
 
@@ -267,6 +279,11 @@ def average_rating(feedback: DataFrame, rating: str = "rating") -> DataFrame:
     return feedback.agg(F.coalesce(F.avg(rating), F.lit(0.0)).alias("average"), F.count("*").alias("n"))
 
 
+def feedback_list(feedback: DataFrame, user: object, user_col: str = "user_id", at: str = "created_at", key: str = "id") -> DataFrame:
+    """A user's feedback, newest first."""
+    return feedback.where(F.col(user_col) == F.lit(user)).orderBy(F.col(at).desc(), F.col(key).desc())
+
+
 def rating_problems(feedback: DataFrame, rating: str = "rating", low: int = 1, high: int = 5) -> DataFrame:
     return feedback.where(F.col(rating).isNull() | ~F.col(rating).between(low, high))
 
@@ -275,6 +292,21 @@ def report_registry(reports: DataFrame, status: str, by: Sequence[str]) -> DataF
     return reports.groupBy(status, *by).agg(F.count("*").alias("n"))
 
 
+def reports_selected(
+    reports: DataFrame, requester: object | None = None, category: object | None = None, status: object | None = None, since: Column | None = None, until: Column | None = None,
+    at: str = "created_at",
+) -> DataFrame:
+    """Reports by requester, category, status and time, newest first; what is not given does not filter."""
+    for name, value in (("requested_by", requester), ("category", category), ("status", status)):
+        if value is not None:
+            reports = reports.where(F.col(name) == F.lit(value))
+    if since is not None:
+        reports = reports.where(F.col(at) >= since)
+    if until is not None:
+        reports = reports.where(F.col(at) <= until)
+    return reports.orderBy(F.col(at).desc(), "id")
+
+
 def daily_type_counts(events: DataFrame, ts: str = "ts") -> DataFrame:
     return events.groupBy(F.to_date(ts).alias("event_date"), "event_type").agg(F.count("*").alias("n"))
 

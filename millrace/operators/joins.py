@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import staged
+from .terms import disjoint_terms
 
 
 def asof_backward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], values: Sequence[str], outer: bool = False) -> DataFrame:
@@ -26,13 +27,16 @@ def asof_backward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str],
 
 
 def effective_dated(facts: DataFrame, terms: DataFrame, key: str, on: str, starts: str = "starts_on", ends: str = "ends_on", ties: Sequence[str] = ()) -> DataFrame:
-    """Each fact with the term of its key that is in force on its date; of several the one that starts last."""
-    hit = (F.col(f"f.{key}") == F.col(f"t.{key}")) & (F.col(f"t.{starts}") <= F.col(f"f.{on}")) & (F.col(f"t.{ends}").isNull() | (F.col(f"t.{ends}") >= F.col(f"f.{on}")))
-    own = [F.col(f"t.{c}") for c in terms.columns if c != key]
-    f = facts.withColumn("_id", F.monotonically_increasing_id())
-    joined = f.alias("f").join(terms.alias("t"), hit).select("f.*", *own)
-    last = Window.partitionBy("_id").orderBy(F.col(starts).desc(), *ties)
-    return joined.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_id")
+    """Each fact with the term of its key that is in force on its date; of several the one that starts last.
+
+    Terms are cut into segments that do not overlap, and a fact takes the last
+    one that began before it: it does not meet all terms of its key.
+    """
+    values = [c for c in terms.columns if c != key]
+    inner = terms.select(key, F.struct(*values).alias("_term"), starts, ends, *[t for t in ties if t not in (starts, ends)])
+    cut = disjoint_terms(inner, [key], starts, ends, ["_term"], ties, facts.schema[on].dataType)
+    named = cut.select(key, F.col("at").alias(on), F.struct("_term").alias("_seg"))
+    return asof_backward(facts.where(F.col(key).isNotNull()), named, on, [key], ["_seg"]).where("_seg._term IS NOT NULL").select(*facts.columns, "_seg._term.*")
 
 
 #: Segments of rates whose lists are broadcast at most; beyond it they are joined as of the day.
@@ -44,14 +48,7 @@ def rate_segments(rates: DataFrame, product: str, agent: str) -> DataFrame:
 
     Of overlapping rates the one that began last counts, then the smallest id.
     """
-    r = rates.select(product, agent, "rate_id", "rate_pct", "effective_from", "effective_to")
-    at = F.explode(F.array("effective_from", F.date_add("effective_to", 1))).alias("at")
-    days = r.select(product, agent, at).where("at is not null").distinct()
-    live = (F.col(f"d.{product}") == F.col(f"r.{product}")) & F.col(f"d.{agent}").eqNullSafe(F.col(f"r.{agent}"))
-    live = live & (F.col("r.effective_from") <= F.col("d.at")) & (F.col("r.effective_to").isNull() | (F.col("r.effective_to") >= F.col("d.at")))
-    rows = days.alias("d").join(r.alias("r"), live, "left").select("d.*", "r.rate_id", "r.rate_pct", "r.effective_from")
-    age = F.struct(F.datediff(F.lit("1970-01-01").cast("date"), "effective_from"), "rate_id")
-    return rows.groupBy(product, agent, "at").agg(F.min_by(F.struct("rate_id", "rate_pct"), F.when(F.col("rate_id").isNotNull(), age)).alias("s")).select(product, agent, "at", "s.*")
+    return disjoint_terms(rates, [product, agent], "effective_from", "effective_to", ["rate_id", "rate_pct"], ["rate_id"])
 
 
 def resolve_rate(requests: DataFrame, rates: DataFrame, product: str, agent: str, on: str) -> DataFrame:
@@ -120,6 +117,16 @@ def file_with_shares(files: DataFrame, shares: DataFrame, key: str, fields: Sequ
     return files.join(listed, key, "left").withColumn("shares", F.coalesce("shares", F.array().cast(listed.schema["shares"].dataType)))
 
 
+def shares_by(shares: DataFrame, who: str, fields: Sequence[str]) -> DataFrame:
+    """Of each recipient, or owner, the sorted list of their shares."""
+    return shares.where(F.col(who).isNotNull()).groupBy(who).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("shares"))
+
+
+def share_of(shares: DataFrame, asked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The share of each (file, user) that is asked for; null columns where there is none."""
+    return asked.join(shares, list(keys), "left")
+
+
 def compare_sides(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """``key, status, field``: AGREE, MISMATCH with the first column that differs, MISSING_TARGET or MISSING_SOURCE."""
     side = lambda df, n: df.select(key, F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256).alias("hash"), *columns).alias(n)

@@ -16,8 +16,8 @@ START, END = "1997-06-01", "1997-06-30"
 
 #: Tenants with one subscription each, orders as usage, and counts of earlier months as unused quota.
 BILL = f"""tenants AS (SELECT c_custkey AS tenant_id, c_custkey % 3 = 0 AS exempt FROM customer),
-plans AS (SELECT p_partkey AS plan_id, (p_retailprice::DECIMAL(12, 2)) AS fee, p_size AS included, ((p_size % 7 + 1) * 0.005)::DECIMAL(12, 6) AS rate FROM part WHERE p_partkey < 50),
-subs AS (SELECT tenant_id, tenant_id % 50 AS plan_id, CASE WHEN tenant_id % 11 = 0 THEN DATE '1997-06-16' END AS suspended FROM tenants),
+plans AS (SELECT p_partkey AS plan_id, (p_retailprice::DECIMAL(12, 2)) AS fee, p_size AS included, ((p_size % 7 + 1) * 0.005)::DECIMAL(12, 6) AS rate FROM part),
+subs AS (SELECT tenant_id, tenant_id AS plan_id, CASE WHEN tenant_id % 11 = 0 THEN DATE '1997-06-16' END AS suspended FROM tenants),
 used AS (SELECT o_custkey AS tenant_id, sum(floor(o_totalprice / 1000))::BIGINT AS used FROM orders WHERE o_orderdate::DATE BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY 1),
 prior AS (SELECT o_custkey AS tenant_id, count(*) * 5 AS prior FROM orders WHERE o_orderdate >= DATE '1997-03-01' AND o_orderdate < DATE '{START}' GROUP BY 1),
 base AS (SELECT s.*, p.fee, p.included, p.rate, coalesce(u.used, 0) AS used, least(coalesce(prior, 0), 2 * included)::BIGINT AS rollover FROM subs s JOIN plans p USING (plan_id) LEFT JOIN used u USING (tenant_id) LEFT JOIN prior USING (tenant_id)),
@@ -29,9 +29,9 @@ final AS (SELECT *, CASE WHEN suspended IS NULL THEN b ELSE (b * 15 * 2 + 30) //
 
 def rated(t: Tables) -> DataFrame:
     c = t.customer
-    subs = c.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("tenant_id"), (F.col("c_custkey") % 50).alias("plan_id"), day("1995-01-01").alias("starts_on"), F.lit(None).cast("date").alias("ends_on"),
+    subs = c.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("tenant_id"), F.col("c_custkey").alias("plan_id"), day("1995-01-01").alias("starts_on"), F.lit(None).cast("date").alias("ends_on"),
                     F.when(F.col("c_custkey") % 11 == 0, "suspended").otherwise("active").alias("status"), F.when(F.col("c_custkey") % 11 == 0, day("1997-06-16")).alias("suspended_on"))
-    plans = t.part.where("p_partkey < 50").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("code"), F.col("p_retailprice").cast("decimal(12,2)").alias("monthly_fee"), F.col("p_size").alias("included_units"), ((F.col("p_size") % 7 + 1) * 0.005).cast("decimal(12,6)").alias("overage_rate"))
+    plans = t.part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("code"), F.col("p_retailprice").cast("decimal(12,2)").alias("monthly_fee"), F.col("p_size").alias("included_units"), ((F.col("p_size") % 7 + 1) * 0.005).cast("decimal(12,6)").alias("overage_rate"))
     usage = t.orders.select(F.col("o_custkey").alias("tenant_id"), F.col("o_orderdate").alias("occurred_at"), F.floor(F.col("o_totalprice") / 1000).cast("long").alias("units"))
     history = t.orders.select(F.col("o_custkey").alias("tenant_id"), F.to_date("o_orderdate").alias("period_start"), F.lit(5).cast("long").alias("rollover_units"))
     return bl.rate_usage(subs, plans, usage, history, day(START), day(END))

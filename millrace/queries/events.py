@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize as nz
 from ..operators import aggregates as ag
+from ..operators import digests as dg
 from ..operators import joins as jn
 from ..operators import sets as st
 from ..operators import windows as wn
@@ -114,6 +115,11 @@ def _(t):
     return nz.filter_page(t.events, {"event_type": "click", "user_id": None}, "ts", None, ntz(NOW), "event_id", 2, 50).select("event_id", "ts")
 
 
+@query("prj08_filter_total", f"SELECT count(*) AS total, ceil(count(*) / 50.0)::BIGINT AS pages FROM events WHERE event_type = 'click' AND ts <= {NOW_SQL}")
+def _(t):
+    return nz.filter_total(t.events, {"event_type": "click", "user_id": None}, "ts", None, ntz(NOW), 50)
+
+
 DOCS = "d AS (SELECT doc_id AS id, split_part(text, chr(10), 1) AS title, source AS owner_id, lang AS content_type, n_chars FROM documents)"
 
 
@@ -190,6 +196,14 @@ def _(t):
     return nz.index_rows(documents(t), "document", {"id": ["document_id", "id"], "title": ["name", "title"]})
 
 
+@query("prj19_rejects", f"WITH {DOCS} SELECT id::VARCHAR AS id, '' AS title, 'document' AS type, 'title is missing' AS reason FROM d WHERE id % 3 = 1 OR id % 3 = 2 AND title = '' UNION ALL SELECT '', title, 'document', 'id is missing' FROM d WHERE id % 3 = 0")
+def _(t):
+    """A third of the rows without an id, a third without a title."""
+    rows = documents(t).withColumns({"id": F.when(F.col("id") % 3 > 0, F.col("id")), "title": F.when(F.col("id") % 3 != 1, F.col("title")).otherwise("")})
+    rows = rows.withColumn("title", F.coalesce("title", F.lit("")))
+    return nz.index_rejects(rows, "document", {"id": ["document_id", "id"], "title": ["name", "title"]})
+
+
 @query("prj20_word_count", r"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[\t\n\v\f\r ]+'), lambda x: x <> ''))::BIGINT AS n FROM documents")
 def _(t):
     return t.documents.select("doc_id", nz.word_count(F.col("text")).cast("long").alias("n"))
@@ -291,6 +305,33 @@ def _(t):
     return out.select("doc_id", F.array_join(F.transform("shares", lambda s: F.concat_ws(":", s["quality"], s["toxic"])), ",").alias("shares"))
 
 
+_SHARES = "s AS (SELECT l_orderkey AS file_id, l_suppkey AS shared_with, o_custkey AS owner_id, l_linenumber AS permission FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"
+
+
+def _shares(t: Tables) -> DataFrame:
+    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_orderkey").alias("file_id"), F.col("l_suppkey").alias("shared_with"), F.col("o_custkey").alias("owner_id"), F.col("l_linenumber").alias("permission"))
+
+
+def _listed(df: DataFrame, who: str) -> DataFrame:
+    return df.select(who, F.array_join(F.transform("shares", lambda s: F.concat_ws(":", s["file_id"], s["permission"])), ",").alias("shares"))
+
+
+@query("jn11_shared_with", f"WITH {_SHARES} SELECT shared_with, string_agg(file_id || ':' || permission, ',' ORDER BY file_id, permission) AS shares FROM s GROUP BY 1")
+def _(t):
+    return _listed(jn.shares_by(_shares(t), "shared_with", ["file_id", "permission"]), "shared_with")
+
+
+@query("jn11_shared_by_owner", f"WITH {_SHARES} SELECT owner_id, string_agg(file_id || ':' || permission, ',' ORDER BY file_id, permission) AS shares FROM s GROUP BY 1")
+def _(t):
+    return _listed(jn.shares_by(_shares(t), "owner_id", ["file_id", "permission"]), "owner_id")
+
+
+@query("jn11_share_of", f"WITH {_SHARES}, q AS (SELECT o_orderkey AS file_id, o_custkey % 100 AS shared_with FROM orders) SELECT file_id, shared_with, owner_id, permission FROM q LEFT JOIN s USING (file_id, shared_with)")
+def _(t):
+    asked = t.orders.select(F.col("o_orderkey").alias("file_id"), (F.col("o_custkey") % 100).alias("shared_with"))
+    return jn.share_of(_shares(t), asked, ["file_id", "shared_with"])
+
+
 @query("jn12_compare_sides", """WITH b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 1 THEN 'X' ELSE o_orderstatus END AS s, o_orderpriority AS p FROM orders WHERE o_orderkey % 10 <> 2 UNION ALL SELECT -1, 'O', 'x')
 SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'MISSING_TARGET' WHEN a.o_orderkey IS NULL THEN 'MISSING_SOURCE' WHEN a.o_orderstatus = b.s THEN 'AGREE' ELSE 'MISMATCH' END AS status,
  CASE WHEN a.o_orderstatus <> b.s THEN 'o_orderstatus' END AS field FROM orders a FULL JOIN b ON a.o_orderkey = b.o_orderkey""")
@@ -301,6 +342,18 @@ def _(t):
     return jn.compare_sides(a, b.unionByName(extra), "o_orderkey", ["o_orderstatus", "o_orderpriority"])
 
 
+@query("jn12_by_digests", """WITH b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 997 = 1 THEN 'X' ELSE o_orderstatus END AS s, o_totalprice AS p FROM orders WHERE o_orderkey % 991 <> 2 UNION ALL SELECT -1, 'O', 0)
+SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'MISSING_TARGET' WHEN a.o_orderkey IS NULL THEN 'MISSING_SOURCE' ELSE 'MISMATCH' END AS status,
+ CASE WHEN a.o_orderstatus <> b.s THEN 'o_orderstatus' END AS field FROM orders a FULL JOIN b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_orderstatus <> b.s""")
+def _(t):
+    """A few rows changed, gone and new; only rows of their buckets are compared."""
+    k = F.col("o_orderkey")
+    a = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    b = a.where(k % 991 != 2).withColumn("o_orderstatus", F.when(k % 997 == 1, "X").otherwise(F.col("o_orderstatus")))
+    extra = a.limit(1).select(F.lit(-1).cast("long").alias("o_orderkey"), F.lit("O").alias("o_orderstatus"), F.lit(0.0).alias("o_totalprice"))
+    return dg.compare_by_digests(a, b.unionByName(extra), "o_orderkey", ["o_orderstatus", "o_totalprice"])
+
+
 @query("jn13_successor_class", "SELECT n_nationkey::BIGINT AS k, CASE WHEN n_nationkey % 2 = 0 THEN 'N' || n_nationkey WHEN n_name = 'NATION_3' THEN 'three' ELSE n_name END AS new_class FROM nation")
 def _(t):
     policies = t.nation.select(F.col("n_name").alias("policy_code"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))).otherwise("  ").alias("successor_code"))
@@ -379,6 +432,12 @@ def _(t):
     return ag.top_content(t.e, "view", 10)
 
 
+@query("agg10_top_titles", f"WITH {E}, n AS (SELECT resource_id, count(*) AS n, count(DISTINCT user_id) AS users FROM e WHERE event_type = 'view' GROUP BY 1 ORDER BY n DESC, resource_id LIMIT 10) SELECT resource_id, split_part(text, chr(10), 1) AS title, n, users FROM n LEFT JOIN documents ON doc_id::VARCHAR = resource_id")
+def _(t):
+    titles = t.documents.select(F.col("doc_id").cast("string").alias("resource_id"), F.split("text", "\n")[0].alias("title"))
+    return ag.top_titles(ag.top_content(t.e, "view", 10), titles)
+
+
 @query("agg11_active_users", f"WITH {E} SELECT user_id, count(*) AS n, max(ts) AS last_active FROM e WHERE ts BETWEEN {NOW_SQL} - INTERVAL 7 DAYS AND {NOW_SQL} GROUP BY 1")
 def _(t):
     return ag.active_users(nz.period_filter(t.e, "ts", "7d", ntz(NOW)))
@@ -495,6 +554,13 @@ def _(t):
     return ag.margin_series(rows, "p_brand", "d").withColumn("margin_pct", F.col("margin_pct").cast("double"))
 
 
+@query("agg24_margins_of", "SELECT p_brand, l_shipdate::DATE AS d, round(sum((l_discount * 100)::DECIMAL(10, 4)) / count(*), 4)::DOUBLE AS margin_pct FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand IN ('Brand#11', 'Brand#23', 'Brand#1', 'Brand#2') AND l_shipdate::DATE BETWEEN DATE '1995-01-01' AND DATE '1996-06-30' GROUP BY 1, 2")
+def _(t):
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_brand", F.to_date("l_shipdate").alias("d"), (F.col("l_discount") * 100).cast("decimal(10,4)").alias("margin_pct"))
+    some = ag.margin_series(rows, "p_brand", "d", ["Brand#11", "Brand#23", "Brand#1", "Brand#2"], day("1995-01-01"), day("1996-06-30"))
+    return some.withColumn("margin_pct", F.col("margin_pct").cast("double"))
+
+
 @query("agg25_price_series", "SELECT o_orderdate::DATE AS price_date, o_totalprice AS value FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'")
 def _(t):
     prices = t.orders.select(F.col("o_orderpriority").alias("series_code"), F.to_date("o_orderdate").alias("price_date"), F.col("o_totalprice").alias("value"))
@@ -531,6 +597,19 @@ def _(t):
     return ag.average_rating(f).join(ag.rating_problems(f).agg(F.count("*").alias("problems")))
 
 
+@query("agg29_feedback_list", "SELECT event_id AS id, 1 + (floor(value)::BIGINT % 5) AS rating, ts AS created_at FROM events WHERE user_id = 7")
+def _(t):
+    f = t.events.select(F.col("event_id").alias("id"), "user_id", (1 + F.floor("value") % 5).alias("rating"), F.col("ts").alias("created_at"))
+    return ag.feedback_list(f, 7).drop("user_id")
+
+
+@query("agg30_reports_selected", "SELECT o_orderkey AS id, o_custkey AS requested_by FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' AND o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '2001-12-31' UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey = 7")
+def _(t):
+    reports = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("requested_by"), F.col("o_orderpriority").alias("category"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("created_at"))
+    one = ag.reports_selected(reports, category="1-URGENT", status="O", since=ntz("1997-01-01 00:00:00"), until=ntz("2001-12-31 00:00:00"))
+    return one.unionByName(ag.reports_selected(reports, requester=7)).select("id", "requested_by")
+
+
 @query("agg30_report_registry", "SELECT o_orderstatus, year(o_orderdate)::BIGINT AS y, count(*) AS n FROM orders GROUP BY 1, 2")
 def _(t):
     return ag.report_registry(t.orders.withColumn("y", F.year("o_orderdate").cast("long")), "o_orderstatus", ["y"])

@@ -62,6 +62,15 @@ def _(t):
     return rows.groupBy(F.regexp_extract("key", "c_mktsegment=([^/]+)/", 1).alias("segment")).agg((F.min("size") > 0).alias("filled"))
 
 
+@query("src07_inventory_bytes", "SELECT c_mktsegment AS segment, count(*) AS objects, sum(bytes)::BIGINT AS bytes FROM (SELECT c_mktsegment, c_nationkey, sum(strlen(c_name) + 1) AS bytes FROM customer GROUP BY 1, 2) GROUP BY 1")
+def _(t):
+    """An object of lines for each segment and nation, so that objects and bytes are known."""
+    at = scratch_path(t.spark, "objects")
+    t.customer.select("c_mktsegment", "c_nationkey", "c_name").repartition("c_mktsegment", "c_nationkey").write.partitionBy("c_mktsegment", "c_nationkey").text(at)
+    rows = readers.read_object_inventory(t.spark, at, "*.txt")
+    return rows.groupBy(F.regexp_extract("key", "c_mktsegment=([^/]+)/", 1).alias("segment")).agg(F.count("*").alias("objects"), F.sum("size").alias("bytes"))
+
+
 @query("snk01_lake_partition", "SELECT day(ts)::INT AS day, event_type, count(*) AS n FROM events WHERE ts::DATE IN (DATE '2024-01-10', DATE '2024-01-11') GROUP BY 1, 2")
 def _(t):
     """Two days, the first of them written twice: the rerun leaves the other day alone."""

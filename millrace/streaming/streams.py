@@ -103,6 +103,6 @@ def presence(events: DataFrame, idle: str, ts: str, late: str = "10 minutes") ->
 
 
 def live_alerts(events: DataFrame, window: str, threshold: float, ts: str, late: str = "10 minutes") -> DataFrame:
-    """Error shares of windows over the threshold, as windows close."""
+    """Error shares of windows over the threshold, as windows close (append mode). ``alerts.held_alerts`` waits until a condition has held."""
     out = events.withWatermark(ts, late).groupBy(F.window(ts, window).alias("w")).agg((F.count_if(F.col("event_type") == "error") / F.count("*")).alias("ratio"))
     return out.where(F.col("ratio") > threshold).select(F.col("w.start").alias("start"), "ratio")
