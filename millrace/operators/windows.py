@@ -80,9 +80,19 @@ def key_ranges(df: DataFrame, key: str, n: int, partitions: int | None = None) -
 
 
 def resource_history(audit: DataFrame, resource: str, ts: str, id_col: str) -> DataFrame:
-    """Each resource's events, newest first, with their place and number."""
+    """Each resource's events, newest first, with their place and number.
+
+    Events are numbered by day and the days' counts added up, so no task sorts
+    all of a busy resource. Events without a time come last.
+    """
+    rows = audit.withColumn("_day", F.to_date(ts))
+    rows = rows.withColumn("_at", F.row_number().over(Window.partitionBy(resource, "_day").orderBy(F.col(ts).desc(), id_col)))
     w = Window.partitionBy(resource)
-    return audit.withColumns({"place": F.row_number().over(w.orderBy(F.col(ts).desc(), id_col)), "n": F.count("*").over(w)})
+    later = w.orderBy(F.col("_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    days = audit.groupBy(resource, F.to_date(ts).alias("_day")).agg(F.count("*").alias("_c"))
+    days = days.select(F.col(resource).alias("_r"), F.col("_day").alias("_d"), F.coalesce(F.sum("_c").over(later), F.lit(0)).alias("_base"), F.sum("_c").over(w).alias("n"))
+    joined = rows.join(days, F.col(resource).eqNullSafe(F.col("_r")) & F.col("_day").eqNullSafe(F.col("_d")))
+    return joined.select(*audit.columns, (F.col("_base") + F.col("_at")).alias("place"), "n")
 
 
 def version_restore(versions: DataFrame, wanted: DataFrame, key: str) -> DataFrame:

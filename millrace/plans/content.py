@@ -95,12 +95,23 @@ def suggest(parts: Sequence[DataFrame], prefix: str, n: int = 10) -> DataFrame:
 
 
 def alerts_to_incidents(alerts: DataFrame, service: str = "service", status: str = "status", ts: str = "ts", id_col: str = "event_id") -> DataFrame:
-    """Incidents: one opens with a firing alert unless its service has one open, and closes with the next resolved alert. Blank services are ignored."""
-    w = Window.partitionBy(service).orderBy(ts, id_col)
-    rows = alerts.where((F.trim(service) != "") & F.col(status).isin("firing", "resolved"))
-    before = F.lag(status).over(w)
-    opens = (F.col(status) == "firing") & (before.isNull() | (before == "resolved"))
-    rows = rows.withColumn("_open", opens).withColumn("_no", F.sum(F.col("_open").cast("int")).over(w))
+    """Incidents: one opens with a firing alert unless its service has one open, and closes with the next resolved alert. Blank services are ignored.
+
+    Alerts are taken day by day, and what a day begins with follows from how
+    the one before ended, so no task sorts all alerts of a service.
+    """
+    rows = alerts.where((F.trim(service) != "") & F.col(status).isin("firing", "resolved")).withColumn("_day", F.to_date(ts))
+    w = Window.partitionBy(service, "_day").orderBy(ts, id_col)
+    fires = F.col(status) == "firing"
+    rows = rows.withColumns({"_at": F.row_number().over(w), "_open": F.coalesce(fires & (F.lag(status).over(w) == "resolved"), F.lit(False)).cast("int")})
+    days = rows.groupBy(service, "_day").agg(F.min_by(status, "_at").alias("_first"), F.max_by(status, "_at").alias("_last"), F.sum("_open").alias("_opens"))
+    order = Window.partitionBy(service).orderBy("_day")
+    opens = (F.col("_first") == "firing") & (F.coalesce(F.lag("_last").over(order), F.lit("resolved")) == "resolved")
+    days = days.withColumn("_begins", opens.cast("int"))
+    past = F.sum(F.col("_opens") + F.col("_begins")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    days = days.select(F.col(service).alias("_s"), F.col("_day").alias("_d"), (F.coalesce(past, F.lit(0)) + F.col("_begins")).alias("_base"))
+    rows = rows.withColumn("_own", F.sum("_open").over(w)).join(days, (F.col(service) == F.col("_s")) & F.col("_day").eqNullSafe(F.col("_d")))
+    rows = rows.withColumn("_no", F.col("_base") + F.col("_own"))
     end = F.min(F.when(F.col(status) == "resolved", F.col(ts)))
     out = rows.where("_no > 0").groupBy(service, "_no").agg(F.min(ts).alias("opened_at"), end.alias("closed_at"), F.count_if(F.col(status) == "firing").alias("alerts"))
     return out.withColumnRenamed("_no", "incident_no")
