@@ -284,7 +284,8 @@ def _numbered(docs: DataFrame, numbers, tasks: int, wide: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(parts, pa.binary())], ["h", "words"])
 
     rows = docs.select(F.xxhash64("id").alias("h"), "t").mapInArrow(read, "h long, words binary")
-    return rows.repartition(tasks, "h").sortWithinPartitions("h", "words").select("words")
+    # As many tasks as were asked for, whatever the session makes of the number: each sends its own changes.
+    return rows.repartition(tasks, "h").sortWithinPartitions("h", "words").select("words").coalesce(tasks)
 
 
 def _train(texts: DataFrame, shared, numbers, wide: bool) -> list[tuple[int, int, bytes]]:
