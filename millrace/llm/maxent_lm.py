@@ -229,7 +229,7 @@ def _contexts(word: np.ndarray, n: np.ndarray, none: int) -> tuple[np.ndarray, n
 
 
 def _keys(words: pa.LargeBinaryArray) -> np.ndarray:
-    """The first bytes of words as numbers in the same order, as ``_KEY`` takes them in Spark."""
+    """The first bytes of words as numbers in the same order."""
     _, where, data = words.buffers()
     at = np.frombuffer(where, np.int64)[words.offset : words.offset + len(words) + 1]
     raw = np.concatenate([np.frombuffer(data, np.uint8)[: at[-1]], np.zeros(8, np.uint8)])
@@ -238,9 +238,6 @@ def _keys(words: pa.LargeBinaryArray) -> np.ndarray:
     return (first >> cut << cut >> np.uint64(8)).astype(np.int64)
 
 
-_KEY = f"cast(conv(hex(rpad(substring(w, 1, {PREFIX}), {PREFIX})), 16, 10) as bigint)"
-
-
 @dataclass
 class Numbers:
     """What gives words their numbers: the head, most frequent first, with counts and leaves, and the bounds of leaves."""
@@ -360,24 +357,34 @@ def fit(train: DataFrame, counts: DataFrame, head: int = HEAD, rounds: int = ROU
     vocabulary = n[: CLASSES * MEMBERS]
     vocabulary = vocabulary[vocabulary > 0]
     depth = depth_of(distinct - len(vocabulary))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (x for x in batches if x.num_rows):
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(b.column(0).cast(pa.large_binary())))], ["key"])
+
     size = BRANCH**depth
     bounds = np.zeros(0, np.int64)
     if depth:
         # Words are chosen by their hash, so the bounds do not hang on how rows fall into tasks.
         most = max(8 * size, min(SAMPLED * size, 1 << 21))
         some = counts.where(F.pmod(F.xxhash64("w"), F.lit(1 << 40)) < int(min(1.0, most / counts.count()) * (1 << 40)))
-        keys = np.sort(some.select(F.expr(_KEY).alias("key")).toArrow()["key"].to_numpy())
+        keys = np.sort(some.select("w").mapInArrow(keyed, "key long").toArrow()["key"].to_numpy())
         bounds = keys[np.arange(1, size) * len(keys) // size] if len(keys) else np.zeros(size - 1, np.int64)
     words = pa.array([x[0] for x in top], pa.large_binary())
     leaf_of = np.searchsorted(bounds, _keys(words), "right")
     numbers = Numbers(words, n, bounds, leaf_of)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(bounds, b.column(0).to_numpy(), "right").astype(np.int32)), *b.columns[1:]], ["leaf", "n", "v"])
-
-    # At most BRANCH ** LEVELS rows.
-    by_leaf = counts.where("n > 0").groupBy(F.expr(_KEY).alias("key")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).mapInArrow(sums, "leaf int, n long, v long")
+        n, v = np.zeros((2, size), np.int64)
+        for b in (x for x in batches if x.num_rows):
+            at = np.searchsorted(bounds, _keys(b.column(0).cast(pa.large_binary())), "right")
+            np.add.at(n, at, b.column(1).to_numpy())
+            v += np.bincount(at, minlength=size)
+        has = np.flatnonzero(v)
+        yield pa.RecordBatch.from_arrays([pa.array(has.astype(np.int32)), pa.array(n[has]), pa.array(v[has])], ["leaf", "n", "v"])
+
+    # Tasks add up their words, so at most BRANCH ** LEVELS rows each.
+    by_leaf = counts.where("n > 0").select("w", "n").mapInArrow(sums, "leaf int, n long, v long")
     got = by_leaf.groupBy("leaf").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow()
     tokens, types = np.zeros(size, np.int64), np.zeros(size, np.int64)
     tokens[got["leaf"].to_numpy()], types[got["leaf"].to_numpy()] = got["n"].to_numpy(), got["v"].to_numpy()

@@ -109,3 +109,13 @@ def test_runs_of_repeated_blocks(blocks, times):
 
 def test_shortest_gram():
     assert [_first_gram(*x) for x in ((24, 3), (6, 3), (10, 4), (40, 5), (2, 3))] == [16, 4, 8, 32, 2]
+
+
+def test_query_on_odd_texts(spark, tmp_path):
+    """Ids whose texts are made periodic, with null, empty, one-word and repeated texts."""
+    planted = [k for k in range(400) if zlib.crc32(str(k).encode()) % 10 == 0]
+    texts = [None, "", "  ", "one", "a b", "x " * 500, " ".join(f"w{k}" for k in range(300))]
+    rows = [(planted[k % len(planted)] if k < 14 else k + 1000, texts[k % len(texts)]) for k in range(28)] + [(None, "z")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r[c] for c in COLUMNS) for r in queries.QUERIES["op11_periodic"](spark, str(tmp_path)).collect())
+    assert got == sorted(digest(i, t) for i, t in rows if i is not None)
