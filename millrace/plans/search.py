@@ -18,7 +18,7 @@ from .content import terms
 #: Words of so many letters may have one typo, and two.
 ONE_TYPO, TWO_TYPOS = 5, 9
 #: Longer terms have keys by thirds, not by letters left out: three keys instead of a number that grows with the square.
-LONG = 24
+LONG = 8
 #: Terms that are pushed into the scan of the postings at most; beyond it they are joined only.
 PUSHED = 1000
 #: Places of different fields lie this far apart, so that no window over two fields counts.
