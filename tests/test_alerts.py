@@ -1,6 +1,7 @@
 import datetime
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.streaming.alerts import condition_windows, held_alerts, held_alerts_batch, state_in_rocksdb
@@ -9,6 +10,15 @@ START = datetime.datetime(2024, 1, 1)
 SCHEMA = "job string, ts timestamp, ok boolean"
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Each partition of a stream's state is a store of its own."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def at(minutes):
     return START + datetime.timedelta(minutes=minutes)
 

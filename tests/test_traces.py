@@ -12,6 +12,15 @@ SCHEMA = "span long, trace string, start timestamp, end timestamp, status string
 START = datetime.datetime(2024, 1, 1)
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Each partition of a stream's state is a store of its own."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def at(seconds):
     return START + datetime.timedelta(seconds=seconds)
 
