@@ -55,8 +55,8 @@ def test_recall_on_given_vectors(spark):
     assert sum(x[0] for x in got.values()) >= 0.97 * sum(x[0] for x in want.values())
 
 
-@pytest.mark.parametrize("filters", [1024, 40_000, 400_000, 1 << 22])
-@pytest.mark.parametrize("dim", [2, 3, 4, 8, 16, 32, 64, 128, 768])
+@pytest.mark.parametrize("filters", [1024, 40_000, 1 << 22])
+@pytest.mark.parametrize("dim", [2, 4, 8, 16, 32, 64, 128, 768])
 def test_recall_at_every_width_and_number_of_filters(dim, filters):
     rng = np.random.default_rng(1)
     one, other = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, 800, dim)))
