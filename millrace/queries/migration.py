@@ -25,8 +25,13 @@ def _(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", (cv.unpack_decimal(raw, 2) * 100).cast("long").alias("cents"))
 
 
-@query("cnv02_unpack_int", "SELECT o_orderkey, (o_custkey - 500)::BIGINT AS two, -o_orderkey AS four, (o_orderkey - 7) * 1000003 AS eight FROM orders")
+#: A number as its lowest bytes hold it, in two's complement.
+_LOW = "(({0} + {1}) % (2 * {1}) + 2 * {1}) % (2 * {1}) - {1}"
+
+
+@query("cnv02_unpack_int", f"SELECT o_orderkey, {_LOW.format('(o_custkey - 500)', 1 << 15)} AS two, {_LOW.format('(-o_orderkey)', 1 << 31)} AS four, (o_orderkey - 7) * 1000003 AS eight FROM orders")
 def _(t):
+    """Fields of two, four and eight bytes; keys that need more are cut to their lowest bytes."""
     raw = lambda v, n: F.unhex(F.right(F.lpad(F.hex(v.cast("long")), 16, "0"), F.lit(2 * n)))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     return t.orders.select("o_orderkey", cv.unpack_int(raw(c - 500, 2)).alias("two"), cv.unpack_int(raw(-k, 4)).alias("four"), cv.unpack_int(raw((k - 7) * 1000003, 8)).alias("eight"))
