@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +50,11 @@ def parse_date8(text: Column) -> Column:
 
 
 def fit_decimal(value: Column, precision: int, scale: int) -> Column:
-    """The name of the rule that a value breaks by its integer digits, null if it fits."""
-    return F.when(F.abs(value) >= F.lit(10 ** (precision - scale)).cast("decimal(38,0)"), "DECIMAL_OVERFLOW")
+    """The name of the rule that a decimal breaks by its integer digits, null if it fits.
+
+    Integer parts are compared, as a wide decimal beside a limit of 38 digits is rounded to whole numbers.
+    """
+    return F.when(F.floor(F.abs(value)) > F.lit(Decimal(10 ** (precision - scale) - 1)), "DECIMAL_OVERFLOW")
 
 
 def fit_string(value: Column, length: int) -> Column:
