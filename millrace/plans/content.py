@@ -80,8 +80,9 @@ def keyword_search(rows: DataFrame, fields: Sequence[tuple[str, int]], query: st
 
 
 def highlight(text: Column, words: Sequence[str], length: int = 200) -> Column:
-    """The start of a text with the words marked."""
-    pattern = "(?i)\\b(" + "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True)) + ")\\b"
+    """The start of a text with the words marked, but not as parts of longer ones: beside letters and digits of any script, marks over letters or underscores."""
+    part = r"[\p{L}\p{Nd}\p{Mn}_]"
+    pattern = f"(?i)(?<!{part})(" + "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True)) + f")(?!{part})"
     return F.regexp_replace(F.substring(text, 1, length), pattern, "<em>$1</em>")
 
 

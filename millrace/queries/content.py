@@ -62,7 +62,8 @@ def _(t):
     return index.where(F.col("term").isin("the", "und", "tiing", "ciónes")).groupBy("term").agg(F.count("*").alias("rows"))
 
 
-@query("dom17_highlight", r"SELECT doc_id, regexp_replace(substr(text, 1, 200), '(?i)\b(the|und)\b', '<em>\1</em>', 'g') AS snippet FROM documents WHERE lang = 'en'")
+@query("dom17_highlight", r"""SELECT doc_id, array_to_string(list_transform(regexp_extract_all(substr(text, 1, 200), '[\p{L}\p{Nd}\p{Mn}_]+|[^\p{L}\p{Nd}\p{Mn}_]+'),
+ lambda x: CASE WHEN lower(x) IN ('the', 'und') THEN '<em>' || x || '</em>' ELSE x END), '') AS snippet FROM documents WHERE lang = 'en'""")
 def _(t):
     return t.documents.where("lang = 'en'").select("doc_id", ct.highlight(F.col("text"), ["the", "und"]).alias("snippet"))
 

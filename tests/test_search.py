@@ -1,9 +1,11 @@
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.plans import search as se
+from millrace.queries import ORACLE, QUERIES
 
 
 def edits(a, b):
@@ -74,3 +76,13 @@ def test_hot_terms_are_ranged_over_files(spark, tmp_path):
     se.write_index(rows, [("text", 1)], at)
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert spark.read.parquet(f"{at}/postings").where("term = 'the'").select(F.input_file_name()).distinct().count() > 1
+
+
+def test_words_are_marked_whole_in_any_script(spark, tmp_path):
+    texts = ["The end, und the rest", "éthe und", "thé thé the", "theñ THE-und_the", "und\nthe", "the² the٣", "X" * 196 + " the", "", None]
+    spark.createDataFrame([(k, x, "en") for k, x in enumerate(texts)], "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, QUERIES["dom17_highlight"](spark, str(tmp_path)).select("doc_id", "snippet").collect()))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(db.sql(f"SELECT doc_id, snippet FROM ({ORACLE['dom17_highlight']})").fetchall())
+    assert [r[1] for r in got[:4]] == ["<em>The</em> end, <em>und</em> <em>the</em> rest", "éthe <em>und</em>", "thé thé <em>the</em>", "theñ <em>THE</em>-und_the"]
