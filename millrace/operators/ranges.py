@@ -112,8 +112,9 @@ def range_rate(samples: DataFrame, series: Sequence[str], range_seconds: int = 3
     to_zero = sampled * F.col("first_value") / F.col("increase")
     to_start = F.when((F.col("increase") > 0) & (F.col("first_value") >= 0) & (to_zero < to_start), to_zero).otherwise(to_start)
     to_end = F.when(to_end >= mean * 1.1, mean / 2).otherwise(to_end)
-    factor = (sampled + to_start + to_end) / sampled / range_seconds
-    return rows.where("last_us > first_us").select(*series, F.timestamp_micros("us").alias("ts"), (F.col("increase") * factor).alias("rate"))
+    # Whether a bucket reaches a quantile's rank may hang on the last digit, so the order of these steps is fixed.
+    rate = F.col("increase") * (sampled + to_start + to_end) / sampled / range_seconds
+    return rows.where("last_us > first_us").select(*series, F.timestamp_micros("us").alias("ts"), rate.alias("rate"))
 
 
 def summed_rate(rates: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -2,10 +2,12 @@ import datetime
 import random
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import ranges as rg
+from millrace.queries import ORACLE, QUERIES
 
 EPOCH = datetime.datetime(2024, 1, 1)
 
@@ -71,3 +73,14 @@ def test_ratio_and_empty(spark):
     got = {r.job: r.ratio for r in rg.rate_ratio(df, ["job"], F.col("status") == "5xx").collect()}
     assert got == {"a": 0.25, "c": None}
     assert rg.range_rate(frame(spark, []), ["job"]).count() == 0
+
+
+def test_quantiles_agree_with_sql_to_the_last_digit(spark):
+    """Where a bucket holds just the rank, the next one that holds more may lie far off, so the last digit of a rate counts."""
+    sf = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    db.sql("SET timezone = 'UTC'")
+    db.sql(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet'")
+    want = db.sql(f"SELECT event_type, ts, quantile FROM ({ORACLE['ts03_range_quantile']})").fetchall()
+    got = QUERIES["ts03_range_quantile"](spark, sf).select("event_type", "ts", "quantile").collect()
+    assert sorted(want) == sorted(map(tuple, got))
