@@ -7,8 +7,10 @@ the source's audit and goes on with the rest.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -43,21 +45,25 @@ def purge_batches(keys: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]
     Keys are numbered inside buckets of their hash; only the buckets' sizes
     are added up, so nothing is sorted as a whole. The same keys get the same batches.
     """
+    numbered, ends = _numbered(keys, key, rows)
+    return numbered.select(key, "batch"), ends[-1] if ends else 0
+
+
+def _numbered(keys: DataFrame, key: str, rows: int) -> tuple[DataFrame, list[int]]:
+    """``purge_batches`` with ``_bucket``, whose files lie in a folder of their own, and the last batch of each bucket."""
     n = keys.count()
     buckets = max(1, -(-n // _BUCKET))
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     per = keys.groupBy(bucket.alias("_bucket")).agg(F.ceil(F.count("*") / rows).cast("long").alias("_n"))
     # One number for each hundred thousand keys.
     sizes = dict(map(tuple, per.collect()))
-    first, base = {}, 0
-    for b in sorted(sizes):
-        first[b] = base
-        base += sizes[b]
+    ends = list(accumulate(sizes.get(b, 0) for b in range(max(sizes, default=-1) + 1)))
+    first = {b: ends[b] - n for b, n in sizes.items()}
     spark = keys.sparkSession
     bases = spark.createDataFrame(list(first.items()), "_bucket int, _base long")
     at = F.row_number().over(_by_bucket(key)) - 1
     numbered = keys.select(key, bucket.alias("_bucket")).withColumn("_at", at).join(bases, "_bucket")
-    return staged(numbered.select(key, (F.col("_base") + F.floor(F.col("_at") / rows) + 1).cast("long").alias("batch"))), base
+    return staged(numbered.select(key, (F.col("_base") + F.floor(F.col("_at") / rows) + 1).cast("long").alias("batch"), "_bucket"), "_bucket"), ends
 
 
 def _by_bucket(key: str):
@@ -139,9 +145,11 @@ def purge_table(spark: SparkSession, table: str, safe: DataFrame, key: str, vali
         gone = staged(todo.join(source.audited(spark, run_id), key, "left_semi").withColumn("batch", F.lit(0).cast("long")))
         if not gone.isEmpty():
             audit.add(table, gone, key, run_id)
-        rest, batches = purge_batches(todo.join(gone.select(key), key, "left_anti"), key, batch_rows)
-        for at in range(1, batches + 1, wave):
-            some = rest.where(F.col("batch").between(at, at + wave - 1))
+        rest, ends = _numbered(todo.join(gone.select(key), key, "left_anti"), key, batch_rows)
+        for at in range(1, (ends[-1] if ends else 0) + 1, wave):
+            # A wave reads the buckets that its batches lie in, not all keys.
+            buckets = F.col("_bucket").between(bisect_left(ends, at), bisect_left(ends, at + wave - 1))
+            some = rest.where(buckets & F.col("batch").between(at, at + wave - 1)).drop("_bucket")
             source.delete(some, run_id)
             audit.add(table, some, key, run_id)
         purged = own().select("key").distinct().count()

@@ -10,7 +10,7 @@ from ..operators import checks as dq
 from ..operators import criteria as cr
 from ..operators import purge as pg
 from ..operators import reconcile as rc
-from ..scratch import scratch_path
+from ..scratch import scratch_path, staged
 from .registry import Tables, query
 
 #: Cents as a packed decimal in text: the digits, then the sign half-byte.
@@ -216,7 +216,7 @@ def _(t):
                 raise _CutOff
 
     orders = t.orders.select("o_orderkey")
-    safe = _verdicts(t).where("verdict = 'OK'").select("o_orderkey")
+    safe = staged(_verdicts(t).where("verdict = 'OK'").select("o_orderkey"))  # each run begins with them
     validated = safe.count()
     more = {"key": "o_orderkey", "validated": validated, "audit": pg.Audit(f"{at}/audit"), "run_id": "run-1", "batch_rows": 100, "wave": 3}
     try:

@@ -1,10 +1,14 @@
+from bisect import bisect_left
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import checks as dq
 from millrace.operators import criteria as cr
+from millrace.operators import purge
 from millrace.operators import reconcile as rc
 from millrace.operators.purge import Audit, LakeSource, PurgeGuardError, guarded, purge_batches, purge_ranks, purge_table
+from millrace.queries import QUERIES, migration
 
 
 def test_children_before_parents():
@@ -106,3 +110,23 @@ def test_criteria_of_a_table_make_one_scan(spark, tmp_path):
     assert got == {"t: row count": ("PASS", "3"), "t: not null": ("PASS", "0"), "t: values of b": ("FAIL", "q")}
     rest = cr.table_criteria(spark.read.parquet(at), "t", watched.left).collect()
     assert [(r.check_name, r.detail) for r in rest] == [("t: unique", "1")]
+
+
+def test_a_wave_finds_its_batches_in_few_folders(spark, monkeypatch):
+    monkeypatch.setattr(purge, "_BUCKET", 150)
+    rows, ends = purge._numbered(spark.range(1000).withColumnRenamed("id", "k"), "k", 7)
+    got = rows.select("batch", "_bucket", F.regexp_extract("_metadata.file_path", "_bucket=([0-9]+)", 1).cast("int").alias("folder")).collect()
+    assert len(got) == 1000 and len({r.folder for r in got}) == 7
+    assert all(bisect_left(ends, r.batch) == r["_bucket"] == r.folder for r in got)
+
+
+def test_safe_keys_are_found_once(spark, monkeypatch):
+    n, real = spark.sparkContext.accumulator(0), migration._verdicts
+
+    def count(v):
+        n.add(1)
+        return v
+
+    monkeypatch.setattr(migration, "_verdicts", lambda t: real(t).withColumn("verdict", F.udf(count)("verdict")))
+    QUERIES["rec05_purge_run"](spark, "/root/testdata/sf0.001").collect()
+    assert n.value == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
