@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import resolve_rate
@@ -12,15 +12,22 @@ from ..operators.sets import upsert_by_key
 def validate_splits(splits: DataFrame, agents: DataFrame, policies: DataFrame | None = None) -> DataFrame:
     """``policy_id, problem``: the first of no split (of ``policies``, if given), duplicate agent, share outside (0, 100], inactive agent, total not 100; null if sound."""
     a = agents.select("agent_id", F.col("status").alias("_status"))
-    rows = splits.join(a, "agent_id", "left")
+    inactive = F.coalesce(F.col("_status") != "ACTIVE", F.lit(True))
+    rows = splits.join(a, "agent_id", "left").select("policy_id", "agent_id", "split_pct", inactive.alias("_inactive"), F.lit(policies is None).alias("_asked"))
     if policies is not None:
-        rows = policies.select("policy_id").distinct().join(rows, "policy_id", "left")
-    out = rows.groupBy("policy_id").agg(
-        (F.count("agent_id") == 0).alias("none"), (F.count("agent_id") != F.count_distinct("agent_id")).alias("twice"), F.bool_or((F.col("split_pct") <= 0) | (F.col("split_pct") > 100)).alias("range"),
-        F.bool_or(F.coalesce(F.col("_status") != "ACTIVE", F.lit(True))).alias("inactive"), (F.sum("split_pct") != 100).alias("total"),
-    )
-    problem = F.when(F.col("none"), "NO_SPLIT").when(F.col("twice"), "DUPLICATE_AGENT").when(F.col("range"), "SPLIT_RANGE").when(F.col("inactive"), "AGENT_INACTIVE").when(F.col("total"), "SPLIT_TOTAL")
-    return out.select("policy_id", problem.alias("problem"))
+        asked = {"agent_id": rows.schema["agent_id"].dataType, "split_pct": rows.schema["split_pct"].dataType, "_inactive": "boolean"}
+        rows = rows.where("policy_id IS NOT NULL").unionByName(policies.select("policy_id", *[F.lit(None).cast(t).alias(c) for c, t in asked.items()], F.lit(True).alias("_asked")))
+    # One sort serves both windows, and a task holds no table of all its policies.
+    w = Window.partitionBy("policy_id")
+    by_agent = w.orderBy("agent_id")
+    rows = rows.withColumns({"_at": F.row_number().over(by_agent), "_again": F.lag("agent_id").over(by_agent) == F.col("agent_id")})
+    pct = F.col("split_pct")
+    rows = rows.withColumns({
+        "_asked": F.bool_or("_asked").over(w), "_agents": F.count("agent_id").over(w), "_twice": F.bool_or("_again").over(w), "_range": F.bool_or((pct <= 0) | (pct > 100)).over(w),
+        "_inactive": F.bool_or("_inactive").over(w), "_total": F.sum(pct).over(w),
+    })
+    problem = F.when(F.col("_agents") == 0, "NO_SPLIT").when(F.col("_twice"), "DUPLICATE_AGENT").when(F.col("_range"), "SPLIT_RANGE").when(F.col("_inactive"), "AGENT_INACTIVE").when(F.col("_total") != 100, "SPLIT_TOTAL")
+    return rows.where("_asked AND _at = 1").select("policy_id", problem.alias("problem"))
 
 
 def calculate_commission(policies: DataFrame, splits: DataFrame, rates: DataFrame, month: str) -> DataFrame:

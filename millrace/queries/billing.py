@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import margin_kpis
@@ -118,8 +118,7 @@ SELECT o_orderkey AS policy_id, CASE WHEN count(agent_id) = 0 THEN 'NO_SPLIT' WH
 FROM orders LEFT JOIN s ON policy_id = o_orderkey LEFT JOIN supplier ON s_suppkey = agent_id GROUP BY 1""")
 def _(t):
     lines = t.lineitem.where("l_orderkey % 9 > 0")  # the others have no split
-    n = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    splits = lines.join(n, "l_orderkey").select(F.col("l_orderkey").alias("policy_id"), F.col("l_suppkey").alias("agent_id"), F.when(F.col("l_linenumber") == 1, 100 - 10 * (F.col("n") - 1)).otherwise(10).alias("split_pct"))
+    splits = lines.withColumn("n", F.count("*").over(Window.partitionBy("l_orderkey"))).select(F.col("l_orderkey").alias("policy_id"), F.col("l_suppkey").alias("agent_id"), F.when(F.col("l_linenumber") == 1, 100 - 10 * (F.col("n") - 1)).otherwise(10).alias("split_pct"))
     agents = t.supplier.select(F.col("s_suppkey").alias("agent_id"), F.when(F.col("s_acctbal") < 0, "INACTIVE").otherwise("ACTIVE").alias("status"))
     return cm.validate_splits(splits, agents, t.orders.select(F.col("o_orderkey").alias("policy_id")))
 

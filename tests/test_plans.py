@@ -74,3 +74,15 @@ def test_margin_steps(spark):
     assert r.margin_pct == Decimal("61.5")
     zero = mg.margin_columns(x("100"), x("10"), x("2500"), x("1"), x("5"), x("10"), x("0"))
     assert one.select(zero["margin_pct"].alias("m")).first().m == 0
+
+
+def test_splits_are_validated_by_one_sort_of_each_policy(spark):
+    splits = spark.createDataFrame([(1, 1, 60), (1, 2, 40), (2, 1, 50), (2, 1, 50), (3, 1, 0), (3, 2, 100), (4, 3, 100), (5, 9, 100), (6, 1, 90), (7, None, 100), (None, 1, 100), (99, 1, 100)], "policy_id int, agent_id int, split_pct int")
+    agents = spark.createDataFrame([(1, "ACTIVE"), (2, "ACTIVE"), (3, "INACTIVE")], "agent_id int, status string")
+    policies = spark.createDataFrame([(k,) for k in (1, 2, 3, 4, 5, 6, 7, 8, 8, None)], "policy_id int")
+    out = cm.validate_splits(splits, agents, policies)
+    want = {1: None, 2: "DUPLICATE_AGENT", 3: "SPLIT_RANGE", 4: "AGENT_INACTIVE", 5: "AGENT_INACTIVE", 6: "SPLIT_TOTAL", 7: "NO_SPLIT", 8: "NO_SPLIT", None: "NO_SPLIT"}
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want.items(), key=str)
+    own = {1: None, 2: "DUPLICATE_AGENT", 3: "SPLIT_RANGE", 4: "AGENT_INACTIVE", 5: "AGENT_INACTIVE", 6: "SPLIT_TOTAL", 7: "NO_SPLIT", None: None, 99: None}
+    assert sorted(map(tuple, cm.validate_splits(splits, agents).collect()), key=str) == sorted(own.items(), key=str)
+    assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
