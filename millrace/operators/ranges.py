@@ -8,7 +8,7 @@ time whose sums are carried over, so no task sorts a whole series.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 _SECOND = 1_000_000
 
 
-def running_counter(samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value", block_seconds: int = 86_400) -> DataFrame:
+def running_counter(samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value", block_seconds: int = 86_400, needed: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``series, us, value, n, total, next_us, next_value, next_total``: each sample's number in its series, the counter's value without its resets, and the next sample.
 
     A fall is a reset to zero. Samples of one time are taken by value. Null
-    times and values are no samples.
+    times and values are no samples. Of the samples inside a block those are
+    left out, once they are counted, that are not ``needed`` by their time and
+    the next one's.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     rows = samples.where(F.col(ts).isNotNull() & F.col(value).isNotNull()).select(*series, us.alias("us"), F.col(value).cast("double").alias("value"))
@@ -42,6 +44,8 @@ def running_counter(samples: DataFrame, series: Sequence[str], ts: str = "ts", v
         *series, "_block", F.coalesce(F.sum("_count").over(past), F.lit(0)).alias("_n0"),
         (F.coalesce(F.sum(F.col("_sum") + F.col("_edge")).over(past), F.lit(0.0)) + F.col("_edge")).alias("_drops0"), F.lead("_first").over(order).alias("_after"),
     )
+    if needed is not None:
+        rows = rows.where((F.col("_n") == 1) | F.col("_next_us").isNull() | needed(F.col("us"), F.col("_next_us")))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*series, "_block")]
     joined = rows.alias("a").join(blocks.alias("b"), on=_all(same))
     total = F.col("value") + F.col("_drops") + F.col("_drops0")
@@ -66,6 +70,11 @@ def _steps(low: Column, high: Column, step: int) -> Column:
     return F.when(first <= last, F.sequence(first, last, F.lit(step).cast("long"))).otherwise(F.array().cast("array<long>"))
 
 
+def _any_step(low: Column, high: Column, step: int) -> Column:
+    """Whether ``_steps`` has any."""
+    return F.ceil(low / step) < F.ceil(high / step)
+
+
 def window_edges(samples: DataFrame, series: Sequence[str], range_seconds: int, step_seconds: int, ts: str = "ts", value: str = "value", block_seconds: int = 86_400) -> DataFrame:
     """Of each series and step ``us`` with two samples or more in the ``range_seconds`` up to it: their number ``n``, first and last times and values, and the increase between.
 
@@ -74,7 +83,9 @@ def window_edges(samples: DataFrame, series: Sequence[str], range_seconds: int,
     a row for each step in between and none for the windows it merely lies in.
     """
     span, step = range_seconds * _SECOND, step_seconds * _SECOND
-    rows = running_counter(samples, series, ts, value, block_seconds)
+    # Only samples at the edges of windows are carried on; of a dense series these are a few for each step.
+    at_edge = lambda us, after: _any_step(us, F.least(after, us + span), step) | _any_step(F.greatest(us + span, after), after + span, step)
+    rows = running_counter(samples, series, ts, value, block_seconds, at_edge)
     own = F.col("us")
     ends = _steps(own, F.least(F.coalesce("next_us", own + span), own + span), step)
     starts = F.when(F.col("next_us").isNotNull(), _steps(F.greatest(own + span, F.col("next_us")), F.col("next_us") + span, step)).otherwise(F.array().cast("array<long>"))

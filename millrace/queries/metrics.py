@@ -96,10 +96,11 @@ h AS (SELECT event_type, ts, CASE WHEN isinf(le) THEN low ELSE low + (le - low)
 SELECT event_type, ts, quantile FROM h WHERE k = 1""")
 def _(t):
     """Bucket counters are cumulative over bounds, so each event is a sample of each bound; rates come before the quantile."""
-    bounds = F.array(*[F.lit(x) for x in (10.0, 25.0, 50.0, 100.0, 200.0, float("inf"))])
-    rows = t.events.select("event_type", "ts", "event_id", "value", F.explode(bounds).alias("le"))
-    n = F.count_if(F.col("value") <= F.col("le")).over(Window.partitionBy("event_type", "le", F.to_date("ts")).orderBy("ts", "event_id"))
-    rates = rg.range_rate(rows.select("event_type", "le", "ts", n.alias("n")), ["event_type", "le"], 21_600, 3_600, value="n")
+    bounds = (10.0, 25.0, 50.0, 100.0, 200.0, float("inf"))
+    w = Window.partitionBy("event_type", F.to_date("ts")).orderBy("ts", "event_id")
+    counts = [F.struct(F.lit(x).alias("le"), F.count_if(F.col("value") <= x).over(w).alias("n")) for x in bounds]
+    rows = t.events.select("event_type", "ts", F.array(*counts).alias("b")).withColumn("b", F.explode("b")).select("event_type", "b.le", "ts", "b.n")
+    rates = rg.range_rate(rows, ["event_type", "le"], 21_600, 3_600, value="n")
     return _hourly(mt.histogram_quantile(0.95, rg.summed_rate(rates, ["event_type", "le"]), ["event_type", "ts"], count="rate"))
 
 

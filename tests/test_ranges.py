@@ -84,3 +84,15 @@ def test_quantiles_agree_with_sql_to_the_last_digit(spark):
     want = db.sql(f"SELECT event_type, ts, quantile FROM ({ORACLE['ts03_range_quantile']})").fetchall()
     got = QUERIES["ts03_range_quantile"](spark, sf).select("event_type", "ts", "quantile").collect()
     assert sorted(want) == sorted(map(tuple, got))
+
+
+def test_samples_inside_windows_are_not_carried_on(spark):
+    """Of 20,000 samples of one day, those about its 24 steps and the windows' starts, and the block's first and last, are kept, with the counts of all."""
+    rows = spark.range(20_000).select(F.lit("a").alias("job"), F.timestamp_micros(F.col("id") * 4_300_000).alias("ts"), (F.col("id") % 7_000).cast("double").alias("value"))
+    hour, span = 3_600 * 1_000_000, 6 * 3_600 * 1_000_000
+    edge = lambda us, after: rg._any_step(us, F.least(after, us + span), hour) | rg._any_step(F.greatest(us + span, after), after + span, hour)
+    every = {r.us: r for r in rg.running_counter(rows, ["job"]).collect()}
+    some = rg.running_counter(rows, ["job"], needed=edge).collect()
+    assert len(every) == 20_000 and 24 <= len(some) <= 60 and all(every[r.us] == r for r in some)
+    rates = rg.range_rate(rows, ["job"], 21_600, 3_600)
+    assert rates.count() == 23 + 6
