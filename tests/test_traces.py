@@ -1,12 +1,13 @@
 import datetime
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.metrics import sample_traces
 from millrace.streaming.alerts import state_in_rocksdb
-from millrace.streaming.traces import sample_trace_stream
+from millrace.streaming.traces import TailSampler, sample_trace_stream
 
 SCHEMA = "span long, trace string, start timestamp, end timestamp, status string"
 START = datetime.datetime(2024, 1, 1)
@@ -65,3 +66,37 @@ def test_way_out_of_large_traces_and_end_of_state(spark, tmp_path):
     late = [(200, "small", at(500), at(500), "ERROR")]  # its trace was left out and forgotten: a new one
     got = streamed(spark, tmp_path, [big[:30], big[30:] + small, [(-1, "~", at(300), at(300), "OK")], late, [(-2, "~", at(900), at(900), "OK")]], percent=0, most=20)
     assert [r[0] for r in got] == [*range(50), 200]
+
+
+class Held:
+    """A state variable or the timers of one key, in memory; counts what it is asked."""
+
+    def __init__(self, asked):
+        self.value, self.asked = None, asked
+
+    def __getattr__(self, name):
+        self.asked.append(name)
+        return {
+            "exists": lambda: self.value is not None, "get": lambda: iter(self.value) if isinstance(self.value, list) else self.value,
+            "update": lambda v: setattr(self, "value", v), "put": lambda v: setattr(self, "value", v), "clear": lambda: setattr(self, "value", None),
+            "appendValue": lambda v: setattr(self, "value", [*(self.value or []), v]), "appendList": lambda v: setattr(self, "value", [*(self.value or []), *v]),
+            "registerTimer": lambda ms: setattr(self, "value", ms), "deleteTimer": lambda ms: setattr(self, "value", None),
+        }[name]
+
+
+def test_traces_of_a_bucket_share_accesses_to_state():
+    asked = []
+    handle = Held(asked)
+    handle.getListState = handle.getValueState = lambda *a: Held(asked)
+    s = TailSampler(["span", "trace"], "trace", 1_000_000, 2_000_000, 100)
+    s.init(handle)
+    span = lambda k, t, us, bad=False: {"span": k, "trace": t, "_from": us, "_to": us, "_bad": bad}
+    at = lambda ms: (SimpleNamespace(getCurrentWatermarkInMs=lambda: ms), SimpleNamespace(getExpiryTimeInMs=lambda: handle.value))
+    assert not list(s.handleInputRows((0,), iter([span(k, f"t{k % 500}", k) for k in range(1000)]), None))
+    # An error lets out what waits of its trace alone; those that end are forgotten, the others go on.
+    assert sorted(r.span for r in s.handleInputRows((0,), iter([span(1000, "t7", 9, True), span(1001, "t8", 900_000)]), None)) == [7, 507, 1000]
+    assert handle.value == 1001 and not list(s.handleExpiredTimer((0,), *at(1100)))
+    assert handle.value == 1900
+    assert sorted(r.span for r in s.handleInputRows((0,), iter([span(1002, "t8", 901_000, True), span(1003, "t7", 901_000)]), None)) == [8, 508, 1001, 1002]
+    assert not list(s.handleExpiredTimer((0,), *at(3000))) and s.traces.value is s.waiting.value is None
+    assert len(asked) < 60
