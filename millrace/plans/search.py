@@ -8,11 +8,14 @@ that is verified by the edit distance itself.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..scratch import staged
 from .content import terms
 
 #: Words of so many letters may have one typo, and two.
@@ -77,16 +80,37 @@ def word_keys(word: Column) -> Column:
     return F.array_distinct(F.concat(left, thirds))
 
 
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows ``id, field, weight, terms``: a row for each distinct term of each, with its places in order."""
+    for b in batches:
+        words = b.column(3)
+        flat = words.flatten().dictionary_encode()
+        code = flat.indices.to_numpy()
+        n = words.value_lengths().to_numpy()
+        row = np.repeat(np.arange(len(n)), n)
+        place = np.arange(len(code)) - np.repeat(np.cumsum(n) - n, n)
+        order = np.lexsort((place, code, row))
+        row, code = row[order], code[order]
+        new = np.ones(len(code), bool)
+        new[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
+        first = np.flatnonzero(new)
+        of = pa.array(row[first])
+        ends = pa.array(np.append(first, len(code)).astype(np.int32))
+        places = pa.ListArray.from_arrays(ends, pa.array(place[order].astype(np.int32)))
+        term = flat.dictionary.take(pa.array(code[first]))
+        yield pa.RecordBatch.from_arrays([term, *(b.column(k).take(of) for k in range(3)), places], ["term", "id", "field", "weight", "places"])
+
+
 def postings(rows: DataFrame, fields: Sequence[tuple[str, int]]) -> DataFrame:
-    """``term, id, field, weight, places`` of each term of each row and field; places count from 0. Rows of null fields have none."""
-    parts = [
-        rows.select("id", F.lit(k).alias("field"), F.lit(w).alias("weight"), F.posexplode(terms(F.col(f))).alias("place", "term"))
-        for k, (f, w) in enumerate(fields)
-    ]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    return both.groupBy("term", "id", "field", "weight").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    """``term, id, field, weight, places`` of each term of each row and field; places count from 0. Rows of null fields have none.
+
+    A text's terms are put together where it is read, so no word is shuffled
+    by itself. Rows that share an id have postings of their own.
+    """
+    each = F.array(*[F.struct(F.lit(k).alias("field"), F.lit(w).alias("weight"), terms(F.col(f)).alias("terms")) for k, (f, w) in enumerate(fields)])
+    texts = rows.select("id", F.explode(each).alias("x")).select("id", "x.field", "x.weight", "x.terms")
+    kind = rows.schema["id"].dataType.simpleString()
+    return texts.mapInArrow(_places, f"term string, id {kind}, field int, weight int, places array<int>")
 
 
 def write_index(rows: DataFrame, fields: Sequence[tuple[str, int]], at: str) -> None:
@@ -95,10 +119,13 @@ def write_index(rows: DataFrame, fields: Sequence[tuple[str, int]], at: str) ->
     A term that a third of all rows has is cut over several files, as rows of a
     term are ranged by id too.
     """
-    found = postings(rows, fields)
+    found = staged(postings(rows, fields))  # ranging reads its rows twice
     found.repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{at}/postings")
     kept = rows.sparkSession.read.parquet(f"{at}/postings")
-    keys = kept.groupBy("term").agg(F.count("*").alias("rows")).select("term", "rows", F.explode(term_keys(F.col("term"))).alias("key"))
+    # Terms are few bytes, which would be put into one task, but many keys; and ranging reads its rows twice.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = kept.groupBy("term").agg(F.count("*").alias("rows")).repartition(parts, "term")
+    keys = staged(each.select("term", "rows", F.explode(term_keys(F.col("term"))).alias("key")))
     keys.repartitionByRange("key", "term").sortWithinPartitions("key").write.mode("overwrite").parquet(f"{at}/keys")
 
 
@@ -127,8 +154,24 @@ def _smallest_window(places: Column, words: Column) -> Column:
         full = ~F.exists(last, lambda v: v.isNull())
         return F.struct(last.alias("last"), F.when(full, F.least(s["best"], x["place"] - F.array_min(last))).otherwise(s["best"]).alias("best"))
 
-    best = F.aggregate(F.array_sort(places), start, step, lambda s: s["best"])
-    return F.when(best < _FIELD // 2, best)
+    best = F.aggregate(F.sort_array(places), start, step, lambda s: s["best"])
+    return F.when(words == 1, 0).when(best < _FIELD // 2, best)
+
+
+def _in_reach(hits: DataFrame, k: int) -> DataFrame:
+    """``query_id, id`` of rows that may be among the best ``k``: fewer than ``k`` rows of the query match more words, or as many with fewer typos.
+
+    Rows are counted by these two, so none is left out that another order of
+    the rest could bring in. The rows are dealt by query and id once, for both
+    aggregations.
+    """
+    dealt = hits.select("query_id", "id", "pos", "typos").repartition("query_id", "id")
+    found = dealt.groupBy("query_id", "id", "pos").agg(F.min("typos").alias("typos")).groupBy("query_id", "id").agg(F.count("*").alias("matched"), F.sum("typos").alias("typos"))
+    found = staged(found)
+    levels = found.groupBy("query_id", "matched", "typos").agg(F.count("*").alias("n"))
+    better = F.sum("n").over(Window.partitionBy("query_id").orderBy(F.desc("matched"), F.asc("typos")).rowsBetween(Window.unboundedPreceding, -1))
+    levels = levels.withColumn("better", F.coalesce(better, F.lit(0))).where(F.col("better") < k).select("query_id", "matched", "typos")
+    return staged(found.join(levels, ["query_id", "matched", "typos"]).select("query_id", "id"))
 
 
 def ranked_search(spark: SparkSession, at: str, queries: DataFrame, k: int = 20) -> DataFrame:
@@ -139,7 +182,8 @@ def ranked_search(spark: SparkSession, at: str, queries: DataFrame, k: int = 20)
     last, in one field; rows where they never meet come last), in weightier
     fields, with more words as they were written, and by id. Of a word's terms
     in a row only those with the fewest typos count. A query without words has
-    no rows; queries are told apart by ``query_id``.
+    no rows; queries are told apart by ``query_id``. Places are read only of
+    rows whose words and typos may be enough.
     """
     words = query_words(queries)
     similar = similar_terms(spark, at, words).persist()
@@ -149,7 +193,7 @@ def ranked_search(spark: SparkSession, at: str, queries: DataFrame, k: int = 20)
         held = held.where(F.col("term").isin(few))
     hits = words.join(similar, "word").join(held, "term")
     one = F.struct("pos", "typos", "weight", F.transform("places", lambda p: p + F.col("field") * F.lit(_FIELD)).alias("places"))
-    rows = hits.groupBy("query_id", "id").agg(F.collect_list(one).alias("h"))
+    rows = hits.join(_in_reach(hits, k), ["query_id", "id"]).groupBy("query_id", "id").agg(F.collect_list(one).alias("h"))
     # Of each word found: its least typos, and the greatest weight with these.
     own = lambda p: F.filter("h", lambda x: x["pos"] == p)
     least = F.transform(F.array_sort(F.array_distinct(F.transform("h", lambda x: x["pos"]))), lambda p: F.struct(p.alias("pos"), F.array_min(F.transform(own(p), lambda x: x["typos"])).alias("typos")))

@@ -86,3 +86,24 @@ def test_words_are_marked_whole_in_any_script(spark, tmp_path):
     db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert got == sorted(db.sql(f"SELECT doc_id, snippet FROM ({ORACLE['dom17_highlight']})").fetchall())
     assert [r[1] for r in got[:4]] == ["<em>The</em> end, <em>und</em> <em>the</em> rest", "éthe <em>und</em>", "thé thé <em>the</em>", "theñ <em>THE</em>-und_the"]
+
+
+def test_places_are_read_only_of_rows_in_reach(spark, tmp_path):
+    texts = ["rapid river"] * 3 + ["rapid rivers"] * 3 + ["rapid"] * 50 + ["river of rapid"] * 2
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    at = str(tmp_path / "index")
+    se.write_index(rows, [("text", 1)], at)
+    queries = spark.createDataFrame([(1, "rapid river"), (2, "rapid")], "query_id int, query string")
+    words = se.query_words(queries)
+    hits = words.join(se.similar_terms(spark, at, words), "word").join(spark.read.parquet(f"{at}/postings"), "term")
+    reach = {k: sorted(r.id for r in se._in_reach(hits, k).collect() if r.query_id == 1) for k in (4, 5, 6)}
+    assert reach == {4: [0, 1, 2, 56, 57], 5: [0, 1, 2, 56, 57], 6: [0, 1, 2, 3, 4, 5, 56, 57]}
+    assert [r.id for r in sorted(se.ranked_search(spark, at, queries, 4).where("query_id = 1").collect(), key=lambda r: r.rank)] == [0, 1, 2, 56]
+
+
+def test_words_are_not_shuffled_one_by_one(spark):
+    rows = spark.createDataFrame([(1, "a b a", "b"), (2, None, "c c"), (3, "", None), (1, "a", "x")], "id long, text string, title string")
+    found = se.postings(rows, [("title", 3), ("text", 1)])
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(tuple, found.collect()))
+    assert got == sorted([("a", 1, 1, 1, [0, 2]), ("b", 1, 1, 1, [1]), ("b", 1, 0, 3, [0]), ("c", 2, 0, 3, [0, 1]), ("a", 1, 1, 1, [0]), ("x", 1, 0, 3, [0])])
